@@ -58,12 +58,112 @@ SELECT condition_name, drug_name, drug_type, drug_form,
 FROM scored"""
 
 
+def _value_sql() -> str:
+    tiers = " ".join(f"WHEN average_price < {lim} THEN '{name}'"
+                     for lim, name in analogs.ANALOG_PRICE_TIERS)
+    ratio = ("CASE WHEN average_price > 0 THEN COALESCE(avg_effectiveness, 0) / average_price"
+             " * CAST(100 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END")
+    ties = "drug_name ASC NULLS FIRST, drug_type ASC NULLS FIRST"
+    return f"""
+WITH star AS ({analogs.STAR_SQL}),
+agg AS (
+  SELECT drug_name, drug_type,
+         {_avg('effectiveness_score')} AS avg_effectiveness,
+         {_avg('ease_of_use_score')} AS avg_ease_of_use,
+         {_avg('satisfaction_score')} AS avg_satisfaction,
+         {_avg(_PRICE)} AS average_price,
+         CAST(SUM(COALESCE(review_count, 0)) AS BIGINT) AS total_reviews,
+         COUNT(condition_name) AS conditions_treated
+  FROM star GROUP BY drug_name, drug_type),
+pos AS (
+  SELECT *, CASE {tiers} ELSE '{analogs.ANALOG_PRICE_TIER_TOP}' END AS price_tier,
+         {_r(ratio, 4)} AS value_score,
+         ROW_NUMBER() OVER (ORDER BY average_price ASC NULLS FIRST, {ties}) AS p_pos,
+         ROW_NUMBER() OVER (ORDER BY avg_effectiveness DESC NULLS LAST, {ties}) AS e_pos,
+         COUNT(*) OVER () AS n
+  FROM agg WHERE average_price IS NOT NULL)
+SELECT drug_name, drug_type, price_tier, average_price, avg_effectiveness, avg_ease_of_use,
+       avg_satisfaction, value_score,
+       CAST({_r('p_pos / n * CAST(100 AS DOUBLE)', 0)} AS INTEGER) AS price_percentile,
+       CAST({_r('e_pos / n * CAST(100 AS DOUBLE)', 0)} AS INTEGER) AS performance_percentile,
+       total_reviews, conditions_treated
+FROM pos"""
+
+
+def _in(values) -> str:
+    return "(" + ", ".join(f"'{v}'" for v in values) + ")"
+
+
+def _summary_sql() -> str:
+    forms = ",\n".join(f"         COUNT(*) FILTER (WHERE drug_form IN {_in(v)}) AS {k}"
+                       for k, v in analogs.ANALOG_FORM_GROUPS.items())
+    return f"""
+WITH star AS ({analogs.STAR_SQL})
+SELECT condition_name, condition_category,
+       COUNT(drug_name) AS total_drugs_available,
+       COUNT(*) FILTER (WHERE drug_type IN {_in(analogs.ANALOG_RX_TYPES)}) AS rx_drugs_count,
+       COUNT(*) FILTER (WHERE drug_type IN {_in(analogs.ANALOG_OTC_TYPES)}) AS otc_drugs_count,
+{forms},
+       {_avg('effectiveness_score')} AS avg_effectiveness,
+       {_avg('satisfaction_score')} AS avg_satisfaction,
+       arg_min(drug_name, struct_pack(a := effectiveness_score IS NULL,
+               b := -effectiveness_score, c := drug_name)) AS best_drug_by_effectiveness,
+       MIN({_PRICE}) AS min_price, MAX({_PRICE}) AS max_price, {_avg(_PRICE)} AS avg_price,
+       CAST(SUM(COALESCE(review_count, 0)) AS BIGINT) AS total_patient_reviews
+FROM star GROUP BY condition_name, condition_category"""
+
+
+def _best_in_group_sql() -> str:
+    return f"""
+WITH r AS ({_ranking_sql()})
+SELECT condition_name, drug_name, overall_score, overall_rank, total_reviews, average_price
+FROM r WHERE overall_rank <= 5"""
+
+
+def _best_value_in_tier_sql() -> str:
+    return f"""
+WITH v AS ({_value_sql()}),
+k AS (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY price_tier ORDER BY value_score DESC
+        NULLS LAST, drug_name ASC NULLS FIRST, drug_type ASC NULLS FIRST) AS INTEGER) AS value_rank
+      FROM v)
+SELECT price_tier, value_rank, drug_name, drug_type, average_price, avg_effectiveness, value_score
+FROM k WHERE value_rank <= 10"""
+
+
+def _leaderboard_sql() -> str:
+    return f"""
+WITH s AS ({_summary_sql()})
+SELECT condition_name, total_drugs_available, rx_drugs_count, otc_drugs_count,
+       best_drug_by_effectiveness, avg_price, total_patient_reviews
+FROM s"""
+
+
 # --- Spark queries ----------------------------------------------------------------
 
 def q_ranking_mart(spark: SparkSession, d: str) -> DataFrame:
     return marts.ranking(analogs.review_star(spark, d), analogs.analog_mart_spec())
 
 
+def q_value_mart(spark: SparkSession, d: str) -> DataFrame:
+    return marts.value(analogs.review_star(spark, d), analogs.analog_mart_spec())
+
+
+def q_summary_mart(spark: SparkSession, d: str) -> DataFrame:
+    return marts.summary(analogs.review_star(spark, d), analogs.analog_mart_spec())
+
+
+def q_best_in_group(spark: SparkSession, d: str) -> DataFrame:
+    return marts.best_in_group(q_ranking_mart(spark, d), n=5)
+
+
+def q_best_value_in_tier(spark: SparkSession, d: str) -> DataFrame:
+    return marts.best_value_in_tier(q_value_mart(spark, d), n=10)
+
+
+def q_group_leaderboard(spark: SparkSession, d: str) -> DataFrame:
+    return marts.group_leaderboard(q_summary_mart(spark, d))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the ranking mart (star join, aggregate, weighted score, dense ranks)."""
     return q_ranking_mart(spark, SF_SMOKE)
@@ -72,10 +172,20 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "ranking_mart": q_ranking_mart,
+        "best_in_group": q_best_in_group,
+        "value_mart": q_value_mart,
+        "best_value_in_tier": q_best_value_in_tier,
+        "summary_mart": q_summary_mart,
+        "group_leaderboard": q_group_leaderboard,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "ranking_mart": _ranking_sql(),
+        "best_in_group": _best_in_group_sql(),
+        "value_mart": _value_sql(),
+        "best_value_in_tier": _best_value_in_tier_sql(),
+        "summary_mart": _summary_sql(),
+        "group_leaderboard": _leaderboard_sql(),
     }
