@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.operators import scd2
 from strata.plans import analogs, marts
 
 SF_SMOKE = "/root/testdata/sf0.001"
@@ -138,6 +139,78 @@ SELECT condition_name, total_drugs_available, rx_drugs_count, otc_drugs_count,
 FROM s"""
 
 
+_ITEM_COLS = ["item_key", "item_name", "item_type", "item_form", "average_price"]
+_SCD_SPEC = scd2.Scd2Spec(keys=analogs.ITEM_SCD2_KEYS, tracked=analogs.ITEM_SCD2_TRACKED)
+_AS_OF_PROBE = "1998-06-30"
+
+
+def _scd2_merge_step(hist: str, snap: str, as_of) -> str:
+    """One SCD2 load in SQL: the five-branch form of the original."""
+    cols = ", ".join(_ITEM_COLS)
+    changed = " OR ".join(f"s.{c} IS DISTINCT FROM c.{c}" for c in analogs.ITEM_SCD2_TRACKED)
+    hcols = ", ".join(f"c.{c}" for c in _ITEM_COLS)
+    scols = ", ".join(f"s.{c}" for c in _ITEM_COLS)
+    return f"""
+  SELECT {cols}, effective_date, end_date, is_current FROM {hist}
+  WHERE NOT COALESCE(is_current, FALSE)
+  UNION ALL
+  SELECT {hcols}, c.effective_date, c.end_date, c.is_current FROM {hist} c
+  WHERE COALESCE(c.is_current, FALSE) AND NOT EXISTS (
+        SELECT 1 FROM {snap} s WHERE s.item_key = c.item_key AND ({changed}))
+  UNION ALL
+  SELECT {hcols}, c.effective_date, DATE '{as_of}' AS end_date, FALSE AS is_current
+  FROM {hist} c JOIN {snap} s ON s.item_key = c.item_key
+  WHERE COALESCE(c.is_current, FALSE) AND ({changed})
+  UNION ALL
+  SELECT {scols}, DATE '{as_of}' AS effective_date, CAST(NULL AS DATE) AS end_date,
+         TRUE AS is_current
+  FROM {snap} s LEFT JOIN (SELECT * FROM {hist} WHERE COALESCE(is_current, FALSE)) c
+       ON s.item_key = c.item_key
+  WHERE c.item_key IS NULL OR ({changed})"""
+
+
+def _scd2_history_sql() -> str:
+    y0, y1, y2 = analogs.LOAD_YEARS
+    cols = ", ".join(_ITEM_COLS)
+    return f"""
+WITH s0 AS ({analogs.item_snapshot_sql(y0)}),
+s1 AS ({analogs.item_snapshot_sql(y1)}),
+s2 AS ({analogs.item_snapshot_sql(y2)}),
+h0 AS (SELECT {cols}, DATE '{analogs.load_date(y0)}' AS effective_date,
+              CAST(NULL AS DATE) AS end_date, TRUE AS is_current FROM s0),
+h1 AS ({_scd2_merge_step('h0', 's1', analogs.load_date(y1))}),
+h2 AS ({_scd2_merge_step('h1', 's2', analogs.load_date(y2))})"""
+
+
+def _scd2_sqls() -> dict[str, str]:
+    y0, _, y2 = analogs.LOAD_YEARS
+    cols = ", ".join(_ITEM_COLS)
+    h = _scd2_history_sql()
+    return {
+        "scd2_initial": f"""
+SELECT {cols}, DATE '{analogs.load_date(y0)}' AS effective_date,
+       CAST(NULL AS DATE) AS end_date, TRUE AS is_current
+FROM ({analogs.item_snapshot_sql(y0)})""",
+        "scd2_merge": f"{h}\nSELECT * FROM h2",
+        "scd2_versions": f"""{h},
+v AS (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY item_key ORDER BY effective_date DESC
+              NULLS LAST, end_date DESC NULLS FIRST, COALESCE(is_current, FALSE) DESC)
+              AS INTEGER) AS version_number,
+             COUNT(*) OVER (PARTITION BY item_key) AS version_count FROM h2)
+SELECT * FROM v WHERE version_count >= 2""",
+        "scd2_health": f"""{h}
+SELECT COUNT(*) AS total_records,
+       COUNT(*) FILTER (WHERE COALESCE(is_current, FALSE)) AS current_records,
+       COUNT(DISTINCT item_key) AS unique_keys
+FROM h2""",
+        "scd2_as_of": f"""{h}
+SELECT * FROM h2 WHERE effective_date <= DATE '{_AS_OF_PROBE}'
+  AND (end_date IS NULL OR end_date > DATE '{_AS_OF_PROBE}')""",
+        "scd2_closed": f"{h}\nSELECT * FROM h2 WHERE NOT COALESCE(is_current, FALSE)",
+        "scd2_off": analogs.item_snapshot_sql(y2),
+    }
+
+
 # --- Spark queries ----------------------------------------------------------------
 
 def q_ranking_mart(spark: SparkSession, d: str) -> DataFrame:
@@ -164,6 +237,51 @@ def q_group_leaderboard(spark: SparkSession, d: str) -> DataFrame:
     return marts.group_leaderboard(q_summary_mart(spark, d))
 
 
+def _item_history(spark: SparkSession, d: str) -> DataFrame:
+    """Three yearly loads: first load, then two merges. Each load's result is
+    checkpointed, as a pipeline writes it, so the next load reads it once."""
+    y0, y1, y2 = analogs.LOAD_YEARS
+    h = scd2.apply(None, analogs.item_snapshot(spark, d, y0), _SCD_SPEC, analogs.load_date(y0))
+    for y in (y1, y2):
+        h = scd2.merge(h.checkpoint(), analogs.item_snapshot(spark, d, y), _SCD_SPEC,
+                       analogs.load_date(y))
+    return h
+
+
+def q_scd2_initial(spark: SparkSession, d: str) -> DataFrame:
+    y0 = analogs.LOAD_YEARS[0]
+    return scd2.apply(None, analogs.item_snapshot(spark, d, y0), _SCD_SPEC, analogs.load_date(y0))
+
+
+def q_scd2_merge(spark: SparkSession, d: str) -> DataFrame:
+    return _item_history(spark, d)
+
+
+def q_scd2_versions(spark: SparkSession, d: str) -> DataFrame:
+    return scd2.versions(_item_history(spark, d), _SCD_SPEC, min_versions=2)
+
+
+def q_scd2_health(spark: SparkSession, d: str) -> DataFrame:
+    return scd2.health(_item_history(spark, d), _SCD_SPEC)
+
+
+def q_scd2_as_of(spark: SparkSession, d: str) -> DataFrame:
+    from datetime import date
+    return scd2.as_of_view(_item_history(spark, d), _SCD_SPEC, date.fromisoformat(_AS_OF_PROBE))
+
+
+def q_scd2_closed(spark: SparkSession, d: str) -> DataFrame:
+    return scd2.closed_versions(_item_history(spark, d), _SCD_SPEC)
+
+
+def q_scd2_off(spark: SparkSession, d: str) -> DataFrame:
+    """SCD2 disabled for the table: the load is a plain replace by the snapshot."""
+    y0, y1, y2 = analogs.LOAD_YEARS
+    prev = scd2.apply(None, analogs.item_snapshot(spark, d, y1), _SCD_SPEC, analogs.load_date(y1))
+    return scd2.apply(prev, analogs.item_snapshot(spark, d, y2), _SCD_SPEC,
+                      analogs.load_date(y2), enabled=False)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the ranking mart (star join, aggregate, weighted score, dense ranks)."""
     return q_ranking_mart(spark, SF_SMOKE)
@@ -177,6 +295,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "best_value_in_tier": q_best_value_in_tier,
         "summary_mart": q_summary_mart,
         "group_leaderboard": q_group_leaderboard,
+        "scd2_initial": q_scd2_initial,
+        "scd2_merge": q_scd2_merge,
+        "scd2_versions": q_scd2_versions,
+        "scd2_health": q_scd2_health,
+        "scd2_as_of": q_scd2_as_of,
+        "scd2_closed": q_scd2_closed,
+        "scd2_off": q_scd2_off,
     }
 
 
@@ -188,4 +313,5 @@ def oracle_sql() -> dict[str, str]:
         "best_value_in_tier": _best_value_in_tier_sql(),
         "summary_mart": _summary_sql(),
         "group_leaderboard": _leaderboard_sql(),
+        **_scd2_sqls(),
     }

@@ -96,3 +96,50 @@ def analog_mart_spec(**kw):
 
 def year_bounds(year: int) -> tuple[date, date]:
     return date(year, 1, 1), date(year + 1, 1, 1)
+
+
+# --- item dimension snapshots for the SCD2 queries ----------------------------------
+# One snapshot per yearly load: the items shipped that year with their
+# attributes as the feed shows them (type = highest return flag seen, price =
+# mean billed price of finished lines, null when none). Year-to-year the
+# attributes change, items appear and items vanish, as a re-aggregated feed does.
+
+ITEM_SCD2_KEYS = ("item_key",)
+ITEM_SCD2_TRACKED = ("average_price", "item_type", "item_form")
+
+
+def _ts(d: date) -> F.Column:
+    return F.lit(d.isoformat() + " 00:00:00").cast("timestamp_ntz")
+
+
+def item_snapshot(spark: SparkSession, sf_dir: str, year: int) -> DataFrame:
+    from ..functions.scoring import exact_avg
+    lo, hi = year_bounds(year)
+    li = (table(spark, sf_dir, "lineitem")
+          .filter((F.col("l_shipdate") >= _ts(lo)) & (F.col("l_shipdate") < _ts(hi))))
+    finished = F.when(F.col("l_linestatus") == "F", F.col("l_extendedprice"))
+    per_item = li.groupBy("l_partkey").agg(F.max("l_returnflag").alias("item_type"),
+                                           exact_avg(finished).alias("average_price"))
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
+    return per_item.join(part, per_item.l_partkey == part.p_partkey).select(
+        F.col("p_partkey").alias("item_key"), F.col("p_name").alias("item_name"),
+        F.col("item_type"), F.col("p_type").alias("item_form"), F.col("average_price"))
+
+
+def item_snapshot_sql(year: int) -> str:
+    lo, hi = year_bounds(year)
+    fin = "CASE WHEN l_linestatus = 'F' THEN l_extendedprice END"
+    return f"""
+SELECT p_partkey AS item_key, p_name AS item_name, a.item_type, p_type AS item_form,
+       a.average_price
+FROM (SELECT l_partkey, MAX(l_returnflag) AS item_type,
+             CAST(SUM(CAST({fin} AS DECIMAL(18,2))) AS DOUBLE) / COUNT({fin}) AS average_price
+      FROM lineitem
+      WHERE l_shipdate >= TIMESTAMP '{lo} 00:00:00' AND l_shipdate < TIMESTAMP '{hi} 00:00:00'
+      GROUP BY l_partkey) a
+JOIN part ON a.l_partkey = p_partkey"""
+
+
+def load_date(year: int) -> date:
+    """A yearly load runs on the first day of the next year."""
+    return date(year + 1, 1, 1)
