@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators import scd2
-from strata.plans import analogs, marts
+from strata.functions.keys import with_lineage
+from strata.plans import analogs, marts, star
 
 SF_SMOKE = "/root/testdata/sf0.001"
 
@@ -24,9 +25,16 @@ def _r(x: str, k: int) -> str:
     return f"CAST(ROUND(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18)), {k}) AS DOUBLE)"
 
 
-def _avg(x: str) -> str:
-    """Order-independent average: exact decimal sum, one division."""
-    return f"(CAST(SUM(CAST({x} AS DECIMAL(18,2))) AS DOUBLE) / COUNT({x}))"
+def _avg(x: str, precision: int = 18, scale: int = 2) -> str:
+    """Order-independent average: exact decimal sum, one division.
+
+    Wide decimals go to and from double through text, as Spark converts them
+    (DuckDB's direct wide-decimal casts are not correctly rounded)."""
+    if precision <= 18:
+        return (f"(CAST(SUM(CAST({x} AS DECIMAL({precision},{scale}))) AS DOUBLE)"
+                f" / COUNT({x}))")
+    return (f"(CAST(CAST(SUM(CAST(CAST({x} AS VARCHAR) AS DECIMAL({precision},{scale})))"
+            f" AS VARCHAR) AS DOUBLE) / COUNT({x}))")
 
 
 _PRICE = "COALESCE(price, drug_avg_price)"
@@ -211,6 +219,139 @@ SELECT * FROM h2 WHERE effective_date <= DATE '{_AS_OF_PROBE}'
     }
 
 
+def _initcap(x: str) -> str:
+    """Spark's initcap(trim(x)) in DuckDB (which has no initcap)."""
+    return (f"array_to_string(list_transform(string_split(trim({x}), ' '), "
+            f"lambda w: concat(upper(left(w, 1)), lower(substr(w, 2)))), ' ')")
+
+
+def _label(x: str) -> str:
+    return f"COALESCE(NULLIF(trim(replace({x}, chr(13) || chr(10), '')), ''), 'Unknown')"
+
+
+def _rules_case(x: str, rules, otherwise: str = "Other") -> str:
+    arms = []
+    for cat, words in rules:
+        hit = " OR ".join(f"contains(lower(COALESCE({x}, '')), '{w}')" for w in words)
+        arms.append(f"WHEN {hit} THEN '{cat}'")
+    return f"CASE {' '.join(arms)} ELSE '{otherwise}' END"
+
+
+_RAW_COLS = ["condition", "drug", "indication", "type", "reviews", "effective", "ease_of_use",
+             "satisfaction", "information"]
+_CLEAN_COLS = ["condition", "drug", "ease_of_use", "effective", "form", "indication", "price",
+               "reviews", "satisfaction", "type"]
+
+
+def _bronze_sql(feed_sql: str, cols, source: str) -> str:
+    parts = ", ".join(f"CAST({c} AS VARCHAR)" for c in cols)
+    return f"""SELECT *, TIMESTAMP '{analogs.FEED_RUN_TS}' AS ingestion_timestamp,
+       '{source}' AS source_file, md5(concat_ws('||', {parts})) AS record_id
+FROM ({feed_sql})"""
+
+
+def _silver_ctes() -> str:
+    return f"""
+raw_b AS ({_bronze_sql(analogs.RAW_FEED_SQL, _RAW_COLS, 'raw_feed')}),
+clean_b AS ({_bronze_sql(analogs.CLEAN_FEED_SQL, _CLEAN_COLS, 'clean_feed')}),
+raw_c AS (
+  SELECT *, TRY_CAST(regexp_extract(reviews, '^([0-9]+)', 1) AS INTEGER) AS review_count,
+         {_label('type')} AS drug_type_clean, {_initcap('condition')} AS condition_clean,
+         trim(drug) AS drug_clean, TRY_CAST(effective AS DOUBLE) AS effective_clean,
+         TRY_CAST(ease_of_use AS DOUBLE) AS ease_of_use_clean,
+         TRY_CAST(satisfaction AS DOUBLE) AS satisfaction_clean
+  FROM raw_b),
+clean_c AS (
+  SELECT *, {_label('type')} AS drug_type_clean, {_initcap('condition')} AS condition_clean,
+         trim(drug) AS drug_clean, CAST(trunc(reviews) AS INTEGER) AS review_count
+  FROM clean_b),
+dim_items AS (
+  WITH r AS (SELECT drug_clean, drug_type_clean, MIN(information) AS drug_information
+             FROM raw_c GROUP BY drug_clean, drug_type_clean),
+  c AS (SELECT drug_clean, drug_type_clean, form, {_avg('price')} AS average_price,
+               CAST(SUM(review_count) AS BIGINT) AS total_reviews
+        FROM clean_c GROUP BY drug_clean, drug_type_clean, form),
+  k AS (SELECT md5(COALESCE(r.drug_clean, c.drug_clean)) AS drug_key,
+               COALESCE(r.drug_clean, c.drug_clean) AS drug_name,
+               COALESCE(r.drug_type_clean, c.drug_type_clean, 'Unknown') AS drug_type,
+               COALESCE(c.form, 'Unknown') AS drug_form, c.average_price, r.drug_information,
+               c.total_reviews
+        FROM r FULL OUTER JOIN c ON r.drug_clean = c.drug_clean
+                                AND r.drug_type_clean = c.drug_type_clean),
+  n AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY drug_key ORDER BY total_reviews DESC
+               NULLS LAST, drug_type ASC NULLS FIRST, drug_form ASC NULLS FIRST) AS rn FROM k)
+  SELECT drug_key, drug_name, drug_type, drug_form, average_price, drug_information
+  FROM n WHERE rn = 1),
+dim_groups AS (
+  WITH cc AS (SELECT condition_clean, drug_clean, COALESCE(review_count, 0) AS review_count
+              FROM raw_c
+              UNION ALL
+              SELECT condition_clean, drug_clean, COALESCE(review_count, 0) FROM clean_c),
+  g AS (SELECT condition_clean, COUNT(drug_clean) AS total_drugs_available,
+               CAST(SUM(review_count) AS BIGINT) AS total_reviews_count
+        FROM cc GROUP BY condition_clean)
+  SELECT md5(condition_clean) AS condition_key, condition_clean AS condition_name,
+         {_rules_case('condition_clean', analogs.NAME_RULES)} AS condition_category,
+         'Standard' AS indication_type, total_drugs_available, total_reviews_count,
+         TIMESTAMP '{analogs.FEED_RUN_TS}' AS first_seen_date,
+         TIMESTAMP '{analogs.FEED_RUN_TS}' AS last_updated_date
+  FROM g),
+fact AS (
+  SELECT md5(drug_clean) AS drug_key, md5(condition_clean) AS condition_key,
+         effective_clean AS effectiveness_score, ease_of_use_clean AS ease_of_use_score,
+         satisfaction_clean AS satisfaction_score, review_count,
+         CAST(NULL AS VARCHAR) AS drug_form, drug_type_clean AS drug_type,
+         CAST(NULL AS DOUBLE) AS price, 'raw' AS data_source,
+         ingestion_timestamp AS load_timestamp,
+         md5(concat_ws('||', md5(drug_clean), md5(condition_clean), 'raw')) AS performance_key
+  FROM raw_c
+  UNION ALL
+  SELECT md5(drug_clean), md5(condition_clean), effective, ease_of_use, satisfaction,
+         review_count, form, drug_type_clean, price, 'clean', ingestion_timestamp,
+         md5(concat_ws('||', md5(drug_clean), md5(condition_clean), 'clean'))
+  FROM clean_c)"""
+
+
+_CLEANSED = ["record_id", "review_count", "drug_type_clean", "condition_clean", "drug_clean"]
+
+
+def _silver_sqls() -> dict[str, str]:
+    w = f"WITH {_silver_ctes()}"
+    raw_cols = ", ".join(_CLEANSED + ["effective_clean", "ease_of_use_clean",
+                                      "satisfaction_clean"])
+    clean_cols = ", ".join(_CLEANSED)
+    score = (f"COALESCE(effectiveness_score, 0) * CAST(0.4 AS DOUBLE)"
+             f" + COALESCE(satisfaction_score, 0) * CAST(0.4 AS DOUBLE)"
+             f" + COALESCE(ease_of_use_score, 0) * CAST(0.2 AS DOUBLE)")
+    return {
+        "cleanse_raw": f"{w}\nSELECT {raw_cols} FROM raw_c",
+        "cleanse_clean": f"{w}\nSELECT {clean_cols} FROM clean_c",
+        "dim_two_feeds": f"{w}\nSELECT * FROM dim_items",
+        "dim_keyword": f"{w}\nSELECT * FROM dim_groups",
+        "fact_two_feeds": f"{w}\nSELECT * FROM fact",
+        "silver_ranking_mart": f"""{w},
+star AS (SELECT g.condition_name, d.drug_name, d.drug_type, d.drug_form,
+                d.average_price AS drug_avg_price, f.effectiveness_score, f.ease_of_use_score,
+                f.satisfaction_score, f.review_count, f.price
+         FROM fact f JOIN dim_items d ON f.drug_key = d.drug_key
+         JOIN dim_groups g ON f.condition_key = g.condition_key),
+agg AS (SELECT condition_name, drug_name, drug_type, drug_form,
+               {_avg('effectiveness_score')} AS effectiveness_score,
+               {_avg('ease_of_use_score')} AS ease_of_use_score,
+               {_avg('satisfaction_score')} AS satisfaction_score,
+               CAST(SUM(COALESCE(review_count, 0)) AS BIGINT) AS total_reviews,
+               {_avg(_PRICE, 38, 10)} AS average_price
+        FROM star GROUP BY condition_name, drug_name, drug_type, drug_form),
+scored AS (SELECT *, {_r(score, 2)} AS overall_score FROM agg)
+SELECT condition_name, drug_name, drug_type, drug_form, effectiveness_score,
+       ease_of_use_score, satisfaction_score, overall_score,
+       CAST(DENSE_RANK() OVER (PARTITION BY condition_name
+            ORDER BY overall_score DESC NULLS LAST) AS INTEGER) AS overall_rank,
+       total_reviews, average_price
+FROM scored""",
+    }
+
+
 # --- Spark queries ----------------------------------------------------------------
 
 def q_ranking_mart(spark: SparkSession, d: str) -> DataFrame:
@@ -282,6 +423,50 @@ def q_scd2_off(spark: SparkSession, d: str) -> DataFrame:
                       analogs.load_date(y2), enabled=False)
 
 
+def _silver_inputs(spark: SparkSession, d: str):
+    raw = with_lineage(analogs.raw_feed(spark, d), analogs.FEED_RUN_TS, source_file="raw_feed")
+    clean = with_lineage(analogs.clean_feed(spark, d), analogs.FEED_RUN_TS,
+                         source_file="clean_feed")
+    return star.cleanse_raw(raw), star.cleanse_clean(clean)
+
+
+def q_cleanse_raw(spark: SparkSession, d: str) -> DataFrame:
+    raw_c, _ = _silver_inputs(spark, d)
+    return raw_c.select(*_CLEANSED, "effective_clean", "ease_of_use_clean", "satisfaction_clean")
+
+
+def q_cleanse_clean(spark: SparkSession, d: str) -> DataFrame:
+    _, clean_c = _silver_inputs(spark, d)
+    return clean_c.select(*_CLEANSED)
+
+
+def q_dim_two_feeds(spark: SparkSession, d: str) -> DataFrame:
+    return star.item_dimension(*_silver_inputs(spark, d))
+
+
+def q_dim_keyword(spark: SparkSession, d: str) -> DataFrame:
+    raw_c, clean_c = _silver_inputs(spark, d)
+    return star.group_dimension(raw_c, clean_c, analogs.FEED_RUN_TS, rules=analogs.NAME_RULES)
+
+
+def q_fact_two_feeds(spark: SparkSession, d: str) -> DataFrame:
+    return star.fact(*_silver_inputs(spark, d))
+
+
+def q_silver_ranking_mart(spark: SparkSession, d: str) -> DataFrame:
+    """Gold ranking over the silver star (fact joined to both dimensions).
+
+    Item prices are averages with many decimals, so prices are summed as
+    decimal(38,10); scores carry two decimals."""
+    raw_c, clean_c = _silver_inputs(spark, d)
+    items = star.item_dimension(raw_c, clean_c)
+    groups = star.group_dimension(raw_c, clean_c, analogs.FEED_RUN_TS, rules=analogs.NAME_RULES)
+    view = star.star_view(star.fact(raw_c, clean_c), items, groups)
+    spec = marts.MartSpec(price_scale=10, price_precision=38)
+    r = marts.ranking(view, spec)
+    return r.drop("effectiveness_rank", "satisfaction_rank")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the ranking mart (star join, aggregate, weighted score, dense ranks)."""
     return q_ranking_mart(spark, SF_SMOKE)
@@ -302,6 +487,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "scd2_as_of": q_scd2_as_of,
         "scd2_closed": q_scd2_closed,
         "scd2_off": q_scd2_off,
+        "cleanse_raw": q_cleanse_raw,
+        "cleanse_clean": q_cleanse_clean,
+        "dim_two_feeds": q_dim_two_feeds,
+        "dim_keyword": q_dim_keyword,
+        "fact_two_feeds": q_fact_two_feeds,
+        "silver_ranking_mart": q_silver_ranking_mart,
     }
 
 
@@ -314,4 +505,5 @@ def oracle_sql() -> dict[str, str]:
         "summary_mart": _summary_sql(),
         "group_leaderboard": _leaderboard_sql(),
         **_scd2_sqls(),
+        **_silver_sqls(),
     }

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .cleanse import ColumnOrName, _col
+from .timestamps import ts_lit
 
 # Fixed value: separator of composite keys and record ids.
 KEY_SEPARATOR = "||"
@@ -57,7 +58,7 @@ def with_lineage(df: DataFrame, run_ts: datetime, source_file: Column | str | No
         file_expr = source_file
     return df.select(
         *[F.col(c) for c in src],
-        F.lit(run_ts).cast("timestamp").alias(ts_col),
+        ts_lit(run_ts).alias(ts_col),
         file_expr.alias(file_col),
         record_id(src, id_style).alias(id_col),
     )

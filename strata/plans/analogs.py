@@ -143,3 +143,90 @@ JOIN part ON a.l_partkey = p_partkey"""
 def load_date(year: int) -> date:
     """A yearly load runs on the first day of the next year."""
     return date(year + 1, 1, 1)
+
+
+# --- two review feeds for the silver layer -------------------------------------------
+# Finished lines feed the text-only "raw" feed, open lines the typed "clean"
+# feed, with the padding, letter case and missing labels real feeds carry.
+
+FEED_RUN_TS = "2024-02-01 00:00:00"
+
+
+def _feed_base(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
+    li = (table(spark, sf_dir, "lineitem").filter(F.col("l_linestatus") == status)
+          .select("l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_quantity",
+                  "l_discount", "l_tax", "l_extendedprice"))
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus",
+                                                   "o_orderpriority")
+    return (li.join(part, li.l_partkey == part.p_partkey)
+            .join(orders, li.l_orderkey == orders.o_orderkey))
+
+
+def _type_label(blank_when: F.Column, padded: bool) -> F.Column:
+    f = F.col("l_returnflag")
+    return (F.when(blank_when, F.lit(None))
+            .when(f == "A", F.lit("RX"))
+            .when(f == "N", F.lit(" OTC " if padded else "OTC"))
+            .otherwise(F.lit("RX/OTC")))
+
+
+def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = F.col("l_returnflag")
+    b = _feed_base(spark, sf_dir, "F")
+    return b.select(
+        F.when(f == "A", F.upper("p_name")).when(f == "N", F.concat(F.lit("  "), "p_name",
+                                                                    F.lit(" ")))
+        .otherwise(F.col("p_name")).alias("condition"),
+        F.when(f == "R", F.concat(F.lit(" "), "p_brand")).otherwise(F.col("p_brand"))
+        .alias("drug"),
+        F.col("o_orderstatus").alias("indication"),
+        _type_label(F.col("l_discount") == 0, padded=True).alias("type"),
+        F.col("o_orderpriority").alias("reviews"),
+        F.col("l_quantity").cast("string").alias("effective"),
+        F.col("l_discount").cast("string").alias("ease_of_use"),
+        F.col("l_tax").cast("string").alias("satisfaction"),
+        F.col("p_type").alias("information"),
+    )
+
+
+def clean_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = F.col("l_returnflag")
+    b = _feed_base(spark, sf_dir, "O")
+    return b.select(
+        F.when(f == "R", F.lower("p_name")).otherwise(F.col("p_name")).alias("condition"),
+        F.col("p_brand").alias("drug"),
+        F.col("l_discount").alias("ease_of_use"),
+        F.col("l_quantity").alias("effective"),
+        F.col("p_type").alias("form"),
+        F.col("o_orderstatus").alias("indication"),
+        F.col("l_extendedprice").alias("price"),
+        F.col("l_linenumber").cast("double").alias("reviews"),
+        F.col("l_tax").alias("satisfaction"),
+        _type_label(F.col("l_tax") == 0, padded=False).alias("type"),
+    )
+
+
+_FEED_FROM = """FROM lineitem JOIN part ON l_partkey = p_partkey
+JOIN orders ON l_orderkey = o_orderkey"""
+
+RAW_FEED_SQL = f"""
+SELECT CASE WHEN l_returnflag = 'A' THEN upper(p_name)
+            WHEN l_returnflag = 'N' THEN concat('  ', p_name, ' ') ELSE p_name END AS condition,
+       CASE WHEN l_returnflag = 'R' THEN concat(' ', p_brand) ELSE p_brand END AS drug,
+       o_orderstatus AS indication,
+       CASE WHEN l_discount = 0 THEN NULL WHEN l_returnflag = 'A' THEN 'RX'
+            WHEN l_returnflag = 'N' THEN ' OTC ' ELSE 'RX/OTC' END AS type,
+       o_orderpriority AS reviews,
+       CAST(l_quantity AS VARCHAR) AS effective, CAST(l_discount AS VARCHAR) AS ease_of_use,
+       CAST(l_tax AS VARCHAR) AS satisfaction, p_type AS information
+{_FEED_FROM} WHERE l_linestatus = 'F'"""
+
+CLEAN_FEED_SQL = f"""
+SELECT CASE WHEN l_returnflag = 'R' THEN lower(p_name) ELSE p_name END AS condition,
+       p_brand AS drug, l_discount AS ease_of_use, l_quantity AS effective, p_type AS form,
+       o_orderstatus AS indication, l_extendedprice AS price,
+       CAST(l_linenumber AS DOUBLE) AS reviews, l_tax AS satisfaction,
+       CASE WHEN l_tax = 0 THEN NULL WHEN l_returnflag = 'A' THEN 'RX'
+            WHEN l_returnflag = 'N' THEN 'OTC' ELSE 'RX/OTC' END AS type
+{_FEED_FROM} WHERE l_linestatus = 'O'"""

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from ..functions.scoring import (REFERENCE_PRICE_TIER_TOP, REFERENCE_PRICE_TIERS,
                                  REFERENCE_SCORE_WEIGHTS, exact_avg, guarded_ratio, tier,
                                  weighted_score)
+from ..functions.timestamps import ts_lit
 from ..operators.rank import best, dense_ranks, top_n, with_percentiles
 
 STAR_COLUMNS = [
@@ -61,6 +62,9 @@ class MartSpec:
                                                        REFERENCE_FORM_GROUPS.items()})
     # Decimal scale for order-independent averages (None = plain double avg).
     avg_scale: int | None = 2
+    # Prices may be item averages with many decimals: a wider exact sum.
+    price_scale: int | None = 2
+    price_precision: int = 18
     run_ts: datetime | None = None  # when set, marts carry ``last_updated``
 
 
@@ -68,6 +72,10 @@ def _avg(c: Column | str, spec: MartSpec) -> Column:
     return exact_avg(c, spec.avg_scale)
 
 
+def _avg_price(spec: MartSpec) -> Column:
+    return exact_avg(_price(), spec.price_scale, spec.price_precision)
+
+
 def _price() -> Column:
     """Fact price, else the item's average price."""
     return F.coalesce(F.col("price"), F.col("drug_avg_price"))
@@ -80,7 +88,7 @@ def _reviews() -> Column:
 def _stamp(df: DataFrame, spec: MartSpec) -> DataFrame:
     if spec.run_ts is None:
         return df
-    return df.withColumn("last_updated", F.lit(spec.run_ts).cast("timestamp"))
+    return df.withColumn("last_updated", ts_lit(spec.run_ts))
 
 
 def ranking(star: DataFrame, spec: MartSpec = MartSpec()) -> DataFrame:
@@ -90,7 +98,7 @@ def ranking(star: DataFrame, spec: MartSpec = MartSpec()) -> DataFrame:
                 _avg("ease_of_use_score", spec).alias("ease_of_use_score"),
                 _avg("satisfaction_score", spec).alias("satisfaction_score"),
                 _reviews().alias("total_reviews"),
-                _avg(_price(), spec).alias("average_price"))
+                _avg_price(spec).alias("average_price"))
            .withColumn("overall_score",
                        weighted_score(spec.weights, spec.score_scale, spec.reweight_missing)))
     ranked = dense_ranks(agg, ["condition_name"], {
@@ -115,7 +123,7 @@ def value(star: DataFrame, spec: MartSpec = MartSpec(), partitions: int | None =
            .agg(_avg("effectiveness_score", spec).alias("avg_effectiveness"),
                 _avg("ease_of_use_score", spec).alias("avg_ease_of_use"),
                 _avg("satisfaction_score", spec).alias("avg_satisfaction"),
-                _avg(_price(), spec).alias("average_price"),
+                _avg_price(spec).alias("average_price"),
                 _reviews().alias("total_reviews"),
                 F.count("condition_name").alias("conditions_treated"))
            .filter(F.col("average_price").isNotNull())
@@ -148,7 +156,7 @@ def summary(star: DataFrame, spec: MartSpec = MartSpec()) -> DataFrame:
                 best("drug_name", "effectiveness_score").alias("best_drug_by_effectiveness"),
                 F.min(_price()).alias("min_price"),
                 F.max(_price()).alias("max_price"),
-                _avg(_price(), spec).alias("avg_price"),
+                _avg_price(spec).alias("avg_price"),
                 _reviews().alias("total_patient_reviews")))
     cols = ["condition_name", "condition_category", "total_drugs_available", "rx_drugs_count",
             "otc_drugs_count", *spec.form_groups.keys(), "avg_effectiveness",
