@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.operators import scd2
+from strata.operators import quality, scd2
 from strata.functions.keys import with_lineage
 from strata.plans import analogs, marts, star
 
@@ -352,6 +352,47 @@ FROM scored""",
     }
 
 
+def _event_sqls() -> dict[str, str]:
+    rules = analogs.EVENT_RULES_SQL
+    failed = {n: f"NOT COALESCE({p}, FALSE)" for n, p in rules.items()}
+    names = ", ".join(f"CASE WHEN {f} THEN '{n}' END" for n, f in failed.items())
+    any_failed = " OR ".join(failed.values())
+    per_rule = ",\n       ".join(f"COUNT(*) FILTER (WHERE {f}) AS failed_{n}"
+                                 for n, f in failed.items())
+    cut, (run1, run2) = analogs.FIRST_SEEN_CUTOFF, analogs.FIRST_SEEN_RUNS
+    act = """SELECT user_id, event_type, COUNT(*) AS events,
+                    CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
+             FROM events {w} GROUP BY user_id, event_type"""
+    cols = ", ".join(f"CAST(c_{c} AS VARCHAR)" for c in
+                     ("custkey", "name", "nationkey", "acctbal", "mktsegment"))
+    return {
+        "quality_split": f"""
+SELECT *, CASE WHEN {any_failed} THEN 'quarantine' ELSE 'valid' END AS side,
+       concat_ws(',', {names}) AS failed_rules
+FROM events""",
+        "rule_counts": f"""
+SELECT COUNT(*) AS rows,
+       {per_rule},
+       COUNT(*) FILTER (WHERE {any_failed}) AS quarantined_rows,
+       COUNT(*) FILTER (WHERE NOT ({any_failed})) AS valid_rows
+FROM events""",
+        "first_seen": f"""
+WITH l1 AS ({act.format(w=f"WHERE ts < TIMESTAMP '{cut}'")}),
+l2 AS ({act.format(w="")})
+SELECT l2.*, LEAST(COALESCE(l1x.first_seen_date, TIMESTAMP '{run2}'), TIMESTAMP '{run2}')
+             AS first_seen_date,
+       TIMESTAMP '{run2}' AS last_updated_date
+FROM l2 LEFT JOIN (SELECT user_id, event_type, TIMESTAMP '{run1}' AS first_seen_date FROM l1) l1x
+  ON l2.user_id = l1x.user_id AND l2.event_type = l1x.event_type""",
+        "record_ids": f"""
+SELECT *, TIMESTAMP '{analogs.FEED_RUN_TS}' AS ingestion_timestamp,
+       'customer' AS source_file,
+       md5(concat_ws('||', {cols})) AS record_id,
+       md5(to_json([{cols}])) AS row_hash
+FROM customer""",
+    }
+
+
 # --- Spark queries ----------------------------------------------------------------
 
 def q_ranking_mart(spark: SparkSession, d: str) -> DataFrame:
@@ -467,6 +508,40 @@ def q_silver_ranking_mart(spark: SparkSession, d: str) -> DataFrame:
     return r.drop("effectiveness_rank", "satisfaction_rank")
 
 
+def q_quality_split(spark: SparkSession, d: str) -> DataFrame:
+    """Valid rows and quarantined rows side by side (they partition the input)."""
+    from pyspark.sql import functions as F
+    valid, bad = quality.split(analogs.table(spark, d, "events"), analogs.event_rules())
+    return (valid.withColumn("side", F.lit("valid")).withColumn("failed_rules", F.lit(""))
+            .unionByName(bad.withColumn("side", F.lit("quarantine"))
+                         .withColumn("failed_rules", F.concat_ws(",", "failed_rules"))))
+
+
+def q_rule_counts(spark: SparkSession, d: str) -> DataFrame:
+    return quality.counts(analogs.table(spark, d, "events"), analogs.event_rules())
+
+
+def q_first_seen(spark: SparkSession, d: str) -> DataFrame:
+    """Two loads of a (user, event type) dimension; load 2 keeps load 1's first-seen time."""
+    from pyspark.sql import functions as F
+    ev = analogs.table(spark, d, "events")
+    run1, run2 = analogs.FIRST_SEEN_RUNS
+    cut = F.lit(analogs.FIRST_SEEN_CUTOFF).cast("timestamp_ntz")
+    keys = ["user_id", "event_type"]
+    load1 = star.carry_first_seen(analogs.event_activity(ev.filter(F.col("ts") < cut)), None,
+                                  keys, run1)
+    return star.carry_first_seen(analogs.event_activity(ev), load1, keys, run2)
+
+
+def q_record_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Lineage columns on a table: run time, source, content hash (both styles)."""
+    from strata.functions.keys import record_id
+    cust = analogs.table(spark, d, "customer")
+    src = list(cust.columns)
+    return (with_lineage(cust, analogs.FEED_RUN_TS, source_file="customer")
+            .withColumn("row_hash", record_id(src, style="unambiguous")))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the ranking mart (star join, aggregate, weighted score, dense ranks)."""
     return q_ranking_mart(spark, SF_SMOKE)
@@ -493,6 +568,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dim_keyword": q_dim_keyword,
         "fact_two_feeds": q_fact_two_feeds,
         "silver_ranking_mart": q_silver_ranking_mart,
+        "quality_split": q_quality_split,
+        "rule_counts": q_rule_counts,
+        "first_seen": q_first_seen,
+        "record_ids": q_record_ids,
     }
 
 
@@ -506,4 +585,5 @@ def oracle_sql() -> dict[str, str]:
         "group_leaderboard": _leaderboard_sql(),
         **_scd2_sqls(),
         **_silver_sqls(),
+        **_event_sqls(),
     }

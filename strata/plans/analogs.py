@@ -230,3 +230,26 @@ SELECT CASE WHEN l_returnflag = 'R' THEN lower(p_name) ELSE p_name END AS condit
        CASE WHEN l_tax = 0 THEN NULL WHEN l_returnflag = 'A' THEN 'RX'
             WHEN l_returnflag = 'N' THEN 'OTC' ELSE 'RX/OTC' END AS type
 {_FEED_FROM} WHERE l_linestatus = 'O'"""
+
+
+# --- event feed: quality rules and first-seen carry ------------------------------------
+# Fixed values of the analog: the rules (name -> SQL predicate, TRUE = good row)
+# and the two loads of the first-seen dimension (cut-off, run time).
+EVENT_RULES_SQL = {
+    "value_at_least_1": "value >= 1",
+    "not_error": "event_type <> 'error'",
+    "props_has_key": "props LIKE '%\"k\"%'",
+}
+FIRST_SEEN_CUTOFF = "2024-01-08 00:00:00"
+FIRST_SEEN_RUNS = ("2024-01-08 00:00:00", "2024-02-01 00:00:00")
+
+
+def event_rules() -> dict:
+    return {n: F.expr(p) for n, p in EVENT_RULES_SQL.items()}
+
+
+def event_activity(events: DataFrame) -> DataFrame:
+    """Per (user, event type): number of events and total value (exact sum)."""
+    return (events.groupBy("user_id", "event_type")
+            .agg(F.count(F.lit(1)).alias("events"),
+                 F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total_value")))
