@@ -6,9 +6,11 @@ The star view has one row per fact with these roles (names are the contract
 (``effectiveness_score``, ``ease_of_use_score``, ``satisfaction_score``),
 ``review_count`` and ``price``.
 
-Every mart aggregates first (partial aggregation map-side, one hash exchange on
-the group keys), then ranks the aggregated rows: the windows see one row per
-(group, item), never the raw facts.
+Every mart derives from ``base``: ONE partial aggregate of the star at the
+finest grain (group, item, type, form) whose parts all compose (exact decimal
+sums, counts, min, max, an ordering struct for the best item). The star, which
+is fact-sized, is therefore joined and shuffled once for all three marts; the
+windows see one row per (group, item), never the raw facts.
 """
 
 from __future__ import annotations
@@ -21,10 +23,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scoring import (REFERENCE_PRICE_TIER_TOP, REFERENCE_PRICE_TIERS,
-                                 REFERENCE_SCORE_WEIGHTS, exact_avg, guarded_ratio, tier,
-                                 weighted_score)
+                                 REFERENCE_SCORE_WEIGHTS, guarded_ratio, tier, weighted_score)
 from ..functions.timestamps import ts_lit
-from ..operators.rank import best, dense_ranks, top_n, with_percentiles
+from ..operators.rank import dense_ranks, top_n, with_percentiles
 
 STAR_COLUMNS = [
     "condition_name", "condition_category", "drug_name", "drug_type", "drug_form",
@@ -68,12 +69,8 @@ class MartSpec:
     run_ts: datetime | None = None  # when set, marts carry ``last_updated``
 
 
-def _avg(c: Column | str, spec: MartSpec) -> Column:
-    return exact_avg(c, spec.avg_scale)
-
-
-def _avg_price(spec: MartSpec) -> Column:
-    return exact_avg(_price(), spec.price_scale, spec.price_precision)
+_GRAIN = ["condition_name", "condition_category", "drug_name", "drug_type", "drug_form"]
+_MEASURES = {"e": "effectiveness_score", "u": "ease_of_use_score", "s": "satisfaction_score"}
 
 
 def _price() -> Column:
@@ -81,8 +78,41 @@ def _price() -> Column:
     return F.coalesce(F.col("price"), F.col("drug_avg_price"))
 
 
-def _reviews() -> Column:
-    return F.sum(F.coalesce(F.col("review_count"), F.lit(0)))
+def _sum_part(c: Column, scale: int | None, precision: int) -> Column:
+    return F.sum(c if scale is None else c.cast(f"decimal({precision},{scale})"))
+
+
+def _mean(prefix: str) -> Column:
+    """Finish an average from composable parts: one division in double."""
+    return F.sum(f"{prefix}_sum").cast("double") / F.sum(f"{prefix}_cnt")
+
+
+def base(star: DataFrame, spec: MartSpec = MartSpec()) -> DataFrame:
+    """Finest-grain partial aggregate of the star, from which all three marts derive.
+
+    One row per (group, category, item, type, form) with exact decimal sums
+    and counts, min/max price, review total, row counts and the best-row
+    struct. Every part composes (sums of sums, min of mins), so the marts
+    re-aggregate this small table instead of scanning and shuffling the star
+    three times. Map-side partial aggregation bounds what a hot group ships.
+    """
+    parts = []
+    for k, c in _MEASURES.items():
+        parts += [_sum_part(F.col(c), spec.avg_scale, 18).alias(f"{k}_sum"),
+                  F.count(c).alias(f"{k}_cnt")]
+    e = F.col("effectiveness_score")
+    best_key = F.struct(e.isNull().alias("m_null"), (-e).alias("m"),
+                        F.col("drug_name").alias("i"))
+    return (star.groupBy(*_GRAIN)
+            .agg(*parts,
+                 _sum_part(_price(), spec.price_scale, spec.price_precision).alias("p_sum"),
+                 F.count(_price()).alias("p_cnt"),
+                 F.min(_price()).alias("p_min"), F.max(_price()).alias("p_max"),
+                 F.sum(F.coalesce(F.col("review_count"), F.lit(0))).alias("reviews"),
+                 F.count("drug_name").alias("n_item"),
+                 F.count("condition_name").alias("n_group"),
+                 F.count(F.lit(1)).alias("n_rows"),
+                 F.min(best_key).alias("best")))
 
 
 def _stamp(df: DataFrame, spec: MartSpec) -> DataFrame:
@@ -91,14 +121,15 @@ def _stamp(df: DataFrame, spec: MartSpec) -> DataFrame:
     return df.withColumn("last_updated", ts_lit(spec.run_ts))
 
 
-def ranking(star: DataFrame, spec: MartSpec = MartSpec()) -> DataFrame:
+def ranking(star: DataFrame, spec: MartSpec = MartSpec(), from_base: bool = False) -> DataFrame:
     """Per (group, item, type, form): mean scores, weighted score and three dense ranks."""
-    agg = (star.groupBy("condition_name", "drug_name", "drug_type", "drug_form")
-           .agg(_avg("effectiveness_score", spec).alias("effectiveness_score"),
-                _avg("ease_of_use_score", spec).alias("ease_of_use_score"),
-                _avg("satisfaction_score", spec).alias("satisfaction_score"),
-                _reviews().alias("total_reviews"),
-                _avg_price(spec).alias("average_price"))
+    b = star if from_base else base(star, spec)
+    agg = (b.groupBy("condition_name", "drug_name", "drug_type", "drug_form")
+           .agg(_mean("e").alias("effectiveness_score"),
+                _mean("u").alias("ease_of_use_score"),
+                _mean("s").alias("satisfaction_score"),
+                F.sum("reviews").alias("total_reviews"),
+                _mean("p").alias("average_price"))
            .withColumn("overall_score",
                        weighted_score(spec.weights, spec.score_scale, spec.reweight_missing)))
     ranked = dense_ranks(agg, ["condition_name"], {
@@ -113,19 +144,21 @@ def ranking(star: DataFrame, spec: MartSpec = MartSpec()) -> DataFrame:
     return _stamp(ranked.select(*cols), spec)
 
 
-def value(star: DataFrame, spec: MartSpec = MartSpec(), partitions: int | None = None) -> DataFrame:
+def value(star: DataFrame, spec: MartSpec = MartSpec(), partitions: int | None = None,
+          from_base: bool = False) -> DataFrame:
     """Per (item, type): means, price tier, value score and two whole-table percentiles.
 
     Percentiles come from ``global_position`` (no single-partition window); ties
     are broken by item then type so reruns agree.
     """
-    agg = (star.groupBy("drug_name", "drug_type")
-           .agg(_avg("effectiveness_score", spec).alias("avg_effectiveness"),
-                _avg("ease_of_use_score", spec).alias("avg_ease_of_use"),
-                _avg("satisfaction_score", spec).alias("avg_satisfaction"),
-                _avg_price(spec).alias("average_price"),
-                _reviews().alias("total_reviews"),
-                F.count("condition_name").alias("conditions_treated"))
+    b = star if from_base else base(star, spec)
+    agg = (b.groupBy("drug_name", "drug_type")
+           .agg(_mean("e").alias("avg_effectiveness"),
+                _mean("u").alias("avg_ease_of_use"),
+                _mean("s").alias("avg_satisfaction"),
+                _mean("p").alias("average_price"),
+                F.sum("reviews").alias("total_reviews"),
+                F.sum("n_group").alias("conditions_treated"))
            .filter(F.col("average_price").isNotNull())
            .withColumn("price_tier", tier("average_price", list(spec.price_tiers),
                                           spec.price_tier_top))
@@ -142,22 +175,32 @@ def value(star: DataFrame, spec: MartSpec = MartSpec(), partitions: int | None =
     return _stamp(out.select(*cols), spec)
 
 
-def summary(star: DataFrame, spec: MartSpec = MartSpec()) -> DataFrame:
-    """Per group: conditional counts, means, price range and the best item, in ONE aggregate."""
-    t, f = F.col("drug_type"), F.col("drug_form")
-    forms = [F.count_if(f.isin(list(v))).alias(k) for k, v in spec.form_groups.items()]
-    out = (star.groupBy("condition_name", "condition_category")
-           .agg(F.count("drug_name").alias("total_drugs_available"),
-                F.count_if(t.isin(list(spec.rx_types))).alias("rx_drugs_count"),
-                F.count_if(t.isin(list(spec.otc_types))).alias("otc_drugs_count"),
+def summary(star: DataFrame, spec: MartSpec = MartSpec(), from_base: bool = False) -> DataFrame:
+    """Per group: conditional counts, means, price range and the best item, in ONE aggregate.
+
+    The best item is the row with the highest effectiveness (nulls last, ties
+    by item name), taken as the minimum of an ordering struct: an aggregate,
+    so no window and no join back.
+    """
+    b = star if from_base else base(star, spec)
+    t, f, n = F.col("drug_type"), F.col("drug_form"), F.col("n_rows")
+
+    def rows_where(pred: Column) -> Column:
+        return F.sum(F.when(pred, n).otherwise(F.lit(0)))
+
+    forms = [rows_where(f.isin(list(v))).alias(k) for k, v in spec.form_groups.items()]
+    out = (b.groupBy("condition_name", "condition_category")
+           .agg(F.sum("n_item").alias("total_drugs_available"),
+                rows_where(t.isin(list(spec.rx_types))).alias("rx_drugs_count"),
+                rows_where(t.isin(list(spec.otc_types))).alias("otc_drugs_count"),
                 *forms,
-                _avg("effectiveness_score", spec).alias("avg_effectiveness"),
-                _avg("satisfaction_score", spec).alias("avg_satisfaction"),
-                best("drug_name", "effectiveness_score").alias("best_drug_by_effectiveness"),
-                F.min(_price()).alias("min_price"),
-                F.max(_price()).alias("max_price"),
-                _avg_price(spec).alias("avg_price"),
-                _reviews().alias("total_patient_reviews")))
+                _mean("e").alias("avg_effectiveness"),
+                _mean("s").alias("avg_satisfaction"),
+                F.min("best").getField("i").alias("best_drug_by_effectiveness"),
+                F.min("p_min").alias("min_price"),
+                F.max("p_max").alias("max_price"),
+                _mean("p").alias("avg_price"),
+                F.sum("reviews").alias("total_patient_reviews")))
     cols = ["condition_name", "condition_category", "total_drugs_available", "rx_drugs_count",
             "otc_drugs_count", *spec.form_groups.keys(), "avg_effectiveness",
             "avg_satisfaction", "best_drug_by_effectiveness", "min_price", "max_price",
@@ -165,6 +208,19 @@ def summary(star: DataFrame, spec: MartSpec = MartSpec()) -> DataFrame:
     return _stamp(out.select(*cols), spec)
 
 
+def all_marts(star: DataFrame, spec: MartSpec = MartSpec(), partitions: int | None = None
+              ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three marts from one pass over the star.
+
+    The pre-aggregate is checkpointed (reliable, to the session's checkpoint
+    folder): it is small, read three times, and cuts the star's lineage so a
+    lost executor never forces the star join to rerun.
+    """
+    b = base(star, spec).checkpoint(eager=True)
+    return (ranking(b, spec, from_base=True), value(b, spec, partitions, from_base=True),
+            summary(b, spec, from_base=True))
+
+
 # --- read queries on the marts (the user SQL of the original) ---------------------
 
 def best_in_group(ranking_mart: DataFrame, n: int = 5,
