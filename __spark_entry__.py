@@ -329,7 +329,75 @@ def _silver_sqls() -> dict[str, str]:
         "dim_two_feeds": f"{w}\nSELECT * FROM dim_items",
         "dim_keyword": f"{w}\nSELECT * FROM dim_groups",
         "fact_two_feeds": f"{w}\nSELECT * FROM fact",
-        "silver_ranking_mart": f"""{w},
+        "silver_ranking_mart": _silver_ranking_sql(w),
+        "pipeline_run": _silver_ranking_sql(w, _PIPELINE_EXTRA),
+        "audit_rows": _audit_sql(w),
+        "csv_roundtrip": f"""{w}
+SELECT * EXCLUDE (source_file) FROM raw_b""",
+        "contract_conform": _CONFORM_SQL,
+    }
+
+
+_PIPELINE_EXTRA = f""",
+       CAST(DENSE_RANK() OVER (PARTITION BY condition_name
+            ORDER BY effectiveness_score DESC NULLS LAST) AS INTEGER) AS effectiveness_rank,
+       CAST(DENSE_RANK() OVER (PARTITION BY condition_name
+            ORDER BY satisfaction_score DESC NULLS LAST) AS INTEGER) AS satisfaction_rank,
+       TIMESTAMP '{analogs.FEED_RUN_TS}' AS last_updated"""
+
+_CONFORM_SQL = """
+SELECT o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey,
+       TRY_CAST(o_orderstatus AS INTEGER) AS o_orderstatus, o_totalprice,
+       CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority,
+       CAST(NULL AS VARCHAR) AS o_comment,
+       concat_ws(',', CASE WHEN o_orderstatus IS NOT NULL
+                           AND TRY_CAST(o_orderstatus AS INTEGER) IS NULL
+                      THEN 'o_orderstatus' END) AS cast_errors
+FROM orders"""
+
+
+def _audit_sql(w: str) -> str:
+    ts = f"TIMESTAMP '{analogs.FEED_RUN_TS}'"
+    value_groups = """(SELECT COUNT(*) FROM (SELECT drug_name, drug_type FROM star
+                      GROUP BY drug_name, drug_type HAVING COUNT(COALESCE(price, drug_avg_price)) > 0))"""
+    rows = [
+        ("drug_reviews_raw", "Drug.csv", "(SELECT COUNT(*) FROM raw_b)", "bronze", "loaded"),
+        ("drug_reviews_clean", "Drug_clean.csv", "(SELECT COUNT(*) FROM clean_b)", "bronze",
+         "loaded"),
+        ("drug_reviews_raw_quarantine", "bronze tables", "0", "silver", "no rows quarantined"),
+        ("drug_reviews_clean_quarantine", "bronze tables", "0", "silver", "no rows quarantined"),
+        ("dim_drugs", "bronze tables", "(SELECT COUNT(*) FROM dim_items)", "silver",
+         "dimension with SCD2 tracking"),
+        ("dim_drugs_history", "dim_drugs", "0", "silver", "closed versions"),
+        ("dim_conditions", "bronze tables", "(SELECT COUNT(*) FROM dim_groups)", "silver",
+         "dimension table"),
+        ("fact_drug_performance", "bronze tables", "(SELECT COUNT(*) FROM fact)", "silver",
+         "fact table"),
+        ("drug_effectiveness_ranking", "silver tables",
+         "(SELECT COUNT(*) FROM (SELECT DISTINCT condition_name, drug_name, drug_type, "
+         "drug_form FROM star))", "gold", "rankings by group"),
+        ("price_performance_analysis", "silver tables", value_groups, "gold",
+         "price vs performance"),
+        ("condition_treatment_summary", "silver tables",
+         "(SELECT COUNT(DISTINCT condition_name) FROM star)", "gold", "group treatment options"),
+    ]
+    body = "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, '{src}' AS source_file, CAST({n} AS BIGINT) AS record_count,"
+        f" {ts} AS load_timestamp, '{layer}' AS layer, 'success' AS status, '{note}' AS notes"
+        for t, src, n, layer, note in rows)
+    return f"""{w},
+star AS (SELECT g.condition_name, d.drug_name, d.drug_type, d.drug_form,
+                d.average_price AS drug_avg_price, f.price
+         FROM fact f JOIN dim_items d ON f.drug_key = d.drug_key
+         JOIN dim_groups g ON f.condition_key = g.condition_key)
+{body}"""
+
+
+def _silver_ranking_sql(w: str, extra: str = "") -> str:
+    score = (f"COALESCE(effectiveness_score, 0) * CAST(0.4 AS DOUBLE)"
+             f" + COALESCE(satisfaction_score, 0) * CAST(0.4 AS DOUBLE)"
+             f" + COALESCE(ease_of_use_score, 0) * CAST(0.2 AS DOUBLE)")
+    return f"""{w},
 star AS (SELECT g.condition_name, d.drug_name, d.drug_type, d.drug_form,
                 d.average_price AS drug_avg_price, f.effectiveness_score, f.ease_of_use_score,
                 f.satisfaction_score, f.review_count, f.price
@@ -347,9 +415,8 @@ SELECT condition_name, drug_name, drug_type, drug_form, effectiveness_score,
        ease_of_use_score, satisfaction_score, overall_score,
        CAST(DENSE_RANK() OVER (PARTITION BY condition_name
             ORDER BY overall_score DESC NULLS LAST) AS INTEGER) AS overall_rank,
-       total_reviews, average_price
-FROM scored""",
-    }
+       total_reviews, average_price{extra}
+FROM scored"""
 
 
 def _event_sqls() -> dict[str, str]:
@@ -542,6 +609,64 @@ def q_record_ids(spark: SparkSession, d: str) -> DataFrame:
             .withColumn("row_hash", record_id(src, style="unambiguous")))
 
 
+_PIPELINE_RUNS: dict = {}
+
+
+def _pipeline(spark: SparkSession, d: str):
+    """Run the whole pipeline once per session and input folder.
+
+    The feeds are written as CSV, and every table lives, under a fresh folder
+    of the session's checkpoint folder (shared storage on a cluster).
+    """
+    from datetime import date, datetime
+
+    from strata.config import PipelineConfig, default_config_dict
+    from strata.plans import pipeline
+    from strata.session import scratch_path
+
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _PIPELINE_RUNS:
+        root = scratch_path(spark, "pipeline")
+        analogs.write_feed_csvs(spark, d, f"{root}/volume")
+        prefix = f"strata_{abs(hash(root)) % 10**8}_"
+        cfg = PipelineConfig.from_dict(default_config_dict(f"{root}/volume"), prefix=prefix)
+        run_ts = datetime.fromisoformat(analogs.FEED_RUN_TS)
+        pipeline.run_pipeline(spark, cfg, run_ts, date(2024, 2, 1), location_root=root)
+        _PIPELINE_RUNS[key] = cfg
+    return _PIPELINE_RUNS[key]
+
+
+def q_pipeline_run(spark: SparkSession, d: str) -> DataFrame:
+    """Bronze -> silver -> gold from CSV files; the gold ranking table as written."""
+    cfg = _pipeline(spark, d)
+    return spark.table(cfg.table("gold", "drug_effectiveness_ranking"))
+
+
+def q_audit_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The audit log of the run: one row per written table with its row count."""
+    cfg = _pipeline(spark, d)
+    return spark.table(cfg.table("landing", "metadata_tracking"))
+
+
+def q_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """The bronze raw table: CSV read under its contract, plus lineage."""
+    cfg = _pipeline(spark, d)
+    return spark.table(cfg.table("bronze", "drug_reviews_raw")).drop("source_file")
+
+
+def q_contract_conform(spark: SparkSession, d: str) -> DataFrame:
+    """A table conformed to a contract: casts, a failing cast, a missing and an extra column."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import StructType
+
+    from strata.sources.contracts import conform
+    schema = StructType.fromDDL(
+        "o_orderkey BIGINT, o_custkey INT, o_orderstatus INT, o_totalprice DOUBLE, "
+        "o_orderdate DATE, o_orderpriority STRING, o_comment STRING")
+    df, _ = conform(analogs.table(spark, d, "orders"), schema, errors_col="cast_errors")
+    return df.withColumn("cast_errors", F.concat_ws(",", "cast_errors"))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the ranking mart (star join, aggregate, weighted score, dense ranks)."""
     return q_ranking_mart(spark, SF_SMOKE)
@@ -572,6 +697,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rule_counts": q_rule_counts,
         "first_seen": q_first_seen,
         "record_ids": q_record_ids,
+        "pipeline_run": q_pipeline_run,
+        "audit_rows": q_audit_rows,
+        "csv_roundtrip": q_csv_roundtrip,
+        "contract_conform": q_contract_conform,
     }
 
 

@@ -253,3 +253,14 @@ def event_activity(events: DataFrame) -> DataFrame:
     return (events.groupBy("user_id", "event_type")
             .agg(F.count(F.lit(1)).alias("events"),
                  F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total_value")))
+
+
+# --- CSV files of the two feeds, for the end-to-end pipeline ------------------------------
+
+def write_feed_csvs(spark: SparkSession, sf_dir: str, root: str,
+                    raw_name: str = "Drug.csv", clean_name: str = "Drug_clean.csv") -> None:
+    """Write both feeds as CSV folders under ``root`` (the pipeline's volume)."""
+    from ..sources.csv import CSV_OPTIONS
+    opts = {k: v for k, v in CSV_OPTIONS.items() if k not in ("multiLine", "mode")}
+    for df, name in [(raw_feed(spark, sf_dir), raw_name), (clean_feed(spark, sf_dir), clean_name)]:
+        df.write.mode("overwrite").options(**opts).csv(f"{root}/{name}")
