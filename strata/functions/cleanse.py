@@ -53,8 +53,12 @@ def strict_int(c: ColumnOrName) -> Column:
 
 
 def strip_crlf(c: ColumnOrName) -> Column:
-    """Remove embedded CR LF pairs (reachable only when CSV is read multi-line)."""
-    return F.regexp_replace(_col(c), "\r\n", "")
+    """Remove embedded line breaks, CR LF or LF.
+
+    Only a multi-line CSV read can put a line break inside a field, and Spark's
+    multi-line parser hands a quoted CR LF over as LF, so both forms are removed.
+    """
+    return F.regexp_replace(_col(c), "\r?\n", "")
 
 
 def trim_spaces(c: ColumnOrName) -> Column:

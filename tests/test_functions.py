@@ -34,9 +34,9 @@ def test_title_case(spark):
 
 
 def test_label_defaults_and_crlf(spark):
-    got = col1(spark, ["RX", "RX\r\n", " OTC ", "", None, "\tOTC"], label)
+    got = col1(spark, ["RX", "RX\r\n", "R\nX", " OTC ", "", None, "\tOTC"], label)
     # trim strips spaces only, as SQL TRIM does; tabs stay
-    assert got == ["RX", "RX", "OTC", "Unknown", "Unknown", "\tOTC"]
+    assert got == ["RX", "RX", "RX", "OTC", "Unknown", "Unknown", "\tOTC"]
 
 
 def test_categorise_substring_and_order(spark):
