@@ -334,6 +334,9 @@ def _silver_sqls() -> dict[str, str]:
         "audit_rows": _audit_sql(w),
         "csv_roundtrip": f"""{w}
 SELECT * EXCLUDE (source_file) FROM raw_b""",
+        "bronze_incremental": f"""{w}
+SELECT * EXCLUDE (source_file) FROM raw_b""",
+        "audit_latest": _audit_sql(w),
         "contract_conform": _CONFORM_SQL,
     }
 
@@ -654,6 +657,27 @@ def q_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return spark.table(cfg.table("bronze", "drug_reviews_raw")).drop("source_file")
 
 
+def q_audit_latest(spark: SparkSession, d: str) -> DataFrame:
+    """Run monitoring: the audit log newest first."""
+    from strata.sources.tables import latest_runs
+    return latest_runs(q_audit_rows(spark, d))
+
+
+def q_bronze_incremental(spark: SparkSession, d: str) -> DataFrame:
+    """The raw feed's CSV files ingested by the file-stream job (new files only, once)."""
+    from datetime import datetime
+
+    from strata.session import scratch_path
+    from strata.sources.contracts import contract
+    from strata.streaming import ingest_new_files
+    root = scratch_path(spark, "stream")
+    analogs.write_feed_csvs(spark, d, f"{root}/volume")
+    ingest_new_files(spark, f"{root}/volume/Drug.csv", contract("drug_reviews_raw"),
+                     f"{root}/bronze_raw", datetime.fromisoformat(analogs.FEED_RUN_TS),
+                     checkpoint=f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/bronze_raw").drop("source_file")
+
+
 def q_contract_conform(spark: SparkSession, d: str) -> DataFrame:
     """A table conformed to a contract: casts, a failing cast, a missing and an extra column."""
     from pyspark.sql import functions as F
@@ -701,6 +725,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "audit_rows": q_audit_rows,
         "csv_roundtrip": q_csv_roundtrip,
         "contract_conform": q_contract_conform,
+        "audit_latest": q_audit_latest,
+        "bronze_incremental": q_bronze_incremental,
     }
 
 
