@@ -37,20 +37,73 @@ def desc_nulls_last(c: str) -> Column:
     return F.col(c).desc_nulls_last()
 
 
-def dense_ranks(df: DataFrame, by: Sequence[str], rankings: Mapping[str, Column | str],
-                kind: str = "dense_rank") -> DataFrame:
-    """Add one rank column per entry of ``rankings`` (output name -> sort order).
-
-    A plain column name means "descending, nulls last" (best first).
+def largest_group(df: DataFrame, by: Sequence[str]) -> int:
+    """Rows in the largest group (one aggregate job; 0 for an empty frame)."""
+    r = df.groupBy(*by).count().agg(F.max("count")).first()[0]
+    return int(r or 0)
+
+
+def dense_ranks(df: DataFrame, by: Sequence[str], rankings: Mapping[str, str],
+                max_group_rows: int | None = None, partitions: int | None = None) -> DataFrame:
+    """Add one dense rank per entry of ``rankings`` (output name -> column, best = highest,
+    nulls last), computed within the groups ``by``.
+
+    The window form sends each group to one task. With ``max_group_rows`` the
+    largest group is measured first (one aggregate job); when it is above the
+    limit the ranks are computed by ``distributed_dense_rank`` instead, which
+    spreads even a single huge group over many tasks. Without it the caller
+    vouches that groups are bounded.
     """
-    fn = {"dense_rank": F.dense_rank, "rank": F.rank, "row_number": F.row_number}[kind]
+    if max_group_rows is not None and largest_group(df, by) > max_group_rows:
+        out = df
+        for name, c in rankings.items():
+            out = distributed_dense_rank(out, by, c, name, partitions=partitions)
+        return out
     out = df
-    for name, order in rankings.items():
-        o = desc_nulls_last(order) if isinstance(order, str) else order
-        out = out.withColumn(name, fn().over(Window.partitionBy(*by).orderBy(o)))
+    for name, c in rankings.items():
+        out = out.withColumn(name, F.dense_rank().over(
+            Window.partitionBy(*by).orderBy(desc_nulls_last(c))))
     return out
 
 
+def _null_safe_eq(pairs: Sequence[tuple[str, str]]) -> Column:
+    cond = None
+    for a, b in pairs:
+        t = F.col(a).eqNullSafe(F.col(b))
+        cond = t if cond is None else (cond & t)
+    return cond
+
+
+def distributed_dense_rank(df: DataFrame, by: Sequence[str], value: str, out: str,
+                           descending: bool = True, partitions: int | None = None) -> DataFrame:
+    """Dense rank of ``value`` within groups ``by`` with no group confined to one task.
+
+    The distinct (group, value) pairs (a partial aggregate) get a whole-table
+    position in (group, value) order from ``global_position``; a value's dense
+    rank is its position minus its group's first position plus one. The ranks
+    join back on (group, value), null-safe; a hot pair is split by AQE's skew
+    join. Nulls rank last.
+    """
+    v = F.col(value)
+    order = [F.col(b).asc_nulls_first() for b in by]
+    order.append(v.desc_nulls_last() if descending else v.asc_nulls_last())
+    pairs = df.select(*by, value).distinct()
+    pos = global_position(pairs, order, position="__p", total=None, partitions=partitions)
+    keys = [*by, value]
+    rk = {c: f"__rk{i}" for i, c in enumerate(keys)}
+    if by:
+        gk = {c: f"__gk{i}" for i, c in enumerate(by)}
+        start = pos.groupBy(*by).agg(F.min("__p").alias("__s")).select(
+            *[F.col(b).alias(gk[b]) for b in by], "__s")
+        ranked = (pos.join(start, _null_safe_eq([(b, gk[b]) for b in by]))
+                  .select(*[F.col(c).alias(rk[c]) for c in keys],
+                          (F.col("__p") - F.col("__s") + 1).cast("int").alias(out)))
+    else:
+        ranked = pos.select(F.col(value).alias(rk[value]), F.col("__p").cast("int").alias(out))
+    joined = df.join(ranked, _null_safe_eq([(c, rk[c]) for c in keys]))
+    return joined.select(*df.columns, out)
+
+
 def best(item: str, measure: str, descending: bool = True) -> Column:
     """Aggregate: the item with the best measure in the group, ties by item ascending.
 

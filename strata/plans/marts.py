@@ -67,6 +67,9 @@ class MartSpec:
     price_scale: int | None = 2
     price_precision: int = 18
     run_ts: datetime | None = None  # when set, marts carry ``last_updated``
+    # Largest group the per-group ranking may send to one task; above it the
+    # ranks are computed by the distributed form (see operators.rank).
+    max_group_rows: int | None = 2_000_000
 
 
 _GRAIN = ["condition_name", "condition_category", "drug_name", "drug_type", "drug_form"]
@@ -123,7 +126,7 @@ def _stamp(df: DataFrame, spec: MartSpec) -> DataFrame:
 
 def ranking(star: DataFrame, spec: MartSpec = MartSpec(), from_base: bool = False) -> DataFrame:
     """Per (group, item, type, form): mean scores, weighted score and three dense ranks."""
-    b = star if from_base else base(star, spec)
+    b = star if from_base else base(star, spec).checkpoint(eager=True)
     agg = (b.groupBy("condition_name", "drug_name", "drug_type", "drug_form")
            .agg(_mean("e").alias("effectiveness_score"),
                 _mean("u").alias("ease_of_use_score"),
@@ -136,7 +139,7 @@ def ranking(star: DataFrame, spec: MartSpec = MartSpec(), from_base: bool = Fals
         "effectiveness_rank": "effectiveness_score",
         "satisfaction_rank": "satisfaction_score",
         "overall_rank": "overall_score",
-    })
+    }, max_group_rows=spec.max_group_rows)
     cols = ["condition_name", "drug_name", "drug_type", "drug_form",
             "effectiveness_score", "ease_of_use_score", "satisfaction_score", "overall_score",
             "effectiveness_rank", "satisfaction_rank", "overall_rank",

@@ -67,3 +67,26 @@ def test_top_n_uses_group_limit(spark):
     out = top_n(df, ["g"], [F.col("id").desc()], 2)
     assert "WindowGroupLimit" in plan(out)
     assert sorted(r["id"] for r in out.collect()) == [94, 95, 96, 97, 98, 99]
+
+
+def test_distributed_dense_rank_equals_window(spark):
+    from strata.operators.rank import distributed_dense_rank
+    rnd = random.Random(3)
+    data = [(rnd.choice(["g1", "g1", "g1", "g2", None]), rnd.choice([None, 1.0, 2.0, 3.0, 4.5]),
+             i) for i in range(2000)]
+    df = spark.createDataFrame(data, "g string, v double, id long")
+    w = df.withColumn("r", F.dense_rank().over(
+        Window.partitionBy("g").orderBy(F.col("v").desc_nulls_last())))
+    d = distributed_dense_rank(df, ["g"], "v", "r", partitions=5)
+    assert sorted(tuple(r) for r in d.select("id", "r").collect()) == \
+        sorted(tuple(r) for r in w.select("id", "r").collect())
+
+
+def test_dense_ranks_switch_on_group_size(spark):
+    df = spark.createDataFrame([("g", float(i % 7), i) for i in range(300)],
+                               "g string, v double, id long")
+    small = dense_ranks(df, ["g"], {"r": "v"}, max_group_rows=1000)
+    big = dense_ranks(df, ["g"], {"r": "v"}, max_group_rows=10)
+    assert "Window" in plan(small) and "Window" not in plan(big)
+    assert sorted(tuple(r) for r in small.select("id", "r").collect()) == \
+        sorted(tuple(r) for r in big.select("id", "r").collect())
