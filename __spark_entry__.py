@@ -363,36 +363,52 @@ def _audit_sql(w: str) -> str:
     ts = f"TIMESTAMP '{analogs.FEED_RUN_TS}'"
     value_groups = """(SELECT COUNT(*) FROM (SELECT drug_name, drug_type FROM star
                       GROUP BY drug_name, drug_type HAVING COUNT(COALESCE(price, drug_avg_price)) > 0))"""
+    dup_keys = "(SELECT COUNT(*) FROM dup)"
+    dup_rows = "(SELECT COALESCE(SUM(n), 0) FROM dup)"
+    fact_status = f"CASE WHEN {dup_keys} > 0 THEN 'warning' ELSE 'success' END"
+    fact_note = (f"CASE WHEN {dup_keys} > 0 THEN 'fact table; performance_key not unique: ' || "
+                 f"CAST({dup_keys} AS VARCHAR) || ' keys cover ' || CAST({dup_rows} AS VARCHAR)"
+                 f" || ' rows' ELSE 'fact table' END")
+
+    def lit(x: str) -> str:
+        return f"'{x}'"
+
     rows = [
-        ("drug_reviews_raw", "Drug.csv", "(SELECT COUNT(*) FROM raw_b)", "bronze", "loaded"),
+        ("drug_reviews_raw", "Drug.csv", "(SELECT COUNT(*) FROM raw_b)", "bronze", None, "loaded"),
         ("drug_reviews_clean", "Drug_clean.csv", "(SELECT COUNT(*) FROM clean_b)", "bronze",
-         "loaded"),
-        ("drug_reviews_raw_quarantine", "bronze tables", "0", "silver", "no rows quarantined"),
-        ("drug_reviews_clean_quarantine", "bronze tables", "0", "silver", "no rows quarantined"),
-        ("dim_drugs", "bronze tables", "(SELECT COUNT(*) FROM dim_items)", "silver",
+         None, "loaded"),
+        ("drug_reviews_raw_quarantine", "bronze tables", "0", "silver", None,
+         "no rows quarantined"),
+        ("drug_reviews_clean_quarantine", "bronze tables", "0", "silver", None,
+         "no rows quarantined"),
+        ("dim_drugs", "bronze tables", "(SELECT COUNT(*) FROM dim_items)", "silver", None,
          "dimension with SCD2 tracking"),
-        ("dim_drugs_history", "dim_drugs", "0", "silver", "closed versions"),
-        ("dim_conditions", "bronze tables", "(SELECT COUNT(*) FROM dim_groups)", "silver",
+        ("dim_drugs_history", "dim_drugs", "0", "silver", None, "closed versions"),
+        ("dim_conditions", "bronze tables", "(SELECT COUNT(*) FROM dim_groups)", "silver", None,
          "dimension table"),
         ("fact_drug_performance", "bronze tables", "(SELECT COUNT(*) FROM fact)", "silver",
-         "fact table"),
+         fact_status, fact_note),
         ("drug_effectiveness_ranking", "silver tables",
          "(SELECT COUNT(*) FROM (SELECT DISTINCT condition_name, drug_name, drug_type, "
-         "drug_form FROM star))", "gold", "rankings by group"),
-        ("price_performance_analysis", "silver tables", value_groups, "gold",
+         "drug_form FROM star))", "gold", None, "rankings by group"),
+        ("price_performance_analysis", "silver tables", value_groups, "gold", None,
          "price vs performance"),
         ("condition_treatment_summary", "silver tables",
-         "(SELECT COUNT(DISTINCT condition_name) FROM star)", "gold", "group treatment options"),
+         "(SELECT COUNT(DISTINCT condition_name) FROM star)", "gold", None,
+         "group treatment options"),
     ]
     body = "\nUNION ALL\n".join(
         f"SELECT '{t}' AS table_name, '{src}' AS source_file, CAST({n} AS BIGINT) AS record_count,"
-        f" {ts} AS load_timestamp, '{layer}' AS layer, 'success' AS status, '{note}' AS notes"
-        for t, src, n, layer, note in rows)
+        f" {ts} AS load_timestamp, '{layer}' AS layer, {status or lit('success')} AS status,"
+        f" {note if status else lit(note)} AS notes"
+        for t, src, n, layer, status, note in rows)
     return f"""{w},
 star AS (SELECT g.condition_name, d.drug_name, d.drug_type, d.drug_form,
                 d.average_price AS drug_avg_price, f.price
          FROM fact f JOIN dim_items d ON f.drug_key = d.drug_key
-         JOIN dim_groups g ON f.condition_key = g.condition_key)
+         JOIN dim_groups g ON f.condition_key = g.condition_key),
+dup AS (SELECT performance_key, COUNT(*) AS n FROM fact GROUP BY performance_key
+        HAVING COUNT(*) > 1)
 {body}"""
 
 

@@ -211,6 +211,13 @@ def apply(history: DataFrame | None, snapshot: DataFrame, spec: Scd2Spec, as_of:
     return merge(history, snapshot, spec, as_of, **kw)
 
 
+def version_key(spec: Scd2Spec, name: str = "version_key") -> Column:
+    """A key per version (business key + effective date), for facts that must
+    point at the version valid when they happened rather than at the item."""
+    from ..functions.keys import composite_key
+    return composite_key(*spec.keys, F.col(spec.effective).cast("string")).alias(name)
+
+
 # --- read-side views of a history ---------------------------------------------------
 
 def current_view(history: DataFrame, spec: Scd2Spec) -> DataFrame:

@@ -70,6 +70,12 @@ class MartSpec:
     # Largest group the per-group ranking may send to one task; above it the
     # ranks are computed by the distributed form (see operators.rank).
     max_group_rows: int | None = 2_000_000
+    # Counts of the original count fact rows; with ``distinct_counts`` the
+    # marts also carry distinct item / group counts.
+    distinct_counts: bool = False
+    # "row": best item = the single best fact row (original); "mean": the item
+    # with the best mean score, consistent with the ranking mart.
+    best_by: str = "row"
 
 
 _GRAIN = ["condition_name", "condition_category", "drug_name", "drug_type", "drug_form"]
@@ -161,7 +167,9 @@ def value(star: DataFrame, spec: MartSpec = MartSpec(), partitions: int | None =
                 _mean("s").alias("avg_satisfaction"),
                 _mean("p").alias("average_price"),
                 F.sum("reviews").alias("total_reviews"),
-                F.sum("n_group").alias("conditions_treated"))
+                F.sum("n_group").alias("conditions_treated"),
+                *([F.count_distinct("condition_name").alias("distinct_conditions_treated")]
+                  if spec.distinct_counts else []))
            .filter(F.col("average_price").isNotNull())
            .withColumn("price_tier", tier("average_price", list(spec.price_tiers),
                                           spec.price_tier_top))
@@ -175,6 +183,8 @@ def value(star: DataFrame, spec: MartSpec = MartSpec(), partitions: int | None =
     cols = ["drug_name", "drug_type", "price_tier", "average_price", "avg_effectiveness",
             "avg_ease_of_use", "avg_satisfaction", "value_score", "price_percentile",
             "performance_percentile", "total_reviews", "conditions_treated"]
+    if spec.distinct_counts:
+        cols.append("distinct_conditions_treated")
     return _stamp(out.select(*cols), spec)
 
 
@@ -192,6 +202,16 @@ def summary(star: DataFrame, spec: MartSpec = MartSpec(), from_base: bool = Fals
         return F.sum(F.when(pred, n).otherwise(F.lit(0)))
 
     forms = [rows_where(f.isin(list(v))).alias(k) for k, v in spec.form_groups.items()]
+    if spec.best_by == "row":
+        best_item = F.min("best").getField("i")
+    elif spec.best_by == "mean":
+        best_item = F.min(F.struct(F.col("item_mean").isNull(), -F.col("item_mean"),
+                                   F.col("drug_name"))).getField("drug_name")
+        item_mean = (b.groupBy("condition_name", "drug_name")
+                     .agg(_mean("e").alias("item_mean")))
+        b = b.join(item_mean, ["condition_name", "drug_name"], "left")
+    else:
+        raise ValueError("best_by must be 'row' or 'mean'")
     out = (b.groupBy("condition_name", "condition_category")
            .agg(F.sum("n_item").alias("total_drugs_available"),
                 rows_where(t.isin(list(spec.rx_types))).alias("rx_drugs_count"),
@@ -199,7 +219,9 @@ def summary(star: DataFrame, spec: MartSpec = MartSpec(), from_base: bool = Fals
                 *forms,
                 _mean("e").alias("avg_effectiveness"),
                 _mean("s").alias("avg_satisfaction"),
-                F.min("best").getField("i").alias("best_drug_by_effectiveness"),
+                best_item.alias("best_drug_by_effectiveness"),
+                *([F.count_distinct("drug_name").alias("distinct_drugs_available")]
+                  if spec.distinct_counts else []),
                 F.min("p_min").alias("min_price"),
                 F.max("p_max").alias("max_price"),
                 _mean("p").alias("avg_price"),
@@ -208,6 +230,8 @@ def summary(star: DataFrame, spec: MartSpec = MartSpec(), from_base: bool = Fals
             "otc_drugs_count", *spec.form_groups.keys(), "avg_effectiveness",
             "avg_satisfaction", "best_drug_by_effectiveness", "min_price", "max_price",
             "avg_price", "total_patient_reviews"]
+    if spec.distinct_counts:
+        cols.append("distinct_drugs_available")
     return _stamp(out.select(*cols), spec)
 
 

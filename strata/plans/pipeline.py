@@ -122,8 +122,14 @@ def run_silver(spark: SparkSession, cfg: PipelineConfig, run_ts: datetime,
     fname = cfg.table("silver", "fact_drug_performance")
     out["fact_drug_performance"] = tables.replace_table(
         star.fact(raw_c, clean_c), fname, contract("fact_drug_performance"))
+    dup = star.duplicate_keys(spark.table(fname), "performance_key").first()
+    status, note = SUCCESS, "fact table"
+    if dup["repeated_keys"]:
+        status = WARNING
+        note = (f"fact table; performance_key not unique: {dup['repeated_keys']} keys cover "
+                f"{dup['rows_with_repeated_keys']} rows")
     audit.append(AuditRow(cfg.tables["silver"]["fact_drug_performance"], "bronze tables",
-                          out["fact_drug_performance"], run_ts, "silver", SUCCESS, "fact table"))
+                          out["fact_drug_performance"], run_ts, "silver", status, note))
     _audit(spark, cfg, audit)
     return out
 

@@ -83,10 +83,12 @@ def item_dimension(raw_c: DataFrame, clean_c: DataFrame, price_scale: int | None
 
 
 def group_dimension(raw_c: DataFrame, clean_c: DataFrame, run_ts: datetime,
-                    rules: Sequence | None = None, previous: DataFrame | None = None) -> DataFrame:
+                    rules: Sequence | None = None, previous: DataFrame | None = None,
+                    distinct_counts: bool = False) -> DataFrame:
     """One row per group (condition): item mentions, review total, keyword category.
 
-    ``total_drugs_available`` counts fact rows, as the original does.
+    ``total_drugs_available`` counts fact rows, as the original does; with
+    ``distinct_counts`` a ``distinct_drugs_available`` column counts items.
     ``first_seen_date`` is the run time of the first load that saw the group
     (carried from ``previous``), ``last_updated_date`` the current run time.
     """
@@ -97,13 +99,16 @@ def group_dimension(raw_c: DataFrame, clean_c: DataFrame, run_ts: datetime,
                                         .alias("review_count"))))
     g = (rows.groupBy("condition_clean")
          .agg(F.count("drug_clean").alias("total_drugs_available"),
-              F.sum("review_count").alias("total_reviews_count")))
+              F.sum("review_count").alias("total_reviews_count"),
+              *([F.count_distinct("drug_clean").alias("distinct_drugs_available")]
+                if distinct_counts else [])))
     dim = g.select(
         hash_key("condition_clean").alias("condition_key"),
         F.col("condition_clean").alias("condition_name"),
         categorise("condition_clean", rules).alias("condition_category"),
         F.lit(STANDARD_INDICATION).alias("indication_type"),
-        "total_drugs_available", "total_reviews_count")
+        "total_drugs_available", "total_reviews_count",
+        *(["distinct_drugs_available"] if distinct_counts else []))
     return carry_first_seen(dim, previous, ["condition_key"], run_ts)
 
 
@@ -153,6 +158,16 @@ def fact(raw_c: DataFrame, clean_c: DataFrame) -> DataFrame:
     return r.unionByName(c)
 
 
+def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
+    """One row: how many key values repeat and how many rows they cover.
+
+    For keys documented unique that are not by construction (the performance
+    key repeats when an item has several forms); reads the key column only."""
+    return (df.groupBy(key).count().filter(F.col("count") > 1)
+            .agg(F.count(F.lit(1)).alias("repeated_keys"),
+                 F.coalesce(F.sum("count"), F.lit(0)).alias("rows_with_repeated_keys")))
+
+
 def star_view(fact_df: DataFrame, items: DataFrame, groups: DataFrame) -> DataFrame:
     """Fact joined to the current item and group rows, in the marts' star contract.
 
