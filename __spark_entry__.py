@@ -507,12 +507,14 @@ def q_group_leaderboard(spark: SparkSession, d: str) -> DataFrame:
 
 def _item_history(spark: SparkSession, d: str) -> DataFrame:
     """Three yearly loads: first load, then two merges. Each load's result is
-    checkpointed, as a pipeline writes it, so the next load reads it once."""
+    written under the checkpoint folder, as a pipeline writes its table, so the
+    next load reads it once."""
+    from strata.session import materialize
     y0, y1, y2 = analogs.LOAD_YEARS
     h = scd2.apply(None, analogs.item_snapshot(spark, d, y0), _SCD_SPEC, analogs.load_date(y0))
     for y in (y1, y2):
-        h = scd2.merge(h.checkpoint(), analogs.item_snapshot(spark, d, y), _SCD_SPEC,
-                       analogs.load_date(y))
+        h = scd2.merge(materialize(h, "scd2_history"), analogs.item_snapshot(spark, d, y),
+                       _SCD_SPEC, analogs.load_date(y))
     return h
 
 

@@ -12,21 +12,22 @@ Plan notes
 * ``global_position`` replaces ``row_number() over (order by ...)`` -- a window
   with no partition, which Spark runs in a single task -- by a range-partitioned
   sort: Spark samples the full ordering (ties included) to cut ranges, so no
-  value, however frequent, pins the work to one task. The sorted data is
-  checkpointed (reliable, to the session's checkpoint folder) so partition ids
-  and in-partition order are fixed; per-partition row counts (one row per
-  partition) are the only data brought to the driver.
+  value, however frequent, pins the work to one task. The sorted ranges are
+  written as parquet files under the session's checkpoint folder, fixing
+  their order; per-file row counts (one row per file) are the only data
+  brought to the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scoring import percentile_of
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_path
 
 
 def _cols(cs: Sequence[Column | str]) -> list[Column]:
@@ -134,28 +135,39 @@ def global_position(df: DataFrame, order: Sequence[Column | str], position: str
     """1-based position of every row in a whole-table order (and the row count).
 
     Equal to ``row_number() over (order by <order>)``; give a total order
-    (tie-break columns last) for repeatable positions. Runs two small jobs
-    eagerly: the checkpoint of the sorted data and a per-partition count.
+    (tie-break columns last) for repeatable positions.
+
+    The rows are range-partitioned on the full ordering (Spark samples it, so
+    a frequent value is split by its tie-break columns) and written sorted as
+    parquet under the checkpoint folder: file i holds range i in order. A
+    row's position is the row count of the files before its own plus its
+    ``_metadata.row_index`` in the file. The input is persisted across the
+    sampling pass and the write, so it is computed once. Runs two jobs
+    eagerly (write, per-file count); one row per file reaches the driver.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordering = _cols(order)
-    frozen = df.repartitionByRange(n, *ordering).sortWithinPartitions(*ordering).checkpoint(eager=True)
-    tagged = frozen.select("*", F.spark_partition_id().alias("__pid"),
-                           F.monotonically_increasing_id().alias("__mid"))
-    counts = sorted((r[0], r[1]) for r in
-                    tagged.groupBy("__pid").agg(F.count(F.lit(1))).collect())
+    path = scratch_path(spark, "position")
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        (src.repartitionByRange(n, *ordering).sortWithinPartitions(*ordering)
+         .write.mode("overwrite").parquet(path))
+    finally:
+        src.unpersist()
+    frozen = spark.read.parquet(path)
+    tagged = frozen.select("*", F.col("_metadata.file_name").alias("__file"),
+                           F.col("_metadata.row_index").alias("__row"))
+    counts = sorted((r[0], r[1]) for r in tagged.groupBy("__file").count().collect())
     offsets, acc = [], 0
-    for pid, cnt in counts:
-        offsets += [F.lit(pid), F.lit(acc)]
+    for name, cnt in counts:
+        offsets += [F.lit(name), F.lit(acc)]
         acc += cnt
-    offset = F.element_at(F.create_map(*offsets), F.col("__pid")) if offsets else F.lit(0)
-    local = F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33)
-    out = tagged.withColumn(position, (offset + local + 1).cast("long"))
+    offset = F.element_at(F.create_map(*offsets), F.col("__file")) if offsets else F.lit(0)
+    out = tagged.withColumn(position, (offset + F.col("__row") + 1).cast("long"))
     if total:
         out = out.withColumn(total, F.lit(acc).cast("long"))
-    return out.drop("__pid", "__mid")
+    return out.drop("__file", "__row")
 
 
 def with_percentiles(df: DataFrame, specs: Mapping[str, Sequence[Column | str]],

@@ -250,9 +250,10 @@ def event_rules() -> dict:
 
 def event_activity(events: DataFrame) -> DataFrame:
     """Per (user, event type): number of events and total value (exact sum)."""
+    from ..functions.scoring import exact_sum, exact_value
     return (events.groupBy("user_id", "event_type")
             .agg(F.count(F.lit(1)).alias("events"),
-                 F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total_value")))
+                 exact_value(exact_sum("value")).alias("total_value")))
 
 
 # --- CSV files of the two feeds, for the end-to-end pipeline ------------------------------

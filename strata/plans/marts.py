@@ -23,9 +23,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scoring import (REFERENCE_PRICE_TIER_TOP, REFERENCE_PRICE_TIERS,
-                                 REFERENCE_SCORE_WEIGHTS, guarded_ratio, tier, weighted_score)
+                                 REFERENCE_SCORE_WEIGHTS, exact_sum, exact_value, guarded_ratio,
+                                 tier, weighted_score)
 from ..functions.timestamps import ts_lit
 from ..operators.rank import dense_ranks, top_n, with_percentiles
+from ..session import materialize
 
 STAR_COLUMNS = [
     "condition_name", "condition_category", "drug_name", "drug_type", "drug_form",
@@ -87,41 +89,40 @@ def _price() -> Column:
     return F.coalesce(F.col("price"), F.col("drug_avg_price"))
 
 
-def _sum_part(c: Column, scale: int | None, precision: int) -> Column:
-    return F.sum(c if scale is None else c.cast(f"decimal({precision},{scale})"))
-
-
-def _mean(prefix: str) -> Column:
+def _mean(prefix: str, spec: MartSpec) -> Column:
     """Finish an average from composable parts: one division in double."""
-    return F.sum(f"{prefix}_sum").cast("double") / F.sum(f"{prefix}_cnt")
+    if prefix == "p":
+        scale, precision = spec.price_scale, spec.price_precision
+    else:
+        scale, precision = spec.avg_scale, 18
+    return exact_value(F.sum(f"{prefix}_sum"), scale, precision) / F.sum(f"{prefix}_cnt")
 
 
 def base(star: DataFrame, spec: MartSpec = MartSpec()) -> DataFrame:
     """Finest-grain partial aggregate of the star, from which all three marts derive.
 
     One row per (group, category, item, type, form) with exact decimal sums
-    and counts, min/max price, review total, row counts and the best-row
-    struct. Every part composes (sums of sums, min of mins), so the marts
-    re-aggregate this small table instead of scanning and shuffling the star
-    three times. Map-side partial aggregation bounds what a hot group ships.
+    and counts, min/max price, review total, row counts and the best score.
+    Every part composes (sums of sums, min of mins), so the marts re-aggregate
+    this small table instead of scanning and shuffling the star three times.
+    All buffers are fixed-width, so Spark hash-aggregates (a struct-valued
+    ``min`` here would force a sort-based aggregate over every fact row), and
+    map-side partial aggregation bounds what a hot group ships.
     """
     parts = []
     for k, c in _MEASURES.items():
-        parts += [_sum_part(F.col(c), spec.avg_scale, 18).alias(f"{k}_sum"),
+        parts += [exact_sum(c, spec.avg_scale, 18).alias(f"{k}_sum"),
                   F.count(c).alias(f"{k}_cnt")]
-    e = F.col("effectiveness_score")
-    best_key = F.struct(e.isNull().alias("m_null"), (-e).alias("m"),
-                        F.col("drug_name").alias("i"))
     return (star.groupBy(*_GRAIN)
             .agg(*parts,
-                 _sum_part(_price(), spec.price_scale, spec.price_precision).alias("p_sum"),
+                 exact_sum(_price(), spec.price_scale, spec.price_precision).alias("p_sum"),
                  F.count(_price()).alias("p_cnt"),
                  F.min(_price()).alias("p_min"), F.max(_price()).alias("p_max"),
                  F.sum(F.coalesce(F.col("review_count"), F.lit(0))).alias("reviews"),
                  F.count("drug_name").alias("n_item"),
                  F.count("condition_name").alias("n_group"),
                  F.count(F.lit(1)).alias("n_rows"),
-                 F.min(best_key).alias("best")))
+                 F.max("effectiveness_score").alias("e_max")))
 
 
 def _stamp(df: DataFrame, spec: MartSpec) -> DataFrame:
@@ -132,13 +133,13 @@ def _stamp(df: DataFrame, spec: MartSpec) -> DataFrame:
 
 def ranking(star: DataFrame, spec: MartSpec = MartSpec(), from_base: bool = False) -> DataFrame:
     """Per (group, item, type, form): mean scores, weighted score and three dense ranks."""
-    b = star if from_base else base(star, spec).checkpoint(eager=True)
+    b = star if from_base else materialize(base(star, spec), "mart_base")
     agg = (b.groupBy("condition_name", "drug_name", "drug_type", "drug_form")
-           .agg(_mean("e").alias("effectiveness_score"),
-                _mean("u").alias("ease_of_use_score"),
-                _mean("s").alias("satisfaction_score"),
+           .agg(_mean("e", spec).alias("effectiveness_score"),
+                _mean("u", spec).alias("ease_of_use_score"),
+                _mean("s", spec).alias("satisfaction_score"),
                 F.sum("reviews").alias("total_reviews"),
-                _mean("p").alias("average_price"))
+                _mean("p", spec).alias("average_price"))
            .withColumn("overall_score",
                        weighted_score(spec.weights, spec.score_scale, spec.reweight_missing)))
     ranked = dense_ranks(agg, ["condition_name"], {
@@ -162,10 +163,10 @@ def value(star: DataFrame, spec: MartSpec = MartSpec(), partitions: int | None =
     """
     b = star if from_base else base(star, spec)
     agg = (b.groupBy("drug_name", "drug_type")
-           .agg(_mean("e").alias("avg_effectiveness"),
-                _mean("u").alias("avg_ease_of_use"),
-                _mean("s").alias("avg_satisfaction"),
-                _mean("p").alias("average_price"),
+           .agg(_mean("e", spec).alias("avg_effectiveness"),
+                _mean("u", spec).alias("avg_ease_of_use"),
+                _mean("s", spec).alias("avg_satisfaction"),
+                _mean("p", spec).alias("average_price"),
                 F.sum("reviews").alias("total_reviews"),
                 F.sum("n_group").alias("conditions_treated"),
                 *([F.count_distinct("condition_name").alias("distinct_conditions_treated")]
@@ -192,8 +193,8 @@ def summary(star: DataFrame, spec: MartSpec = MartSpec(), from_base: bool = Fals
     """Per group: conditional counts, means, price range and the best item, in ONE aggregate.
 
     The best item is the row with the highest effectiveness (nulls last, ties
-    by item name), taken as the minimum of an ordering struct: an aggregate,
-    so no window and no join back.
+    by item name): the minimum of an ordering struct over the pre-aggregate's
+    per-item maxima, an aggregate over small data, so no window and no join.
     """
     b = star if from_base else base(star, spec)
     t, f, n = F.col("drug_type"), F.col("drug_form"), F.col("n_rows")
@@ -203,12 +204,14 @@ def summary(star: DataFrame, spec: MartSpec = MartSpec(), from_base: bool = Fals
 
     forms = [rows_where(f.isin(list(v))).alias(k) for k, v in spec.form_groups.items()]
     if spec.best_by == "row":
-        best_item = F.min("best").getField("i")
+        # best single row = the item with the highest per-item maximum
+        best_item = F.min(F.struct(F.col("e_max").isNull(), -F.col("e_max"),
+                                   F.col("drug_name"))).getField("drug_name")
     elif spec.best_by == "mean":
         best_item = F.min(F.struct(F.col("item_mean").isNull(), -F.col("item_mean"),
                                    F.col("drug_name"))).getField("drug_name")
         item_mean = (b.groupBy("condition_name", "drug_name")
-                     .agg(_mean("e").alias("item_mean")))
+                     .agg(_mean("e", spec).alias("item_mean")))
         b = b.join(item_mean, ["condition_name", "drug_name"], "left")
     else:
         raise ValueError("best_by must be 'row' or 'mean'")
@@ -217,14 +220,14 @@ def summary(star: DataFrame, spec: MartSpec = MartSpec(), from_base: bool = Fals
                 rows_where(t.isin(list(spec.rx_types))).alias("rx_drugs_count"),
                 rows_where(t.isin(list(spec.otc_types))).alias("otc_drugs_count"),
                 *forms,
-                _mean("e").alias("avg_effectiveness"),
-                _mean("s").alias("avg_satisfaction"),
+                _mean("e", spec).alias("avg_effectiveness"),
+                _mean("s", spec).alias("avg_satisfaction"),
                 best_item.alias("best_drug_by_effectiveness"),
                 *([F.count_distinct("drug_name").alias("distinct_drugs_available")]
                   if spec.distinct_counts else []),
                 F.min("p_min").alias("min_price"),
                 F.max("p_max").alias("max_price"),
-                _mean("p").alias("avg_price"),
+                _mean("p", spec).alias("avg_price"),
                 F.sum("reviews").alias("total_patient_reviews")))
     cols = ["condition_name", "condition_category", "total_drugs_available", "rx_drugs_count",
             "otc_drugs_count", *spec.form_groups.keys(), "avg_effectiveness",
@@ -239,11 +242,11 @@ def all_marts(star: DataFrame, spec: MartSpec = MartSpec(), partitions: int | No
               ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The three marts from one pass over the star.
 
-    The pre-aggregate is checkpointed (reliable, to the session's checkpoint
-    folder): it is small, read three times, and cuts the star's lineage so a
-    lost executor never forces the star join to rerun.
+    The pre-aggregate is written once under the session's checkpoint folder:
+    it is small, read three times, and cuts the star's lineage so a lost
+    executor never forces the star join to rerun.
     """
-    b = base(star, spec).checkpoint(eager=True)
+    b = materialize(base(star, spec), "mart_base")
     return (ranking(b, spec, from_base=True), value(b, spec, partitions, from_base=True),
             summary(b, spec, from_base=True))
 

@@ -62,7 +62,10 @@ def item_dimension(raw_c: DataFrame, clean_c: DataFrame, price_scale: int | None
     then one survivor per key by a total order (a row_number = 1 that Spark
     limits per key before its shuffle).
     """
-    from_raw = (raw_c.groupBy("drug_clean", "drug_type_clean")
+    # min over text has no fixed-width buffer (Spark sorts to aggregate it), so
+    # distinct texts are found first by a keys-only hash aggregate
+    from_raw = (raw_c.select("drug_clean", "drug_type_clean", "information").distinct()
+                .groupBy("drug_clean", "drug_type_clean")
                 .agg(F.min("information").alias("drug_information")))
     from_clean = (clean_c.groupBy("drug_clean", "drug_type_clean", "form")
                   .agg(exact_avg("price", price_scale).alias("average_price"),

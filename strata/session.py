@@ -78,3 +78,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the checkpoint folder for written intermediate tables."""
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once as parquet under the checkpoint folder and read it back.
+
+    Cuts the lineage (a lost executor never reruns the upstream joins), is
+    computed exactly once (a reliable ``DataFrame.checkpoint`` runs its plan
+    twice: once to count, once to write), and the read-back carries exact
+    sizes, so AQE can choose broadcasts from measured bytes.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
