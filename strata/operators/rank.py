@@ -45,17 +45,22 @@ def largest_group(df: DataFrame, by: Sequence[str]) -> int:
 
 
 def dense_ranks(df: DataFrame, by: Sequence[str], rankings: Mapping[str, str],
-                max_group_rows: int | None = None, partitions: int | None = None) -> DataFrame:
+                max_group_rows: int | None = None, partitions: int | None = None,
+                total_rows: int | None = None) -> DataFrame:
     """Add one dense rank per entry of ``rankings`` (output name -> column, best = highest,
     nulls last), computed within the groups ``by``.
 
     The window form sends each group to one task. With ``max_group_rows`` the
-    largest group is measured first (one aggregate job); when it is above the
-    limit the ranks are computed by ``distributed_dense_rank`` instead, which
-    spreads even a single huge group over many tasks. Without it the caller
-    vouches that groups are bounded.
+    group sizes are bounded first: a known ``total_rows`` within the limit
+    bounds every group for free; otherwise the largest group is measured (one
+    aggregate job). Above the limit the ranks are computed by
+    ``distributed_dense_rank``, which spreads even a single huge group over
+    many tasks. Without ``max_group_rows`` the caller vouches that groups are
+    bounded.
     """
-    if max_group_rows is not None and largest_group(df, by) > max_group_rows:
+    if (max_group_rows is not None
+            and (total_rows is None or total_rows > max_group_rows)
+            and largest_group(df, by) > max_group_rows):
         out = df
         for name, c in rankings.items():
             out = distributed_dense_rank(out, by, c, name, partitions=partitions)
@@ -171,11 +176,23 @@ def global_position(df: DataFrame, order: Sequence[Column | str], position: str
 
 
 def with_percentiles(df: DataFrame, specs: Mapping[str, Sequence[Column | str]],
-                     partitions: int | None = None) -> DataFrame:
+                     partitions: int | None = None, total_rows: int | None = None,
+                     max_single_task_rows: int | None = None) -> DataFrame:
     """Add ``int(round(position / total * 100))`` columns, one per ordering.
 
     ``specs`` maps output column -> whole-table ordering (1 = first row).
+    When the caller knows ``total_rows`` and it is within
+    ``max_single_task_rows`` the positions come from a whole-table window
+    (one task, bounded by that proven count, no extra jobs); otherwise from
+    ``global_position``.
     """
+    if (total_rows is not None and max_single_task_rows is not None
+            and total_rows <= max_single_task_rows):
+        out = df.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy()))
+        for name, order in specs.items():
+            pos = F.row_number().over(Window.orderBy(*_cols(order)))
+            out = out.withColumn(name, percentile_of(pos, F.col("__n")))
+        return out.drop("__n")
     out = df
     for name, order in specs.items():
         out = global_position(out, order, position=f"__pos_{name}", total=f"__tot_{name}",

@@ -27,7 +27,7 @@ from ..functions.scoring import (REFERENCE_PRICE_TIER_TOP, REFERENCE_PRICE_TIERS
                                  tier, weighted_score)
 from ..functions.timestamps import ts_lit
 from ..operators.rank import dense_ranks, top_n, with_percentiles
-from ..session import materialize
+from ..session import materialize_counted
 
 STAR_COLUMNS = [
     "condition_name", "condition_category", "drug_name", "drug_type", "drug_form",
@@ -131,9 +131,22 @@ def _stamp(df: DataFrame, spec: MartSpec) -> DataFrame:
     return df.withColumn("last_updated", ts_lit(spec.run_ts))
 
 
-def ranking(star: DataFrame, spec: MartSpec = MartSpec(), from_base: bool = False) -> DataFrame:
-    """Per (group, item, type, form): mean scores, weighted score and three dense ranks."""
-    b = star if from_base else materialize(base(star, spec), "mart_base")
+def _base_of(star: DataFrame, spec: MartSpec, from_base: bool, base_rows: int | None):
+    if from_base:
+        return star, base_rows
+    return materialize_counted(base(star, spec), "mart_base")
+
+
+def ranking(star: DataFrame, spec: MartSpec = MartSpec(), from_base: bool = False,
+            base_rows: int | None = None) -> DataFrame:
+    """Per (group, item, type, form): mean scores, weighted score and three dense ranks.
+
+    The pre-aggregate is written once (its row count observed on the way); a
+    count within ``spec.max_group_rows`` bounds every group, so the ranks use
+    windows with no extra job; otherwise group sizes are checked and huge
+    groups ranked by the distributed form.
+    """
+    b, base_rows = _base_of(star, spec, from_base, base_rows)
     agg = (b.groupBy("condition_name", "drug_name", "drug_type", "drug_form")
            .agg(_mean("e", spec).alias("effectiveness_score"),
                 _mean("u", spec).alias("ease_of_use_score"),
@@ -146,7 +159,7 @@ def ranking(star: DataFrame, spec: MartSpec = MartSpec(), from_base: bool = Fals
         "effectiveness_rank": "effectiveness_score",
         "satisfaction_rank": "satisfaction_score",
         "overall_rank": "overall_score",
-    }, max_group_rows=spec.max_group_rows)
+    }, max_group_rows=spec.max_group_rows, total_rows=base_rows)
     cols = ["condition_name", "drug_name", "drug_type", "drug_form",
             "effectiveness_score", "ease_of_use_score", "satisfaction_score", "overall_score",
             "effectiveness_rank", "satisfaction_rank", "overall_rank",
@@ -155,13 +168,15 @@ def ranking(star: DataFrame, spec: MartSpec = MartSpec(), from_base: bool = Fals
 
 
 def value(star: DataFrame, spec: MartSpec = MartSpec(), partitions: int | None = None,
-          from_base: bool = False) -> DataFrame:
+          from_base: bool = False, base_rows: int | None = None) -> DataFrame:
     """Per (item, type): means, price tier, value score and two whole-table percentiles.
 
-    Percentiles come from ``global_position`` (no single-partition window); ties
-    are broken by item then type so reruns agree.
+    Percentiles come from ``global_position`` (range-partitioned, no
+    single-task window) unless the pre-aggregate's observed row count proves
+    the input within ``spec.max_group_rows``, when a whole-table window is the
+    cheaper exact plan. Ties are broken by item then type so reruns agree.
     """
-    b = star if from_base else base(star, spec)
+    b, base_rows = _base_of(star, spec, from_base, base_rows)
     agg = (b.groupBy("drug_name", "drug_type")
            .agg(_mean("e", spec).alias("avg_effectiveness"),
                 _mean("u", spec).alias("avg_ease_of_use"),
@@ -180,7 +195,7 @@ def value(star: DataFrame, spec: MartSpec = MartSpec(), partitions: int | None =
     out = with_percentiles(agg, {
         "price_percentile": [F.col("average_price").asc_nulls_first(), *ties],
         "performance_percentile": [F.col("avg_effectiveness").desc_nulls_last(), *ties],
-    }, partitions=partitions)
+    }, partitions=partitions, total_rows=base_rows, max_single_task_rows=spec.max_group_rows)
     cols = ["drug_name", "drug_type", "price_tier", "average_price", "avg_effectiveness",
             "avg_ease_of_use", "avg_satisfaction", "value_score", "price_percentile",
             "performance_percentile", "total_reviews", "conditions_treated"]
@@ -246,8 +261,9 @@ def all_marts(star: DataFrame, spec: MartSpec = MartSpec(), partitions: int | No
     it is small, read three times, and cuts the star's lineage so a lost
     executor never forces the star join to rerun.
     """
-    b = materialize(base(star, spec), "mart_base")
-    return (ranking(b, spec, from_base=True), value(b, spec, partitions, from_base=True),
+    b, n = materialize_counted(base(star, spec), "mart_base")
+    return (ranking(b, spec, from_base=True, base_rows=n),
+            value(b, spec, partitions, from_base=True, base_rows=n),
             summary(b, spec, from_base=True))
 
 

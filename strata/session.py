@@ -88,6 +88,14 @@ def materialize(df, name: str = "stage"):
     twice: once to count, once to write), and the read-back carries exact
     sizes, so AQE can choose broadcasts from measured bytes.
     """
+    return materialize_counted(df, name)[0]
+
+
+def materialize_counted(df, name: str = "stage"):
+    """``materialize`` plus the number of rows written, observed during the write."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path), int(obs.get["rows"])
