@@ -558,9 +558,13 @@ def q_scd2_off(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _silver_inputs(spark: SparkSession, d: str):
-    raw = with_lineage(analogs.raw_feed(spark, d), analogs.FEED_RUN_TS, source_file="raw_feed")
-    clean = with_lineage(analogs.clean_feed(spark, d), analogs.FEED_RUN_TS,
-                         source_file="clean_feed")
+    """The two bronze feeds, written once (as the pipeline's bronze tables are)
+    and read by the dimension and fact jobs, then cleansed."""
+    from strata.session import materialize
+    raw = materialize(with_lineage(analogs.raw_feed(spark, d), analogs.FEED_RUN_TS,
+                                   source_file="raw_feed"), "bronze_raw")
+    clean = materialize(with_lineage(analogs.clean_feed(spark, d), analogs.FEED_RUN_TS,
+                                     source_file="clean_feed"), "bronze_clean")
     return star.cleanse_raw(raw), star.cleanse_clean(clean)
 
 

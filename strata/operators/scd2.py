@@ -15,8 +15,9 @@ Semantics (as the original, with the hazards it leaves open fixed):
   kept (the original dropped it).
 
 Plan: current history rows and the snapshot meet in ONE full outer join on the
-business keys (two hash exchanges, no other shuffle); the outcome of each key
-is an ``inline`` of 1 or 2 structs; closed rows bypass the join through a
+business keys (two hash exchanges, no other shuffle); each key's outcome is a
+flat ``CASE``, a changed key is duplicated by a two-element ``explode``, and
+every output column is one ``when``; closed rows bypass the join through a
 union. Rows with a null key never match and are routed around the join, so
 they cannot pile into the single partition nulls hash to.
 """
@@ -126,66 +127,68 @@ def merge(history: DataFrame, snapshot: DataFrame, spec: Scd2Spec, as_of: date,
     data_cols = snap_cols + extra
     types = {c: snap_types.get(c, hist_types.get(c)) for c in data_cols}
     eff, end, cur = spec.effective, spec.end, spec.current
-
-    def hist_row(src: DataFrame | None = None) -> list[Column]:
-        return ([(F.col(c) if c in hist_types else F.lit(None)).cast(types[c]).alias(c)
-                 for c in data_cols]
-                + [F.col(eff).cast("date").alias(eff), F.col(end).cast("date").alias(end),
-                   _is_current(spec).alias(cur)])
-
-    def snap_row(s: Column | None = None) -> list[Column]:
-        get = (lambda c: s.getField(c)) if s is not None else F.col
-        return ([(get(c) if c in snap_types else F.lit(None)).cast(types[c]).alias(c)
-                 for c in data_cols]
-                + [F.lit(as_of).cast("date").alias(eff), F.lit(None).cast("date").alias(end),
-                   F.lit(True).alias(cur)])
-
     out_cols = data_cols + spec.meta
+    day = F.lit(as_of).cast("date")
     kind = "__scd2_kind"
-    null_key_h = _any_null(spec.keys)
+
+    def hist_cols(prefix: str = "") -> list[Column]:
+        return ([(F.col(c) if c in hist_types else F.lit(None)).cast(types[c])
+                 .alias(prefix + c) for c in data_cols]
+                + [F.col(eff).cast("date").alias(prefix + eff),
+                   F.col(end).cast("date").alias(prefix + end),
+                   _is_current(spec).alias(prefix + cur)])
+
+    def snap_cols_as(prefix: str = "") -> list[Column]:
+        return [(F.col(c) if c in snap_types else F.lit(None)).cast(types[c]).alias(prefix + c)
+                for c in data_cols]
 
     # closed versions and null-key rows never take part in the join
-    past = history.filter(~_is_current(spec)).select(*hist_row(), F.lit(HISTORY).alias(kind))
+    null_key = _any_null(spec.keys)
+    past = history.filter(~_is_current(spec)).select(*hist_cols(), F.lit(HISTORY).alias(kind))
     current = history.filter(_is_current(spec))
-    cur_null = current.filter(null_key_h).select(*hist_row(), F.lit(MISSING).alias(kind))
-    current = current.filter(~null_key_h)
-    snap_null = snapshot.filter(_any_null(spec.keys))
-    snapshot = snapshot.filter(~_any_null(spec.keys))
-
-    s = snapshot.select(*[F.col(k).alias(f"__sk{i}") for i, k in enumerate(spec.keys)],
-                        F.struct(*[F.col(c) for c in snap_cols]).alias("__s"))
-    h = current.select(*[F.col(k).alias(f"__hk{i}") for i, k in enumerate(spec.keys)],
-                       F.struct(*hist_row()).alias("__h"))
+    cur_null = current.filter(null_key).select(*hist_cols(), F.lit(MISSING).alias(kind))
+    snap_null = snapshot.filter(null_key)
+
+    # one full outer join of flat, prefixed columns
+    s = snapshot.filter(~null_key).select(*snap_cols_as("__s_"), F.lit(True).alias("__s_in"))
+    h = current.filter(~null_key).select(*hist_cols("__h_"), F.lit(True).alias("__h_in"))
     cond = None
-    for i in range(len(spec.keys)):
-        t = F.col(f"__sk{i}") == F.col(f"__hk{i}")
+    for k in spec.keys:
+        t = F.col(f"__s_{k}") == F.col(f"__h_{k}")
         cond = t if cond is None else (cond & t)
     joined = s.join(h, cond, "full_outer")
 
-    sv, hv = F.col("__s"), F.col("__h")
-
-    def tagged(fields: list[Column], label: str) -> Column:
-        return F.struct(*fields, F.lit(label).alias(kind))
-
-    kept = [hv.getField(c).alias(c) for c in out_cols]
-    new_row = snap_row(sv)
-    expired = ([hv.getField(c).alias(c) for c in data_cols]
-               + [hv.getField(eff).alias(eff), F.lit(as_of).cast("date").alias(end),
-                  F.lit(False).alias(cur)])
-    if close_missing:
-        on_missing = F.array(tagged(expired, CLOSED_MISSING))
-    else:
-        on_missing = F.array(tagged(kept, MISSING))
-    outcome = (F.when(hv.isNull(), F.array(tagged(new_row, NEW)))
-               .when(sv.isNull(), on_missing)
-               .when(change_predicate(sv, hv, spec.tracked),
-                     F.array(tagged(expired, EXPIRED), tagged(new_row, CHANGED)))
-               .otherwise(F.array(tagged(kept, UNCHANGED))))
-    merged = joined.select(F.inline(outcome))
+    changed = None
+    for c in spec.tracked:
+        t = ~F.col(f"__s_{c}").eqNullSafe(F.col(f"__h_{c}"))
+        changed = t if changed is None else (changed | t)
+    outcome = (F.when(F.col("__h_in").isNull(), F.lit(NEW))
+               .when(F.col("__s_in").isNull(),
+                     F.lit(CLOSED_MISSING if close_missing else MISSING))
+               .when(changed, F.lit(EXPIRED))
+               .otherwise(F.lit(UNCHANGED)))
+    # a changed key yields two rows: the closed old version and the new one
+    classified = joined.withColumn("__o", outcome).withColumn(
+        "__copy", F.explode(F.when(F.col("__o") == EXPIRED, F.array(F.lit(0), F.lit(1)))
+                            .otherwise(F.array(F.lit(0)))))
+    o, copy = F.col("__o"), F.col("__copy")
+    take_snap = (o == NEW) | ((o == EXPIRED) & (copy == 1))
+    closing = ((o == EXPIRED) & (copy == 0)) | (o == CLOSED_MISSING)
+    merged = classified.select(
+        *[F.when(take_snap, F.col(f"__s_{c}")).otherwise(F.col(f"__h_{c}")).alias(c)
+          for c in data_cols],
+        F.when(take_snap, day).otherwise(F.col(f"__h_{eff}")).alias(eff),
+        F.when(take_snap, F.lit(None).cast("date")).when(closing, day)
+        .otherwise(F.col(f"__h_{end}")).alias(end),
+        F.when(take_snap, F.lit(True)).when(closing, F.lit(False))
+        .otherwise(F.col(f"__h_{cur}")).alias(cur),
+        F.when((o == EXPIRED) & (copy == 1), F.lit(CHANGED)).otherwise(o).alias(kind))
 
     parts = [past, merged, cur_null]
     if null_keys == "append":
-        parts.append(snap_null.select(*snap_row(), F.lit(NEW).alias(kind)))
+        parts.append(snap_null.select(*snap_cols_as(), day.alias(eff),
+                                      F.lit(None).cast("date").alias(end), F.lit(True).alias(cur),
+                                      F.lit(NEW).alias(kind)))
     result = parts[0]
     for p in parts[1:]:
         result = result.unionByName(p)
