@@ -1,6 +1,7 @@
 """Pipeline configuration: the original JSON layout, validated into frozen dataclasses.
 
-Unknown keys are errors (a typo must not silently disable SCD2). Keys the
+Unknown keys are errors (a typo must not silently disable SCD2); one key is
+added to the original layout, ``pipeline.bucket_count``. Keys the
 original declares but no job reads (``pipeline.bronze_batch_size``,
 ``schedule``, ``project``) are accepted and ignored: Spark sizes its own scan
 splits, and scheduling belongs to the job runner.
@@ -17,7 +18,8 @@ _TOP = {"project", "unity_catalog", "data_files", "pipeline", "scd2", "tables",
 _LAYERS = ("landing", "bronze", "silver", "gold")
 _SCD2_KEYS = {"enabled", "tracked_tables", "business_keys", "tracked_columns",
               "effective_date_column", "end_date_column", "is_current_column"}
-_PIPELINE_KEYS = {"bronze_batch_size", "enable_quality_checks", "enable_quarantine"}
+_PIPELINE_KEYS = {"bronze_batch_size", "enable_quality_checks", "enable_quarantine",
+                  "bucket_count"}
 
 
 class ConfigError(ValueError):
@@ -57,6 +59,9 @@ class PipelineConfig:
     scd2: Scd2Config
     quality_checks: bool = True
     quarantine: bool = False
+    # > 0: the fact and the item dimension are written in this many buckets on
+    # the item key, so the gold star join reads them co-located (no shuffle)
+    bucket_count: int = 0
     prefix: str | None = None  # database name prefix; default "<catalog>_"
     extra: dict = field(default_factory=dict)
 
@@ -98,6 +103,7 @@ class PipelineConfig:
                 is_current_column=s.get("is_current_column", "is_current")),
             quality_checks=bool(pipe.get("enable_quality_checks", True)),
             quarantine=bool(pipe.get("enable_quarantine", False)),
+            bucket_count=int(pipe.get("bucket_count", 0)),
             prefix=prefix,
             extra={k: d[k] for k in ("project", "schedule") if k in d},
         )

@@ -96,8 +96,10 @@ def run_silver(spark: SparkSession, cfg: PipelineConfig, run_ts: datetime,
     # item_dimension keeps one row per key by construction: no validation job
     dim = scd2.apply(history, items, spec, as_of, enabled=spec is not None, validate=False,
                      observation=obs if history is not None else None)
+    buckets = (cfg.bucket_count, ["drug_key"]) if cfg.bucket_count > 0 else None
     out["dim_drugs"] = tables.replace_table(dim, dname,
-                                            contract("dim_drugs") if spec else None)
+                                            contract("dim_drugs") if spec else None,
+                                            bucket_by=buckets)
     note = "dimension with SCD2 tracking" if spec else "dimension (no SCD2)"
     if history is not None:
         note += f"; outcomes {obs.get}"
@@ -122,7 +124,7 @@ def run_silver(spark: SparkSession, cfg: PipelineConfig, run_ts: datetime,
 
     fname = cfg.table("silver", "fact_drug_performance")
     out["fact_drug_performance"] = tables.replace_table(
-        star.fact(raw_c, clean_c), fname, contract("fact_drug_performance"))
+        star.fact(raw_c, clean_c), fname, contract("fact_drug_performance"), bucket_by=buckets)
     dup = star.duplicate_keys(spark.table(fname), "performance_key").first()
     status, note = SUCCESS, "fact table"
     if dup["repeated_keys"]:

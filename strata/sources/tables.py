@@ -45,10 +45,14 @@ def recover(spark: SparkSession, name: str) -> str | None:
 
 def replace_table(df: DataFrame, name: str, schema: StructType | None = None,
                   partition_by: list[str] | None = None,
+                  bucket_by: tuple[int, list[str]] | None = None,
                   observation: Observation | None = None) -> int:
     """Replace table ``name`` by ``df``; returns the number of rows written.
 
     ``schema`` (a contract) is checked before anything is written.
+    ``bucket_by=(n, cols)`` writes ``n`` buckets hashed and sorted on ``cols``:
+    two tables bucketed the same way on their join key are joined without
+    shuffling either side.
     """
     spark = df.sparkSession
     if schema is not None:
@@ -59,6 +63,9 @@ def replace_table(df: DataFrame, name: str, schema: StructType | None = None,
     w = observed.write.mode("overwrite").format(TABLE_FORMAT)
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if bucket_by:
+        n, cols = bucket_by
+        w = w.bucketBy(n, *cols).sortBy(*cols)
     w.saveAsTable(name + STAGE)
     if exists(spark, name):
         spark.sql(f"ALTER TABLE {name} RENAME TO {name}{OLD}")

@@ -50,3 +50,29 @@ def test_two_runs(spark, scratch):
     assert {r["drug_name"] for r in rank} == {"aspirin", "cream1"}
     audit = spark.table(cfg.table("landing", "metadata_tracking")).collect()
     assert len(audit) == 2 * 11 and all(r["status"] in ("success", "warning") for r in audit)
+
+
+def test_bucketed_star_join_needs_no_fact_shuffle(spark, scratch):
+    from strata.operators import scd2
+    from strata.plans import star
+    vol = f"{scratch}/volume"
+    d = default_config_dict(vol)
+    d["pipeline"]["bucket_count"] = 4
+    cfg = PipelineConfig.from_dict(d, prefix="t_bkt_")
+    _write(f"{vol}/Drug.csv", RAW)
+    _write(f"{vol}/Drug_clean.csv", CLEAN_1)
+    pipeline.ensure_databases(spark, cfg, f"{scratch}/wh")
+    pipeline.run_bronze(spark, cfg, datetime(2024, 1, 1))
+    pipeline.run_silver(spark, cfg, datetime(2024, 1, 1), date(2024, 1, 1))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        items = scd2.current_view(spark.table(cfg.table("silver", "dim_drugs")),
+                                  cfg.scd2_spec("dim_drugs"))
+        fact = spark.table(cfg.table("silver", "fact_drug_performance"))
+        j = fact.join(items, "drug_key")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert j.count() == fact.count()
+        assert star is not None
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
