@@ -69,6 +69,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     d = checkpoint_dir(spark)
     if d:
         return d
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage: intermediate "
+                           "stages are written there and must survive executor loss")
     base = tempfile.mkdtemp(prefix="strata-ckpt-")
     spark.sparkContext.setCheckpointDir(base)
     return spark.sparkContext.getCheckpointDir()
