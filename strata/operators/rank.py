@@ -114,7 +114,9 @@ def best(item: str, measure: str, descending: bool = True) -> Column:
     """Aggregate: the item with the best measure in the group, ties by item ascending.
 
     Rows with a null measure rank last, so an all-null group still yields an item.
-    ``measure`` must be numeric (it is negated for the descending order).
+    ``measure`` must be numeric (it is negated for the descending order). Its
+    ordering struct is not fixed-width, so Spark aggregates it by sorting: use
+    it on pre-aggregated frames, or ``best_per_group`` on fact-sized ones.
     """
     m = F.col(measure)
     key = F.struct(m.isNull().alias("m_null"), (-m if descending else m).alias("m"),
@@ -122,6 +124,19 @@ def best(item: str, measure: str, descending: bool = True) -> Column:
     return F.min_by(F.col(item), key)
 
 
+def best_per_group(df: DataFrame, by: Sequence[str], item: str, measure: str,
+                   descending: bool = True, out: str = "best") -> DataFrame:
+    """One row per group with its best item (as ``best``), in two aggregates.
+
+    The first keeps each item's best measure with a hash aggregate (map-side
+    combined, so a hot group ships one partial row per item and task); only
+    that small result is ordered by ``best``.
+    """
+    agg = F.max if descending else F.min
+    per_item = df.groupBy(*by, item).agg(agg(measure).alias("__m"))
+    return per_item.groupBy(*by).agg(best(item, "__m", descending).alias(out))
+
+
 def top_n(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], n: int,
           kind: str = "row_number", rank_col: str | None = None) -> DataFrame:
     """Keep the first ``n`` rows of each group under ``order``.

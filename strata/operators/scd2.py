@@ -92,11 +92,14 @@ def initial(snapshot: DataFrame, spec: Scd2Spec, as_of: date) -> DataFrame:
         F.lit(True).alias(spec.current))
 
 
-def change_predicate(new: Column, old: Column, tracked: Sequence[str]) -> Column:
-    """True when any tracked field differs, null-aware (null vs value is a change)."""
+def change_predicate(tracked: Sequence[str], new_prefix: str, old_prefix: str) -> Column:
+    """True when any tracked column differs, null-aware (null vs value is a change).
+
+    Compares ``<new_prefix><c>`` with ``<old_prefix><c>`` for every tracked ``c``.
+    """
     out = None
     for c in tracked:
-        t = ~new.getField(c).eqNullSafe(old.getField(c))
+        t = ~F.col(new_prefix + c).eqNullSafe(F.col(old_prefix + c))
         out = t if out is None else (out | t)
     return out
 
@@ -158,10 +161,7 @@ def merge(history: DataFrame, snapshot: DataFrame, spec: Scd2Spec, as_of: date,
         cond = t if cond is None else (cond & t)
     joined = s.join(h, cond, "full_outer")
 
-    changed = None
-    for c in spec.tracked:
-        t = ~F.col(f"__s_{c}").eqNullSafe(F.col(f"__h_{c}"))
-        changed = t if changed is None else (changed | t)
+    changed = change_predicate(spec.tracked, "__s_", "__h_")
     outcome = (F.when(F.col("__h_in").isNull(), F.lit(NEW))
                .when(F.col("__s_in").isNull(),
                      F.lit(CLOSED_MISSING if close_missing else MISSING))

@@ -75,13 +75,12 @@ def replace_table(df: DataFrame, name: str, schema: StructType | None = None,
 
 
 def append_table(df: DataFrame, name: str, schema: StructType | None = None) -> int:
-    spark = df.sparkSession
+    """Append ``df`` to ``name`` (created if missing); returns the rows written."""
     if schema is not None:
         check(df, schema)
     obs = Observation(f"append_{uuid.uuid4().hex[:8]}")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append") \
         .format(TABLE_FORMAT).saveAsTable(name)
-    del spark
     return int(obs.get["rows"])
 
 

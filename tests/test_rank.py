@@ -90,3 +90,12 @@ def test_dense_ranks_switch_on_group_size(spark):
     assert "Window" in plan(small) and "Window" not in plan(big)
     assert sorted(tuple(r) for r in small.select("id", "r").collect()) == \
         sorted(tuple(r) for r in big.select("id", "r").collect())
+
+
+def test_best_per_group_two_level(spark):
+    from strata.operators.rank import best_per_group
+    df = spark.createDataFrame([("g", "b", 5.0), ("g", "a", 5.0), ("g", "c", 1.0),
+                                ("h", "z", None), ("h", "y", None), ("g", "c", 9.0)],
+                               "g string, i string, m double")
+    out = best_per_group(df, ["g"], "i", "m")
+    assert {r["g"]: r["best"] for r in out.collect()} == {"g": "c", "h": "y"}
