@@ -99,3 +99,31 @@ def test_best_per_group_two_level(spark):
                                "g string, i string, m double")
     out = best_per_group(df, ["g"], "i", "m")
     assert {r["g"]: r["best"] for r in out.collect()} == {"g": "c", "h": "y"}
+
+
+def test_rank_edge_inputs(spark):
+    """FIXTURES rank_in: empty, one row, all equal, 30% nulls, many ties."""
+    from strata.operators.rank import distributed_dense_rank
+    schema = "g string, v double, id long"
+    cases = {
+        "empty": [],
+        "one": [("g", 1.0, 0)],
+        "equal": [("g", 2.0, i) for i in range(50)],
+        "nulls": [("g", None if i % 10 < 3 else float(i % 7), i) for i in range(200)],
+        "ties": [("g", float(i % 50), i) for i in range(5000)],
+    }
+    for name, rows in cases.items():
+        df = spark.createDataFrame(rows, schema)
+        order = [F.col("v").desc_nulls_last(), F.col("id")]
+        got = {r["id"]: r["position"] for r in
+               global_position(df, order, partitions=3).select("id", "position").collect()}
+        want = {r["id"]: r["p"] for r in
+                df.select("id", F.row_number().over(Window.orderBy(*order)).alias("p")).collect()}
+        assert got == want, name
+        d = {r["id"]: r["r"] for r in
+             distributed_dense_rank(df, ["g"], "v", "r", partitions=3).select("id", "r").collect()}
+        w = {r["id"]: r["r"] for r in df.select("id", F.dense_rank().over(
+            Window.partitionBy("g").orderBy(F.col("v").desc_nulls_last())).alias("r")).collect()}
+        assert d == w, name
+    empty = spark.createDataFrame([], schema)
+    assert with_percentiles(empty, {"p": [F.col("v")]}, partitions=2).count() == 0
