@@ -558,13 +558,11 @@ def q_scd2_off(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _silver_inputs(spark: SparkSession, d: str):
-    """The two bronze feeds, written once (as the pipeline's bronze tables are)
-    and read by the dimension and fact jobs, then cleansed."""
-    from strata.session import materialize
-    raw = materialize(with_lineage(analogs.raw_feed(spark, d), analogs.FEED_RUN_TS,
-                                   source_file="raw_feed"), "bronze_raw")
-    clean = materialize(with_lineage(analogs.clean_feed(spark, d), analogs.FEED_RUN_TS,
-                                     source_file="clean_feed"), "bronze_clean")
+    """The two bronze feeds (cut from one written extract, as the pipeline's
+    bronze tables are written once) with lineage, cleansed."""
+    raw, clean = analogs.silver_feeds(spark, d)
+    raw = with_lineage(raw, analogs.FEED_RUN_TS, source_file="raw_feed")
+    clean = with_lineage(clean, analogs.FEED_RUN_TS, source_file="clean_feed")
     return star.cleanse_raw(raw), star.cleanse_clean(clean)
 
 

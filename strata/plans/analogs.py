@@ -152,10 +152,17 @@ def load_date(year: int) -> date:
 FEED_RUN_TS = "2024-02-01 00:00:00"
 
 
-def _feed_base(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
-    li = (table(spark, sf_dir, "lineitem").filter(F.col("l_linestatus") == status)
-          .select("l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_quantity",
-                  "l_discount", "l_tax", "l_extendedprice"))
+def feed_source(spark: SparkSession, sf_dir: str, status: str | None = None) -> DataFrame:
+    """Line items with their part and order: the extract both feeds are cut from.
+
+    With ``status`` only that line status is read (pushed to the scan);
+    without it both feeds can be cut from one join (see ``silver_feeds``).
+    """
+    li = table(spark, sf_dir, "lineitem")
+    if status is not None:
+        li = li.filter(F.col("l_linestatus") == status)
+    li = li.select("l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus",
+                   "l_quantity", "l_discount", "l_tax", "l_extendedprice")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus",
                                                    "o_orderpriority")
@@ -163,6 +170,13 @@ def _feed_base(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
             .join(orders, li.l_orderkey == orders.o_orderkey))
 
 
+def silver_feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Both feeds from ONE join of the line items, written once and split by status."""
+    from ..session import materialize
+    src = materialize(feed_source(spark, sf_dir), "feed_source")
+    return raw_feed(spark, sf_dir, src), clean_feed(spark, sf_dir, src)
+
+
 def _type_label(blank_when: F.Column, padded: bool) -> F.Column:
     f = F.col("l_returnflag")
     return (F.when(blank_when, F.lit(None))
@@ -171,9 +185,10 @@ def _type_label(blank_when: F.Column, padded: bool) -> F.Column:
             .otherwise(F.lit("RX/OTC")))
 
 
-def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_feed(spark: SparkSession, sf_dir: str, source: DataFrame | None = None) -> DataFrame:
     f = F.col("l_returnflag")
-    b = _feed_base(spark, sf_dir, "F")
+    b = (feed_source(spark, sf_dir, "F") if source is None
+         else source.filter(F.col("l_linestatus") == "F"))
     return b.select(
         F.when(f == "A", F.upper("p_name")).when(f == "N", F.concat(F.lit("  "), "p_name",
                                                                     F.lit(" ")))
@@ -190,9 +205,10 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def clean_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def clean_feed(spark: SparkSession, sf_dir: str, source: DataFrame | None = None) -> DataFrame:
     f = F.col("l_returnflag")
-    b = _feed_base(spark, sf_dir, "O")
+    b = (feed_source(spark, sf_dir, "O") if source is None
+         else source.filter(F.col("l_linestatus") == "O"))
     return b.select(
         F.when(f == "R", F.lower("p_name")).otherwise(F.col("p_name")).alias("condition"),
         F.col("p_brand").alias("drug"),
@@ -263,5 +279,6 @@ def write_feed_csvs(spark: SparkSession, sf_dir: str, root: str,
     """Write both feeds as CSV folders under ``root`` (the pipeline's volume)."""
     from ..sources.csv import CSV_OPTIONS
     opts = {k: v for k, v in CSV_OPTIONS.items() if k not in ("multiLine", "mode")}
-    for df, name in [(raw_feed(spark, sf_dir), raw_name), (clean_feed(spark, sf_dir), clean_name)]:
+    raw, clean = silver_feeds(spark, sf_dir)
+    for df, name in [(raw, raw_name), (clean, clean_name)]:
         df.write.mode("overwrite").options(**opts).csv(f"{root}/{name}")
