@@ -169,12 +169,14 @@ def global_position(df: DataFrame, order: Sequence[Column | str], position: str
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordering = _cols(order)
     path = scratch_path(spark, "position")
-    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    owned = not df.is_cached            # never drop a cache the caller made
+    src = df.persist(StorageLevel.MEMORY_AND_DISK) if owned else df
     try:
         (src.repartitionByRange(n, *ordering).sortWithinPartitions(*ordering)
          .write.mode("overwrite").parquet(path))
     finally:
-        src.unpersist()
+        if owned:
+            src.unpersist()
     frozen = spark.read.parquet(path)
     tagged = frozen.select("*", F.col("_metadata.file_name").alias("__file"),
                            F.col("_metadata.row_index").alias("__row"))

@@ -127,3 +127,11 @@ def test_rank_edge_inputs(spark):
         assert d == w, name
     empty = spark.createDataFrame([], schema)
     assert with_percentiles(empty, {"p": [F.col("v")]}, partitions=2).count() == 0
+
+
+def test_global_position_keeps_callers_cache(spark):
+    df = spark.range(0, 100).cache()
+    df.count()
+    global_position(df, [F.col("id")], partitions=2).count()
+    assert df.is_cached
+    df.unpersist()
