@@ -134,22 +134,28 @@ def merge(history: DataFrame, snapshot: DataFrame, spec: Scd2Spec, as_of: date,
     day = F.lit(as_of).cast("date")
     kind = "__scd2_kind"
 
+    def typed(c: str, have: dict) -> Column:
+        """Column ``c`` in the merged type (a typed null where the side lacks it)."""
+        if c not in have:
+            return F.lit(None).cast(types[c])
+        return F.col(c) if have[c] == types[c] else F.col(c).cast(types[c])
+
     def hist_cols(prefix: str = "") -> list[Column]:
-        return ([(F.col(c) if c in hist_types else F.lit(None)).cast(types[c])
-                 .alias(prefix + c) for c in data_cols]
-                + [F.col(eff).cast("date").alias(prefix + eff),
-                   F.col(end).cast("date").alias(prefix + end),
+        def meta(c: str) -> Column:
+            return F.col(c) if hist_types.get(c) == "date" else F.col(c).cast("date")
+        return ([typed(c, hist_types).alias(prefix + c) for c in data_cols]
+                + [meta(eff).alias(prefix + eff), meta(end).alias(prefix + end),
                    _is_current(spec).alias(prefix + cur)])
 
     def snap_cols_as(prefix: str = "") -> list[Column]:
-        return [(F.col(c) if c in snap_types else F.lit(None)).cast(types[c]).alias(prefix + c)
-                for c in data_cols]
+        return [typed(c, snap_types).alias(prefix + c) for c in data_cols]
 
     # closed versions and null-key rows never take part in the join
     null_key = _any_null(spec.keys)
-    past = history.filter(~_is_current(spec)).select(*hist_cols(), F.lit(HISTORY).alias(kind))
+    as_is = hist_cols()
+    past = history.filter(~_is_current(spec)).select(*as_is, F.lit(HISTORY).alias(kind))
     current = history.filter(_is_current(spec))
-    cur_null = current.filter(null_key).select(*hist_cols(), F.lit(MISSING).alias(kind))
+    cur_null = current.filter(null_key).select(*as_is, F.lit(MISSING).alias(kind))
     snap_null = snapshot.filter(null_key)
 
     # one full outer join of flat, prefixed columns
