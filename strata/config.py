@@ -136,7 +136,7 @@ class PipelineConfig:
                         current=self.scd2.is_current_column)
 
 
-def default_config_dict(volume_path: str, catalog: str = "drug_evaluation") -> dict:
+def default_config_dict(volume_path: str, catalog: str = "analytics") -> dict:
     """A config in the original layout with its table names (fixed values)."""
     return {
         "unity_catalog": {

@@ -85,7 +85,7 @@ def test_audit_append(spark):
 def test_config_validation_and_scd2_switch():
     d = default_config_dict("/v")
     cfg = PipelineConfig.from_dict(d)
-    assert cfg.table("silver", "dim_drugs") == "drug_evaluation_silver.dim_drugs"
+    assert cfg.table("silver", "dim_drugs") == "analytics_silver.dim_drugs"
     assert cfg.scd2_spec("dim_drugs").keys == ("drug_name",)
     assert cfg.scd2_spec("dim_conditions") is None          # enabled but untracked: no SCD2
     d["scd2"]["enabled"] = False
