@@ -265,6 +265,8 @@ def versions(history: DataFrame, spec: Scd2Spec, min_versions: int = 1,
            .withColumn("version_count", F.count(F.lit(1)).over(w)))
     if min_versions > 1:
         out = out.filter(F.col("version_count") >= min_versions)
+    if keys is not None:            # a lookup reads newest first
+        out = out.orderBy(*spec.keys, "version_number")
     return out
 
 
