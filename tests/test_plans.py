@@ -35,3 +35,14 @@ def test_filters_reach_the_scan(spark):
 def test_star_reads_only_needed_columns(spark):
     p = plan(entry.queries()["summary_mart"](spark, SF))
     assert "l_shipdate" not in p and "o_totalprice" not in p and "c_name" not in p
+
+
+def test_fact_sized_aggregates_are_hash_based(spark):
+    """A non-fixed-width buffer (struct, text) would make Spark sort every fact row to
+    aggregate; the star's pre-aggregate and the snapshot aggregate must stay hash-based."""
+    from strata.plans import analogs, marts
+    base = plan(marts.base(analogs.review_star(spark, SF), analogs.analog_mart_spec()))
+    assert "HashAggregate" in base and "SortAggregate" not in base
+    assert "ObjectHashAggregate" not in base
+    snap = plan(analogs.item_snapshot(spark, SF, 1996))
+    assert "SortAggregate" not in snap
