@@ -113,13 +113,19 @@ def _ts(d: date) -> F.Column:
 
 
 def item_snapshot(spark: SparkSession, sf_dir: str, year: int) -> DataFrame:
-    from ..functions.scoring import exact_avg
+    from ..functions.scoring import exact_sum, exact_value
     lo, hi = year_bounds(year)
     li = (table(spark, sf_dir, "lineitem")
           .filter((F.col("l_shipdate") >= _ts(lo)) & (F.col("l_shipdate") < _ts(hi))))
     finished = F.when(F.col("l_linestatus") == "F", F.col("l_extendedprice"))
-    per_item = li.groupBy("l_partkey").agg(F.max("l_returnflag").alias("item_type"),
-                                           exact_avg(finished).alias("average_price"))
+    # text max has no fixed-width buffer (Spark would sort every line item to
+    # aggregate it): hash-aggregate per (item, flag) first, then take the max
+    # flag and finish the exact average over that small result
+    per_flag = li.groupBy("l_partkey", "l_returnflag").agg(
+        exact_sum(finished).alias("p_sum"), F.count(finished).alias("p_cnt"))
+    per_item = per_flag.groupBy("l_partkey").agg(
+        F.max("l_returnflag").alias("item_type"),
+        (exact_value(F.sum("p_sum")) / F.sum("p_cnt")).alias("average_price"))
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
     return per_item.join(part, per_item.l_partkey == part.p_partkey).select(
         F.col("p_partkey").alias("item_key"), F.col("p_name").alias("item_name"),
