@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scoring import percentile_of
-from ..session import scratch_path
+from ..session import write_stage
 
 
 def _cols(cs: Sequence[Column | str]) -> list[Column]:
@@ -168,16 +168,15 @@ def global_position(df: DataFrame, order: Sequence[Column | str], position: str
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordering = _cols(order)
-    path = scratch_path(spark, "position")
     owned = not df.is_cached            # never drop a cache the caller made
     src = df.persist(StorageLevel.MEMORY_AND_DISK) if owned else df
     try:
-        (src.repartitionByRange(n, *ordering).sortWithinPartitions(*ordering)
-         .write.mode("overwrite").parquet(path))
+        table = write_stage(src.repartitionByRange(n, *ordering)
+                            .sortWithinPartitions(*ordering), "position")
     finally:
         if owned:
             src.unpersist()
-    frozen = spark.read.parquet(path)
+    frozen = spark.table(table)
     tagged = frozen.select("*", F.col("_metadata.file_name").alias("__file"),
                            F.col("_metadata.row_index").alias("__row"))
     counts = sorted((r[0], r[1]) for r in tagged.groupBy("__file").count().collect())

@@ -168,7 +168,14 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig, run_ts: datetime, as_
 
     A failing stage appends a ``failed`` audit row with the error, then re-raises.
     """
+    from ..session import scratch_scope
     ensure_databases(spark, cfg, location_root)
+    with scratch_scope(spark):          # written stages are dropped once the run is done
+        return _run_layers(spark, cfg, run_ts, as_of)
+
+
+def _run_layers(spark: SparkSession, cfg: PipelineConfig, run_ts: datetime,
+                as_of: date) -> dict[str, dict[str, int]]:
     result = {}
     for layer, fn in [("bronze", lambda: run_bronze(spark, cfg, run_ts)),
                       ("silver", lambda: run_silver(spark, cfg, run_ts, as_of)),

@@ -83,8 +83,54 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+_SCOPES: list[list[str]] = []
+
+
+def _scratch_db(spark: SparkSession) -> str:
+    """A database for written stages, located under the checkpoint folder."""
+    db = "strata_scratch_" + "".join(ch if ch.isalnum() else "_"
+                                     for ch in spark.sparkContext.applicationId)
+    root = ensure_checkpoint_dir(spark)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}/{db}.db'")
+    return db
+
+
+def write_stage(df, name: str = "stage") -> str:
+    """Write ``df`` as a managed parquet table in the scratch database; returns its name.
+
+    Inside ``scratch_scope`` the table is dropped (files included) when the
+    scope ends; outside one it lives with the checkpoint folder.
+    """
+    spark = df.sparkSession
+    table = f"{_scratch_db(spark)}.{name}_{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").format("parquet").saveAsTable(table)
+    if _SCOPES:
+        _SCOPES[-1].append(table)
+    return table
+
+
+class scratch_scope:
+    """Drop the stages written inside the ``with`` block when it ends.
+
+    Use it around work whose results are written to real tables (a pipeline
+    run); DataFrames that still read a stage must be consumed inside it.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+
+    def __enter__(self):
+        _SCOPES.append([])
+        return self
+
+    def __exit__(self, *exc):
+        for table in _SCOPES.pop():
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        return False
+
+
 def materialize(df, name: str = "stage"):
-    """Write ``df`` once as parquet under the checkpoint folder and read it back.
+    """Write ``df`` once under the checkpoint folder and read it back.
 
     Cuts the lineage (a lost executor never reruns the upstream joins), is
     computed exactly once (a reliable ``DataFrame.checkpoint`` runs its plan
@@ -98,7 +144,6 @@ def materialize_counted(df, name: str = "stage"):
     """``materialize`` plus the number of rows written, observed during the write."""
     from pyspark.sql import Observation
     from pyspark.sql import functions as F
-    path = scratch_path(df.sparkSession, name)
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path), int(obs.get["rows"])
+    table = write_stage(df.observe(obs, F.count(F.lit(1)).alias("rows")), name)
+    return df.sparkSession.table(table), int(obs.get["rows"])

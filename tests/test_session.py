@@ -22,3 +22,18 @@ def test_percentile_paths_agree(spark):
     ranged = with_percentiles(df, spec, partitions=3)
     assert sorted(tuple(r) for r in window.select("id", "pct").collect()) == \
         sorted(tuple(r) for r in ranged.select("id", "pct").collect())
+
+
+def test_scratch_scope_drops_its_stages(spark):
+    from strata.session import materialize, scratch_scope
+    kept = materialize(spark.range(3), "kept")
+    with scratch_scope(spark):
+        inner = materialize(spark.range(5), "inner")
+        assert inner.count() == 5
+        name = inner.inputFiles()[0]
+    assert kept.count() == 3                        # outside the scope: untouched
+    import os
+    local = name.split(":", 1)[-1]
+    while local.startswith("//"):
+        local = local[1:]
+    assert not os.path.exists(local)                # dropped with its files
