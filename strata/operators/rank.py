@@ -20,6 +20,7 @@ Plan notes
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark import StorageLevel
@@ -150,6 +151,18 @@ def top_n(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], n: in
     return out if rank_col else out.drop(name)
 
 
+_MAX_LITERAL_OFFSETS = 1000
+_PART_FILE = re.compile(r"^part-(\d+)-.*?(?:-c(\d+))?(?:\..*)?$")
+
+
+def _file_order(name: str) -> tuple:
+    """Sort key of a written file: task number, then its file counter (c000, c001, ...)."""
+    m = _PART_FILE.match(name)
+    if not m:
+        return (float("inf"), 0, name)
+    return (int(m.group(1)), int(m.group(2) or 0), name)
+
+
 def global_position(df: DataFrame, order: Sequence[Column | str], position: str = "position",
                     total: str | None = "total", partitions: int | None = None) -> DataFrame:
     """1-based position of every row in a whole-table order (and the row count).
@@ -179,13 +192,22 @@ def global_position(df: DataFrame, order: Sequence[Column | str], position: str
     frozen = spark.table(table)
     tagged = frozen.select("*", F.col("_metadata.file_name").alias("__file"),
                            F.col("_metadata.row_index").alias("__row"))
-    counts = sorted((r[0], r[1]) for r in tagged.groupBy("__file").count().collect())
+    counts = sorted(((_file_order(r[0]), r[0], r[1]) for r in
+                     tagged.groupBy("__file").count().collect()))
     offsets, acc = [], 0
-    for name, cnt in counts:
-        offsets += [F.lit(name), F.lit(acc)]
+    for _, name, cnt in counts:
+        offsets.append((name, acc))
         acc += cnt
-    offset = F.element_at(F.create_map(*offsets), F.col("__file")) if offsets else F.lit(0)
-    out = tagged.withColumn(position, (offset + F.col("__row") + 1).cast("long"))
+    if len(offsets) <= _MAX_LITERAL_OFFSETS:
+        flat = [x for name, off in offsets for x in (F.lit(name), F.lit(off))]
+        offset = F.element_at(F.create_map(*flat), F.col("__file")) if flat else F.lit(0)
+        out = tagged.withColumn(position, (offset + F.col("__row") + 1).cast("long"))
+    else:
+        # one row per written file: a proven size bound, so broadcasting it is safe
+        table = spark.createDataFrame(offsets, "__file string, __offset long")
+        out = (tagged.join(F.broadcast(table), "__file")
+               .withColumn(position, (F.col("__offset") + F.col("__row") + 1).cast("long"))
+               .drop("__offset"))
     if total:
         out = out.withColumn(total, F.lit(acc).cast("long"))
     return out.drop("__file", "__row")

@@ -135,3 +135,13 @@ def test_global_position_keeps_callers_cache(spark):
     global_position(df, [F.col("id")], partitions=2).count()
     assert df.is_cached
     df.unpersist()
+
+
+def test_global_position_many_files_uses_offset_table(spark, monkeypatch):
+    import strata.operators.rank as rank
+    monkeypatch.setattr(rank, "_MAX_LITERAL_OFFSETS", 2)
+    df = spark.range(0, 3000).withColumn("v", (F.col("id") * 37) % 101)
+    out = global_position(df, [F.col("v"), F.col("id")], partitions=6)
+    want = {r["id"]: r["p"] for r in df.select(
+        "id", F.row_number().over(Window.orderBy("v", "id")).alias("p")).collect()}
+    assert {r["id"]: r["position"] for r in out.collect()} == want
