@@ -3,6 +3,13 @@
 ``queries()`` maps a name to a callable (spark, sf_dir) -> DataFrame over the
 shared test tables; ``oracle_sql()`` gives the same result as DuckDB SQL over
 views of those tables. Both sides alias every computed column identically.
+
+Layout: the SQL twins come first (building blocks, then one builder per query
+family), the Spark queries after them. Oracle conventions, so that doubles agree
+bit for bit: averages are exact sums divided once; HALF_UP rounding goes through
+the value's shortest text (as Spark rounds); wide decimals convert through text;
+casts to integer truncate; NULLS FIRST/LAST is always spelled out; every
+row_number has a total order.
 """
 
 from __future__ import annotations
