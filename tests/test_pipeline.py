@@ -76,3 +76,18 @@ def test_bucketed_star_join_needs_no_fact_shuffle(spark, scratch):
         assert star is not None
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_pipeline_drops_its_stages(spark, scratch):
+    from strata.session import _scratch_db
+    vol = f"{scratch}/volume"
+    cfg = PipelineConfig.from_dict(default_config_dict(vol), prefix="t_stage_")
+    _write(f"{vol}/Drug.csv", RAW)
+    _write(f"{vol}/Drug_clean.csv", CLEAN_1)
+    db = _scratch_db(spark)
+    before = {t.name for t in spark.catalog.listTables(db)}
+    pipeline.run_pipeline(spark, cfg, datetime(2024, 1, 1), date(2024, 1, 1),
+                          location_root=f"{scratch}/wh")
+    after = {t.name for t in spark.catalog.listTables(db)}
+    assert after <= before
+    assert spark.table(cfg.table("gold", "drug_effectiveness_ranking")).count() > 0
