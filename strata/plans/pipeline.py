@@ -101,10 +101,16 @@ def run_silver(spark: SparkSession, cfg: PipelineConfig, run_ts: datetime,
                                             contract("dim_drugs") if spec else None,
                                             bucket_by=buckets)
     note = "dimension with SCD2 tracking" if spec else "dimension (no SCD2)"
+    status = SUCCESS
     if history is not None:
         note += f"; outcomes {obs.get}"
+        kept = set(history.columns) - set(spec.meta)
+        diff = sorted(kept ^ set(items.columns))
+        if diff:                    # the merge null-filled a changed schema
+            status = WARNING
+            note += f"; columns differ between history and snapshot: {diff}"
     audit.append(AuditRow(cfg.tables["silver"]["dim_drugs"], "bronze tables", out["dim_drugs"],
-                          run_ts, "silver", SUCCESS, note))
+                          run_ts, "silver", status, note))
     if spec and "dim_drugs_history" in cfg.tables["silver"]:
         hname = cfg.table("silver", "dim_drugs_history")
         out["dim_drugs_history"] = tables.replace_table(
