@@ -48,15 +48,19 @@ def review_star(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_returnflag", "l_linestatus", "l_quantity",
         "l_discount", "l_tax", "l_extendedprice")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    # per-order and per-customer derivations run on those (smaller) tables, not per line item
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", leading_int("o_orderpriority").alias("review_count"))
+    cust = table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_mktsegment",
+        categorise("c_mktsegment", SEGMENT_RULES).alias("condition_category"))
     # orders x customer first: the smaller pair, then one join with the line items
     oc = orders.join(cust, orders.o_custkey == cust.c_custkey)
     joined = (li.join(part, li.l_partkey == part.p_partkey)
               .join(oc, li.l_orderkey == oc.o_orderkey))
     return joined.select(
         F.col("c_mktsegment").alias("condition_name"),
-        categorise("c_mktsegment", SEGMENT_RULES).alias("condition_category"),
+        F.col("condition_category"),
         F.col("p_name").alias("drug_name"),
         F.col("l_returnflag").alias("drug_type"),
         F.col("p_type").alias("drug_form"),
@@ -64,7 +68,7 @@ def review_star(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").alias("effectiveness_score"),
         F.col("l_discount").alias("ease_of_use_score"),
         F.col("l_tax").alias("satisfaction_score"),
-        leading_int("o_orderpriority").alias("review_count"),
+        F.col("review_count"),
         F.when(F.col("l_linestatus") == "F", F.col("l_extendedprice")).alias("price"),
     )
 
