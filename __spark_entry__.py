@@ -22,6 +22,14 @@ from strata.operators import quality, scd2
 from strata.functions.keys import with_lineage
 from strata.plans import analogs, marts, star
 
+try:  # the training-data operators may be absent; nothing else depends on them
+    import corpus_pipeline
+    from strata.llm import queries as llm
+except ModuleNotFoundError as e:
+    if e.name not in ("corpus_pipeline", "strata.llm", "strata.llm.queries"):
+        raise
+    corpus_pipeline = llm = None
+
 SF_SMOKE = "/root/testdata/sf0.001"
 
 
@@ -759,6 +767,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "contract_conform": q_contract_conform,
         "audit_latest": q_audit_latest,
         "bronze_incremental": q_bronze_incremental,
+        **({**llm.QUERIES, "pipeline": corpus_pipeline.run} if llm else {}),
     }
 
 
@@ -773,4 +782,6 @@ def oracle_sql() -> dict[str, str]:
         **_scd2_sqls(),
         **_silver_sqls(),
         **_event_sqls(),
+        **(llm.ORACLE_SQL if llm else {}),
+        **({"pipeline": corpus_pipeline.ORACLE_SQL} if llm and corpus_pipeline.ORACLE_SQL else {}),
     }
