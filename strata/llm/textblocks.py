@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BLOCK_BYTES = 2 << 20
+BLOCK_ROWS = 8192
 
 U64 = np.uint64
 
@@ -50,7 +51,7 @@ def blocks(column: pa.Array, size: int | None = None) -> Iterator[Block]:
     data = np.frombuffer(values, np.uint8) if values is not None else np.zeros(0, np.uint8)
     lo = 0
     while lo < n:
-        hi = max(lo + 1, int(np.searchsorted(off, off[lo] + size, "right")) - 1)
+        hi = max(lo + 1, min(lo + BLOCK_ROWS, int(np.searchsorted(off, off[lo] + size, "right")) - 1))
         yield Block(lo, hi, data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo])
         lo = hi
 
