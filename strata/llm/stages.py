@@ -1,6 +1,7 @@
 """The pipeline's stages: each takes (spark, docs, sf_dir) and returns documents.
 
-All but the last return the columns of the documents they were given.
+Each works on whatever its predecessor kept. All but the last return the columns
+of the documents they were given; the last returns the mix.
 """
 
 from __future__ import annotations
@@ -8,17 +9,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import suffix_dedup
-from strata.llm.tables import row_key
+from strata.llm import dart_minhash, decontaminate, fertility, mixing, suffix_dedup
+from strata.llm.tables import row_key, table
+
+_KEY = "__row_key"
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    kept = fertility.judge(docs).filter("kept").select(F.col("rid").alias(_KEY), "lang").distinct()
+    return (docs.withColumn(_KEY, row_key()).withColumn("__lang", F.coalesce(F.col("lang"), F.lit("unknown")))
+            .join(kept.withColumnRenamed("lang", "__lang"), [_KEY, "__lang"], "left_semi").select(*docs.columns))
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return dart_minhash.first_of_each_class(docs)
 
 
 def suffix_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without their repeated 100-byte strings; documents of which nothing is left go.
+    """Texts without the 100-byte strings that also start earlier; a text of which nothing is left goes.
 
-    A document that had no text to begin with stays as it is.
+    ``n_chars`` follows the text. A document that had no text to begin with stays as it is.
     """
-    left = suffix_dedup.remaining(docs).filter("n_removed > 0").select(F.col("rid"), "left").dropDuplicates(["rid"])
-    names = docs.columns
-    return (docs.withColumn("_rid", row_key()).join(left.withColumnRenamed("rid", "_rid"), "_rid", "left")
-            .filter(F.col("left").isNull() | (F.length("left") > 0))
-            .withColumn("text", F.coalesce("left", "text")).select(*names))
+    left = (suffix_dedup.remaining(docs).filter("n_removed > 0")
+            .select(F.col("rid").alias(_KEY), F.col("left").alias("__left")).dropDuplicates([_KEY]))
+    joined = (docs.withColumn(_KEY, row_key()).join(left, _KEY, "left")
+              .filter(F.col("__left").isNull() | (F.length("__left") > 0)))
+    changed = F.col("__left").isNotNull()
+    return joined.select(*(
+        F.when(changed, F.col("__left")).otherwise(F.col("text")).alias("text") if c == "text" else
+        F.when(changed, F.length("__left")).otherwise(F.col("n_chars")).cast(docs.schema[c].dataType).alias(c)
+        if c == "n_chars" else F.col(c) for c in docs.columns))
+
+
+def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no window of the benchmark stands."""
+    return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents of the mix, with how often each is used."""
+    return mixing.select_documents(docs)
