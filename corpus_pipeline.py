@@ -12,7 +12,11 @@ from strata.llm import stages
 from strata.llm.tables import stage, table
 
 STAGES = [
+    ("quality_rules", stages.quality_stage),
+    ("near_dedup", stages.near_dedup_stage),
     ("suffix_dedup", stages.suffix_dedup_stage),
+    ("decontaminate", stages.decontaminate_stage),
+    ("mix", stages.mixing_stage),
 ]
 
 #: the stages use a tokenizer's vocabulary, signatures and byte-level repeats, which SQL cannot express
