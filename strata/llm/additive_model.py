@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import textblocks as tb
 from strata.llm.tables import row_key
-from strata.llm.textstats import SYMBOLS, Words, duplicate_lines, groups_of, repeated_window_words
+from strata.llm.textstats import SYMBOLS, Words, distinct_per_row, duplicate_lines, repeated_window_words
 
 SAMPLE = 20_000
 BINS, COARSE = 64, 12
@@ -52,25 +52,34 @@ _MARK = tb.byte_class([c for c in range(33, 127) if not chr(c).isalnum()])
 _HIGH = tb.byte_class(range(128, 256))
 
 
+def byte_counts(block: tb.Block) -> np.ndarray:
+    """How often each byte stands in each row, (rows, 256)."""
+    out = np.zeros((block.n, 256), np.int64)
+    for i, (lo, hi) in enumerate(zip(block.starts[:-1].tolist(), block.starts[1:].tolist())):
+        out[i] = np.bincount(block.data[lo:hi], minlength=256)
+    return out
+
+
 def features(block: tb.Block) -> np.ndarray:
     """A (rows, features) array of a block."""
     words = Words(block)
     n = block.n
     size = np.diff(block.starts).astype(float)
     count = words.n.astype(float)
-    per = lambda members: tb.per_row(members[block.data], block.starts) / np.maximum(size, 1)
-    letters = tb.per_row((_UPPER | _LOWER | _HIGH)[block.data], block.starts)
+    seen = byte_counts(block)
+    count_of = lambda members: seen[:, members].sum(1)
+    per = lambda members: count_of(members) / np.maximum(size, 1)
+    letters = count_of(_UPPER | _LOWER | _HIGH)
     same = np.zeros(len(words.names), bool)
     same[1:] = (words.names[1:] == words.names[:-1]) & (words.row[1:] == words.row[:-1])
-    order, starts, _ = groups_of(words.row, words.names)
-    distinct = np.bincount(words.row[order[starts]], minlength=n)
-    lines = tb.per_row(block.data == 10, block.starts) + 1
+    distinct = distinct_per_row(words.row, words.names, n)
+    lines = seen[:, 10] + 1
     letter_sums = np.concatenate(([0], np.cumsum((_UPPER | _LOWER | _HIGH)[block.data])))
     bare = letter_sums[words.hi] == letter_sums[words.lo]
     some = np.maximum(count, 1)
     return np.column_stack([
         np.log1p(size), np.log1p(count), tb.per_row(words.inside, block.starts) / some, per(SYMBOLS),
-        tb.per_row(_UPPER[block.data], block.starts) / np.maximum(letters, 1), per(_DIGIT), per(_MARK),
+        count_of(_UPPER) / np.maximum(letters, 1), per(_DIGIT), per(_MARK),
         per(tb.byte_class(b"!")), per(tb.byte_class(b"|")), per(_HIGH), per(tb.SPACE),
         tb.per_row(same, words.first) / some, distinct / some, duplicate_lines(words) / lines,
         repeated_window_words(words) / some, np.log1p(count / lines), tb.per_row(bare, words.first) / some])

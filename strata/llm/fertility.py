@@ -68,6 +68,37 @@ SCRIPTS = (
 )
 
 
+class WordCache:
+    """Token ids of words met before, by name: a table of one word a slot, bounded in memory."""
+
+    SLOTS, TOKENS = 1 << 19, 1 << 22
+
+    def __init__(self):
+        self.name = np.zeros(self.SLOTS, tb.U64)
+        self.start = np.zeros(self.SLOTS, np.int64)
+        self.size = np.zeros(self.SLOTS, np.int64)
+        self.bpe = np.zeros(self.SLOTS, np.int64)
+        self.flat = np.zeros(self.TOKENS, np.int32)
+        self.used = 0
+
+    def slots(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = (names & tb.U64(self.SLOTS - 1)).astype(np.int64)
+        return at, self.name[at] == names
+
+    def put(self, names: np.ndarray, flat: np.ndarray, size: np.ndarray, bpe: np.ndarray) -> None:
+        if self.used + len(flat) > self.TOKENS:
+            if len(flat) > self.TOKENS:
+                return
+            self.name[:] = 0
+            self.used = 0
+        at, _ = self.slots(names)
+        self.flat[self.used:self.used + len(flat)] = flat
+        self.name[at], self.size[at], self.bpe[at] = names, size, bpe
+        self.start[at] = self.used + np.cumsum(size) - size
+        # of words that share a slot only the last written is right in all columns
+        self.used += len(flat)
+
+
 class Vocabularies:
     """The two tokenisers, loaded once in a Python worker."""
 
@@ -81,6 +112,7 @@ class Vocabularies:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         # words come one by one, so only the split of a word from its space matters
         self.bpe = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+        self.known = WordCache()
         n = self.pieces.get_piece_size()
         self.is_byte = np.fromiter((self.pieces.is_byte(i) for i in range(n)), bool, n)
 
@@ -101,8 +133,8 @@ def _encoded(words: list[bytes], voc: Vocabularies):
     ids = voc.pieces.encode(parts, num_threads=1)
     size = np.fromiter(map(len, ids), np.int64, len(ids))
     flat = np.fromiter(itertools.chain.from_iterable(ids), np.int64, int(size.sum()))
-    bpe = np.fromiter(map(len, voc.bpe.encode_ordinary_batch([" " + p for p in parts], num_threads=1)),
-                      np.int64, len(parts))
+    encode = voc.bpe.encode_ordinary
+    bpe = np.fromiter((len(encode(" " + p)) for p in parts), np.int64, len(parts))
     owner = np.array(owner, np.int64)
     return flat, np.bincount(owner, size, len(words)).astype(np.int64), np.bincount(owner, bpe, len(words)).astype(np.int64)
 
@@ -113,16 +145,25 @@ def _tokens(words: Words, voc: Vocabularies):
     if not len(words.names):
         z = np.zeros(n, np.int64)
         return z, z, z, np.zeros(n)
-    _, index, back = np.unique(words.names, return_index=True, return_inverse=True)
-    data = words.block.data.tobytes()
-    flat, size, bpe = _encoded([data[a:b] for a, b in zip(words.lo[index].tolist(), words.hi[index].tolist())], voc)
-    start = np.cumsum(size) - size
+    names, index, back = np.unique(words.names, return_index=True, return_inverse=True)
+    at, hit = voc.known.slots(names)
+    size, bpe = voc.known.size[at], voc.known.bpe[at]
+    token = np.concatenate((voc.known.flat[:voc.known.used], np.zeros(0, np.int32)))
+    start = voc.known.start[at]
+    new = np.flatnonzero(~hit)
+    if len(new):
+        data = words.block.data.tobytes()
+        lo, hi = words.lo[index[new]].tolist(), words.hi[index[new]].tolist()
+        flat, size[new], bpe[new] = _encoded([data[a:b] for a, b in zip(lo, hi)], voc)
+        start[new] = len(token) + np.cumsum(size[new]) - size[new]
+        token = np.concatenate((token, flat.astype(np.int32)))
+        voc.known.put(names[new], flat, size[new], bpe[new])
     own = size[back]
     row = np.repeat(words.row, own)
-    token = flat[np.repeat(start[back], own) + np.arange(len(row)) - np.repeat(np.cumsum(own) - own, own)]
+    token = token[np.repeat(start[back], own) + np.arange(len(row)) - np.repeat(np.cumsum(own) - own, own)]
     pieces = np.bincount(row, minlength=n)
     fallback = np.bincount(row[voc.is_byte[token]], minlength=n)
-    key = np.sort((row << 20) | token)
+    key = np.sort((row << 20) | token.astype(np.int64))
     new = np.ones(len(key), bool)
     new[1:] = key[1:] != key[:-1]
     f = np.flatnonzero(new)

@@ -105,7 +105,8 @@ def audit(reference: DataFrame, replica: DataFrame, records: int = RECORDS, fano
 
     status: ``altered`` (other bytes), ``missing`` and ``extra`` (in one replica
     only), ``copies`` (another number of copies), ``moved`` (same bytes at another
-    offset, behind one of the others).
+    offset, behind one of the others). On a side without the record: begin -1, length
+    and copies 0, an empty digest.
     """
     first, second = (stage(_entries(x, records), "records") for x in (reference, replica))
     splits = (first.groupBy("ids").agg(F.count("*").alias("n")).filter(F.col("n") > 4 * records)
@@ -127,8 +128,10 @@ def audit(reference: DataFrame, replica: DataFrame, records: int = RECORDS, fano
     status = (F.when(F.col("digest_b").isNull(), "missing").when(F.col("digest_a").isNull(), "extra")
               .when(F.col("digest_a") != F.col("digest_b"), "altered")
               .when(F.col("copies_a") != F.col("copies_b"), "copies").otherwise("moved"))
-    return pair.select("container", "page_id", "url", "nth", status.alias("status"), "begin_a", "begin_b",
-                       "length_a", "length_b", "copies_a", "copies_b", "digest_a", "digest_b")
+    none = {"begin": F.lit(-1), "length": F.lit(0), "copies": F.lit(0), "digest": F.lit("")}
+    return pair.select("container", "page_id", "url", F.col("nth").cast("long"), status.alias("status"),
+                       *(F.coalesce(F.col(f"{c}_{s}"), v.cast("string" if c == "digest" else "long")).alias(f"{c}_{s}")
+                         for c, v in none.items() for s in ("a", "b")))
 
 
 def damaged(pages: DataFrame) -> DataFrame:
@@ -153,7 +156,7 @@ def oracle_sql(records: int = RECORDS) -> str:
 {name}_c AS (SELECT *, ids || CASE WHEN parts IS NULL THEN '' ELSE '/' || (('0x' || digest[1:7])::BIGINT % parts) END AS container
   FROM {name}_e LEFT JOIN splits USING (ids)),
 {name} AS (SELECT container, page_id, url, digest, length, copies,
-  row_number() OVER (PARTITION BY container ORDER BY length(page_id), page_id, url, digest) - 1 AS at,
+  row_number() OVER (PARTITION BY container ORDER BY length(page_id), page_id, url, digest) - 1 AS pos,
   row_number() OVER (PARTITION BY container, page_id, url ORDER BY digest) AS nth,
   (sum(length * copies) OVER (PARTITION BY container ORDER BY length(page_id), page_id, url, digest)
     - length * copies)::BIGINT AS begin_at FROM {name}_c)"""
@@ -165,11 +168,12 @@ def oracle_sql(records: int = RECORDS) -> str:
       FROM pages WHERE NOT coalesce(page_id % 1009 = 7, false))"""
     return f"""WITH {side('a', 'pages', cut)},
 {side('b', hurt, '')},
-wrong AS (SELECT container, at FROM a FULL JOIN b USING (container, at)
+wrong AS (SELECT container, pos FROM a FULL JOIN b USING (container, pos)
   WHERE (a.digest, a.begin_at, a.length, a.copies) IS DISTINCT FROM (b.digest, b.begin_at, b.length, b.copies)),
-x AS (SELECT * FROM a SEMI JOIN wrong USING (container, at)), y AS (SELECT * FROM b SEMI JOIN wrong USING (container, at))
+x AS (SELECT * FROM a SEMI JOIN wrong USING (container, pos)), y AS (SELECT * FROM b SEMI JOIN wrong USING (container, pos))
 SELECT container, page_id, url, nth, CASE WHEN y.digest IS NULL THEN 'missing' WHEN x.digest IS NULL THEN 'extra'
   WHEN x.digest <> y.digest THEN 'altered' WHEN x.copies <> y.copies THEN 'copies' ELSE 'moved' END AS status,
-  x.begin_at AS begin_a, y.begin_at AS begin_b, x.length AS length_a, y.length AS length_b, x.copies AS copies_a,
-  y.copies AS copies_b, x.digest AS digest_a, y.digest AS digest_b
+  coalesce(x.begin_at, -1) AS begin_a, coalesce(y.begin_at, -1) AS begin_b, coalesce(x.length, 0) AS length_a,
+  coalesce(y.length, 0) AS length_b, coalesce(x.copies, 0) AS copies_a, coalesce(y.copies, 0) AS copies_b,
+  coalesce(x.digest, '') AS digest_a, coalesce(y.digest, '') AS digest_b
 FROM x FULL JOIN y USING (container, page_id, url, nth)"""

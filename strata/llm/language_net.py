@@ -59,15 +59,16 @@ class Net:
 
     def pooled(self, x: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
         """Maxima of all filters over windows ``x`` (n, WINDOW), and where they stand."""
+        one = x.T.astype(np.int64)  # places first, as in scoring
         tops, places = [], []
         for k, w in enumerate(WIDTHS):
-            n = x.shape[1] - w + 1
-            y = self.conv[k][0][x[:, :n]]
+            n = len(one) - w + 1
+            y = np.take(self.conv[k][0], one[:n], 0, mode="clip")
             for j in range(1, w):
-                y += self.conv[k][j][x[:, j:n + j]]
-            at = y.argmax(1)
-            places.append(at)
-            tops.append(np.take_along_axis(y, at[:, None, :], 1)[:, 0] + self.bias[k])
+                y += np.take(self.conv[k][j], one[j:n + j], 0, mode="clip")
+            top = y.max(0)
+            places.append((y == top).argmax(0))
+            tops.append(top + self.bias[k])
         return np.concatenate(tops, 1), places
 
     def step(self, x: np.ndarray, y: np.ndarray, adam: list, t: int, rate: float) -> float:
@@ -119,17 +120,19 @@ class Net:
         return pair
 
     def log_probabilities(self, x: np.ndarray, tables) -> np.ndarray:
-        pairs = (x[:, :-1].astype(np.int32) << 8) | x[:, 1:]
+        x = x.T  # places first: lookups and maxima then run over contiguous rows
+        one = x.astype(np.int64)
+        two = (one[:-1] << 8) | one[1:]
         tops = []
         for k, w in enumerate(WIDTHS):
-            n = x.shape[1] - w + 1
+            n = len(x) - w + 1
             own, last = tables[k]
-            y = own[0][pairs[:, :n]]
+            y = np.take(own[0], two[:n], 0, mode="clip")
             for j, table in enumerate(own[1:], 1):
-                y += table[pairs[:, 2 * j:2 * j + n]]
+                y += np.take(table, two[2 * j:2 * j + n], 0, mode="clip")
             if last is not None:
-                y += last[x[:, w - 1:w - 1 + n]]
-            tops.append(y.max(1) + self.bias[k])
+                y += np.take(last, one[w - 1:w - 1 + n], 0, mode="clip")
+            tops.append(y.max(0) + self.bias[k])
         z = np.maximum(np.concatenate(tops, 1), 0) @ self.out + self.base
         z -= z.max(1, keepdims=True)
         return z - np.log(np.exp(z).sum(1, keepdims=True))
@@ -199,9 +202,9 @@ def _predict(shared):
             for block in tb.blocks(batch.column("text")):
                 x, row = windows(block)
                 total = np.zeros((block.n, len(net.languages)))
-                for lo in range(0, len(x), 512):
-                    part = net.log_probabilities(x[lo:lo + 512], tables)
-                    np.add.at(total, row[lo:lo + 512], part)
+                for lo in range(0, len(x), 256):
+                    part = net.log_probabilities(x[lo:lo + 256], tables)
+                    np.add.at(total, row[lo:lo + 256], part)
                 n = np.maximum(np.bincount(row, minlength=block.n), 1)
                 p = _softmax(total / n[:, None])
                 best = p.argmax(1)

@@ -201,15 +201,14 @@ def oracle_sql(notices=TEMPLATES, threshold: float = THRESHOLD, phrases=PHRASES)
     def starts(phrase: str) -> str:
         words = phrase.split(" ")
         same = " AND ".join(f"w[i+{j + 1}] = '{x}'" for j, x in enumerate(words))
-        return f"list_filter(range(len(w)), i -> {same})"
+        return f"[i FOR i IN range(len(w)) IF {same}]"
 
     places = ", ".join(f"{starts(p)} AS p{i}" for i, (p, _) in enumerate(phrases))
     every = "list_concat(" + ", list_concat(".join(f"p{i}" for i in range(len(phrases) - 1)) \
         + f", p{len(phrases) - 1}" + ")" * (len(phrases) - 1)
     base = ", ".join(f"CASE WHEN len(p{i}) > 0 THEN '{label}' END" for i, (_, label) in enumerate(phrases))
     rows = ", ".join(f"('{t.label}', {quoted(sorted(t.words))}, {t.need})" for t in known)
-    seps, word = BREAKS, r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-    del seps
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     return f"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS low
@@ -217,7 +216,7 @@ WITH d AS (
 w AS (SELECT r, doc_id, low, regexp_extract_all(low, '{word}') AS w FROM d),
 p AS (SELECT *, {places} FROM w),
 b AS (SELECT r, doc_id, len(w) AS n_words, {every} AS spots,
-        list_distinct(list_filter([{base}], x -> x IS NOT NULL)) AS base FROM p),
+        list_distinct([x FOR x IN [{base}] IF x IS NOT NULL]) AS base FROM p),
 k AS (SELECT r, unnest(regexp_split_to_array(regexp_replace(low, '([.!?])[ \\t\\r]*\\n', '\\1' || chr(10) || chr(10), 'g'),
         '\\n[ \\t\\r\\x0B\\x0C]*\\n')) AS block FROM d),
 s AS (SELECT r, list_distinct(regexp_extract_all(block, '{word}')) AS have FROM k),

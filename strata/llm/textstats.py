@@ -24,16 +24,32 @@ class Words:
         self.n = np.diff(self.first)
 
 
-def groups_of(row: np.ndarray, *names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Order that brings equal (row, names) together, where each group starts in it, and the sizes."""
-    order = np.lexsort((*names[::-1], row))
-    new = np.ones(len(order), bool)
-    if len(order):
-        new[1:] = row[order][1:] != row[order][:-1]
-        for x in names:
-            new[1:] |= x[order][1:] != x[order][:-1]
-    starts = np.flatnonzero(new)
-    return order, starts, np.diff(np.append(starts, len(order)))
+def keyed(row: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """One 64-bit name of (row, name)."""
+    return tb.mix(names + _STEP * (row.astype(tb.U64) + tb.U64(1)))
+
+
+def repeated(key: np.ndarray) -> np.ndarray:
+    """Which keys stand twice or more. Slots filled once settle most of them without a sort."""
+    slot = (key & tb.U64((1 << 22) - 1)).astype(np.int64)
+    maybe = np.flatnonzero(np.bincount(slot, minlength=1 << 22)[slot] > 1)
+    own = np.sort(key[maybe])
+    twice = own[1:][own[1:] == own[:-1]]
+    out = np.zeros(len(key), bool)
+    if len(twice):
+        at = np.minimum(np.searchsorted(twice, key[maybe]), len(twice) - 1)
+        out[maybe] = twice[at] == key[maybe]
+    return out
+
+
+def distinct_per_row(row: np.ndarray, names: np.ndarray, rows: int) -> np.ndarray:
+    """Number of distinct names in each row."""
+    key = keyed(row, names)
+    order = np.argsort(key)
+    own = key[order]
+    new = np.ones(len(own), bool)
+    new[1:] = own[1:] != own[:-1]
+    return np.bincount(row[order[new]], minlength=rows)
 
 
 def duplicate_lines(words: Words) -> np.ndarray:
@@ -49,8 +65,13 @@ def duplicate_lines(words: Words) -> np.ndarray:
     worded = np.searchsorted(words.lo, hi) > np.searchsorted(words.lo, lo)
     lo, hi = lo[worded], hi[worded]
     row = tb.row_of(lo, block.starts)
-    order, starts, _ = groups_of(row, words.hash.of(lo, hi), tb.Names(block.data, 1).of(lo, hi))
-    return np.bincount(row, minlength=block.n) - np.bincount(row[order[starts]], minlength=block.n)
+    again = np.flatnonzero(repeated(keyed(row, words.hash.of(lo, hi))))
+    if not len(again):
+        return np.zeros(block.n, np.int64)
+    a, b, r = words.hash.of(lo[again], hi[again]), tb.Names(block.data, 1).of(lo[again], hi[again]), row[again]
+    order = np.lexsort((b, a, r))
+    later = (a[order][1:] == a[order][:-1]) & (b[order][1:] == b[order][:-1]) & (r[order][1:] == r[order][:-1])
+    return np.bincount(r[order][1:][later], minlength=block.n)
 
 
 def repeated_window_words(words: Words, window: int = 3) -> np.ndarray:
@@ -62,9 +83,8 @@ def repeated_window_words(words: Words, window: int = 3) -> np.ndarray:
     for j in range(window):
         h = tb.mix(h * _STEP + words.names[j:n - window + 1 + j])
     at = np.flatnonzero(np.arange(n - window + 1) + window <= words.first[words.row[:n - window + 1] + 1])
-    order, starts, size = groups_of(words.row[at], h[at])
-    again = at[order[np.repeat(size > 1, size)]]
+    again = at[repeated(keyed(words.row[at], h[at]))]
     covered = np.zeros(n + 1, np.int64)
     np.add.at(covered, again, 1)
-    np.add.at(covered, np.minimum(again + window, n), -1)
+    np.add.at(covered, again + window, -1)
     return tb.per_row(np.cumsum(covered[:-1]) > 0, words.first)
