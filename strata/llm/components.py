@@ -25,7 +25,7 @@ def _towards_least(edges: DataFrame, large: bool) -> DataFrame:
     else:
         moved = (joined.select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(least.select("a", F.col("m").alias("b"))))
-    return moved.filter("a <> b").distinct()
+    return moved.filter("a <> b")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -36,10 +36,10 @@ def components(edges: DataFrame) -> DataFrame:
     rounds that grows with the logarithm of the graph. Each round is written to
     the shared folder; only a count and a checksum come to the driver.
     """
-    now = stage(edges.select("a", "b").filter("a <> b").distinct(), "edges")
+    now = edges.select("a", "b").filter("a <> b")  # repeated edges fall together in the first round
     seen = None
     while True:
-        now = stage(_towards_least(_towards_least(now, True), False), "edges")
+        now = stage(_towards_least(_towards_least(now, True), False).distinct(), "edges")
         r = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(r) == seen:
             return now.select(F.col("a").alias("node"), F.col("b").alias("label"))

@@ -19,8 +19,8 @@ shingle weight 1, so coordinates agree with the plain Jaccard similarity;
 Joining. Documents with equal shingle sets are one node. ``bands`` of
 ``k / bands`` coordinates are bucket keys; in each bucket every node is paired
 with the bucket's centre, never with all others. Pairs are checked exactly on
-their texts. Then rounds with other centres, drawn per bucket, pair nodes that are
-still in different classes, until a round links nothing more. At similarity 0.8
+their texts. Then rounds with ``CENTRES`` other centres, drawn per bucket, pair nodes
+that are still in different classes, until a round links nothing more. At similarity 0.8
 two documents share none of 32 bands of 4 with probability 5e-8.
 
 Scale. One pass of Python over the texts; rows that shuffle are band keys (16
@@ -54,6 +54,7 @@ WORDS = 5
 THRESHOLD = 0.8
 COORDINATES = 128
 BANDS = 32
+CENTRES = 4
 
 _STEP = tb.U64(0x9E3779B97F4A7C15)
 _FINEST = 6       # the first rank strip is [0, 2 ** -6)
@@ -206,13 +207,12 @@ def similarities(a: pa.Array, b: pa.Array, words: int, counted: bool) -> np.ndar
     """Exact Jaccard similarity of the texts in two columns, row by row."""
     sides = []
     for column in (a, b):
-        rows, names, counts, base = [], [], [], 0
+        rows, names, counts = [], [], []
         for block in tb.blocks(column):
             r, h, c = shingles(block, words)
             rows.append(r + block.lo)
             names.append(h)
             counts.append(c if counted else np.ones(len(c), np.int64))
-            base += block.n
         sides.append([np.concatenate(x) if x else np.zeros(0, np.int64) for x in (rows, names, counts)])
     n = len(a)
     size = sum(np.bincount(r.astype(np.int64), c, n) for r, _, c in sides)
@@ -232,8 +232,8 @@ def _checked(words: int, threshold: float, counted: bool):
                 texts = [pa.array([_unpack(z.as_py()) for z in part.column(c)], pa.binary()) for c in ("za", "zb")]
                 s = similarities(*texts, words, counted)
                 ok = pa.array(s >= threshold - 1e-12)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("a").filter(ok), part.column("b").filter(ok)], ["a", "b"])
+                rest = [c for c in part.schema.names if c not in ("za", "zb")]
+                yield pa.RecordBatch.from_arrays([part.column(c).filter(ok) for c in rest], rest)
     return task
 
 
@@ -261,31 +261,35 @@ def near_duplicate_classes(docs: DataFrame, words: int = WORDS, threshold: float
     texts = stage(docs.select(row_key().alias("rid"), "text").mapInArrow(_packed, "rid long, z binary")
                   .join(chosen, "rid").groupBy("node").agg(F.first("z").alias("z")), "texts")
 
-    def check(pairs: DataFrame) -> DataFrame:
+    def check(pairs: DataFrame, *rest: str) -> DataFrame:
         with_a = pairs.join(texts.select(F.col("node").alias("a"), F.col("z").alias("za")), "a")
         with_b = with_a.join(texts.select(F.col("node").alias("b"), F.col("z").alias("zb")), "b")
-        return with_b.mapInArrow(_checked(words, threshold, counted), "a long, b long")
+        return with_b.select("a", "b", *rest, "za", "zb").mapInArrow(_checked(words, threshold, counted), ", ".join(f"{c} long" for c in ("a", "b", *rest)))
 
-    links = stage(check(stars), "links")
-    label = components(links)
+    label = components(stage(check(stars), "links"))
     salt = 0
     while True:
-        salt += 1
         placed = (members.join(label, "node", "left")
                   .select("key", "node", F.coalesce("label", "node").alias("label")))
-        # buckets whose nodes are still in several classes; a centre drawn for each
+        # buckets whose nodes are still in several classes, and centres drawn for each
+        drawn = [F.min_by(F.struct("node", "label"), F.xxhash64(F.lit(salt + k), "key", "node")) for k in range(CENTRES)]
         centre = (placed.groupBy("key")
-                  .agg(F.min("label").alias("x"), F.max("label").alias("y"),
-                       F.min_by(F.struct("node", "label"), F.xxhash64(F.lit(salt), "key", "node")).alias("c"))
-                  .filter("x <> y").select("key", F.col("c.node").alias("c"), F.col("c.label").alias("c_label")))
+                  .agg(F.min("label").alias("x"), F.max("label").alias("y"), F.array(*drawn).alias("c"))
+                  .filter("x <> y").select("key", F.explode(F.array_distinct("c")).alias("c"))
+                  .select("key", F.col("c.node").alias("c"), F.col("c.label").alias("c_label")))
         pairs = (placed.join(centre, "key").filter("label <> c_label")
-                 .select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
+                 .groupBy(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b"))
+                 .agg(F.min(F.least("label", "c_label")).alias("p"), F.max(F.greatest("label", "c_label")).alias("q"))
                  .join(stars, ["a", "b"], "left_anti"))
-        more = stage(check(pairs), "links")
+        more = stage(check(pairs, "p", "q"), "links")
         if more.isEmpty():
             break
-        links = links.unionByName(more)
-        label = components(links)
+        # classes that a link joins: few, so their components are small
+        joined = components(more.select(F.col("p").alias("a"), F.col("q").alias("b")))
+        label = stage(placed.select("node", "label").distinct()
+                      .join(joined.select(F.col("node").alias("label"), F.col("label").alias("root")), "label", "left")
+                      .select("node", F.coalesce("root", "label").alias("label")), "labels")
+        salt += CENTRES
     placed = (signed.select("rid", "doc", "node").join(label, "node", "left")
               .select("rid", "doc", F.coalesce("label", "node").alias("class_key")))
     least = placed.filter("class_key IS NOT NULL").groupBy("class_key").agg(F.min("doc").alias("class_id"))
