@@ -10,7 +10,8 @@ languages), and measured by
 
 A document is rejected if a measure lies outside its band. Bands belong to a
 language, a script (of most letters) and an octave of length (entropy grows with
-length). A band is the median with ``reach`` times the distance to either
+length); a group of under ``GROUP`` documents goes by its language and script, by its
+script alone, or by all documents. A band is the median with ``reach`` times the distance to either
 quartile, at least ``floor``, taken over all documents of the group that pass the
 base rules. Base rules: at least ``min_words`` words, and at most ``max_repeat``
 percent of words inside repeated 3-word windows.
@@ -22,8 +23,8 @@ partitioning. Bands are joined back on their group.
 
 Defined cases: null and empty texts have no words and fail the base rules; words
 longer than 256 bytes are tokenised in pieces of 256; a null language is
-``unknown``; in a group too small to have spread, the floors keep everything near
-the median; repeated rows each get a row; other columns pass through.
+``unknown``; where a group has no spread, the floors keep everything near the
+median; where no document passes the base rules there is no band; repeated rows each get a row; other columns pass through.
 """
 
 from __future__ import annotations
@@ -47,6 +48,9 @@ PIECES, BYTES = "piece_bpe_32k.model", "byte_bpe_multi_50k.tiktoken"
 MIN_WORDS, MAX_REPEAT = 50, 50
 REACH = 4.0
 BINS = 256
+#: groups whose documents share a band, finest first, and how many a group needs
+LEVELS = (("lang", "script", "octave", "every"), ("lang", "script"), ("script",), ("every",))
+GROUP = 100
 #: least half-width of a band, by measure
 FLOORS = {"chars_per_piece": 0.25, "chars_per_bpe": 0.25, "fallback": 0.02, "entropy": 0.4}
 LONGEST = 256
@@ -220,22 +224,35 @@ def _values():
 
 
 def bands(measured: DataFrame, reach: float = REACH) -> DataFrame:
-    """(lang, script, octave, measure, low, high) over the documents that pass the base rules."""
+    """(lang, script, octave, band) over the documents that pass the base rules.
+
+    ``band`` maps each measure to its low and high, taken from the finest of LEVELS
+    in which the group has ``GROUP`` documents or more (the coarsest has no such need).
+    """
     binned = measured.filter(~F.col("base_failed")).select(
-        "lang", "script", "octave", F.explode(F.array(*(
+        *LEVELS[0], F.explode(F.array(*(
             F.struct(F.lit(m).alias("measure"), F.floor(v * BINS).cast("long").alias("bin"))
             for m, v in _values().items()))).alias("x"))
-    group = ["lang", "script", "octave", "measure"]
-    counts = binned.groupBy("lang", "script", "octave", "x.measure", "x.bin").agg(F.count("*").alias("n"))
-    upto = Window.partitionBy(*group).orderBy("bin")
-    cum = (counts.withColumn("upto", F.sum("n").over(upto))
-           .withColumn("all", F.sum("n").over(Window.partitionBy(*group))))
-    at = {q: F.min(F.when(F.col("upto") >= F.col("all") * q, (F.col("bin") + 0.5) / BINS)).alias(c)
-          for q, c in ((0.25, "q1"), (0.5, "q2"), (0.75, "q3"))}
+    counts = stage(binned.groupBy(*LEVELS[0], "x.measure", "x.bin").agg(F.count("*").alias("n")), "fertility-bins")
     floor = F.create_map(*(F.lit(x) for p in FLOORS.items() for x in p))[F.col("measure")]
-    return (cum.groupBy(*group).agg(*at.values())
-            .select(*group, (F.col("q2") - F.greatest(floor, reach * (F.col("q2") - F.col("q1")))).alias("low"),
-                    (F.col("q2") + F.greatest(floor, reach * (F.col("q3") - F.col("q2")))).alias("high")))
+    out = measured.select(*LEVELS[0]).distinct()
+    for k, level in enumerate(LEVELS):
+        group = [*level, "measure"]
+        upto = Window.partitionBy(*group).orderBy("bin")
+        cum = (counts.groupBy(*group, "bin").agg(F.sum("n").alias("n"))
+               .withColumn("upto", F.sum("n").over(upto))
+               .withColumn("all", F.sum("n").over(Window.partitionBy(*group))))
+        at = [F.min(F.when(F.col("upto") >= F.col("all") * q, (F.col("bin") + 0.5) / BINS)).alias(c)
+              for q, c in ((0.25, "q1"), (0.5, "q2"), (0.75, "q3"))]
+        own = (cum.groupBy(*group).agg(*at, F.first("all").alias("all"))
+               .filter(F.col("all") >= (GROUP if k < len(LEVELS) - 1 else 1))
+               .withColumn("low", F.col("q2") - F.greatest(floor, reach * (F.col("q2") - F.col("q1"))))
+               .withColumn("high", F.col("q2") + F.greatest(floor, reach * (F.col("q3") - F.col("q2"))))
+               .groupBy(*level).agg(F.map_from_entries(F.collect_list(
+                   F.struct("measure", F.struct("low", "high")))).alias(f"band{k}")))
+        out = out.join(own, list(level), "left")
+    names = [f"band{k}" for k in range(len(LEVELS))]
+    return out.select(*LEVELS[0], F.coalesce(*names).alias("band"))
 
 
 def judge(docs: DataFrame, vocabularies: str = VOCABULARIES, min_words: int = MIN_WORDS,
@@ -243,13 +260,12 @@ def judge(docs: DataFrame, vocabularies: str = VOCABULARIES, min_words: int = MI
     """One row per document row: the figures, base_failed, the measures outside their bands, kept."""
     base = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat * F.col("n_words"))
     measured = stage(measure(docs, vocabularies).withColumn("base_failed", base)
+                     .withColumn("every", F.lit("every"))
                      .withColumn("octave", F.floor(F.log2(F.greatest(F.col("n_words"), F.lit(1)))).cast("int")),
                      "fertility")
-    wide = (bands(measured, reach).groupBy("lang", "script", "octave")
-            .agg(F.map_from_entries(F.collect_list(F.struct("measure", F.struct("low", "high")))).alias("band")))
-    joined = measured.join(wide, ["lang", "script", "octave"], "left")
+    joined = measured.join(bands(measured, reach), list(LEVELS[0]), "left")
     outside = F.array_compact(F.array(*(
         F.when((v < F.col("band")[m]["low"]) | (v > F.col("band")[m]["high"]), F.lit(m))
         for m, v in _values().items())))
     return (joined.withColumn("outside", F.when(F.col("base_failed"), F.array().cast("array<string>")).otherwise(outside))
-            .withColumn("kept", ~F.col("base_failed") & (F.size("outside") == 0)).drop("band", "octave"))
+            .withColumn("kept", ~F.col("base_failed") & (F.size("outside") == 0)).drop("band", "octave", "every"))
