@@ -40,16 +40,7 @@ def _r(x: str, k: int) -> str:
     return f"CAST(ROUND(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18)), {k}) AS DOUBLE)"
 
 
-def _avg(x: str, precision: int = 18, scale: int = 2) -> str:
-    """Order-independent average: exact decimal sum, one division.
-
-    Wide decimals go to and from double through text, as Spark converts them
-    (DuckDB's direct wide-decimal casts are not correctly rounded)."""
-    if precision <= 18:
-        return (f"(CAST(SUM(CAST({x} AS DECIMAL({precision},{scale}))) AS DOUBLE)"
-                f" / COUNT({x}))")
-    return (f"(CAST(CAST(SUM(CAST(CAST({x} AS VARCHAR) AS DECIMAL({precision},{scale})))"
-            f" AS VARCHAR) AS DOUBLE) / COUNT({x}))")
+_avg = analogs.avg_sql
 
 
 _PRICE = "COALESCE(price, drug_avg_price)"
@@ -154,6 +145,26 @@ SELECT price_tier, value_rank, drug_name, drug_type, average_price, avg_effectiv
 FROM k WHERE value_rank <= 10"""
 
 
+def _lookup_sqls() -> dict[str, str]:
+    unit = "(l_extendedprice / l_quantity)"
+    return {
+        "global_position": f"""
+SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, ROW_NUMBER() OVER (ORDER BY {_LINE_ORDER}) AS position,
+       COUNT(*) OVER () AS total FROM lineitem""",
+        "exact_average": f"""
+SELECT l_partkey, {_avg(unit)} AS avg_unit_price,
+       CASE WHEN COUNT({unit}) > 0 THEN {analogs.total_sql(f"(-{unit} / 3)")} END AS third, COUNT({unit}) AS n
+FROM lineitem GROUP BY l_partkey""",
+        "group_lookup": f"""
+WITH r AS ({_ranking_sql()})
+SELECT ROW_NUMBER() OVER (ORDER BY overall_rank, drug_name, drug_type, drug_form) AS position, drug_name, overall_rank,
+       overall_score, total_reviews
+FROM r WHERE condition_name = 'BUILDING' AND overall_rank <= 10""",
+        "tier_lookup": f"""
+SELECT value_rank, drug_name, drug_type, value_score FROM ({_best_value_in_tier_sql()}) WHERE price_tier = 'Low'""",
+    }
+
+
 def _leaderboard_sql() -> str:
     return f"""
 WITH s AS ({_summary_sql()})
@@ -168,32 +179,28 @@ _AS_OF_PROBE = "1998-06-30"
 
 
 def _scd2_merge_step(hist: str, snap: str, as_of) -> str:
-    """One SCD2 load in SQL: the five-branch form of the original."""
-    cols = ", ".join(_ITEM_COLS)
-    changed = " OR ".join(f"s.{c} IS DISTINCT FROM c.{c}" for c in analogs.ITEM_SCD2_TRACKED)
-    hcols = ", ".join(f"c.{c}" for c in _ITEM_COLS)
-    scols = ", ".join(f"s.{c}" for c in _ITEM_COLS)
+    """One SCD2 load in SQL: closed rows as they are; each current row once, closed if its
+    item changed; a fresh row for each item that is new or changed."""
+    old = ", ".join(f"o.{c}" for c in _ITEM_COLS)
+    new = ", ".join(f"n.{c}" for c in _ITEM_COLS)
+    tracked = analogs.ITEM_SCD2_TRACKED
+    differs = (f"(n.item_key IS NOT NULL AND ({', '.join(f'n.{c}' for c in tracked)}) IS DISTINCT FROM "
+               f"({', '.join(f'o.{c}' for c in tracked)}))")
+    live = f"(SELECT * FROM {hist} WHERE is_current IS TRUE)"
     return f"""
-  SELECT {cols}, effective_date, end_date, is_current FROM {hist}
-  WHERE NOT COALESCE(is_current, FALSE)
+  SELECT {old}, o.effective_date, CASE WHEN {differs} THEN DATE '{as_of}' ELSE o.end_date END AS end_date,
+         NOT {differs} AS is_current
+  FROM {live} o LEFT JOIN {snap} n USING (item_key)
   UNION ALL
-  SELECT {hcols}, c.effective_date, c.end_date, c.is_current FROM {hist} c
-  WHERE COALESCE(c.is_current, FALSE) AND NOT EXISTS (
-        SELECT 1 FROM {snap} s WHERE s.item_key = c.item_key AND ({changed}))
+  SELECT {new}, DATE '{as_of}', NULL, TRUE FROM {snap} n LEFT JOIN {live} o USING (item_key)
+  WHERE o.item_key IS NULL OR {differs}
   UNION ALL
-  SELECT {hcols}, c.effective_date, DATE '{as_of}' AS end_date, FALSE AS is_current
-  FROM {hist} c JOIN {snap} s ON s.item_key = c.item_key
-  WHERE COALESCE(c.is_current, FALSE) AND ({changed})
-  UNION ALL
-  SELECT {scols}, DATE '{as_of}' AS effective_date, CAST(NULL AS DATE) AS end_date,
-         TRUE AS is_current
-  FROM {snap} s LEFT JOIN (SELECT * FROM {hist} WHERE COALESCE(is_current, FALSE)) c
-       ON s.item_key = c.item_key
-  WHERE c.item_key IS NULL OR ({changed})"""
+  SELECT {", ".join(_ITEM_COLS)}, effective_date, end_date, is_current FROM {hist}
+  WHERE is_current IS NOT TRUE"""
 
 
 def _scd2_history_sql() -> str:
-    y0, y1, y2 = analogs.LOAD_YEARS
+    y0, y1, y2 = analogs.LOADS
     cols = ", ".join(_ITEM_COLS)
     return f"""
 WITH s0 AS ({analogs.item_snapshot_sql(y0)}),
@@ -206,14 +213,14 @@ h2 AS ({_scd2_merge_step('h1', 's2', analogs.load_date(y2))})"""
 
 
 def _scd2_sqls() -> dict[str, str]:
-    y0, _, y2 = analogs.LOAD_YEARS
+    full = analogs.EVERYTHING
     cols = ", ".join(_ITEM_COLS)
     h = _scd2_history_sql()
     return {
         "scd2_initial": f"""
-SELECT {cols}, DATE '{analogs.load_date(y0)}' AS effective_date,
+SELECT {cols}, DATE '{analogs.load_date(full)}' AS effective_date,
        CAST(NULL AS DATE) AS end_date, TRUE AS is_current
-FROM ({analogs.item_snapshot_sql(y0)})""",
+FROM ({analogs.item_snapshot_sql(full)})""",
         "scd2_merge": f"{h}\nSELECT * FROM h2",
         "scd2_versions": f"""{h},
 v AS (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY item_key ORDER BY effective_date DESC
@@ -230,7 +237,7 @@ FROM h2""",
 SELECT * FROM h2 WHERE effective_date <= DATE '{_AS_OF_PROBE}'
   AND (end_date IS NULL OR end_date > DATE '{_AS_OF_PROBE}')""",
         "scd2_closed": f"{h}\nSELECT * FROM h2 WHERE NOT COALESCE(is_current, FALSE)",
-        "scd2_off": analogs.item_snapshot_sql(y2),
+        "scd2_off": analogs.item_snapshot_sql(full),
     }
 
 
@@ -442,7 +449,7 @@ agg AS (SELECT condition_name, drug_name, drug_type, drug_form,
                {_avg('ease_of_use_score')} AS ease_of_use_score,
                {_avg('satisfaction_score')} AS satisfaction_score,
                CAST(SUM(COALESCE(review_count, 0)) AS BIGINT) AS total_reviews,
-               {_avg(_PRICE, 38, 10)} AS average_price
+               {_avg(_PRICE)} AS average_price
         FROM star GROUP BY condition_name, drug_name, drug_type, drug_form),
 scored AS (SELECT *, {_r(score, 2)} AS overall_score FROM agg)
 SELECT condition_name, drug_name, drug_type, drug_form, effectiveness_score,
@@ -462,7 +469,7 @@ def _event_sqls() -> dict[str, str]:
                                  for n, f in failed.items())
     cut, (run1, run2) = analogs.FIRST_SEEN_CUTOFF, analogs.FIRST_SEEN_RUNS
     act = """SELECT user_id, event_type, COUNT(*) AS events,
-                    CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
+                    CASE WHEN COUNT(value) > 0 THEN """ + analogs.total_sql("value") + """ END AS total_value
              FROM events {w} GROUP BY user_id, event_type"""
     cols = ", ".join(f"CAST(c_{c} AS VARCHAR)" for c in
                      ("custkey", "name", "nationkey", "acctbal", "mktsegment"))
@@ -520,12 +527,53 @@ def q_group_leaderboard(spark: SparkSession, d: str) -> DataFrame:
     return marts.group_leaderboard(q_summary_mart(spark, d))
 
 
+_LINE_ORDER = "l_quantity DESC NULLS LAST, l_orderkey, l_linenumber, l_partkey"
+
+
+def q_global_position(spark: SparkSession, d: str) -> DataFrame:
+    """Position of every line item in an order of 50 values, ties by order and line."""
+    from pyspark.sql import functions as F
+    from strata.operators.rank import global_position
+    li = analogs.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    return global_position(li, [F.col("l_quantity").desc_nulls_last(), "l_orderkey", "l_linenumber", "l_partkey"])
+
+
+def q_exact_average(spark: SparkSession, d: str) -> DataFrame:
+    """Averages of a measure with all the digits of a double, whatever the order of rows."""
+    from pyspark.sql import functions as F
+    from strata.functions.scoring import exact_avg, exact_total
+    unit = F.col("l_extendedprice") / F.col("l_quantity")
+    return (analogs.table(spark, d, "lineitem").groupBy("l_partkey")
+            .agg(exact_avg(unit).alias("avg_unit_price"), exact_total(-unit / 3).alias("third"),
+                 F.count(unit).alias("n")))
+
+
+def q_group_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """One group's items in order of rank, as a user looks them up; the position shows the order."""
+    from pyspark.sql import functions as F
+    found = marts.best_in_group(q_ranking_mart(spark, d), n=10, groups=["BUILDING"])
+    return _numbered(found, spark).select("position", "drug_name", "overall_rank", "overall_score", F.col("total_reviews"))
+
+
+def q_tier_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """One price tier's ten best values in order."""
+    found = marts.best_value_in_tier(q_value_mart(spark, d), n=10, tiers=["Low"])
+    return found.select("value_rank", "drug_name", "drug_type", "value_score")
+
+
+def _numbered(df: DataFrame, spark: SparkSession) -> DataFrame:
+    """A short ordered result with its row numbers, in the order it is delivered."""
+    rows = df.collect()                      # a lookup of one group's best: n ranks
+    schema = df.schema.add("position", "long")
+    return spark.createDataFrame([(*r, i + 1) for i, r in enumerate(rows)], schema)
+
+
 def _item_history(spark: SparkSession, d: str) -> DataFrame:
-    """Three yearly loads: first load, then two merges. Each load's result is
+    """Three loads that together read all line items: first load, then two merges. Each load's result is
     written under the checkpoint folder, as a pipeline writes its table, so the
     next load reads it once."""
     from strata.session import materialize
-    y0, y1, y2 = analogs.LOAD_YEARS
+    y0, y1, y2 = analogs.LOADS
     # snapshots are aggregates by the business key: unique by construction, so
     # the duplicate-key validation job is skipped
     h = scd2.apply(None, analogs.item_snapshot(spark, d, y0), _SCD_SPEC, analogs.load_date(y0),
@@ -537,8 +585,9 @@ def _item_history(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_scd2_initial(spark: SparkSession, d: str) -> DataFrame:
-    y0 = analogs.LOAD_YEARS[0]
-    return scd2.apply(None, analogs.item_snapshot(spark, d, y0), _SCD_SPEC, analogs.load_date(y0),
+    """First load of a snapshot of all line items."""
+    span = analogs.EVERYTHING
+    return scd2.apply(None, analogs.item_snapshot(spark, d, span), _SCD_SPEC, analogs.load_date(span),
                       validate=False)
 
 
@@ -564,12 +613,24 @@ def q_scd2_closed(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_scd2_off(spark: SparkSession, d: str) -> DataFrame:
-    """SCD2 disabled for the table: the load is a plain replace by the snapshot."""
-    y0, y1, y2 = analogs.LOAD_YEARS
-    prev = scd2.apply(None, analogs.item_snapshot(spark, d, y1), _SCD_SPEC, analogs.load_date(y1),
-                      validate=False)
-    return scd2.apply(prev, analogs.item_snapshot(spark, d, y2), _SCD_SPEC,
-                      analogs.load_date(y2), enabled=False)
+    """SCD2 disabled in the configuration, over a table an earlier load wrote: a plain replace."""
+    from strata.config import PipelineConfig, default_config_dict
+    from strata.session import scratch_path
+    from strata.sources import tables
+    root = scratch_path(spark, "scd2-off")
+    db = "strata_off_" + root.rsplit("-", 1)[1]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}/{db}.db'")
+    options = default_config_dict(root)
+    options["scd2"] = {**options.get("scd2", {}), "enabled": False}
+    cfg = PipelineConfig.from_dict(options)
+    spec = cfg.scd2_spec("dim_drugs")
+    name = f"{db}.dim_items"
+    for span in (analogs.LOADS[0], analogs.EVERYTHING):
+        known = spark.table(name) if tables.exists(spark, name) else None
+        load = scd2.apply(known, analogs.item_snapshot(spark, d, span), spec or _SCD_SPEC,
+                          analogs.load_date(span), enabled=spec is not None, validate=False)
+        tables.replace_table(load, name)
+    return spark.table(name)
 
 
 def _silver_inputs(spark: SparkSession, d: str):
@@ -605,16 +666,11 @@ def q_fact_two_feeds(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_silver_ranking_mart(spark: SparkSession, d: str) -> DataFrame:
-    """Gold ranking over the silver star (fact joined to both dimensions).
-
-    Item prices are averages with many decimals, so prices are summed as
-    decimal(38,10); scores carry two decimals."""
+    """Gold ranking over the silver star: the fact aggregated by its keys, then the dimensions."""
     raw_c, clean_c = _silver_inputs(spark, d)
     items = star.item_dimension(raw_c, clean_c)
     groups = star.group_dimension(raw_c, clean_c, analogs.FEED_RUN_TS, rules=analogs.NAME_RULES)
-    view = star.star_view(star.fact(raw_c, clean_c), items, groups)
-    spec = marts.MartSpec(price_scale=10, price_precision=38)
-    r = marts.ranking(view, spec)
+    r = marts.ranking(marts.base_of_fact(star.fact(raw_c, clean_c), items, groups), from_base=True)
     return r.drop("effectiveness_rank", "satisfaction_rank")
 
 
@@ -751,6 +807,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "scd2_as_of": q_scd2_as_of,
         "scd2_closed": q_scd2_closed,
         "scd2_off": q_scd2_off,
+        "global_position": q_global_position,
+        "exact_average": q_exact_average,
+        "group_lookup": q_group_lookup,
+        "tier_lookup": q_tier_lookup,
         "cleanse_raw": q_cleanse_raw,
         "cleanse_clean": q_cleanse_clean,
         "dim_two_feeds": q_dim_two_feeds,
@@ -780,6 +840,7 @@ def oracle_sql() -> dict[str, str]:
         "summary_mart": _summary_sql(),
         "group_leaderboard": _leaderboard_sql(),
         **_scd2_sqls(),
+        **_lookup_sqls(),
         **_silver_sqls(),
         **_event_sqls(),
         **(llm.ORACLE_SQL if llm else {}),

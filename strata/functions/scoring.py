@@ -69,44 +69,66 @@ def guarded_ratio(num: ColumnOrName, den: ColumnOrName, factor: float = 100.0,
         .otherwise(F.lit(0.0)), scale)
 
 
-def exact_sum(c: ColumnOrName, scale: int | None = 2, precision: int = 18) -> Column:
-    """Order-independent sum (aggregate), to be finished by ``exact_value``.
-
-    Narrow (``precision <= 18``): the values are scaled to integers
-    (``rint(x * 10^scale)``) and summed as bigint: exact, any partial
-    aggregation order gives the same sum, and several times faster than a
-    decimal sum (Spark converts each double to a decimal through its text). On
-    values with at most ``scale`` decimals this equals the decimal sum; ANSI
-    mode raises on overflow (beyond 9.2e18 units) instead of wrapping. Wide:
-    a ``decimal(precision, scale)`` sum. ``scale=None``: the plain double sum.
-    """
-    x = _col(c)
-    if scale is None:
-        return F.sum(x)
-    if precision <= 18:
-        return F.sum(F.rint(x * F.lit(float(10 ** scale))).cast("long"))
-    return F.sum(x.cast(f"decimal({precision},{scale})"))
-
-
-def exact_value(total: ColumnOrName, scale: int | None = 2, precision: int = 18) -> Column:
-    """Double value of an ``exact_sum`` (correctly rounded)."""
-    t = _col(total)
-    if scale is None:
-        return t
-    if precision <= 18:
-        return t.cast("double") / F.lit(float(10 ** scale))
-    return t.cast("double")
-
-
-def exact_avg(c: ColumnOrName, scale: int | None = 2, precision: int = 18) -> Column:
-    """Average that does not depend on summation order: ``exact_sum`` divided once.
-
-    Use it on columns that carry at most ``scale`` decimals (prices, rates);
-    ``scale=None`` is the plain double ``avg``.
-    """
-    if scale is None:
-        return F.avg(_col(c))
-    return exact_value(exact_sum(c, scale, precision), scale, precision) / F.count(_col(c))
+# --- averages that do not depend on the order of summation ---------------------------
+#
+# A finite double is cut, exactly, into whole numbers: its integer part and LIMBS
+# groups of LIMB_BITS bits behind the point. Each part is summed as bigint, so any
+# order of partial aggregation gives the same sums, parts add up across
+# pre-aggregates, and no digit down to 2^-78 is lost. NaN, infinities and values
+# from 2^62 on are summed as doubles beside them. ANSI mode raises if a sum of whole
+# numbers leaves 63 bits.
+LIMBS, LIMB_BITS = 3, 26
+_HUGE = 2.0 ** 62
+PARTS = [f"s{k}" for k in range(LIMBS + 1)] + ["sx", "cnt"]
+
+
+def double_parts(c: ColumnOrName) -> dict[str, Column]:
+    """The parts of one value: whole numbers s0..s3, ``sx`` for what is not finite or huge, ``cnt``."""
+    x = _col(c).cast("double")
+    huge = F.abs(x) >= F.lit(_HUGE)          # true for NaN, which sorts above everything
+    rest = F.when(~huge, x)
+    out = {}
+    for k in range(LIMBS + 1):
+        whole = rest.cast("long")            # towards zero, so what is left is exact
+        out[f"s{k}"] = whole
+        rest = (rest - whole.cast("double")) * F.lit(2.0 ** LIMB_BITS)
+    out["sx"] = F.when(huge, x)
+    out["cnt"] = F.when(x.isNotNull(), F.lit(1).cast("long")).otherwise(F.lit(0).cast("long"))
+    return out
+
+
+def summed_parts(c: ColumnOrName, prefix: str) -> list[Column]:
+    """Aggregates ``<prefix>_s0 ... <prefix>_cnt`` from which ``parts_avg`` makes the average."""
+    return [F.sum(v).alias(f"{prefix}_{k}") for k, v in double_parts(c).items()]
+
+
+def add_parts(prefix: str) -> dict[str, Column]:
+    """Sums of parts that were summed before."""
+    return {k: F.sum(f"{prefix}_{k}") for k in PARTS}
+
+
+def parts_total(parts: Mapping[str, Column]) -> Column:
+    """The double that summed parts stand for; null without a value."""
+    low = F.lit(0.0)
+    for k in range(LIMBS, 0, -1):
+        low = F.coalesce(parts[f"s{k}"], F.lit(0)).cast("double") * F.lit(2.0 ** (-LIMB_BITS * k)) + low
+    total = F.coalesce(parts["sx"], F.lit(0.0)) + (F.coalesce(parts["s0"], F.lit(0)).cast("double") + low)
+    return F.when(parts["cnt"] > 0, total)
+
+
+def parts_avg(parts: Mapping[str, Column]) -> Column:
+    """Average of summed parts, divided once; null without a value."""
+    return parts_total(parts) / F.when(parts["cnt"] > 0, parts["cnt"])
+
+
+def exact_total(c: ColumnOrName) -> Column:
+    """Sum (aggregate) that does not depend on the order of rows; null without a value."""
+    return parts_total({k: F.sum(v) for k, v in double_parts(c).items()})
+
+
+def exact_avg(c: ColumnOrName) -> Column:
+    """Average (aggregate) of full doubles that does not depend on the order of rows."""
+    return parts_avg({k: F.sum(v) for k, v in double_parts(c).items()})
 
 
 def percentile_of(position: ColumnOrName, total: ColumnOrName) -> Column:

@@ -2,9 +2,9 @@
 
 Plan notes
 ----------
-* ``dense_ranks`` puts several rankings over the same groups into one hash
-  exchange (Spark reuses the partitioning for every window with the same
-  ``partitionBy``); each ranking adds only a sort.
+* ``dense_ranks`` and ``with_percentiles`` sort narrow (ordering, key, value)
+  rows of all their orderings in one range sort and join the result back, the
+  same plan at every size: no window without a partition, no group in one task.
 * ``best`` is an aggregate expression (``min_by`` over an ordering struct), so a
   hot group is combined map-side like any sum; there is no window and no join.
 * ``top_n`` filters a rank computed in the same plan, which Spark turns into a
@@ -23,12 +23,11 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scoring import percentile_of
-from ..session import write_stage
+from ..session import materialize, write_stage
 
 
 def _cols(cs: Sequence[Column | str]) -> list[Column]:
@@ -39,40 +38,6 @@ def desc_nulls_last(c: str) -> Column:
     return F.col(c).desc_nulls_last()
 
 
-def largest_group(df: DataFrame, by: Sequence[str]) -> int:
-    """Rows in the largest group (one aggregate job; 0 for an empty frame)."""
-    r = df.groupBy(*by).count().agg(F.max("count")).first()[0]
-    return int(r or 0)
-
-
-def dense_ranks(df: DataFrame, by: Sequence[str], rankings: Mapping[str, str],
-                max_group_rows: int | None = None, partitions: int | None = None,
-                total_rows: int | None = None) -> DataFrame:
-    """Add one dense rank per entry of ``rankings`` (output name -> column, best = highest,
-    nulls last), computed within the groups ``by``.
-
-    The window form sends each group to one task. With ``max_group_rows`` the
-    group sizes are bounded first: a known ``total_rows`` within the limit
-    bounds every group for free; otherwise the largest group is measured (one
-    aggregate job). Above the limit the ranks are computed by
-    ``distributed_dense_rank``, which spreads even a single huge group over
-    many tasks. Without ``max_group_rows`` the caller vouches that groups are
-    bounded.
-    """
-    if (max_group_rows is not None
-            and (total_rows is None or total_rows > max_group_rows)
-            and largest_group(df, by) > max_group_rows):
-        out = df
-        for name, c in rankings.items():
-            out = distributed_dense_rank(out, by, c, name, partitions=partitions)
-        return out
-    out = df
-    for name, c in rankings.items():
-        out = out.withColumn(name, F.dense_rank().over(
-            Window.partitionBy(*by).orderBy(desc_nulls_last(c))))
-    return out
-
-
 def _null_safe_eq(pairs: Sequence[tuple[str, str]]) -> Column:
     cond = None
     for a, b in pairs:
@@ -81,34 +46,42 @@ def _null_safe_eq(pairs: Sequence[tuple[str, str]]) -> Column:
     return cond
 
 
-def distributed_dense_rank(df: DataFrame, by: Sequence[str], value: str, out: str,
-                           descending: bool = True, partitions: int | None = None) -> DataFrame:
-    """Dense rank of ``value`` within groups ``by`` with no group confined to one task.
-
-    The distinct (group, value) pairs (a partial aggregate) get a whole-table
-    position in (group, value) order from ``global_position``; a value's dense
-    rank is its position minus its group's first position plus one. The ranks
-    join back on (group, value), null-safe; a hot pair is split by AQE's skew
-    join. Nulls rank last.
+def dense_ranks(df: DataFrame, by: Sequence[str], rankings: Mapping[str, str],
+                partitions: int | None = None) -> DataFrame:
+    """Add one dense rank per entry of ``rankings`` (output name -> column, best = highest,
+    nulls last), computed within the groups ``by``, with no group confined to one task.
+
+    The distinct (ranking, group, value) triples of all rankings get one
+    whole-table position (``global_position``: one range sort whatever the
+    number of rankings); a value's dense rank is its position minus the first
+    position of its ranking and group, plus one. Ranks join back on (group,
+    value), null-safe; a hot pair is split by AQE's skew join. The ranked
+    columns must share a type.
     """
-    v = F.col(value)
-    order = [F.col(b).asc_nulls_first() for b in by]
-    order.append(v.desc_nulls_last() if descending else v.asc_nulls_last())
-    pairs = df.select(*by, value).distinct()
-    pos = global_position(pairs, order, position="__p", total=None, partitions=partitions)
-    keys = [*by, value]
-    rk = {c: f"__rk{i}" for i, c in enumerate(keys)}
-    if by:
-        gk = {c: f"__gk{i}" for i, c in enumerate(by)}
-        start = pos.groupBy(*by).agg(F.min("__p").alias("__s")).select(
-            *[F.col(b).alias(gk[b]) for b in by], "__s")
-        ranked = (pos.join(start, _null_safe_eq([(b, gk[b]) for b in by]))
-                  .select(*[F.col(c).alias(rk[c]) for c in keys],
-                          (F.col("__p") - F.col("__s") + 1).cast("int").alias(out)))
-    else:
-        ranked = pos.select(F.col(value).alias(rk[value]), F.col("__p").cast("int").alias(out))
-    joined = df.join(ranked, _null_safe_eq([(c, rk[c]) for c in keys]))
-    return joined.select(*df.columns, out)
+    kinds = {df.schema[c].dataType.simpleString() for c in rankings.values()}
+    if len(kinds) > 1:
+        raise ValueError(f"ranked columns must share a type, not {sorted(kinds)}")
+    group = [f"__g{i}" for i in range(len(by))]
+    narrow = None
+    for k, c in enumerate(rankings.values()):
+        part = df.select(F.lit(k).alias("__k"), *[F.col(b).alias(g) for b, g in zip(by, group)],
+                         F.col(c).alias("__v"))
+        narrow = part if narrow is None else narrow.unionByName(part)
+    order = [F.col("__k").asc(), *[F.col(g).asc_nulls_first() for g in group],
+             F.col("__v").desc_nulls_last()]
+    pos = global_position(materialize(narrow.distinct(), "ranked_values"), order, position="__p",
+                          total=None, partitions=partitions)
+    keys = ["__k", *group]
+    first = pos.groupBy(*keys).agg(F.min("__p").alias("__s")).select(
+        *[F.col(c).alias(f"{c}f") for c in keys], "__s")
+    ranked = (pos.join(first, _null_safe_eq([(c, f"{c}f") for c in keys]))
+              .select(*keys, "__v", (F.col("__p") - F.col("__s") + 1).cast("int").alias("__r")))
+    out = df
+    for k, (name, c) in enumerate(rankings.items()):
+        own = ranked.filter(F.col("__k") == k).select(*group, "__v", F.col("__r").alias(name))
+        out = (out.join(own, _null_safe_eq([*zip(by, group), (c, "__v")]))
+               .drop(*group, "__v"))
+    return out
 
 
 def best(item: str, measure: str, descending: bool = True) -> Column:
@@ -151,7 +124,6 @@ def top_n(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], n: in
     return out if rank_col else out.drop(name)
 
 
-_MAX_LITERAL_OFFSETS = 1000
 _PART_FILE = re.compile(r"^part-(\d+)-.*?(?:-c(\d+))?(?:\..*)?$")
 
 
@@ -174,22 +146,16 @@ def global_position(df: DataFrame, order: Sequence[Column | str], position: str
     a frequent value is split by its tie-break columns) and written sorted as
     parquet under the checkpoint folder: file i holds range i in order. A
     row's position is the row count of the files before its own plus its
-    ``_metadata.row_index`` in the file. The input is persisted across the
-    sampling pass and the write, so it is computed once. Runs two jobs
-    eagerly (write, per-file count); one row per file reaches the driver.
+    ``_metadata.row_index`` in the file. The plan of ``df`` runs twice (sampling,
+    write): pass a scan or a written stage. One row for each written file, of
+    which there are ``partitions``, reaches the driver; the offsets go back as
+    a table that Spark joins by its size.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordering = _cols(order)
-    owned = not df.is_cached            # never drop a cache the caller made
-    src = df.persist(StorageLevel.MEMORY_AND_DISK) if owned else df
-    try:
-        table = write_stage(src.repartitionByRange(n, *ordering)
-                            .sortWithinPartitions(*ordering), "position")
-    finally:
-        if owned:
-            src.unpersist()
-    frozen = spark.table(table)
+    frozen = spark.table(write_stage(df.repartitionByRange(n, *ordering)
+                                     .sortWithinPartitions(*ordering), "position"))
     tagged = frozen.select("*", F.col("_metadata.file_name").alias("__file"),
                            F.col("_metadata.row_index").alias("__row"))
     counts = sorted(((_file_order(r[0]), r[0], r[1]) for r in
@@ -198,43 +164,39 @@ def global_position(df: DataFrame, order: Sequence[Column | str], position: str
     for _, name, cnt in counts:
         offsets.append((name, acc))
         acc += cnt
-    if len(offsets) <= _MAX_LITERAL_OFFSETS:
-        flat = [x for name, off in offsets for x in (F.lit(name), F.lit(off))]
-        offset = F.element_at(F.create_map(*flat), F.col("__file")) if flat else F.lit(0)
-        out = tagged.withColumn(position, (offset + F.col("__row") + 1).cast("long"))
-    else:
-        # one row per written file: a proven size bound, so broadcasting it is safe
-        table = spark.createDataFrame(offsets, "__file string, __offset long")
-        out = (tagged.join(F.broadcast(table), "__file")
-               .withColumn(position, (F.col("__offset") + F.col("__row") + 1).cast("long"))
-               .drop("__offset"))
+    starts = spark.createDataFrame(offsets, "__file string, __offset long")
+    out = (tagged.join(starts, "__file")
+           .withColumn(position, (F.col("__offset") + F.col("__row") + 1).cast("long")))
     if total:
         out = out.withColumn(total, F.lit(acc).cast("long"))
-    return out.drop("__file", "__row")
+    return out.drop("__file", "__row", "__offset")
 
 
-def with_percentiles(df: DataFrame, specs: Mapping[str, Sequence[Column | str]],
-                     partitions: int | None = None, total_rows: int | None = None,
-                     max_single_task_rows: int | None = None) -> DataFrame:
+def with_percentiles(df: DataFrame, key: Sequence[str], specs: Mapping[str, tuple[str, bool]],
+                     partitions: int | None = None) -> DataFrame:
     """Add ``int(round(position / total * 100))`` columns, one per ordering.
 
-    ``specs`` maps output column -> whole-table ordering (1 = first row).
-    When the caller knows ``total_rows`` and it is within
-    ``max_single_task_rows`` the positions come from a whole-table window
-    (one task, bounded by that proven count, no extra jobs); otherwise from
-    ``global_position``.
+    ``specs`` maps output column -> (numeric column, descending); position 1 is
+    the first row; ascending puts nulls first, descending last; ties go by
+    ``key``, which names each row once. All orderings share one range sort of
+    narrow (ordering, value, key) rows, whose positions join back on the key.
     """
-    if (total_rows is not None and max_single_task_rows is not None
-            and total_rows <= max_single_task_rows):
-        out = df.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy()))
-        for name, order in specs.items():
-            pos = F.row_number().over(Window.orderBy(*_cols(order)))
-            out = out.withColumn(name, percentile_of(pos, F.col("__n")))
-        return out.drop("__n")
-    out = df
-    for name, order in specs.items():
-        out = global_position(out, order, position=f"__pos_{name}", total=f"__tot_{name}",
-                              partitions=partitions)
-        out = (out.withColumn(name, percentile_of(f"__pos_{name}", f"__tot_{name}"))
-               .drop(f"__pos_{name}", f"__tot_{name}"))
-    return out
+    names = [f"__c{i}" for i in range(len(key))]
+    keyed = [F.col(c).alias(n) for c, n in zip(key, names)]
+    narrow = None
+    for k, (c, descending) in enumerate(specs.values()):
+        v = F.col(c).cast("double")
+        first = (F.when(v.isNull(), 2).when(F.isnan(v), 0).otherwise(1) if descending
+                 else F.when(v.isNull(), 0).otherwise(1))
+        part = df.select(F.lit(k).alias("__k"), first.alias("__f"), (-v if descending else v).alias("__v"),
+                         *keyed)
+        narrow = part if narrow is None else narrow.unionByName(part)
+    order = ["__k", "__f", F.col("__v").asc_nulls_first(), *[F.col(n).asc_nulls_first() for n in names]]
+    pos = global_position(materialize(narrow, "percentile_keys"), order, position="__p", total="__t",
+                          partitions=partitions)
+    rows = F.col("__t") / len(specs)         # every ordering holds every row
+    ranked = (pos.withColumn("__p", F.col("__p") - F.col("__k") * rows)
+              .groupBy(*names)
+              .agg(*[F.max(F.when(F.col("__k") == k, percentile_of("__p", rows))).alias(name)
+                     for k, name in enumerate(specs)]))
+    return df.join(ranked, _null_safe_eq(list(zip(key, names)))).drop(*names)

@@ -34,10 +34,30 @@ ANALOG_PRICE_TIER_TOP = "High"
 # Item-name keyword rules; "Age" comes before "Thermal", so "cold" hits "old".
 NAME_RULES = [("Size", ["small", "large"]), ("Age", ["old", "new"]),
               ("Thermal", ["hot", "cold"]), ("Colour", ["blue", "red"])]
-LOAD_YEARS = [1996, 1997, 1998]
+# Three loads that cut all line items by ship date: before 1997, 1997 to 1998, from 1999 on.
+LOADS = [(None, date(1997, 1, 1)), (date(1997, 1, 1), date(1999, 1, 1)), (date(1999, 1, 1), None)]
+EVERYTHING = (None, None)
+LAST_LOAD = date(2002, 1, 1)
 # ---------------------------------------------------------------------------
 
 
+def total_sql(x: str) -> str:
+    """The exact total of ``functions.scoring`` in DuckDB: whole-number parts summed, put together once."""
+    cuts, rest = [], f"(CASE WHEN NOT abs({x}) >= 4611686018427387904.0 THEN {x} END)"
+    for _ in range(4):
+        cuts.append(f"coalesce(CAST(SUM(CAST(trunc({rest}) AS BIGINT)) AS BIGINT), 0)::DOUBLE")
+        rest = f"(({rest} - trunc({rest})) * 67108864.0::DOUBLE)"
+    low = "0.0::DOUBLE"
+    for k in (3, 2, 1):
+        low = f"({cuts[k]} * power(2.0::DOUBLE, {-26 * k}) + {low})"
+    huge = f"coalesce(SUM(CASE WHEN abs({x}) >= 4611686018427387904.0 THEN {x} END), 0.0::DOUBLE)"
+    return f"({huge} + ({cuts[0]} + {low}))"
+
+
+def avg_sql(x: str) -> str:
+    return f"(CASE WHEN COUNT({x}) > 0 THEN {total_sql(x)} / COUNT({x}) END)"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -98,15 +118,12 @@ def analog_mart_spec(**kw):
                     **kw)
 
 
-def year_bounds(year: int) -> tuple[date, date]:
-    return date(year, 1, 1), date(year + 1, 1, 1)
-
-
 # --- item dimension snapshots for the SCD2 queries ----------------------------------
-# One snapshot per yearly load: the items shipped that year with their
-# attributes as the feed shows them (type = highest return flag seen, price =
-# mean billed price of finished lines, null when none). Year-to-year the
-# attributes change, items appear and items vanish, as a re-aggregated feed does.
+# One snapshot per load: the items shipped in its span with their attributes as
+# the feed shows them (type = highest return flag seen, price = mean billed price
+# of finished lines, null when none). From load to load the attributes change,
+# items appear and items vanish, as a re-aggregated feed does. The spans together
+# read every line item.
 
 ITEM_SCD2_KEYS = ("item_key",)
 ITEM_SCD2_TRACKED = ("average_price", "item_type", "item_form")
@@ -116,43 +133,49 @@ def _ts(d: date) -> F.Column:
     return F.lit(d.isoformat() + " 00:00:00").cast("timestamp_ntz")
 
 
-def item_snapshot(spark: SparkSession, sf_dir: str, year: int) -> DataFrame:
-    from ..functions.scoring import exact_sum, exact_value
-    lo, hi = year_bounds(year)
-    li = (table(spark, sf_dir, "lineitem")
-          .filter((F.col("l_shipdate") >= _ts(lo)) & (F.col("l_shipdate") < _ts(hi))))
+def item_snapshot(spark: SparkSession, sf_dir: str, span: tuple[date | None, date | None]) -> DataFrame:
+    from ..functions.scoring import add_parts, parts_avg, summed_parts
+    lo, hi = span
+    li = table(spark, sf_dir, "lineitem")
+    if lo:
+        li = li.filter(F.col("l_shipdate") >= _ts(lo))
+    if hi:
+        li = li.filter(F.col("l_shipdate") < _ts(hi))
     finished = F.when(F.col("l_linestatus") == "F", F.col("l_extendedprice"))
     # text max has no fixed-width buffer (Spark would sort every line item to
     # aggregate it): hash-aggregate per (item, flag) first, then take the max
     # flag and finish the exact average over that small result
     per_flag = li.groupBy("l_partkey", "l_returnflag").agg(
-        exact_sum(finished).alias("p_sum"), F.count(finished).alias("p_cnt"))
+        *summed_parts(finished, "p"))
     per_item = per_flag.groupBy("l_partkey").agg(
         F.max("l_returnflag").alias("item_type"),
-        (exact_value(F.sum("p_sum")) / F.sum("p_cnt")).alias("average_price"))
+        parts_avg(add_parts("p")).alias("average_price"))
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
     return per_item.join(part, per_item.l_partkey == part.p_partkey).select(
         F.col("p_partkey").alias("item_key"), F.col("p_name").alias("item_name"),
         F.col("item_type"), F.col("p_type").alias("item_form"), F.col("average_price"))
 
 
-def item_snapshot_sql(year: int) -> str:
-    lo, hi = year_bounds(year)
+def item_snapshot_sql(span: tuple[date | None, date | None]) -> str:
+    lo, hi = span
+    spans = [*([f"l_shipdate >= TIMESTAMP '{lo} 00:00:00'"] if lo else []),
+             *([f"l_shipdate < TIMESTAMP '{hi} 00:00:00'"] if hi else [])]
+    where = f"WHERE {' AND '.join(spans)}" if spans else ""
     fin = "CASE WHEN l_linestatus = 'F' THEN l_extendedprice END"
     return f"""
 SELECT p_partkey AS item_key, p_name AS item_name, a.item_type, p_type AS item_form,
        a.average_price
 FROM (SELECT l_partkey, MAX(l_returnflag) AS item_type,
-             CAST(SUM(CAST({fin} AS DECIMAL(18,2))) AS DOUBLE) / COUNT({fin}) AS average_price
+             {avg_sql(fin)} AS average_price
       FROM lineitem
-      WHERE l_shipdate >= TIMESTAMP '{lo} 00:00:00' AND l_shipdate < TIMESTAMP '{hi} 00:00:00'
+      {where}
       GROUP BY l_partkey) a
 JOIN part ON a.l_partkey = p_partkey"""
 
 
-def load_date(year: int) -> date:
-    """A yearly load runs on the first day of the next year."""
-    return date(year + 1, 1, 1)
+def load_date(span: tuple[date | None, date | None]) -> date:
+    """A load runs on the day its span ends."""
+    return span[1] or LAST_LOAD
 
 
 # --- two review feeds for the silver layer -------------------------------------------
@@ -276,10 +299,10 @@ def event_rules() -> dict:
 
 def event_activity(events: DataFrame) -> DataFrame:
     """Per (user, event type): number of events and total value (exact sum)."""
-    from ..functions.scoring import exact_sum, exact_value
+    from ..functions.scoring import exact_total
     return (events.groupBy("user_id", "event_type")
             .agg(F.count(F.lit(1)).alias("events"),
-                 exact_value(exact_sum("value")).alias("total_value")))
+                 exact_total("value").alias("total_value")))
 
 
 # --- CSV files of the two feeds, for the end-to-end pipeline ------------------------------

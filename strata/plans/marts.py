@@ -22,12 +22,12 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scoring import (REFERENCE_PRICE_TIER_TOP, REFERENCE_PRICE_TIERS,
-                                 REFERENCE_SCORE_WEIGHTS, exact_sum, exact_value, guarded_ratio,
-                                 tier, weighted_score)
+from ..functions.scoring import (PARTS, REFERENCE_PRICE_TIER_TOP, REFERENCE_PRICE_TIERS,
+                                 REFERENCE_SCORE_WEIGHTS, add_parts, double_parts, guarded_ratio,
+                                 parts_avg, summed_parts, tier, weighted_score)
 from ..functions.timestamps import ts_lit
 from ..operators.rank import dense_ranks, top_n, with_percentiles
-from ..session import materialize_counted
+from ..session import materialize
 
 STAR_COLUMNS = [
     "condition_name", "condition_category", "drug_name", "drug_type", "drug_form",
@@ -63,15 +63,7 @@ class MartSpec:
     otc_types: tuple = tuple(REFERENCE_OTC_TYPES)
     form_groups: dict = field(default_factory=lambda: {k: list(v) for k, v in
                                                        REFERENCE_FORM_GROUPS.items()})
-    # Decimal scale for order-independent averages (None = plain double avg).
-    avg_scale: int | None = 2
-    # Prices may be item averages with many decimals: a wider exact sum.
-    price_scale: int | None = 2
-    price_precision: int = 18
     run_ts: datetime | None = None  # when set, marts carry ``last_updated``
-    # Largest group the per-group ranking may send to one task; above it the
-    # ranks are computed by the distributed form (see operators.rank).
-    max_group_rows: int | None = 2_000_000
     # Counts of the original count fact rows; with ``distinct_counts`` the
     # marts also carry distinct item / group counts.
     distinct_counts: bool = False
@@ -89,19 +81,24 @@ def _price() -> Column:
     return F.coalesce(F.col("price"), F.col("drug_avg_price"))
 
 
-def _mean(prefix: str, spec: MartSpec) -> Column:
+def _mean(prefix: str) -> Column:
     """Finish an average from composable parts: one division in double."""
-    if prefix == "p":
-        scale, precision = spec.price_scale, spec.price_precision
-    else:
-        scale, precision = spec.avg_scale, 18
-    return exact_value(F.sum(f"{prefix}_sum"), scale, precision) / F.sum(f"{prefix}_cnt")
+    return parts_avg(add_parts(prefix))
+
+
+def _sums(price: Column) -> list[Column]:
+    return [*[a for k, c in _MEASURES.items() for a in summed_parts(c, k)],
+            *summed_parts(price, "p"),
+            F.min(price).alias("p_min"), F.max(price).alias("p_max"),
+            F.sum(F.coalesce(F.col("review_count"), F.lit(0))).alias("reviews"),
+            F.count(F.lit(1)).alias("n_rows"),
+            F.max("effectiveness_score").alias("e_max")]
 
 
 def base(star: DataFrame, spec: MartSpec = MartSpec()) -> DataFrame:
     """Finest-grain partial aggregate of the star, from which all three marts derive.
 
-    One row per (group, category, item, type, form) with exact decimal sums
+    One row per (group, category, item, type, form) with the parts of exact sums
     and counts, min/max price, review total, row counts and the best score.
     Every part composes (sums of sums, min of mins), so the marts re-aggregate
     this small table instead of scanning and shuffling the star three times.
@@ -109,20 +106,43 @@ def base(star: DataFrame, spec: MartSpec = MartSpec()) -> DataFrame:
     ``min`` here would force a sort-based aggregate over every fact row), and
     map-side partial aggregation bounds what a hot group ships.
     """
-    parts = []
-    for k, c in _MEASURES.items():
-        parts += [exact_sum(c, spec.avg_scale, 18).alias(f"{k}_sum"),
-                  F.count(c).alias(f"{k}_cnt")]
     return (star.groupBy(*_GRAIN)
-            .agg(*parts,
-                 exact_sum(_price(), spec.price_scale, spec.price_precision).alias("p_sum"),
-                 F.count(_price()).alias("p_cnt"),
-                 F.min(_price()).alias("p_min"), F.max(_price()).alias("p_max"),
-                 F.sum(F.coalesce(F.col("review_count"), F.lit(0))).alias("reviews"),
+            .agg(*_sums(_price()),
                  F.count("drug_name").alias("n_item"),
-                 F.count("condition_name").alias("n_group"),
-                 F.count(F.lit(1)).alias("n_rows"),
-                 F.max("effectiveness_score").alias("e_max")))
+                 F.count("condition_name").alias("n_group")))
+
+
+def base_of_fact(fact: DataFrame, items: DataFrame, groups: DataFrame) -> DataFrame:
+    """``base`` of the star of a fact and its dimensions, without joining the fact.
+
+    Type, form and average price belong to the item, name and category to the
+    group, so the fact is aggregated by its two keys first and only that result
+    meets the dimensions. Facts without a price count with the item's average:
+    as many times its parts, which are whole numbers, as there are such facts.
+    """
+    own = (fact.groupBy("drug_key", "condition_key")
+           .agg(*_sums(F.col("price")), F.count(F.when(F.col("price").isNull(), 1)).alias("unpriced")))
+    f, d, g = own.alias("f"), items.alias("d"), groups.alias("g")
+    joined = (f.join(d, F.col("f.drug_key") == F.col("d.drug_key"))
+              .join(g, F.col("f.condition_key") == F.col("g.condition_key"))
+              .select("f.*", "g.condition_name", "g.condition_category", "d.drug_name", "d.drug_type",
+                      "d.drug_form", F.col("d.average_price").alias("item_price")))
+    parts = double_parts("item_price")
+    filled = F.col("unpriced") > 0
+
+    def more(k: str) -> Column:
+        if k == "sx":                       # not finite, or huge: any share of it shows
+            return F.when(filled, parts[k] * F.col("unpriced"))
+        return F.coalesce(parts[k], F.lit(0)) * F.col("unpriced")
+
+    price = {f"p_{k}": (F.when(F.col(f"p_{k}").isNull() & more(k).isNull(), None)
+                        .otherwise(F.coalesce(F.col(f"p_{k}"), F.lit(0)) + F.coalesce(more(k), F.lit(0))))
+             for k in PARTS}
+    own_price = F.when(filled, F.col("item_price"))
+    price |= {"p_min": F.least("p_min", own_price), "p_max": F.greatest("p_max", own_price),
+              "n_item": F.when(F.col("drug_name").isNotNull(), F.col("n_rows")).otherwise(0),
+              "n_group": F.when(F.col("condition_name").isNotNull(), F.col("n_rows")).otherwise(0)}
+    return joined.withColumns(price).drop("drug_key", "condition_key", "unpriced", "item_price")
 
 
 def _stamp(df: DataFrame, spec: MartSpec) -> DataFrame:
@@ -131,35 +151,26 @@ def _stamp(df: DataFrame, spec: MartSpec) -> DataFrame:
     return df.withColumn("last_updated", ts_lit(spec.run_ts))
 
 
-def _base_of(star: DataFrame, spec: MartSpec, from_base: bool, base_rows: int | None):
-    if from_base:
-        return star, base_rows
-    return materialize_counted(base(star, spec), "mart_base")
-
-
-def ranking(star: DataFrame, spec: MartSpec = MartSpec(), from_base: bool = False,
-            base_rows: int | None = None) -> DataFrame:
+def ranking(star: DataFrame, spec: MartSpec = MartSpec(), from_base: bool = False) -> DataFrame:
     """Per (group, item, type, form): mean scores, weighted score and three dense ranks.
 
-    The pre-aggregate is written once (its row count observed on the way); a
-    count within ``spec.max_group_rows`` bounds every group, so the ranks use
-    windows with no extra job; otherwise group sizes are checked and huge
-    groups ranked by the distributed form.
+    The scored rows are written once: the ranks read them for their sort and
+    again for the join of the ranks.
     """
-    b, base_rows = _base_of(star, spec, from_base, base_rows)
+    b = star if from_base else base(star, spec)
     agg = (b.groupBy("condition_name", "drug_name", "drug_type", "drug_form")
-           .agg(_mean("e", spec).alias("effectiveness_score"),
-                _mean("u", spec).alias("ease_of_use_score"),
-                _mean("s", spec).alias("satisfaction_score"),
+           .agg(_mean("e").alias("effectiveness_score"),
+                _mean("u").alias("ease_of_use_score"),
+                _mean("s").alias("satisfaction_score"),
                 F.sum("reviews").alias("total_reviews"),
-                _mean("p", spec).alias("average_price"))
+                _mean("p").alias("average_price"))
            .withColumn("overall_score",
                        weighted_score(spec.weights, spec.score_scale, spec.reweight_missing)))
-    ranked = dense_ranks(agg, ["condition_name"], {
+    ranked = dense_ranks(materialize(agg, "scored"), ["condition_name"], {
         "effectiveness_rank": "effectiveness_score",
         "satisfaction_rank": "satisfaction_score",
         "overall_rank": "overall_score",
-    }, max_group_rows=spec.max_group_rows, total_rows=base_rows)
+    })
     cols = ["condition_name", "drug_name", "drug_type", "drug_form",
             "effectiveness_score", "ease_of_use_score", "satisfaction_score", "overall_score",
             "effectiveness_rank", "satisfaction_rank", "overall_rank",
@@ -168,20 +179,18 @@ def ranking(star: DataFrame, spec: MartSpec = MartSpec(), from_base: bool = Fals
 
 
 def value(star: DataFrame, spec: MartSpec = MartSpec(), partitions: int | None = None,
-          from_base: bool = False, base_rows: int | None = None) -> DataFrame:
+          from_base: bool = False) -> DataFrame:
     """Per (item, type): means, price tier, value score and two whole-table percentiles.
 
-    Percentiles come from ``global_position`` (range-partitioned, no
-    single-task window) unless the pre-aggregate's observed row count proves
-    the input within ``spec.max_group_rows``, when a whole-table window is the
-    cheaper exact plan. Ties are broken by item then type so reruns agree.
+    Both percentiles come from one range sort (``with_percentiles``), never from
+    a window in one task. Ties are broken by item then type so reruns agree.
     """
-    b, base_rows = _base_of(star, spec, from_base, base_rows)
+    b = star if from_base else base(star, spec)
     agg = (b.groupBy("drug_name", "drug_type")
-           .agg(_mean("e", spec).alias("avg_effectiveness"),
-                _mean("u", spec).alias("avg_ease_of_use"),
-                _mean("s", spec).alias("avg_satisfaction"),
-                _mean("p", spec).alias("average_price"),
+           .agg(_mean("e").alias("avg_effectiveness"),
+                _mean("u").alias("avg_ease_of_use"),
+                _mean("s").alias("avg_satisfaction"),
+                _mean("p").alias("average_price"),
                 F.sum("reviews").alias("total_reviews"),
                 F.sum("n_group").alias("conditions_treated"),
                 *([F.count_distinct("condition_name").alias("distinct_conditions_treated")]
@@ -191,11 +200,10 @@ def value(star: DataFrame, spec: MartSpec = MartSpec(), partitions: int | None =
                                           spec.price_tier_top))
            .withColumn("value_score", guarded_ratio("avg_effectiveness", "average_price",
                                                     spec.value_factor, spec.value_scale)))
-    ties = [F.col("drug_name").asc_nulls_first(), F.col("drug_type").asc_nulls_first()]
-    out = with_percentiles(agg, {
-        "price_percentile": [F.col("average_price").asc_nulls_first(), *ties],
-        "performance_percentile": [F.col("avg_effectiveness").desc_nulls_last(), *ties],
-    }, partitions=partitions, total_rows=base_rows, max_single_task_rows=spec.max_group_rows)
+    out = with_percentiles(materialize(agg, "valued"), ["drug_name", "drug_type"], {
+        "price_percentile": ("average_price", False),
+        "performance_percentile": ("avg_effectiveness", True),
+    }, partitions)
     cols = ["drug_name", "drug_type", "price_tier", "average_price", "avg_effectiveness",
             "avg_ease_of_use", "avg_satisfaction", "value_score", "price_percentile",
             "performance_percentile", "total_reviews", "conditions_treated"]
@@ -226,7 +234,7 @@ def summary(star: DataFrame, spec: MartSpec = MartSpec(), from_base: bool = Fals
         best_item = F.min(F.struct(F.col("item_mean").isNull(), -F.col("item_mean"),
                                    F.col("drug_name"))).getField("drug_name")
         item_mean = (b.groupBy("condition_name", "drug_name")
-                     .agg(_mean("e", spec).alias("item_mean")))
+                     .agg(_mean("e").alias("item_mean")))
         b = b.join(item_mean, ["condition_name", "drug_name"], "left")
     else:
         raise ValueError("best_by must be 'row' or 'mean'")
@@ -235,14 +243,14 @@ def summary(star: DataFrame, spec: MartSpec = MartSpec(), from_base: bool = Fals
                 rows_where(t.isin(list(spec.rx_types))).alias("rx_drugs_count"),
                 rows_where(t.isin(list(spec.otc_types))).alias("otc_drugs_count"),
                 *forms,
-                _mean("e", spec).alias("avg_effectiveness"),
-                _mean("s", spec).alias("avg_satisfaction"),
+                _mean("e").alias("avg_effectiveness"),
+                _mean("s").alias("avg_satisfaction"),
                 best_item.alias("best_drug_by_effectiveness"),
                 *([F.count_distinct("drug_name").alias("distinct_drugs_available")]
                   if spec.distinct_counts else []),
                 F.min("p_min").alias("min_price"),
                 F.max("p_max").alias("max_price"),
-                _mean("p", spec).alias("avg_price"),
+                _mean("p").alias("avg_price"),
                 F.sum("reviews").alias("total_patient_reviews")))
     cols = ["condition_name", "condition_category", "total_drugs_available", "rx_drugs_count",
             "otc_drugs_count", *spec.form_groups.keys(), "avg_effectiveness",
@@ -261,9 +269,13 @@ def all_marts(star: DataFrame, spec: MartSpec = MartSpec(), partitions: int | No
     it is small, read three times, and cuts the star's lineage so a lost
     executor never forces the star join to rerun.
     """
-    b, n = materialize_counted(base(star, spec), "mart_base")
-    return (ranking(b, spec, from_base=True, base_rows=n),
-            value(b, spec, partitions, from_base=True, base_rows=n),
+    return marts_of_base(materialize(base(star, spec), "mart_base"), spec, partitions)
+
+
+def marts_of_base(b: DataFrame, spec: MartSpec = MartSpec(), partitions: int | None = None
+                  ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three marts from a written pre-aggregate."""
+    return (ranking(b, spec, from_base=True), value(b, spec, partitions, from_base=True),
             summary(b, spec, from_base=True))
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..config import PipelineConfig
 from ..operators import quality, scd2
+from ..session import materialize
 from ..sources import csv, tables
 from ..sources.contracts import contract
 from ..sources.tables import SUCCESS, WARNING, AuditRow
@@ -49,12 +50,19 @@ def run_bronze(spark: SparkSession, cfg: PipelineConfig, run_ts: datetime) -> di
     for key, file_key in _FEEDS:
         file_name = cfg.data_files[file_key]
         schema = contract(key)
-        df, rep = csv.ingest(spark, f"{cfg.volume_path}/{file_name}", schema, run_ts)
-        n = tables.replace_table(df, cfg.table("bronze", key), schema)
+        df, rep = csv.ingest(spark, f"{cfg.volume_path}/{file_name}", schema, run_ts,
+                             errors_col="__errors")
+        # values that do not fit their type are counted, by column, in the same write
+        typed = [f.name for f in schema.fields if f.name in rep.cast]
+        seen = Observation(f"casts_{key}")
+        counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[
+            F.count_if(F.array_contains("__errors", c)).alias(c) for c in typed]).drop("__errors")
+        n = tables.replace_table(counted, cfg.table("bronze", key), schema)
+        bad = {c: seen.get[c] for c in typed if seen.get[c]}
         out[key] = n
+        notes = "; ".join(x for x in (rep.notes(), f"values that do not fit their type: {bad}" if bad else "") if x)
         audit.append(AuditRow(cfg.tables["bronze"][key], file_name, n, run_ts, "bronze",
-                              WARNING if rep.schema_changed else SUCCESS,
-                              rep.notes() or "loaded"))
+                              WARNING if rep.schema_changed or bad else SUCCESS, notes or "loaded"))
     _audit(spark, cfg, audit)
     return out
 
@@ -65,7 +73,12 @@ def _quality(df: DataFrame, cfg: PipelineConfig, key: str, run_ts: datetime,
         return df
     rules = silver_rules()
     if not cfg.quarantine:
-        # warn only: counts ride along with the later writes of this frame
+        # warn only: every row goes on, and the rows that fail a rule are counted
+        failing = quality.counts(df, rules).first().asDict()
+        bad = {k: v for k, v in failing.items() if k.startswith("failed_") and v}
+        audit.append(AuditRow(key, "bronze tables", failing["rows"], run_ts, "silver",
+                              WARNING if bad else SUCCESS,
+                              f"rows failing rules, kept: {bad}" if bad else "no row fails a rule"))
         return df
     obs = Observation(f"q_{key}")
     valid, bad = quality.split(df, rules, observation=obs)
@@ -95,6 +108,7 @@ def run_silver(spark: SparkSession, cfg: PipelineConfig, run_ts: datetime,
     obs = Observation("scd2_dim_drugs")
     # item_dimension keeps one row per key by construction: no validation job
     dim = scd2.apply(history, items, spec, as_of, enabled=spec is not None, validate=False,
+                     null_keys="drop" if cfg.quality_checks and cfg.quarantine else "append",
                      observation=obs if history is not None else None)
     buckets = (cfg.bucket_count, ["drug_key"]) if cfg.bucket_count > 0 else None
     out["dim_drugs"] = tables.replace_table(dim, dname,
@@ -144,8 +158,7 @@ def run_silver(spark: SparkSession, cfg: PipelineConfig, run_ts: datetime,
 
 
 def gold_mart_spec(run_ts: datetime, **kw) -> marts.MartSpec:
-    """Item prices are averages with many decimals: a wide exact sum for them."""
-    return marts.MartSpec(run_ts=run_ts, price_scale=10, price_precision=38, **kw)
+    return marts.MartSpec(run_ts=run_ts, **kw)
 
 
 def run_gold(spark: SparkSession, cfg: PipelineConfig, run_ts: datetime,
@@ -154,9 +167,10 @@ def run_gold(spark: SparkSession, cfg: PipelineConfig, run_ts: datetime,
     s2 = cfg.scd2_spec("dim_drugs")
     if s2 is not None:
         items = scd2.current_view(items, s2).drop(*s2.meta)
-    view = star.star_view(spark.table(cfg.table("silver", "fact_drug_performance")), items,
-                          spark.table(cfg.table("silver", "dim_conditions")))
-    ranking, value, summary = marts.all_marts(view, spec or gold_mart_spec(run_ts))
+    base = marts.base_of_fact(spark.table(cfg.table("silver", "fact_drug_performance")), items,
+                              spark.table(cfg.table("silver", "dim_conditions")))
+    ranking, value, summary = marts.marts_of_base(materialize(base, "mart_base"),
+                                                  spec or gold_mart_spec(run_ts))
     out, audit = {}, []
     for key, df, note in [("drug_effectiveness_ranking", ranking, "rankings by group"),
                           ("price_performance_analysis", value, "price vs performance"),
@@ -190,6 +204,6 @@ def _run_layers(spark: SparkSession, cfg: PipelineConfig, run_ts: datetime,
             result[layer] = fn()
         except Exception as e:
             _audit(spark, cfg, [AuditRow(f"{layer} layer", "-", None, run_ts, layer,
-                                         tables.FAILED, f"{type(e).__name__}: {e}"[:1000])])
+                                         tables.FAILED, f"{type(e).__name__}: {e}")])
             raise
     return result

@@ -55,7 +55,7 @@ def cleanse_clean(clean: DataFrame) -> DataFrame:
     )
 
 
-def item_dimension(raw_c: DataFrame, clean_c: DataFrame, price_scale: int | None = 2) -> DataFrame:
+def item_dimension(raw_c: DataFrame, clean_c: DataFrame) -> DataFrame:
     """One row per item key: type, form, mean price and description from both feeds.
 
     Two aggregates (one exchange each), one full outer join on (item, type),
@@ -68,7 +68,7 @@ def item_dimension(raw_c: DataFrame, clean_c: DataFrame, price_scale: int | None
                 .groupBy("drug_clean", "drug_type_clean")
                 .agg(F.min("information").alias("drug_information")))
     from_clean = (clean_c.groupBy("drug_clean", "drug_type_clean", "form")
-                  .agg(exact_avg("price", price_scale).alias("average_price"),
+                  .agg(exact_avg("price").alias("average_price"),
                        F.sum("review_count").alias("total_reviews")))
     both = from_raw.join(from_clean, ["drug_clean", "drug_type_clean"], "full_outer")
     keyed = both.select(

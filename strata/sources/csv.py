@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.cleanse import to_snake
 from ..functions.keys import record_id
@@ -32,15 +32,19 @@ def read_text_csv(spark: SparkSession, path: str, multiline: bool = True,
                   **options) -> DataFrame:
     """All columns as text, names from the header, snake-cased; plus ``source_file``.
 
-    Only the header line is read to learn the names (no type inference job).
+    Only one header line is read to learn the names (no type inference job); a
+    file whose own header names other columns, or names them in another order,
+    fails the read (``enforceSchema=false``) instead of swapping values.
     """
     opts = dict(CSV_OPTIONS, multiLine=str(multiline).lower(), **options)
-    raw = spark.read.options(**opts).csv(path)
-    names = [to_snake(c) for c in raw.columns]
+    header = spark.read.options(**opts).csv(path).columns
+    names = [to_snake(c) for c in header]
     dup = {n for n in names if names.count(n) > 1}
     if dup:
         raise ValueError(f"header names collide after normalising: {sorted(dup)}")
-    return raw.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(raw.columns, names)],
+    schema = StructType([StructField(c, StringType()) for c in header])
+    raw = spark.read.options(**opts, enforceSchema="false").schema(schema).csv(path)
+    return raw.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(header, names)],
                       F.col("_metadata.file_path").alias("source_file"))
 
 

@@ -7,10 +7,11 @@ the query's checkpoint, ``trigger(availableNow=True)`` processes everything new
 and stops, and the parquet file sink commits each micro-batch atomically, so a
 lost executor or a rerun never duplicates or drops a file.
 
-The stream reads the contract's source columns by position as text (a stream
-needs its schema up front, so headers are skipped, not interpreted), then
-types them with ``try_cast`` exactly as the batch ingest does and adds the
-same lineage columns.
+A stream needs its schema up front, so the contract's source columns are read
+in their order and every file's header must agree with them
+(``enforceSchema=false``): a file with its columns in another order fails the run
+instead of swapping values. Values are typed with ``try_cast`` exactly as the
+batch ingest does, with the same lineage columns.
 """
 
 from __future__ import annotations
@@ -23,41 +24,53 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.keys import record_id
 from ..functions.timestamps import ts_lit
-from ..session import ensure_checkpoint_dir
 from ..sources.csv import CSV_OPTIONS
 
 _LINEAGE = ("ingestion_timestamp", "source_file", "record_id")
 
 
 def stream_feed(spark: SparkSession, source_dir: str, schema: StructType, run_ts: datetime,
-                id_style: str = "reference", max_files_per_batch: int | None = None
-                ) -> DataFrame:
-    """Streaming DataFrame of a CSV landing folder, typed to ``schema`` plus lineage."""
+                id_style: str = "reference", max_files_per_batch: int | None = None,
+                multiline: bool = True, headers: dict[str, str] | None = None) -> DataFrame:
+    """Streaming DataFrame of a CSV landing folder, typed to ``schema`` plus lineage.
+
+    ``headers`` maps a contract column to its header text where they differ.
+    """
     fields = [f for f in schema.fields if f.name not in _LINEAGE]
-    text_schema = StructType([StructField(f.name, StringType()) for f in fields])
-    reader = spark.readStream.format("csv").options(**CSV_OPTIONS).schema(text_schema)
+    headers = headers or {}
+    text_schema = StructType([StructField(headers.get(f.name, f.name), StringType()) for f in fields])
+    options = dict(CSV_OPTIONS, multiLine=str(multiline).lower(), enforceSchema="false")
+    reader = spark.readStream.format("csv").options(**options).schema(text_schema)
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_batch))
     raw = reader.load(source_dir)
     names = [f.name for f in fields]
+    raw = raw.select(*[F.col(f"`{headers.get(n, n)}`").alias(n) for n in names],
+                     F.col("_metadata.file_path").alias("source_file"))
     return raw.select(
         *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in fields],
         ts_lit(run_ts).alias("ingestion_timestamp"),
-        F.col("_metadata.file_path").alias("source_file"),
+        F.col("source_file"),
         record_id(names, id_style).alias("record_id"))
 
 
 def ingest_new_files(spark: SparkSession, source_dir: str, schema: StructType, target: str,
-                     run_ts: datetime, checkpoint: str | None = None, **kw) -> int:
+                     run_ts: datetime, checkpoint: str, **kw) -> int:
     """Append every not-yet-seen file of ``source_dir`` to the parquet folder ``target``.
 
-    Returns the number of rows appended by this run. The stream's checkpoint
-    defaults to a folder under the session's checkpoint folder named after the
-    target, so reruns resume where the last one stopped.
+    Returns the number of rows appended by this run. ``checkpoint`` is the
+    stream's memory of what it has read: it must be the same folder, on shared
+    storage, in every run for one target, and belongs to no session. A target that
+    was written before is refused with an empty checkpoint, because its sink would
+    skip the new query's first batches as already committed.
     """
-    if checkpoint is None:
-        root = ensure_checkpoint_dir(spark)
-        checkpoint = f"{root}/stream-{abs(hash(target)) % 10**12}"
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    before = 0
+    if fs.exists(path(f"{target}/_spark_metadata")):
+        if not path(checkpoint).getFileSystem(spark._jsc.hadoopConfiguration()).exists(path(checkpoint)):
+            raise ValueError(f"{target} was written by a stream whose checkpoint is not {checkpoint}")
+        before = spark.read.parquet(target).count()
     q = (stream_feed(spark, source_dir, schema, run_ts, **kw)
          .writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint)
@@ -66,4 +79,5 @@ def ingest_new_files(spark: SparkSession, source_dir: str, schema: StructType, t
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
+    # counted in the target's file footers: a query keeps only its last progress reports
+    return (spark.read.parquet(target).count() if fs.exists(path(f"{target}/_spark_metadata")) else 0) - before

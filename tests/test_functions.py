@@ -88,3 +88,36 @@ def test_guarded_ratio(spark):
                                "n double, d double")
     assert [r[0] for r in df.select(guarded_ratio("n", "d")).collect()] == \
         [10.0, 0.0, 0.0, 0.0]
+
+
+def test_averages_lose_no_digit(spark):
+    """Full doubles, in any order of rows and partitions; NaN and infinities as in a plain average."""
+    import math
+    import random
+    from fractions import Fraction
+
+    from strata.functions.scoring import add_parts, exact_avg, parts_avg, summed_parts
+    rng = random.Random(5)
+    groups = {
+        "digits": [3.8523, 3.8567, 0.004], "mixed": [rng.uniform(-1, 1) * 10 ** rng.randint(-9, 12) for _ in range(500)],
+        "third": [1 / 3] * 7, "cancel": [1e15 + 0.5, -1e15, 0.25], "small": [1.2345678901234567e-5] * 3,
+        "nan": [1.0, float("nan")], "inf": [float("inf"), 2.0], "both": [float("inf"), float("-inf")],
+        "null": [None, None], "some": [None, 2.5], "huge": [1e300, 1.0],
+    }
+    rows = [(g, x) for g, xs in groups.items() for x in xs]
+    seen = []
+    for seed in (1, 2):
+        random.Random(seed).shuffle(rows)
+        df = spark.createDataFrame(rows, "g string, x double").repartition(1 + 4 * seed)
+        direct = {r.g: r.a for r in df.groupBy("g").agg(exact_avg("x").alias("a")).collect()}
+        two = (df.withColumn("h", F.hash("x") % 3).groupBy("g", "h").agg(*summed_parts("x", "p"))
+               .groupBy("g").agg(parts_avg(add_parts("p")).alias("a")))
+        seen += [direct, {r.g: r.a for r in two.collect()}]
+    assert all(repr(s) == repr({k: s[k] for k in s}) and {k: repr(v) for k, v in s.items()} ==
+               {k: repr(v) for k, v in seen[0].items()} for s in seen)
+    got = seen[0]
+    for g in ("digits", "mixed", "third", "cancel", "small", "some"):
+        xs = [Fraction(x) for x in groups[g] if x is not None]
+        assert abs(Fraction(got[g]) - sum(xs) / len(xs)) <= 4 * Fraction(math.ulp(got[g])), g
+    assert math.isnan(got["nan"]) and math.isinf(got["inf"]) and math.isnan(got["both"])
+    assert got["null"] is None and got["huge"] == 5e299

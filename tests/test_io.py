@@ -42,6 +42,13 @@ def test_ingest_headers_multiline_lineage(spark, scratch):
     check(df, schema)
 
 
+def test_reordered_header_is_refused(spark, scratch):
+    write(f"{scratch}/feed/a.csv", "Condition,Price\npain,1.5\n")
+    write(f"{scratch}/feed/b.csv", "Price,Condition\n2.0,gout\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        csv.read_text_csv(spark, f"{scratch}/feed").collect()
+
+
 def test_conform_casts_and_reports(spark):
     df = spark.createDataFrame([("1", "x", "q"), ("bad", "y", "q")], "a string, b string, z string")
     out, rep = conform(df, StructType.fromDDL("a INT, b STRING, c DOUBLE"), errors_col="errs")

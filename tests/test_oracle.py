@@ -25,11 +25,14 @@ def duck():
     return con
 
 
+OWN = set(entry.queries()) - set(entry.llm.QUERIES if entry.llm else ()) - {"pipeline"}
+
+
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert OWN <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(OWN))
 def test_query_matches_oracle(spark, duck, name):
     sdf = entry.queries()[name](spark, SF).toPandas()
     ddf = duck.execute(entry.oracle_sql()[name]).fetchdf()
@@ -44,19 +47,7 @@ def test_entry_smoke(spark):
     assert df.schema == entry.entry(spark).schema
 
 
-def test_ranking_mart_distributed_path_matches_oracle(spark, duck):
-    """Force the skew-safe rank path (every group 'too big' for one task)."""
-    from strata.plans import analogs, marts
-    spec = analogs.analog_mart_spec(max_group_rows=10)
-    sdf = marts.ranking(analogs.review_star(spark, SF), spec).toPandas()
-    ddf = duck.execute(entry.oracle_sql()["ranking_mart"]).fetchdf()
-    assert len(sdf) == len(ddf) and _digest(sdf)[0] == _digest(ddf)[0]
-
-
-def test_value_mart_distributed_path_matches_oracle(spark, duck):
-    """Force the range-partitioned percentile path (input 'too big' for one task)."""
-    from strata.plans import analogs, marts
-    spec = analogs.analog_mart_spec(max_group_rows=10)
-    sdf = marts.value(analogs.review_star(spark, SF), spec, partitions=4).toPandas()
-    ddf = duck.execute(entry.oracle_sql()["value_mart"]).fetchdf()
-    assert len(sdf) == len(ddf) and _digest(sdf)[0] == _digest(ddf)[0]
+@pytest.mark.parametrize("name", ["ranking_mart", "value_mart", "global_position"])
+def test_no_single_task_window(spark, name):
+    plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "Window" not in plan

@@ -39,19 +39,26 @@ def test_global_position_heavy_value_spreads(spark):
 
 
 def test_percentiles(spark):
-    df = spark.createDataFrame([(f"i{i}", float(i)) for i in range(1, 9)], "n string, p double")
-    out = with_percentiles(df, {"pct": [F.col("p"), F.col("n")]})
-    got = {r["n"]: r["pct"] for r in out.collect()}
-    assert got["i1"] == 13 and got["i4"] == 50 and got["i8"] == 100
+    df = spark.createDataFrame([(f"i{i}", float(i), None if i == 3 else -float(i)) for i in range(1, 9)],
+                               "n string, p double, q double")
+    out = with_percentiles(df, ["n"], {"pct": ("p", False), "back": ("q", True)})
+    got = {r["n"]: (r["pct"], r["back"]) for r in out.collect()}
+    assert got["i1"] == (13, 13) and got["i4"] == (50, 38) and got["i8"] == (100, 88) and got["i3"] == (38, 100)
 
 
-def test_dense_ranks_share_one_exchange(spark):
-    df = spark.createDataFrame([("g", "a", 1.0, 2.0), ("g", "b", 1.0, None), ("h", "c", 3.0, 1.0)],
-                               "g string, i string, x double, y double")
-    out = dense_ranks(df, ["g"], {"rx": "x", "ry": "y"})
-    assert plan(out).count("Exchange hashpartitioning") == 1
-    got = {r["i"]: (r["rx"], r["ry"]) for r in out.collect()}
-    assert got == {"a": (1, 1), "b": (1, 2), "c": (1, 1)}   # ties share a rank; nulls last
+def test_dense_ranks_equal_windows(spark):
+    rnd = random.Random(3)
+    data = [(rnd.choice(["g1", "g1", "g1", "g2", None]), rnd.choice([None, 1.0, 2.0, 3.0, 4.5, float("nan")]),
+             rnd.choice([None, 7.0, 8.0]), i) for i in range(2000)]
+    df = spark.createDataFrame(data, "g string, x double, y double, id long")
+    want = df
+    for name, c in (("rx", "x"), ("ry", "y")):
+        want = want.withColumn(name, F.dense_rank().over(
+            Window.partitionBy("g").orderBy(F.col(c).desc_nulls_last())))
+    out = dense_ranks(df, ["g"], {"rx": "x", "ry": "y"}, partitions=5)
+    assert "Window" not in plan(out)
+    assert sorted(tuple(r) for r in out.select("id", "rx", "ry").collect()) == \
+        sorted(tuple(r) for r in want.select("id", "rx", "ry").collect())
 
 
 def test_best_in_aggregate(spark):
@@ -69,29 +76,6 @@ def test_top_n_uses_group_limit(spark):
     assert sorted(r["id"] for r in out.collect()) == [94, 95, 96, 97, 98, 99]
 
 
-def test_distributed_dense_rank_equals_window(spark):
-    from strata.operators.rank import distributed_dense_rank
-    rnd = random.Random(3)
-    data = [(rnd.choice(["g1", "g1", "g1", "g2", None]), rnd.choice([None, 1.0, 2.0, 3.0, 4.5]),
-             i) for i in range(2000)]
-    df = spark.createDataFrame(data, "g string, v double, id long")
-    w = df.withColumn("r", F.dense_rank().over(
-        Window.partitionBy("g").orderBy(F.col("v").desc_nulls_last())))
-    d = distributed_dense_rank(df, ["g"], "v", "r", partitions=5)
-    assert sorted(tuple(r) for r in d.select("id", "r").collect()) == \
-        sorted(tuple(r) for r in w.select("id", "r").collect())
-
-
-def test_dense_ranks_switch_on_group_size(spark):
-    df = spark.createDataFrame([("g", float(i % 7), i) for i in range(300)],
-                               "g string, v double, id long")
-    small = dense_ranks(df, ["g"], {"r": "v"}, max_group_rows=1000)
-    big = dense_ranks(df, ["g"], {"r": "v"}, max_group_rows=10)
-    assert "Window" in plan(small) and "Window" not in plan(big)
-    assert sorted(tuple(r) for r in small.select("id", "r").collect()) == \
-        sorted(tuple(r) for r in big.select("id", "r").collect())
-
-
 def test_best_per_group_two_level(spark):
     from strata.operators.rank import best_per_group
     df = spark.createDataFrame([("g", "b", 5.0), ("g", "a", 5.0), ("g", "c", 1.0),
@@ -103,7 +87,6 @@ def test_best_per_group_two_level(spark):
 
 def test_rank_edge_inputs(spark):
     """FIXTURES rank_in: empty, one row, all equal, 30% nulls, many ties."""
-    from strata.operators.rank import distributed_dense_rank
     schema = "g string, v double, id long"
     cases = {
         "empty": [],
@@ -121,12 +104,12 @@ def test_rank_edge_inputs(spark):
                 df.select("id", F.row_number().over(Window.orderBy(*order)).alias("p")).collect()}
         assert got == want, name
         d = {r["id"]: r["r"] for r in
-             distributed_dense_rank(df, ["g"], "v", "r", partitions=3).select("id", "r").collect()}
+             dense_ranks(df, ["g"], {"r": "v"}, partitions=3).select("id", "r").collect()}
         w = {r["id"]: r["r"] for r in df.select("id", F.dense_rank().over(
             Window.partitionBy("g").orderBy(F.col("v").desc_nulls_last())).alias("r")).collect()}
         assert d == w, name
     empty = spark.createDataFrame([], schema)
-    assert with_percentiles(empty, {"p": [F.col("v")]}, partitions=2).count() == 0
+    assert with_percentiles(empty, ["id"], {"p": ("v", False)}, partitions=2).count() == 0
 
 
 def test_global_position_keeps_callers_cache(spark):
@@ -135,13 +118,3 @@ def test_global_position_keeps_callers_cache(spark):
     global_position(df, [F.col("id")], partitions=2).count()
     assert df.is_cached
     df.unpersist()
-
-
-def test_global_position_many_files_uses_offset_table(spark, monkeypatch):
-    import strata.operators.rank as rank
-    monkeypatch.setattr(rank, "_MAX_LITERAL_OFFSETS", 2)
-    df = spark.range(0, 3000).withColumn("v", (F.col("id") * 37) % 101)
-    out = global_position(df, [F.col("v"), F.col("id")], partitions=6)
-    want = {r["id"]: r["p"] for r in df.select(
-        "id", F.row_number().over(Window.orderBy("v", "id")).alias("p")).collect()}
-    assert {r["id"]: r["position"] for r in out.collect()} == want

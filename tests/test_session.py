@@ -1,5 +1,6 @@
 """Materialized stages: one computation, observed counts, under the checkpoint folder."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from strata.operators.rank import with_percentiles
@@ -14,14 +15,13 @@ def test_materialize_counted(spark):
     assert path(df.inputFiles()[0]).startswith(path(checkpoint_dir(spark)))
 
 
-def test_percentile_paths_agree(spark):
+def test_percentiles_equal_a_window(spark):
     df = spark.createDataFrame([(f"i{i % 37}", float(i % 11), i) for i in range(500)],
                                "n string, p double, id long")
-    spec = {"pct": [F.col("p").desc_nulls_last(), F.col("n"), F.col("id")]}
-    window = with_percentiles(df, spec, total_rows=500, max_single_task_rows=1000)
-    ranged = with_percentiles(df, spec, partitions=3)
-    assert sorted(tuple(r) for r in window.select("id", "pct").collect()) == \
-        sorted(tuple(r) for r in ranged.select("id", "pct").collect())
+    w = Window.orderBy(F.col("p").desc_nulls_last(), "n", "id")
+    want = df.select("id", F.round(F.row_number().over(w) / 500 * 100, 0).cast("int").alias("pct"))
+    got = with_percentiles(df, ["n", "id"], {"pct": ("p", True)}, partitions=3)
+    assert sorted(tuple(r) for r in want.collect()) == sorted(tuple(r) for r in got.select("id", "pct").collect())
 
 
 def test_scratch_scope_drops_its_stages(spark):

@@ -1,8 +1,12 @@
 """Incremental bronze ingest: each landing file is ingested exactly once."""
 
 import os
+import subprocess
+import sys
 from datetime import datetime
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql.types import StructType
 
 from strata.streaming import ingest_new_files
@@ -31,3 +35,38 @@ def test_new_files_once(spark, scratch):
         [("gout", 2.0), ("pain", 1.5)]
     assert len(rows) == 3 and {r["source_file"].rsplit("/", 1)[1] for r in rows} == \
         {"a.csv", "b.csv"}
+
+
+_RUN = """
+import sys
+from datetime import datetime
+from pyspark.sql.types import StructType
+from strata.session import local_session
+from strata.streaming import ingest_new_files
+spark = local_session(1, 1)
+print("rows", ingest_new_files(spark, sys.argv[1], StructType.fromDDL(sys.argv[4]), sys.argv[2], datetime(2024, 1, 1),
+                               checkpoint=sys.argv[3]))
+"""
+
+
+def test_two_processes_lose_no_file(spark, scratch):
+    """A second session with the same checkpoint reads what is new, and only that."""
+    land, out, ck = (f"{scratch}/{n}" for n in ("landing", "bronze", "ck"))
+    schema = StructType.fromDDL(DDL)
+    _file(land, "a.csv", "pain,1.5,12 Reviews\n")
+    assert ingest_new_files(spark, land, schema, out, datetime(2024, 1, 1), checkpoint=ck) == 1
+    _file(land, "b.csv", "gout,2.0,1\ngout,3.0,1\n")
+    done = subprocess.run([sys.executable, "-c", _RUN, land, out, ck, DDL], capture_output=True, text=True, timeout=300)
+    assert "rows 2" in done.stdout, done.stderr[-2000:]
+    assert spark.read.parquet(out).count() == 3
+    with pytest.raises(ValueError, match="checkpoint"):
+        ingest_new_files(spark, land, schema, out, datetime(2024, 1, 1), checkpoint=f"{scratch}/other")
+
+
+def test_reordered_header_is_refused(spark, scratch):
+    land, schema = f"{scratch}/landing", StructType.fromDDL(DDL)
+    os.makedirs(land)
+    with open(f"{land}/a.csv", "w") as f:
+        f.write("Reviews,Condition,Price\n7 R,gout,2.0\n")
+    with pytest.raises(StreamingQueryException):
+        ingest_new_files(spark, land, schema, f"{scratch}/out", datetime(2024, 1, 1), checkpoint=f"{scratch}/ck")
