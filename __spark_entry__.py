@@ -759,6 +759,85 @@ def q_audit_latest(spark: SparkSession, d: str) -> DataFrame:
     return latest_runs(q_audit_rows(spark, d))
 
 
+def q_dirty_feed_audit(spark: SparkSession, d: str) -> DataFrame:
+    """Two daily loads of feeds with faults, quarantine off: what the audit log says of the bad rows,
+    and what became of them in silver."""
+    from datetime import date, datetime
+
+    from pyspark.sql import functions as F
+
+    from strata.config import PipelineConfig, default_config_dict
+    from strata.plans import pipeline
+    from strata.session import scratch_path
+    root = scratch_path(spark, "dirty")
+    analogs.write_feed_csvs(spark, d, f"{root}/volume", dirty=True)
+    options = default_config_dict(f"{root}/volume")
+    options["pipeline"]["enable_quarantine"] = False
+    cfg = PipelineConfig.from_dict(options, prefix=f"strata_dirty_{root.rsplit('-', 1)[1]}_")
+    for day in (1, 2):
+        pipeline.run_pipeline(spark, cfg, datetime(2024, 2, day), date(2024, 2, day), location_root=root)
+    audit = (spark.table(cfg.table("landing", "metadata_tracking"))
+             .filter("layer = 'bronze' OR table_name IN ('drug_reviews_raw', 'drug_reviews_clean')")
+             .select("layer", "table_name", F.dayofmonth("load_timestamp").alias("day"), "record_count", "status",
+                     "notes"))
+    fact = spark.table(cfg.table("silver", "fact_drug_performance")).agg(
+        F.count("*").alias("record_count"),
+        F.concat(F.lit("no item: "), F.count_if(F.col("drug_key").isNull()), F.lit(", no group: "),
+                 F.count_if(F.col("condition_key").isNull()), F.lit(", NaN: "),
+                 F.count_if(F.isnan("effectiveness_score")), F.lit(", reviews: "),
+                 F.sum(F.when(F.col("data_source") == "clean", F.col("review_count")))).alias("notes"))
+    kept = fact.select(F.lit("silver").alias("layer"), F.lit("fact").alias("table_name"), F.lit(2).alias("day"),
+                       "record_count", F.lit("rows").alias("status"), "notes")
+    first = (spark.table(cfg.table("silver", "dim_conditions")).filter("condition_key IS NOT NULL")
+             .agg(F.count("*").alias("record_count"), F.concat(
+                 F.lit("first seen on day "), F.min(F.dayofmonth("first_seen_date")), F.lit(" to "),
+                 F.max(F.dayofmonth("first_seen_date"))).alias("notes"))
+             .select(F.lit("silver").alias("layer"), F.lit("groups").alias("table_name"), F.lit(2).alias("day"),
+                     "record_count", F.lit("rows").alias("status"), "notes"))
+    return audit.unionByName(kept).unionByName(first)
+
+
+def _dirty_feed_sql() -> str:
+    def audit(layer: str, table: str, count: str, bad: str, good: str) -> str:
+        return f"""
+SELECT '{layer}' AS layer, '{table}' AS table_name, day, CAST(({count}) AS BIGINT) AS record_count,
+       CASE WHEN ({bad}) IS NULL THEN 'success' ELSE 'warning' END AS status, COALESCE(({bad}), '{good}') AS notes
+FROM days"""
+
+    def counted(name: str, n: str) -> str:
+        return f"concat(chr(39), '{name}', chr(39), ': ', {n})"
+
+    def rule(table: str) -> str:
+        n_item = f"(SELECT COUNT(*) FILTER (WHERE drug IS NULL) FROM {table})"
+        n_group = f"(SELECT COUNT(*) FILTER (WHERE condition IS NULL) FROM {table})"
+        named = (f"CASE WHEN {n_item} > 0 THEN {counted('failed_item_present', n_item)} END, "
+                 f"CASE WHEN {n_group} > 0 THEN {counted('failed_group_present', n_group)} END")
+        return (f"SELECT CASE WHEN {n_item} + {n_group} > 0 THEN concat('rows failing rules, kept: {{', "
+                f"concat_ws(', ', {named}), '}}') END")
+
+    cast = (f"SELECT CASE WHEN COUNT(*) > 0 THEN concat('values that do not fit their type: {{', "
+            f"{counted('price', 'COUNT(*)')}, '}}') END FROM clean WHERE price = 'abc'")
+    return f"""
+WITH days AS (SELECT unnest([1, 2]) AS day),
+raw AS (SELECT * REPLACE (CASE WHEN ease_of_use = '0.03' THEN NULL ELSE drug END AS drug,
+          CASE WHEN ease_of_use = '0.07' THEN 'NaN' ELSE effective END AS effective) FROM ({analogs.RAW_FEED_SQL})),
+clean AS (SELECT * REPLACE (CASE WHEN ease_of_use = 0.03 THEN 'abc' ELSE CAST(price AS VARCHAR) END AS price,
+          CASE WHEN satisfaction = 0.07 THEN NULL ELSE condition END AS condition) FROM ({analogs.CLEAN_FEED_SQL}))
+{audit('bronze', 'drug_reviews_raw', 'SELECT COUNT(*) FROM raw', 'SELECT NULL', 'loaded')}
+UNION ALL {audit('bronze', 'drug_reviews_clean', 'SELECT COUNT(*) FROM clean', cast, 'loaded')}
+UNION ALL {audit('silver', 'drug_reviews_raw', 'SELECT COUNT(*) FROM raw', rule('raw'), 'no row fails a rule')}
+UNION ALL {audit('silver', 'drug_reviews_clean', 'SELECT COUNT(*) FROM clean', rule('clean'), 'no row fails a rule')}
+UNION ALL
+SELECT 'silver', 'fact', 2, (SELECT COUNT(*) FROM raw) + (SELECT COUNT(*) FROM clean), 'rows',
+  concat('no item: ', (SELECT COUNT(*) FROM raw WHERE drug IS NULL), ', no group: ',
+         (SELECT COUNT(*) FROM clean WHERE condition IS NULL), ', NaN: ',
+         (SELECT COUNT(*) FROM raw WHERE effective = 'NaN'), ', reviews: ', (SELECT CAST(SUM(reviews) AS BIGINT) FROM clean))
+UNION ALL
+SELECT 'silver', 'groups', 2, COUNT(DISTINCT g), 'rows', 'first seen on day 1 to 1' FROM (
+  SELECT {_initcap('condition')} AS g FROM raw WHERE condition IS NOT NULL
+  UNION ALL SELECT {_initcap('condition')} FROM clean WHERE condition IS NOT NULL)"""
+
+
 def q_bronze_incremental(spark: SparkSession, d: str) -> DataFrame:
     """The raw feed's CSV files ingested by the file-stream job (new files only, once)."""
     from datetime import datetime
@@ -827,6 +906,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "contract_conform": q_contract_conform,
         "audit_latest": q_audit_latest,
         "bronze_incremental": q_bronze_incremental,
+        "dirty_feed_audit": q_dirty_feed_audit,
         **({**llm.QUERIES, "pipeline": corpus_pipeline.run} if llm else {}),
     }
 
@@ -841,6 +921,7 @@ def oracle_sql() -> dict[str, str]:
         "group_leaderboard": _leaderboard_sql(),
         **_scd2_sqls(),
         **_lookup_sqls(),
+        "dirty_feed_audit": _dirty_feed_sql(),
         **_silver_sqls(),
         **_event_sqls(),
         **(llm.ORACLE_SQL if llm else {}),

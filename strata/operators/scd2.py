@@ -18,8 +18,8 @@ Plan: current history rows and the snapshot meet in ONE full outer join on the
 business keys (two hash exchanges, no other shuffle); each key's outcome is a
 flat ``CASE``, a changed key is duplicated by a two-element ``explode``, and
 every output column is one ``when``; closed rows bypass the join through a
-union. Rows with a null key never match and are routed around the join, so
-they cannot pile into the single partition nulls hash to.
+union, so the history is read twice, each row once. Rows with a null key never
+match; a second join key spreads them over the partitions.
 """
 
 from __future__ import annotations
@@ -150,25 +150,28 @@ def merge(history: DataFrame, snapshot: DataFrame, spec: Scd2Spec, as_of: date,
     def snap_cols_as(prefix: str = "") -> list[Column]:
         return [typed(c, snap_types).alias(prefix + c) for c in data_cols]
 
-    # closed versions and null-key rows never take part in the join
+    # Closed versions bypass the join: one pass over them, one over the current rows.
+    # Rows with a null key match nothing; a second join key spreads them, so they do
+    # not pile up in the one partition that nulls hash to.
     null_key = _any_null(spec.keys)
-    as_is = hist_cols()
-    past = history.filter(~_is_current(spec)).select(*as_is, F.lit(HISTORY).alias(kind))
-    current = history.filter(_is_current(spec))
-    cur_null = current.filter(null_key).select(*as_is, F.lit(MISSING).alias(kind))
-    snap_null = snapshot.filter(null_key)
-
-    # one full outer join of flat, prefixed columns
-    s = snapshot.filter(~null_key).select(*snap_cols_as("__s_"), F.lit(True).alias("__s_in"))
-    h = current.filter(~null_key).select(*hist_cols("__h_"), F.lit(True).alias("__h_in"))
-    cond = None
+    past = history.filter(~_is_current(spec)).select(*hist_cols(), F.lit(HISTORY).alias(kind))
+
+    def spread(cols: Sequence[str]) -> Column:
+        return F.when(null_key, F.xxhash64(*[F.col(c) for c in cols])).otherwise(F.lit(0).cast("long"))
+
+    snap = snapshot if null_keys == "append" else snapshot.filter(~null_key)
+    s = snap.select(*snap_cols_as("__s_"), spread(snapshot.columns).alias("__s_at"), F.lit(True).alias("__s_in"))
+    h = history.filter(_is_current(spec)).select(
+        *hist_cols("__h_"), spread(history.columns).alias("__h_at"), null_key.alias("__h_null"),
+        F.lit(True).alias("__h_in"))
+    cond = F.col("__s_at") == F.col("__h_at")
     for k in spec.keys:
-        t = F.col(f"__s_{k}") == F.col(f"__h_{k}")
-        cond = t if cond is None else (cond & t)
+        cond = cond & (F.col(f"__s_{k}") == F.col(f"__h_{k}"))
     joined = s.join(h, cond, "full_outer")
 
     changed = change_predicate(spec.tracked, "__s_", "__h_")
     outcome = (F.when(F.col("__h_in").isNull(), F.lit(NEW))
+               .when(F.col("__s_in").isNull() & F.col("__h_null"), F.lit(MISSING))
                .when(F.col("__s_in").isNull(),
                      F.lit(CLOSED_MISSING if close_missing else MISSING))
                .when(changed, F.lit(EXPIRED))
@@ -190,14 +193,7 @@ def merge(history: DataFrame, snapshot: DataFrame, spec: Scd2Spec, as_of: date,
         .otherwise(F.col(f"__h_{cur}")).alias(cur),
         F.when((o == EXPIRED) & (copy == 1), F.lit(CHANGED)).otherwise(o).alias(kind))
 
-    parts = [past, merged, cur_null]
-    if null_keys == "append":
-        parts.append(snap_null.select(*snap_cols_as(), day.alias(eff),
-                                      F.lit(None).cast("date").alias(end), F.lit(True).alias(cur),
-                                      F.lit(NEW).alias(kind)))
-    result = parts[0]
-    for p in parts[1:]:
-        result = result.unionByName(p)
+    result = past.unionByName(merged)
     if observation is not None:
         result = result.observe(observation, *[
             F.count_if(F.col(kind) == k).alias(k)

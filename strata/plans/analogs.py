@@ -307,11 +307,31 @@ def event_activity(events: DataFrame) -> DataFrame:
 
 # --- CSV files of the two feeds, for the end-to-end pipeline ------------------------------
 
+def dirty_feeds(raw: DataFrame, clean: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both feeds with the faults a real one carries: a missing name, a line break inside
+    a label, NaN as text, a price that is no number, a fractional count."""
+    raw = (raw.withColumn("drug", F.when(F.col("ease_of_use") == "0.03", F.lit(None)).otherwise(F.col("drug")))
+           .withColumn("type", F.when(F.col("satisfaction") == "0.05", F.concat("type", F.lit("\r\n")))
+                       .otherwise(F.col("type")))
+           .withColumn("effective", F.when(F.col("ease_of_use") == "0.07", F.lit("NaN"))
+                       .otherwise(F.col("effective"))))
+    clean = (clean.withColumn("price", F.when(F.col("ease_of_use") == 0.03, F.lit("abc"))
+                              .otherwise(F.col("price").cast("string")))
+             .withColumn("reviews", F.when(F.col("reviews") == 3, F.lit("3.7"))
+                         .otherwise(F.col("reviews").cast("string")))
+             .withColumn("condition", F.when(F.col("satisfaction") == 0.07, F.lit(None))
+                         .otherwise(F.col("condition"))))
+    return raw, clean
+
+
 def write_feed_csvs(spark: SparkSession, sf_dir: str, root: str,
-                    raw_name: str = "Drug.csv", clean_name: str = "Drug_clean.csv") -> None:
+                    raw_name: str = "Drug.csv", clean_name: str = "Drug_clean.csv",
+                    dirty: bool = False) -> None:
     """Write both feeds as CSV folders under ``root`` (the pipeline's volume)."""
     from ..sources.csv import CSV_OPTIONS
     opts = {k: v for k, v in CSV_OPTIONS.items() if k not in ("multiLine", "mode")}
     raw, clean = silver_feeds(spark, sf_dir)
+    if dirty:
+        raw, clean = dirty_feeds(raw, clean)
     for df, name in [(raw, raw_name), (clean, clean_name)]:
         df.write.mode("overwrite").options(**opts).csv(f"{root}/{name}")

@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 SF = "/root/testdata/sf0.001"
 # queries whose result is a stored table (their plans are table scans)
 TABLE_READS = {"pipeline_run", "audit_rows", "audit_latest", "csv_roundtrip",
-               "bronze_incremental", "scd2_off", "group_lookup"}
+               "bronze_incremental", "scd2_off", "group_lookup", "dirty_feed_audit"}
 # the training-data operators say for themselves where Python runs
 OTHERS = set(entry.llm.QUERIES if entry.llm else ()) | {"pipeline"}
 
