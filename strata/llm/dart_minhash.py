@@ -17,11 +17,14 @@ shingle weight 1, so coordinates agree with the plain Jaccard similarity;
 ``"count"`` weighs a shingle by its occurrences.
 
 Joining. Documents with equal shingle sets are one node. ``bands`` of
-``k / bands`` coordinates are bucket keys; in each bucket every node is paired
-with the bucket's centre, never with all others. Pairs are checked exactly on
-their texts. Then rounds with ``CENTRES`` other centres, drawn per bucket, pair nodes
-that are still in different classes, until a round links nothing more. At similarity 0.8
-two documents share none of 32 bands of 4 with probability 5e-8.
+``k / bands`` coordinates are bucket keys. In each round the nodes of a bucket are
+paired with one centre, never with all others: the node that meets most rows of
+other classes over all its buckets (of a text and its many copies, the text; of a
+large class and a few strangers, a stranger). Pairs are checked exactly on their
+texts, and links join classes. Only buckets with several classes stay in, each with
+a new centre, until a round links nothing more. At similarity 0.8 two documents
+share none of 32 bands of 4 with probability 5e-8, and 13 of them on average, each
+a chance to meet.
 
 Scale. One pass of Python over the texts; rows that shuffle are band keys (16
 bytes), and texts only of nodes that have a candidate. Grouped minima combine
@@ -54,7 +57,6 @@ WORDS = 5
 THRESHOLD = 0.8
 COORDINATES = 128
 BANDS = 32
-CENTRES = 4
 
 _STEP = tb.U64(0x9E3779B97F4A7C15)
 _FINEST = 6       # the first rank strip is [0, 2 ** -6)
@@ -252,9 +254,8 @@ def near_duplicate_classes(docs: DataFrame, words: int = WORDS, threshold: float
                                     f"rid long, doc {kind}, node long, bands array<long>"), "signed")
     entries = signed.select("node", F.explode("bands").alias("key"))
     shared = (entries.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most"))
-              .filter("least <> most").select("key", "least"))
+              .filter("least <> most").select("key"))
     members = stage(entries.join(shared, "key").distinct(), "members")
-    stars = members.filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
     # the text of one row of each node that has a candidate
     chosen = (signed.select("node", "rid").join(members.select("node").distinct(), "node")
               .groupBy("node").agg(F.min("rid").alias("rid")))
@@ -266,30 +267,31 @@ def near_duplicate_classes(docs: DataFrame, words: int = WORDS, threshold: float
         with_b = with_a.join(texts.select(F.col("node").alias("b"), F.col("z").alias("zb")), "b")
         return with_b.select("a", "b", *rest, "za", "zb").mapInArrow(_checked(words, threshold, counted), ", ".join(f"{c} long" for c in ("a", "b", *rest)))
 
-    label = components(stage(check(stars), "links"))
-    salt = 0
+    label = members.select("node", F.col("node").alias("label")).distinct()
+    spent = None  # (bucket, node) pairs of earlier rounds' centres
     while True:
-        placed = (members.join(label, "node", "left")
-                  .select("key", "node", F.coalesce("label", "node").alias("label")))
-        # buckets whose nodes are still in several classes, and centres drawn for each
-        drawn = [F.min_by(F.struct("node", "label"), F.xxhash64(F.lit(salt + k), "key", "node")) for k in range(CENTRES)]
-        centre = (placed.groupBy("key")
-                  .agg(F.min("label").alias("x"), F.max("label").alias("y"), F.array(*drawn).alias("c"))
-                  .filter("x <> y").select("key", F.explode(F.array_distinct("c")).alias("c"))
-                  .select("key", F.col("c.node").alias("c"), F.col("c.label").alias("c_label")))
-        pairs = (placed.join(centre, "key").filter("label <> c_label")
+        placed = members.join(label, "node")
+        own = placed.groupBy("key", "label").agg(F.count("*").alias("m"))
+        live = own.groupBy("key").agg(F.sum("m").alias("n"), F.count("*").alias("classes")).filter("classes > 1")
+        # a node's weight: the rows of other classes it meets, over all its buckets
+        open_ = (placed.join(own, ["key", "label"]).join(live.select("key", "n"), "key")
+                 .select("key", "node", "label", (F.col("n") - F.col("m")).alias("others")))
+        weight = open_.groupBy("node").agg(F.sum("others").alias("weight"))
+        open_ = stage(open_.join(weight, "node").select("key", "node", "label", "weight"), "open")
+        able = open_ if spent is None else open_.join(spent, ["key", "node"], "left_anti")
+        centre = stage(able.groupBy("key").agg(F.max(F.struct("weight", "node", "label")).alias("c"))
+                       .select("key", F.col("c.node").alias("c"), F.col("c.label").alias("c_label")), "centres")
+        pairs = (open_.join(centre, "key").filter("label <> c_label")
                  .groupBy(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b"))
-                 .agg(F.min(F.least("label", "c_label")).alias("p"), F.max(F.greatest("label", "c_label")).alias("q"))
-                 .join(stars, ["a", "b"], "left_anti"))
+                 .agg(F.min(F.least("label", "c_label")).alias("p"), F.max(F.greatest("label", "c_label")).alias("q")))
         more = stage(check(pairs, "p", "q"), "links")
         if more.isEmpty():
             break
-        # classes that a link joins: few, so their components are small
+        used = centre.select("key", F.col("c").alias("node"))
+        spent = used if spent is None else spent.unionByName(used)
         joined = components(more.select(F.col("p").alias("a"), F.col("q").alias("b")))
-        label = stage(placed.select("node", "label").distinct()
-                      .join(joined.select(F.col("node").alias("label"), F.col("label").alias("root")), "label", "left")
+        label = stage(label.join(joined.select(F.col("node").alias("label"), F.col("label").alias("root")), "label", "left")
                       .select("node", F.coalesce("root", "label").alias("label")), "labels")
-        salt += CENTRES
     placed = (signed.select("rid", "doc", "node").join(label, "node", "left")
               .select("rid", "doc", F.coalesce("label", "node").alias("class_key")))
     least = placed.filter("class_key IS NOT NULL").groupBy("class_key").agg(F.min("doc").alias("class_id"))
@@ -309,6 +311,8 @@ def first_of_each_class(docs: DataFrame, **options) -> DataFrame:
             .groupBy("class_key").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).alias("best"))
             .select(F.col("best.rid").alias("__key")))
     wordless = classes.filter("class_key IS NULL").select(F.col("rid").alias("__key")).distinct()
-    firsts = docs.withColumn("__key", row_key()).join(best, "__key", "left_semi").dropDuplicates(["__key"])
-    rest = docs.withColumn("__key", row_key()).join(wordless, "__key", "left_semi")
-    return firsts.unionByName(rest).select(*docs.columns)
+    keep = (best.withColumn("__all", F.lit(False)).unionByName(wordless.withColumn("__all", F.lit(True))))
+    # one join for the texts; of rows that repeat exactly one stays, unless they have no words
+    rows = (docs.withColumn("__key", row_key()).join(keep, "__key")
+            .withColumn("__n", F.when(F.col("__all"), F.monotonically_increasing_id()).otherwise(F.lit(0))))
+    return rows.dropDuplicates(["__key", "__n"]).select(*docs.columns)

@@ -128,3 +128,20 @@ def test_components(spark):
     want = classes_of({x for e in edges for x in e}, edges)
     assert {n: c for n, c in want.items() if n != c} == got
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_many_copies_that_only_meet_in_their_original(spark, docs_of):
+    """Copies that are each close to one text and far from one another are one class."""
+    rng = random.Random(11)
+    base = [f"b{i}" for i in range(400)]
+    rows = [(500, " ".join(base))]
+    for i in range(120):
+        copy = list(base)
+        for k in rng.sample(range(0, 400, 8), 7):
+            copy[k] = f"x{i}_{k}"
+        rows.append((i, " ".join(copy)))
+    sets = [shingle_set(x) for _, x in rows]
+    far = [len(a & b) / len(a | b) for a, b in zip(sets[1:], sets[2:])]
+    assert np.mean(far) < 0.8
+    got = {r.doc_id: r.class_id for r in dm.near_duplicate_classes(docs_of(rows)).collect()}
+    assert got == brute(rows, 0.8) and len(set(got.values())) == 1
