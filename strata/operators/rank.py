@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scoring import percentile_of
-from ..session import materialize, write_stage
+from ..session import write_stage
 
 
 def _cols(cs: Sequence[Column | str]) -> list[Column]:
@@ -56,7 +56,7 @@ def dense_ranks(df: DataFrame, by: Sequence[str], rankings: Mapping[str, str],
     number of rankings); a value's dense rank is its position minus the first
     position of its ranking and group, plus one. Ranks join back on (group,
     value), null-safe; a hot pair is split by AQE's skew join. The ranked
-    columns must share a type.
+    columns must share a type. ``df`` is read several times: pass a written stage.
     """
     kinds = {df.schema[c].dataType.simpleString() for c in rankings.values()}
     if len(kinds) > 1:
@@ -69,8 +69,7 @@ def dense_ranks(df: DataFrame, by: Sequence[str], rankings: Mapping[str, str],
         narrow = part if narrow is None else narrow.unionByName(part)
     order = [F.col("__k").asc(), *[F.col(g).asc_nulls_first() for g in group],
              F.col("__v").desc_nulls_last()]
-    pos = global_position(materialize(narrow.distinct(), "ranked_values"), order, position="__p",
-                          total=None, partitions=partitions)
+    pos = global_position(narrow.distinct(), order, position="__p", total=None, partitions=partitions)
     keys = ["__k", *group]
     first = pos.groupBy(*keys).agg(F.min("__p").alias("__s")).select(
         *[F.col(c).alias(f"{c}f") for c in keys], "__s")
@@ -180,6 +179,7 @@ def with_percentiles(df: DataFrame, key: Sequence[str], specs: Mapping[str, tupl
     the first row; ascending puts nulls first, descending last; ties go by
     ``key``, which names each row once. All orderings share one range sort of
     narrow (ordering, value, key) rows, whose positions join back on the key.
+    ``df`` is read several times: pass a written stage.
     """
     names = [f"__c{i}" for i in range(len(key))]
     keyed = [F.col(c).alias(n) for c, n in zip(key, names)]
@@ -192,8 +192,7 @@ def with_percentiles(df: DataFrame, key: Sequence[str], specs: Mapping[str, tupl
                          *keyed)
         narrow = part if narrow is None else narrow.unionByName(part)
     order = ["__k", "__f", F.col("__v").asc_nulls_first(), *[F.col(n).asc_nulls_first() for n in names]]
-    pos = global_position(materialize(narrow, "percentile_keys"), order, position="__p", total="__t",
-                          partitions=partitions)
+    pos = global_position(narrow, order, position="__p", total="__t", partitions=partitions)
     rows = F.col("__t") / len(specs)         # every ordering holds every row
     ranked = (pos.withColumn("__p", F.col("__p") - F.col("__k") * rows)
               .groupBy(*names)
