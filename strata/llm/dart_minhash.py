@@ -21,10 +21,18 @@ Joining. Documents with equal shingle sets are one node. ``bands`` of
 paired with one centre, never with all others: the node that meets most rows of
 other classes over all its buckets (of a text and its many copies, the text; of a
 large class and a few strangers, a stranger). Pairs are checked exactly on their
-texts, and links join classes. Only buckets with several classes stay in, each with
-a new centre, until a round links nothing more. At similarity 0.8 two documents
-share none of 32 bands of 4 with probability 5e-8, and 13 of them on average, each
-a chance to meet.
+texts, and links join classes. A centre has then met its bucket and leaves it; only
+buckets whose other nodes are of several classes stay in, until a round links
+nothing more. At similarity 0.8 two documents share none of 32 bands of 4 with
+probability 5e-8.
+
+The rest. All nodes still in a bucket then go through an exact join of sets that
+pairs no bucket with itself. The shingles that several of these nodes hold are
+ordered by how many do, those of one node alone come before all. Two sets at the
+threshold share a shingle near the front of both (prefix filter: a longer front for
+the greater set than for the smaller), at places that leave room for the common
+part (positional filter), and their sizes are close (length filter). Members of a
+shingle's largest class are only paired with those of other classes.
 
 Scale. One pass of Python over the texts; rows that shuffle are band keys (16
 bytes), and texts only of nodes that have a candidate. Grouped minima combine
@@ -239,6 +247,65 @@ def _checked(words: int, threshold: float, counted: bool):
     return task
 
 
+def _tokens(words: int, counted: bool):
+    """(node, z) to (node, size, token): a token for each shingle, or each occurrence when counted."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes = batch.column("node").to_numpy()
+            for at in range(0, batch.num_rows, 64):
+                part = batch.column("z").slice(at, 64)
+                texts = pa.array([_unpack(z.as_py()) for z in part], pa.binary())
+                for block in tb.blocks(texts):
+                    row, name, count = shingles(block, words)
+                    if counted:
+                        nth = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+                        row, name = np.repeat(row, count), np.repeat(name, count)
+                        name = tb.mix(name + _STEP * nth.astype(tb.U64))
+                    size = np.bincount(row, minlength=block.n)
+                    own = nodes[at + block.lo:at + block.lo + block.n]
+                    for lo in range(0, len(row), 1 << 18):
+                        r = row[lo:lo + (1 << 18)]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(own[r]), pa.array(size[r]), pa.array(name[lo:lo + (1 << 18)].view(np.int64))],
+                            ["node", "size", "token"])
+    return task
+
+
+def _close_pairs(texts: DataFrame, label: DataFrame, words: int, threshold: float, counted: bool) -> DataFrame:
+    """Pairs (a, b) of nodes of two classes, labels (p, q), that pass the filters of the exact join.
+
+    No pair at the threshold is left out, whatever its shingles: the order only decides how many others pass.
+    """
+    tokens = texts.select("node", "z").mapInArrow(_tokens(words, counted), "node long, size long, token long")
+    often = tokens.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1")
+    ordered = (tokens.join(often, "token").groupBy("node", "size")
+               .agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("t")))
+    # tokens of this node alone come first and meet nobody
+    front = F.col("size") - F.ceil(threshold * F.col("size") - 1e-6) + 1
+    entries = stage(ordered.withColumn("alone", F.col("size") - F.size("t")).withColumn("front", front)
+                    .filter("front > alone")
+                    .select("node", "size", "alone", F.posexplode(F.expr("slice(t, 1, int(front - alone))")).alias("i", "t"))
+                    .select("node", "size", F.col("t.token").alias("token"), (F.col("alone") + F.col("i")).alias("pos"))
+                    .join(label, "node"), "entries")
+    own = entries.groupBy("token", "label").agg(F.count("*").alias("m"))
+    top = (own.groupBy("token").agg(F.max(F.struct("m", "label")).alias("top"), F.count("*").alias("classes"))
+           .filter("classes > 1").select("token", F.col("top.label").alias("top")))
+    placed = stage(entries.join(top, "token").withColumn("most", F.col("label") == F.col("top")).drop("top"), "fronts")
+    part = threshold / (1 + threshold)
+    small = (placed.filter(F.col("pos") <= F.col("size") - F.ceil(2 * part * F.col("size") - 1e-6))
+             .select("token", F.col("most").alias("side"), *(F.col(c).alias(f"{c}_s") for c in ("node", "size", "pos", "label"))))
+    sides = F.when(F.col("most"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))
+    large = placed.select("token", F.explode(sides).alias("side"), "node", "size", "pos", "label")
+    room = F.least(F.col("size_s") - F.col("pos_s"), F.col("size") - F.col("pos"))
+    return (small.join(large, ["token", "side"])
+            .filter((F.col("label_s") != F.col("label"))
+                    & (F.struct("size_s", "node_s") < F.struct(F.col("size").alias("size_s"), F.col("node").alias("node_s")))
+                    & (F.col("size_s") >= threshold * F.col("size") - 1e-6)
+                    & (room >= part * (F.col("size_s") + F.col("size")) - 1e-6))
+            .groupBy(F.least("node", "node_s").alias("a"), F.greatest("node", "node_s").alias("b"))
+            .agg(F.min(F.least("label", "label_s")).alias("p"), F.max(F.greatest("label", "label_s")).alias("q")))
+
+
 def near_duplicate_classes(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD,
                            k: int = COORDINATES, bands: int = BANDS, weighting: str = "set") -> DataFrame:
     """One row per document row: rid, doc_id, class_id (smallest id of its class) and class_key.
@@ -267,8 +334,12 @@ def near_duplicate_classes(docs: DataFrame, words: int = WORDS, threshold: float
         with_b = with_a.join(texts.select(F.col("node").alias("b"), F.col("z").alias("zb")), "b")
         return with_b.select("a", "b", *rest, "za", "zb").mapInArrow(_checked(words, threshold, counted), ", ".join(f"{c} long" for c in ("a", "b", *rest)))
 
+    def joined(label: DataFrame, links: DataFrame) -> DataFrame:
+        roots = components(links.select(F.col("p").alias("a"), F.col("q").alias("b")))
+        return stage(label.join(roots.select(F.col("node").alias("label"), F.col("label").alias("root")), "label", "left")
+                     .select("node", F.coalesce("root", "label").alias("label")), "labels")
+
     label = members.select("node", F.col("node").alias("label")).distinct()
-    spent = None  # (bucket, node) pairs of earlier rounds' centres
     while True:
         placed = members.join(label, "node")
         own = placed.groupBy("key", "label").agg(F.count("*").alias("m"))
@@ -278,20 +349,25 @@ def near_duplicate_classes(docs: DataFrame, words: int = WORDS, threshold: float
                  .select("key", "node", "label", (F.col("n") - F.col("m")).alias("others")))
         weight = open_.groupBy("node").agg(F.sum("others").alias("weight"))
         open_ = stage(open_.join(weight, "node").select("key", "node", "label", "weight"), "open")
-        able = open_ if spent is None else open_.join(spent, ["key", "node"], "left_anti")
-        centre = stage(able.groupBy("key").agg(F.max(F.struct("weight", "node", "label")).alias("c"))
+        centre = stage(open_.groupBy("key").agg(F.max(F.struct("weight", "node", "label")).alias("c"))
                        .select("key", F.col("c.node").alias("c"), F.col("c.label").alias("c_label")), "centres")
         pairs = (open_.join(centre, "key").filter("label <> c_label")
                  .groupBy(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b"))
                  .agg(F.min(F.least("label", "c_label")).alias("p"), F.max(F.greatest("label", "c_label")).alias("q")))
         more = stage(check(pairs, "p", "q"), "links")
+        # a centre has met its bucket
+        members = (open_.join(centre.select("key", F.col("c").alias("node")), ["key", "node"], "left_anti")
+                   .select("key", "node"))
         if more.isEmpty():
             break
-        used = centre.select("key", F.col("c").alias("node"))
-        spent = used if spent is None else spent.unionByName(used)
-        joined = components(more.select(F.col("p").alias("a"), F.col("q").alias("b")))
-        label = stage(label.join(joined.select(F.col("node").alias("label"), F.col("label").alias("root")), "label", "left")
-                      .select("node", F.coalesce("root", "label").alias("label")), "labels")
+        label = joined(label, more)
+    placed = members.join(label, "node")
+    live = placed.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l <> h")
+    rest = stage(placed.join(live.select("key"), "key").select("node", "label").distinct(), "rest")
+    if not rest.isEmpty():
+        more = stage(check(_close_pairs(texts.join(rest.select("node"), "node"), rest, words, threshold, counted),
+                           "p", "q"), "links")
+        label = joined(label, more)
     placed = (signed.select("rid", "doc", "node").join(label, "node", "left")
               .select("rid", "doc", F.coalesce("label", "node").alias("class_key")))
     least = placed.filter("class_key IS NOT NULL").groupBy("class_key").agg(F.min("doc").alias("class_id"))

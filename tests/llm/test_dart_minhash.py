@@ -145,3 +145,26 @@ def test_many_copies_that_only_meet_in_their_original(spark, docs_of):
     assert np.mean(far) < 0.8
     got = {r.doc_id: r.class_id for r in dm.near_duplicate_classes(docs_of(rows)).collect()}
     assert got == brute(rows, 0.8) and len(set(got.values())) == 1
+
+
+@pytest.mark.parametrize("weighting", ["set", "count"])
+def test_near_copies_inside_a_family_of_one_template(spark, docs_of, weighting):
+    """Documents of one template are all just under the threshold; the one pair above it is in no bucket's centre."""
+    template = [f"t{i}" for i in range(300)]
+    rows = [(i, " ".join(template + [f"d{i}x{k}" for k in range(36 if i in (40, 60) else 40)])) for i in range(120)]
+    want = brute(rows, 0.8)
+    assert [d for d, c in want.items() if d != c] == [60] and want[60] == 40
+    got = {r.doc_id: r.class_id for r in dm.near_duplicate_classes(docs_of(rows), weighting=weighting).collect()}
+    assert got == want
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.8, 1.0])
+def test_filters_of_the_exact_join_leave_no_pair_out(spark, docs_of, threshold):
+    rows = [(d, x) for d, x in corpus(21, 8) if x and shingle_set(x)]
+    sets = {d: shingle_set(x) for d, x in rows}
+    want = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= threshold * len(sets[a] | sets[b])}
+    import zstandard
+    texts = spark.createDataFrame([(d, zstandard.compress(x.encode())) for d, x in rows], "node long, z binary")
+    label = texts.select("node", texts.node.alias("label"))
+    pairs = {(r.a, r.b) for r in dm._close_pairs(texts, label, 5, threshold, False).collect()}
+    assert want <= pairs and len(want) > 0
