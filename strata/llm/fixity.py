@@ -109,7 +109,9 @@ def audit(reference: DataFrame, replica: DataFrame, records: int = RECORDS, fano
     and copies 0, an empty digest.
     """
     first, second = (stage(_entries(x, records), "records") for x in (reference, replica))
-    splits = (first.groupBy("ids").agg(F.count("*").alias("n")).filter(F.col("n") > 4 * records)
+    # the side with more records in a range of ids decides its containers
+    sizes = [x.groupBy("ids").agg(F.count("*").alias("n")) for x in (first, second)]
+    splits = (sizes[0].unionByName(sizes[1]).groupBy("ids").agg(F.max("n").alias("n")).filter(F.col("n") > 4 * records)
               .select("ids", F.ceil(F.col("n") / records).cast("long").alias("parts")))
     a, b = (stage(leaves(x, splits, records), "leaves") for x in (first, second))
     up, down = tree(a, records, fanout), tree(b, records, fanout)

@@ -57,3 +57,17 @@ def test_empty_and_clashing_columns(spark):
 def test_plan_is_native(spark, fanout):
     df = fx.audit(pages(spark, [(1, "u", "h")]), pages(spark, [(1, "u", "g")]), fanout=fanout)
     assert not re.search("Python|Arrow|Pandas|Cartesian", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_records_that_only_the_replica_has_are_split_too(spark):
+    rows = [(i, "u", "x") for i in range(16)]
+    more = rows + [(3, f"v{i}", f"page {i}") for i in range(300)] + [(None, f"w{i}", "x") for i in range(300)]
+    got = fx.audit(pages(spark, rows), pages(spark, more), records=8, fanout=2).collect()
+    extra = [r for r in got if r.status == "extra"]
+    assert len(extra) == 600
+    for mine in ("v", "w"):
+        sizes = {}
+        for r in extra:
+            if r.url[0] == mine:
+                sizes[r.container] = sizes.get(r.container, 0) + 1
+        assert len(sizes) > 30 and max(sizes.values()) <= 4 * 8
