@@ -22,7 +22,7 @@ shuffle), so no group is gathered anywhere and the result does not depend on
 partitioning. Bands are joined back on their group.
 
 Defined cases: null and empty texts have no words and fail the base rules; words
-longer than 256 bytes are tokenised in pieces of 256; a null language is
+of any length are tokenised whole; a null language is
 ``unknown``; where a group has no spread, the floors keep everything near the
 median; where no document passes the base rules there is no band; repeated rows each get a row; other columns pass through.
 """
@@ -53,7 +53,6 @@ LEVELS = (("lang", "script", "octave", "every"), ("lang", "script"), ("script",)
 GROUP = 100
 #: least half-width of a band, by measure
 FLOORS = {"chars_per_piece": 0.25, "chars_per_bpe": 0.25, "fallback": 0.02, "entropy": 0.4}
-LONGEST = 256
 
 _MEASURED = ("rid long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
              "n_pieces long, n_bpe long, n_fallback long, entropy double, script string")
@@ -129,18 +128,12 @@ class Vocabularies:
 
 def _encoded(words: list[bytes], voc: Vocabularies):
     """Piece ids of distinct words (flat, with counts), and their number of BPE tokens."""
-    parts, owner = [], []
-    for i, w in enumerate(words):
-        for s in ([w] if len(w) <= LONGEST else [w[k:k + LONGEST] for k in range(0, len(w), LONGEST)]):
-            parts.append(s.decode("utf-8", "replace"))
-            owner.append(i)
-    ids = voc.pieces.encode(parts, num_threads=1)
+    texts = [w.decode("utf-8", "replace") for w in words]
+    ids = voc.pieces.encode(texts, num_threads=1)
     size = np.fromiter(map(len, ids), np.int64, len(ids))
     flat = np.fromiter(itertools.chain.from_iterable(ids), np.int64, int(size.sum()))
     encode = voc.bpe.encode_ordinary
-    bpe = np.fromiter((len(encode(" " + p)) for p in parts), np.int64, len(parts))
-    owner = np.array(owner, np.int64)
-    return flat, np.bincount(owner, size, len(words)).astype(np.int64), np.bincount(owner, bpe, len(words)).astype(np.int64)
+    return flat, size, np.fromiter((len(encode(" " + t)) for t in texts), np.int64, len(texts))
 
 
 def _tokens(words: Words, voc: Vocabularies):

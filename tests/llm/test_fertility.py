@@ -58,6 +58,17 @@ def test_words_one_by_one_equal_the_whole_text():
         assert entropy[1] == pytest.approx(0.8112781) and entropy[2] == 0
 
 
+def test_long_words_are_tokenised_whole():
+    import pyarrow as pa
+    voc = fe.Vocabularies.of(fe.VOCABULARIES)
+    texts = ["日本語の研究所と東京大学" * 40, "ที่อยู่อาศัยของคนไทย" * 30, "xé" * 700]
+    pieces, bpe, fallback, _ = fe._tokens(Words(next(tb.blocks(pa.array(texts)))), voc)
+    whole = [voc.pieces.encode(t) for t in texts]
+    assert pieces.tolist() == [len(w) for w in whole]
+    assert bpe.tolist() == [len(voc.bpe.encode_ordinary(" " + t)) for t in texts]
+    assert fallback.tolist() == [sum(voc.pieces.is_byte(i) for i in w) for w in whole]
+
+
 def test_bands_reject_what_stands_out(spark, docs_of):
     rng = random.Random(4)
     common = ["water", "house", "river", "stone", "light", "night", "bread", "world", "green", "small", "every", "again"]
