@@ -8,8 +8,8 @@ probabilities are the softmax of the mean of its windows' log-probabilities, so
 every byte counts, wherever it stands.
 
 Training: Adam on windows of a bounded sample of labelled documents
-(``PER_LANGUAGE`` documents in expectation of each of the ``LANGUAGES`` most
-frequent languages, ``WINDOWS`` windows each at most), drawn by hash; seeds fixed,
+(``PER_LANGUAGE`` documents in expectation of each language, of more than ``LANGUAGES``
+languages fewer, ``WINDOWS`` windows each at most), drawn by hash; seeds fixed,
 so the same documents give the same network.
 
 Scale. The network (about 40 k numbers) goes out with the task; scoring is one pass
@@ -39,7 +39,9 @@ WIDTHS = (2, 3, 4)
 FILTERS = 16
 PER_LANGUAGE = 800
 WINDOWS = 3
+#: tables of more languages learn from fewer documents of each, but from no fewer than LEAST
 LANGUAGES = 256
+LEAST = 20
 STEPS, BATCH, RATE = 400, 128, 0.02
 SEED = 10
 UNKNOWN = "und"
@@ -178,9 +180,10 @@ def learn(docs: DataFrame, training: Column, per_language: int = PER_LANGUAGE, s
     known = docs.filter(training & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
         row_key().alias("rid"), "lang", "text")
     counts = (known.groupBy("lang").agg(F.count("*").alias("n"))
-              .orderBy(F.col("n").desc(), "lang").limit(LANGUAGES).collect())
+              .orderBy(F.col("n").desc(), "lang").collect())
     if not counts:
         return None
+    per_language = min(per_language, max(LEAST, per_language * LANGUAGES // len(counts)))
     rate = F.create_map(*(F.lit(x) for r in counts for x in (r.lang, min(1.0, per_language / r.n))))
     unit = F.pmod(F.xxhash64(F.lit(SEED), "rid"), F.lit(1 << 30)) / (1 << 30)
     rows = sorted(known.filter(unit < rate[F.col("lang")]).mapInArrow(_drawn, "lang string, w binary")

@@ -67,3 +67,9 @@ def test_nothing_to_learn(spark, docs_of):
     assert ln.learn(docs, F.lit(True)) is None
     assert [(r.lang_pred, r.score) for r in ln.predict(docs, None).collect()] == [("und", 0.0)]
     assert ln.predict(docs_of([]), None).count() == 0
+
+
+def test_every_language_is_learned_however_many(spark, docs_of):
+    docs = docs_of([(i, f"word{chr(97 + i % 26)} and more", f"l{i}", "s") for i in range(ln.LANGUAGES + 20)])
+    net = ln.learn(docs, F.lit(True), steps=1)
+    assert sorted(net.languages) == sorted(f"l{i}" for i in range(ln.LANGUAGES + 20))
