@@ -9,9 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import (additive_model, dart_minhash, decontaminate, fertility, fixity, language_net, license_scan,
-                        mixing, suffix_dedup, toxicity)
+from strata.llm import (additive_model, conversation_repair, dart_minhash, decontaminate, fertility, fixity, language_net,
+                        license_scan, mixing, suffix_dedup, token_alignment, token_counts, toxicity)
 from strata.llm.tables import table
+from strata.session import scratch_path
 
 SURE = 0.7
 
@@ -79,9 +80,25 @@ def op10_byte_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(table(spark, sf_dir, "documents")).documents
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversation_repair.repair(conversation_repair.damaged(rows), rows)
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cache begins empty, so that the result and the work depend on the table alone."""
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), scratch_path(spark, "token-cache"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_dart_minhash, op2_fixity_audit, op3_additive_quality, op4_hierarchical_mix, op5_license_scan,
-    op6_compression_toxicity, op7_suffix_dedup, op8_token_fertility, op9_decontaminate, op10_byte_language)}
+    op6_compression_toxicity, op7_suffix_dedup, op8_token_fertility, op9_decontaminate, op10_byte_language,
+    op11_token_alignment, op12_conversation_repair, op13_token_counts)}
 
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 

@@ -43,7 +43,7 @@ def test_contract_columns(spark):
         "op9": {"doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"},
         "op10": {"doc_id", "held_out", "lang_pred", "score"},
     }
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
     for name in ("op3_additive_quality", "op8_token_fertility", "op10_byte_language"):
         df = queries.QUERIES[name](spark, SF)
         assert want[name.split("_")[0]] <= set(df.columns)
