@@ -59,13 +59,17 @@ from strata.llm import textblocks as tb
 from strata.llm.components import components
 from strata.llm.decontaminate import word_names
 from strata.llm.suffix_dedup import _packed, _unpack
-from strata.llm.tables import row_key, stage
+from strata.llm.tables import fresh_names, row_key, stage
 
 WORDS = 5
 THRESHOLD = 0.8
 COORDINATES = 128
 BANDS = 32
 
+#: rows that throw darts at a time, and pairs and bytes of text that are compared at a time
+DART_ROWS = 1024
+PAIRS, PAIR_BYTES = 256, 2 << 20
+
 _STEP = tb.U64(0x9E3779B97F4A7C15)
 _FINEST = 6       # the first rank strip is [0, 2 ** -6)
 _RANK_BITS = 42   # ranks below 2 ** 13 in fixed point; rows by coordinates take the rest of a word
@@ -160,7 +164,20 @@ def _darts(name, weight, row, limit):
 
 
 def signatures(row, name, weight, rows: int, k: int = COORDINATES) -> np.ndarray:
-    """A (rows, k) array: per row and coordinate the earliest dart (0 for rows without elements)."""
+    """A (rows, k) array: per row and coordinate the earliest dart (0 for rows without elements).
+
+    ``row`` ascends. Every row throws about k ln k + 2k darts, however short it is, so
+    ``DART_ROWS`` rows throw at a time.
+    """
+    if rows <= DART_ROWS:
+        return _signatures(row, name, weight, rows, k)
+    cuts = np.searchsorted(row, np.arange(0, rows + DART_ROWS, DART_ROWS))
+    return np.concatenate([
+        _signatures(row[a:b] - lo, name[a:b], weight[a:b], min(DART_ROWS, rows - lo), k)
+        for lo, a, b in zip(range(0, rows, DART_ROWS), cuts[:-1], cuts[1:])])
+
+
+def _signatures(row, name, weight, rows: int, k: int) -> np.ndarray:
     sig = np.zeros((rows, k), np.uint64)
     if not len(row):
         return sig
@@ -237,16 +254,29 @@ def similarities(a: pa.Array, b: pa.Array, words: int, counted: bool) -> np.ndar
 def _checked(words: int, threshold: float, counted: bool):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                texts = [pa.array([_unpack(z.as_py()) for z in part.column(c)], pa.binary()) for c in ("za", "zb")]
+            rest = [c for c in batch.schema.names if c not in ("za", "zb")]
+            for lo, texts in _pairs_of_texts(batch):
                 s = similarities(*texts, words, counted)
                 ok = pa.array(s >= threshold - 1e-12)
-                rest = [c for c in part.schema.names if c not in ("za", "zb")]
-                yield pa.RecordBatch.from_arrays([part.column(c).filter(ok) for c in rest], rest)
+                yield pa.RecordBatch.from_arrays([batch.column(c).slice(lo, len(s)).filter(ok) for c in rest], rest)
     return task
 
 
+def _pairs_of_texts(batch: pa.RecordBatch) -> Iterator[tuple[int, tuple[pa.Array, pa.Array]]]:
+    """The texts of a batch's pairs and the first one's place, at most PAIRS and about PAIR_BYTES at a time."""
+    a, b, size, lo = [], [], 0, 0
+    for i in range(batch.num_rows):
+        x, y = (_unpack(batch.column(c)[i].as_py()) for c in ("za", "zb"))
+        if a and (len(a) == PAIRS or size + len(x) + len(y) > PAIR_BYTES):
+            yield lo, (pa.array(a, pa.large_binary()), pa.array(b, pa.large_binary()))
+            a, b, size, lo = [], [], 0, i
+        a.append(x)
+        b.append(y)
+        size += len(x) + len(y)
+    if a:
+        yield lo, (pa.array(a, pa.large_binary()), pa.array(b, pa.large_binary()))
+
+
 def _tokens(words: int, counted: bool):
     """(node, z) to (node, size, token): a token for each shingle, or each occurrence when counted."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -383,12 +413,13 @@ def first_of_each_class(docs: DataFrame, **options) -> DataFrame:
     Texts without words are in no class and all stay.
     """
     classes = near_duplicate_classes(docs, **options)
+    key, every, n = fresh_names(docs, "row_key", "every", "n")
     best = (classes.filter("class_key IS NOT NULL")
             .groupBy("class_key").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).alias("best"))
-            .select(F.col("best.rid").alias("__key")))
-    wordless = classes.filter("class_key IS NULL").select(F.col("rid").alias("__key")).distinct()
-    keep = (best.withColumn("__all", F.lit(False)).unionByName(wordless.withColumn("__all", F.lit(True))))
+            .select(F.col("best.rid").alias(key)))
+    wordless = classes.filter("class_key IS NULL").select(F.col("rid").alias(key)).distinct()
+    keep = (best.withColumn(every, F.lit(False)).unionByName(wordless.withColumn(every, F.lit(True))))
     # one join for the texts; of rows that repeat exactly one stays, unless they have no words
-    rows = (docs.withColumn("__key", row_key()).join(keep, "__key")
-            .withColumn("__n", F.when(F.col("__all"), F.monotonically_increasing_id()).otherwise(F.lit(0))))
-    return rows.dropDuplicates(["__key", "__n"]).select(*docs.columns)
+    rows = (docs.withColumn(key, row_key()).join(keep, key)
+            .withColumn(n, F.when(F.col(every), F.monotonically_increasing_id()).otherwise(F.lit(0))))
+    return rows.dropDuplicates([key, n]).select(*docs.columns)

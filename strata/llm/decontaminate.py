@@ -245,6 +245,6 @@ def _covered(spans: str):
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents no window of the benchmark stands in, all columns kept."""
-    hit = (find_matches(docs, benchmark, **options).filter("n_hit > 0").select(F.col("rid").alias("_rid"))
-           .distinct())
-    return docs.withColumn("_rid", row_key()).join(hit, "_rid", "left_anti").select(*docs.columns)
+    key, = fresh_names(docs, "row_key")
+    hit = find_matches(docs, benchmark, **options).filter("n_hit > 0").select(F.col("rid").alias(key)).distinct()
+    return docs.withColumn(key, row_key()).join(hit, key, "left_anti").select(*docs.columns)

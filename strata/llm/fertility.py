@@ -176,9 +176,9 @@ def _measure(folder: str):
         kinds[list(members)] = k + 1
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        voc = Vocabularies.of(folder)
         for batch in batches:
             for block in tb.blocks(batch.column("text")):
+                voc = Vocabularies.of(folder)
                 words = Words(block)
                 lead = (block.data & 0xC0) != 0x80
                 kind = kinds[block.data]
@@ -198,6 +198,9 @@ def _measure(folder: str):
                     [c for c in batch.schema.names if c != "text"]
                     + ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_pieces", "n_bpe",
                        "n_fallback", "entropy", "script"])
+        Vocabularies._loaded.clear()     # the worker's next task may be another operator's
+        voc = None  # noqa: F841
+        tb.release()
     return task
 
 

@@ -10,16 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import dart_minhash, decontaminate, fertility, mixing, suffix_dedup
-from strata.llm.tables import row_key, table
-
-_KEY = "__row_key"
+from strata.llm.tables import fresh_names, row_key, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    kept = fertility.judge(docs).filter("kept").select(F.col("rid").alias(_KEY), "lang").distinct()
-    return (docs.withColumn(_KEY, row_key()).withColumn("__lang", F.coalesce(F.col("lang"), F.lit("unknown")))
-            .join(kept.withColumnRenamed("lang", "__lang"), [_KEY, "__lang"], "left_semi").select(*docs.columns))
+    key, lang = fresh_names(docs, "row_key", "known_lang")
+    kept = fertility.judge(docs).filter("kept").select(F.col("rid").alias(key), F.col("lang").alias(lang)).distinct()
+    return (docs.withColumn(key, row_key()).withColumn(lang, F.coalesce(F.col("lang"), F.lit("unknown")))
+            .join(kept, [key, lang], "left_semi").select(*docs.columns))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,14 +31,15 @@ def suffix_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
     ``n_chars`` follows the text. A document that had no text to begin with stays as it is.
     """
+    key, rest = fresh_names(docs, "row_key", "rest")
     left = (suffix_dedup.remaining(docs).filter("n_removed > 0")
-            .select(F.col("rid").alias(_KEY), F.col("left").alias("__left")).dropDuplicates([_KEY]))
-    joined = (docs.withColumn(_KEY, row_key()).join(left, _KEY, "left")
-              .filter(F.col("__left").isNull() | (F.length("__left") > 0)))
-    changed = F.col("__left").isNotNull()
+            .select(F.col("rid").alias(key), F.col("left").alias(rest)).dropDuplicates([key]))
+    joined = (docs.withColumn(key, row_key()).join(left, key, "left")
+              .filter(F.col(rest).isNull() | (F.length(rest) > 0)))
+    changed = F.col(rest).isNotNull()
     return joined.select(*(
-        F.when(changed, F.col("__left")).otherwise(F.col("text")).alias("text") if c == "text" else
-        F.when(changed, F.length("__left")).otherwise(F.col("n_chars")).cast(docs.schema[c].dataType).alias(c)
+        F.when(changed, F.col(rest)).otherwise(F.col("text")).alias("text") if c == "text" else
+        F.when(changed, F.length(rest)).otherwise(F.col("n_chars")).cast(docs.schema[c].dataType).alias(c)
         if c == "n_chars" else F.col(c) for c in docs.columns))
 
 

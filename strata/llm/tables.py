@@ -25,6 +25,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names for internal columns that ``df`` does not have, whatever its letter case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def row_key(doc_id: str = "doc_id", text: str = "text"):
     """64-bit key of a row: equal for rows that agree in id and text, whatever else they hold."""
     return F.xxhash64(F.lit(17), F.col(doc_id), F.col(text))

@@ -83,7 +83,7 @@ def _powers(lane: int, n: int) -> tuple[np.ndarray, np.ndarray]:
             p[0] = 1
             made.append(np.multiply.accumulate(p))
         have = (made[0], made[1])
-        if size <= 4 * BLOCK_BYTES:
+        if size <= BLOCK_BYTES + 1:      # those of a longer text are not kept
             _POWERS[lane] = have
     return have
 
@@ -119,6 +119,17 @@ class Names:
         return mix((self.sums[m:] - self.sums[:n - m + 1]) * self.down[:n - m + 1] + U64(m))
 
 
+def release() -> None:
+    """Give freed memory back to the system: a Python worker goes on to other tasks."""
+    import ctypes
+    import gc
+    gc.collect()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):    # another C library
+        pass
+
+
 # --- words -------------------------------------------------------------------------
 
 def byte_class(members) -> np.ndarray:
