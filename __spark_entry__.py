@@ -169,7 +169,8 @@ def _leaderboard_sql() -> str:
     return f"""
 WITH s AS ({_summary_sql()})
 SELECT condition_name, total_drugs_available, rx_drugs_count, otc_drugs_count,
-       best_drug_by_effectiveness, avg_price, total_patient_reviews
+       best_drug_by_effectiveness, avg_price, total_patient_reviews,
+       ROW_NUMBER() OVER (ORDER BY total_patient_reviews DESC NULLS LAST, condition_name) AS position
 FROM s"""
 
 
@@ -358,7 +359,20 @@ def _silver_sqls() -> dict[str, str]:
 SELECT * EXCLUDE (source_file) FROM raw_b""",
         "bronze_incremental": f"""{w}
 SELECT * EXCLUDE (source_file) FROM raw_b""",
-        "audit_latest": _audit_sql(w),
+        "audit_latest": f"""
+SELECT *, ROW_NUMBER() OVER (ORDER BY load_timestamp DESC NULLS LAST, layer, table_name, status) AS position
+FROM ({_audit_sql(w)})""",
+        "resumed_run": f"""
+WITH a AS (SELECT * FROM ({_audit_sql(w)}) UNION ALL
+  SELECT 'gold layer', '-', NULL, TIMESTAMP '{analogs.FEED_RUN_TS}', 'gold', 'failed', 'RuntimeError: stopped before gold')
+SELECT table_name, layer, status, record_count, notes,
+       ROW_NUMBER() OVER (ORDER BY load_timestamp DESC NULLS LAST, layer, table_name, status) AS position FROM a
+UNION ALL SELECT * FROM (VALUES ('bronze', 'ledger', 'started', 1, '', 0), ('bronze', 'ledger', 'finished', 1, '', 0),
+  ('silver', 'ledger', 'started', 1, '', 0), ('silver', 'ledger', 'finished', 1, '', 0),
+  ('gold', 'ledger', 'started', 2, '', 0), ('gold', 'ledger', 'finished', 1, '', 0))""",
+        "dim_unmatched_feeds": f"""{w.replace("FROM raw_b)", "FROM raw_b WHERE trim(drug) NOT LIKE '%1')")
+                                    .replace("FROM clean_b)", "FROM clean_b WHERE trim(drug) NOT LIKE '%2')")}
+SELECT * FROM dim_items""",
         "contract_conform": _CONFORM_SQL,
     }
 
@@ -410,6 +424,8 @@ def _audit_sql(w: str) -> str:
          "dimension table"),
         ("fact_drug_performance", "bronze tables", "(SELECT COUNT(*) FROM fact)", "silver",
          fact_status, fact_note),
+        ("fact_drug_performance_orphans", "bronze tables", "0", "silver", None,
+         "every fact has its dimension rows"),
         ("drug_effectiveness_ranking", "silver tables",
          "(SELECT COUNT(*) FROM (SELECT DISTINCT condition_name, drug_name, drug_type, "
          "drug_form FROM star))", "gold", None, "rankings by group"),
@@ -524,7 +540,7 @@ def q_best_value_in_tier(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_group_leaderboard(spark: SparkSession, d: str) -> DataFrame:
-    return marts.group_leaderboard(q_summary_mart(spark, d))
+    return marts.group_leaderboard(q_summary_mart(spark, d), position="position")
 
 
 _LINE_ORDER = "l_quantity DESC NULLS LAST, l_orderkey, l_linenumber, l_partkey"
@@ -550,9 +566,8 @@ def q_exact_average(spark: SparkSession, d: str) -> DataFrame:
 
 def q_group_lookup(spark: SparkSession, d: str) -> DataFrame:
     """One group's items in order of rank, as a user looks them up; the position shows the order."""
-    from pyspark.sql import functions as F
-    found = marts.best_in_group(q_ranking_mart(spark, d), n=10, groups=["BUILDING"])
-    return _numbered(found, spark).select("position", "drug_name", "overall_rank", "overall_score", F.col("total_reviews"))
+    found = marts.best_in_group(q_ranking_mart(spark, d), n=10, groups=["BUILDING"], position="position")
+    return found.select("position", "drug_name", "overall_rank", "overall_score", "total_reviews")
 
 
 def q_tier_lookup(spark: SparkSession, d: str) -> DataFrame:
@@ -561,13 +576,6 @@ def q_tier_lookup(spark: SparkSession, d: str) -> DataFrame:
     return found.select("value_rank", "drug_name", "drug_type", "value_score")
 
 
-def _numbered(df: DataFrame, spark: SparkSession) -> DataFrame:
-    """A short ordered result with its row numbers, in the order it is delivered."""
-    rows = df.collect()                      # a lookup of one group's best: n ranks
-    schema = df.schema.add("position", "long")
-    return spark.createDataFrame([(*r, i + 1) for i, r in enumerate(rows)], schema)
-
-
 def _item_history(spark: SparkSession, d: str) -> DataFrame:
     """Three loads that together read all line items: first load, then two merges. Each load's result is
     written under the checkpoint folder, as a pipeline writes its table, so the
@@ -756,7 +764,7 @@ def q_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 def q_audit_latest(spark: SparkSession, d: str) -> DataFrame:
     """Run monitoring: the audit log newest first."""
     from strata.sources.tables import latest_runs
-    return latest_runs(q_audit_rows(spark, d))
+    return latest_runs(q_audit_rows(spark, d), position="position")
 
 
 def q_dirty_feed_audit(spark: SparkSession, d: str) -> DataFrame:
@@ -866,6 +874,175 @@ def q_contract_conform(spark: SparkSession, d: str) -> DataFrame:
     return df.withColumn("cast_errors", F.concat_ws(",", "cast_errors"))
 
 
+# --- rows that do not get through, runs that stop, histories and facts in time --------------
+
+def q_fact_orphans(spark: SparkSession, d: str) -> DataFrame:
+    """Line items that a star join would drop, with the reasons: parts and suppliers are missing, some keys are null."""
+    from pyspark.sql import functions as F
+    from strata.operators.references import REASONS, Reference, find_orphans
+    fact = analogs.table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.when(F.col("l_quantity") != 13, F.col("l_partkey")).alias("item_key"),
+        F.col("l_suppkey").alias("supplier_key"))
+    items = analogs.table(spark, d, "part").filter("p_size % 7 <> 0").select("p_partkey")
+    suppliers = analogs.table(spark, d, "supplier").filter("s_acctbal >= 0").select("s_suppkey")
+    found = find_orphans(fact, [Reference("item_key", items, "p_partkey", "items"),
+                                Reference("supplier_key", suppliers, "s_suppkey", "suppliers")])
+    return found.filter(F.size(REASONS) > 0).withColumn(REASONS, F.array_join(REASONS, ", "))
+
+
+def q_unreadable_rows(spark: SparkSession, d: str) -> DataFrame:
+    """A feed with broken lines: the records that cannot be read, with their text, and what is read of the others."""
+    from datetime import datetime
+
+    from pyspark.sql import functions as F
+
+    from strata.session import scratch_path
+    from strata.sources import csv
+    from strata.sources.contracts import contract
+    root = scratch_path(spark, "broken")
+    analogs.write_broken_feed(spark, d, f"{root}/Broken.csv")
+    df, _ = csv.ingest(spark, f"{root}/Broken.csv", contract("drug_reviews_raw"),
+                       datetime.fromisoformat(analogs.FEED_RUN_TS), multiline=False, unreadable_col="unreadable")
+    folder = F.regexp_extract("source_file", "/([^/]+)/[^/]+$", 1).alias("feed")
+    bad = df.filter("unreadable IS NOT NULL").select(folder, F.lit("unreadable").alias("state"), F.col("unreadable").alias("record"))
+    good = df.filter("unreadable IS NULL").select(folder, F.lit("read").alias("state"), F.concat_ws("|", *(
+        F.coalesce(c, F.lit("")) for c in ("condition", "drug", "indication", "type", "reviews", "effective", "ease_of_use",
+                                           "satisfaction", "information"))).alias("record"))
+    return bad.unionByName(good)
+
+
+def q_scd2_any_order(spark: SparkSession, d: str) -> DataFrame:
+    """The three loads applied out of order, the first one last: the history is the same."""
+    from strata.operators import scd2_timeline
+    from strata.session import materialize
+    y0, y1, y2 = analogs.LOADS
+    h = None
+    for y in (y1, y2, y0):
+        h = materialize(scd2_timeline.merge_at(h, analogs.item_snapshot(spark, d, y), _SCD_SPEC, analogs.load_date(y),
+                                               validate=False), "scd2_timeline")
+    return h.drop(scd2_timeline.OBSERVED)
+
+
+def q_scd2_incremental(spark: SparkSession, d: str) -> DataFrame:
+    """The three loads into a partitioned history, each touching only what it changes."""
+    import uuid
+
+    from strata.operators import scd2_store
+    from strata.session import _scratch_db
+    table = f"{_scratch_db(spark)}.items_{uuid.uuid4().hex[:12]}"
+    for y in analogs.LOADS:
+        scd2_store.load(analogs.item_snapshot(spark, d, y), table, _SCD_SPEC, analogs.load_date(y), validate=False)
+    return scd2_store.history(spark, table, _SCD_SPEC)
+
+
+def q_star_as_of(spark: SparkSession, d: str) -> DataFrame:
+    """Every line item with the item version valid when it shipped."""
+    from pyspark.sql import functions as F
+
+    from strata.operators.asof import star_at
+    fact = analogs.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("item_key"),
+                                                      "l_shipdate")
+    return star_at(fact, _item_history(spark, d), _SCD_SPEC, "l_shipdate", ["item_type", "average_price"])
+
+
+def q_version_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """One item's versions, newest first."""
+    return scd2.versions(_item_history(spark, d), _SCD_SPEC, keys=[1])
+
+
+def q_dim_unmatched_feeds(spark: SparkSession, d: str) -> DataFrame:
+    """The item dimension of two feeds that each lack some of the other's items."""
+    raw_c, clean_c = _silver_inputs(spark, d)
+    return star.item_dimension(raw_c.filter("drug_clean NOT LIKE '%1'"), clean_c.filter("drug_clean NOT LIKE '%2'"))
+
+
+def q_resumed_run(spark: SparkSession, d: str) -> DataFrame:
+    """A run that is stopped between silver and gold and run again: its audit log in order, and the ledger's stages."""
+    from datetime import date, datetime
+
+    from pyspark.sql import functions as F
+
+    from strata.config import PipelineConfig, default_config_dict
+    from strata.plans import pipeline
+    from strata.session import scratch_path
+    from strata.sources.tables import latest_runs
+    root = scratch_path(spark, "resumed")
+    analogs.write_feed_csvs(spark, d, f"{root}/volume")
+    cfg = PipelineConfig.from_dict(default_config_dict(f"{root}/volume"), prefix=f"strata_resumed_{root.rsplit('-', 1)[1]}_")
+    run_ts = datetime.fromisoformat(analogs.FEED_RUN_TS)
+
+    def stop(layer: str) -> None:
+        if layer == "gold":
+            raise RuntimeError("stopped before gold")
+    try:
+        pipeline.run_pipeline(spark, cfg, run_ts, date(2024, 2, 1), location_root=root, before=stop)
+    except RuntimeError:
+        pass
+    for _ in range(2):                       # the second time everything has finished
+        pipeline.run_pipeline(spark, cfg, run_ts, date(2024, 2, 1), location_root=root)
+    audit = latest_runs(spark.table(cfg.table("landing", "metadata_tracking")), position="position")
+    stages = (pipeline.run_ledger(spark, cfg).rows().groupBy("stage", "state").count()
+              .select(F.col("stage").alias("table_name"), F.lit("ledger").alias("layer"), F.col("state").alias("status"),
+                      F.col("count").alias("record_count"), F.lit("").alias("notes"), F.lit(0).cast("long").alias("position")))
+    return audit.select("table_name", "layer", "status", "record_count", "notes", "position").unionByName(stages)
+
+
+def q_average_extremes(spark: SparkSession, d: str) -> DataFrame:
+    """Averages of very small, very large and mixed values, scaled back to ten digits."""
+    from pyspark.sql import functions as F
+
+    from strata.functions.scoring import exact_avg
+    x = F.col("l_extendedprice")
+    big = F.when(F.col("l_linenumber") == 1, x * 1e13).otherwise(x * 1e-13)
+    return analogs.table(spark, d, "lineitem").groupBy("l_suppkey").agg(
+        F.round(exact_avg(x * 1e-25) * 1e25, 4).alias("tiny"), F.round(exact_avg(x * 1e13) / 1e13, 4).alias("wide"),
+        F.round(exact_avg(big) / 1e13, 4).alias("mixed"), F.round(exact_avg(x * 1e200) / 1e200, 4).alias("huge"))
+
+
+def _time_sqls() -> dict[str, str]:
+    h = _scd2_history_sql()
+    fields = ["condition", "drug", "indication", "type", "reviews", "effective", "ease_of_use", "satisfaction", "information"]
+    broken = f"""SELECT * REPLACE (
+  CASE WHEN ease_of_use = '{analogs.EXTRA_FIELD}' THEN concat(information, ',x') ELSE information END AS information,
+  CASE WHEN satisfaction = '{analogs.OPEN_QUOTE}' THEN concat('"', indication) ELSE indication END AS indication)
+FROM ({analogs.RAW_FEED_SQL})"""
+    bad = f"(ease_of_use = '{analogs.EXTRA_FIELD}' OR satisfaction = '{analogs.OPEN_QUOTE}')"
+
+    def line(sep: str) -> str:
+        return "concat_ws('" + sep + "', " + ", ".join(f"COALESCE({f}, '')" for f in fields) + ")"
+
+    def avg(x: str, by: str) -> str:
+        return f"ROUND(fsum({x}) / COUNT(*) {by}, 4)"
+    x = "l_extendedprice"
+    return {
+        "fact_orphans": """
+WITH f AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity <> 13 THEN l_partkey END AS item_key,
+                  l_suppkey AS supplier_key FROM lineitem),
+i AS (SELECT p_partkey FROM part WHERE p_size % 7 <> 0), s AS (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 0)
+SELECT * FROM (SELECT f.*, concat_ws(', ', CASE WHEN item_key IS NULL THEN 'item_key is null'
+       WHEN NOT EXISTS (SELECT 1 FROM i WHERE p_partkey = item_key) THEN 'item_key not in items' END,
+       CASE WHEN NOT EXISTS (SELECT 1 FROM s WHERE s_suppkey = supplier_key) THEN 'supplier_key not in suppliers' END) AS orphan_of
+  FROM f) WHERE orphan_of <> ''""",
+        "unreadable_rows": f"""
+WITH b AS ({broken})
+SELECT 'Broken.csv' AS feed, 'unreadable' AS state, {line(',')} AS record FROM b WHERE {bad}
+UNION ALL SELECT 'Broken.csv', 'read', {line('|')} FROM b WHERE NOT {bad}""",
+        "scd2_any_order": f"{h}\nSELECT * FROM h2",
+        "scd2_incremental": f"{h}\nSELECT * FROM h2",
+        "star_as_of": f"""{h}
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey AS item_key, l.l_shipdate, v.effective_date, v.end_date, v.item_type, v.average_price
+FROM lineitem l ASOF LEFT JOIN h2 v ON l.l_partkey = v.item_key AND l.l_shipdate >= v.effective_date""",
+        "version_lookup": f"""{h}
+SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY effective_date DESC) AS INTEGER) AS version_number, COUNT(*) OVER () AS version_count
+FROM h2 WHERE item_key = 1""",
+        "average_extremes": f"""
+SELECT l_suppkey, {avg(f'{x} * 1e-25::DOUBLE', '* 1e25::DOUBLE')} AS tiny, {avg(f'{x} * 1e13::DOUBLE', '/ 1e13::DOUBLE')} AS wide,
+  {avg(f'CASE WHEN l_linenumber = 1 THEN {x} * 1e13::DOUBLE ELSE {x} * 1e-13::DOUBLE END', '/ 1e13::DOUBLE')} AS mixed,
+  {avg(f'{x} * 1e200::DOUBLE', '/ 1e200::DOUBLE')} AS huge
+FROM lineitem GROUP BY l_suppkey""",
+    }
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the ranking mart (star join, aggregate, weighted score, dense ranks)."""
     return q_ranking_mart(spark, SF_SMOKE)
@@ -907,6 +1084,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "audit_latest": q_audit_latest,
         "bronze_incremental": q_bronze_incremental,
         "dirty_feed_audit": q_dirty_feed_audit,
+        "fact_orphans": q_fact_orphans,
+        "unreadable_rows": q_unreadable_rows,
+        "scd2_any_order": q_scd2_any_order,
+        "scd2_incremental": q_scd2_incremental,
+        "star_as_of": q_star_as_of,
+        "version_lookup": q_version_lookup,
+        "dim_unmatched_feeds": q_dim_unmatched_feeds,
+        "resumed_run": q_resumed_run,
+        "average_extremes": q_average_extremes,
         **({**llm.QUERIES, "pipeline": corpus_pipeline.run} if llm else {}),
     }
 
@@ -924,6 +1110,7 @@ def oracle_sql() -> dict[str, str]:
         "dirty_feed_audit": _dirty_feed_sql(),
         **_silver_sqls(),
         **_event_sqls(),
+        **_time_sqls(),
         **(llm.ORACLE_SQL if llm else {}),
         **({"pipeline": corpus_pipeline.ORACLE_SQL} if llm and corpus_pipeline.ORACLE_SQL else {}),
     }

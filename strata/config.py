@@ -1,7 +1,7 @@
 """Pipeline configuration: the original JSON layout, validated into frozen dataclasses.
 
-Unknown keys are errors (a typo must not silently disable SCD2); one key is
-added to the original layout, ``pipeline.bucket_count``. Keys the
+Unknown keys are errors (a typo must not silently disable SCD2); two keys are
+added to the original layout, ``pipeline.bucket_count`` and ``pipeline.multi_line``. Keys the
 original declares but no job reads (``pipeline.bronze_batch_size``,
 ``schedule``, ``project``) are accepted and ignored: Spark sizes its own scan
 splits, and scheduling belongs to the job runner.
@@ -19,7 +19,7 @@ _LAYERS = ("landing", "bronze", "silver", "gold")
 _SCD2_KEYS = {"enabled", "tracked_tables", "business_keys", "tracked_columns",
               "effective_date_column", "end_date_column", "is_current_column"}
 _PIPELINE_KEYS = {"bronze_batch_size", "enable_quality_checks", "enable_quarantine",
-                  "bucket_count"}
+                  "bucket_count", "multi_line"}
 
 
 class ConfigError(ValueError):
@@ -62,6 +62,8 @@ class PipelineConfig:
     # > 0: the fact and the item dimension are written in this many buckets on
     # the item key, so the gold star join reads them co-located (no shuffle)
     bucket_count: int = 0
+    # per data file: may a record hold line breaks? (true if not named; then a file is one task)
+    multi_line: dict = field(default_factory=dict)
     prefix: str | None = None  # database name prefix; default "<catalog>_"
     extra: dict = field(default_factory=dict)
 
@@ -88,7 +90,10 @@ class PipelineConfig:
                                   f"tracked_columns")
         pipe = d.get("pipeline", {})
         _only(pipe, _PIPELINE_KEYS, "pipeline")
+        multi = dict(pipe.get("multi_line", {}))
+        _only(multi, set(_need(d, "data_files", "config")), "pipeline.multi_line")
         return PipelineConfig(
+            multi_line={k: bool(v) for k, v in multi.items()},
             catalog=_need(uc, "catalog", "unity_catalog"),
             schemas=dict(schemas),
             volume_path=_need(vol, "path", "unity_catalog.volume"),

@@ -72,26 +72,30 @@ def guarded_ratio(num: ColumnOrName, den: ColumnOrName, factor: float = 100.0,
 # --- averages that do not depend on the order of summation ---------------------------
 #
 # A finite double is cut, exactly, into whole numbers: its integer part and LIMBS
-# groups of LIMB_BITS bits behind the point. Each part is summed as bigint, so any
-# order of partial aggregation gives the same sums, parts add up across
-# pre-aggregates, and no digit down to 2^-78 is lost. NaN, infinities and values
-# from 2^62 on are summed as doubles beside them. ANSI mode raises if a sum of whole
-# numbers leaves 63 bits.
-LIMBS, LIMB_BITS = 3, 26
+# groups of LIMB_BITS bits behind the point. The integer part is summed as a decimal of
+# 38 digits, the groups as bigint (8.8e12 rows before one could overflow), so any
+# order of partial aggregation gives the same sums and parts add up across
+# pre-aggregates. What lies below the last group (2^-80), NaN, infinities and values from
+# 2^62 on are summed as doubles beside them: nothing is dropped, and only digits that far
+# below one, or sums of huge values, can depend on the order, in their last place.
+LIMBS, LIMB_BITS = 4, 20
 _HUGE = 2.0 ** 62
-PARTS = [f"s{k}" for k in range(LIMBS + 1)] + ["sx", "cnt"]
+_WHOLE = "decimal(38,0)"
+PARTS = [f"s{k}" for k in range(LIMBS + 1)] + ["sr", "sx", "cnt"]
 
 
 def double_parts(c: ColumnOrName) -> dict[str, Column]:
-    """The parts of one value: whole numbers s0..s3, ``sx`` for what is not finite or huge, ``cnt``."""
+    """The parts of one value: whole numbers s0..s4, ``sr`` for what is below them, ``sx`` for what is not
+    finite or huge, ``cnt``."""
     x = _col(c).cast("double")
     huge = F.abs(x) >= F.lit(_HUGE)          # true for NaN, which sorts above everything
     rest = F.when(~huge, x)
     out = {}
     for k in range(LIMBS + 1):
         whole = rest.cast("long")            # towards zero, so what is left is exact
-        out[f"s{k}"] = whole
+        out[f"s{k}"] = whole if k else whole.cast("decimal(20,0)")
         rest = (rest - whole.cast("double")) * F.lit(2.0 ** LIMB_BITS)
+    out["sr"] = rest * F.lit(2.0 ** (-LIMB_BITS * (LIMBS + 1)))
     out["sx"] = F.when(huge, x)
     out["cnt"] = F.when(x.isNotNull(), F.lit(1).cast("long")).otherwise(F.lit(0).cast("long"))
     return out
@@ -99,17 +103,21 @@ def double_parts(c: ColumnOrName) -> dict[str, Column]:
 
 def summed_parts(c: ColumnOrName, prefix: str) -> list[Column]:
     """Aggregates ``<prefix>_s0 ... <prefix>_cnt`` from which ``parts_avg`` makes the average."""
-    return [F.sum(v).alias(f"{prefix}_{k}") for k, v in double_parts(c).items()]
+    return [_summed(k, v).alias(f"{prefix}_{k}") for k, v in double_parts(c).items()]
+
+
+def _summed(part: str, c: Column | str) -> Column:
+    return F.sum(c).cast(_WHOLE) if part == "s0" else F.sum(c)
 
 
 def add_parts(prefix: str) -> dict[str, Column]:
     """Sums of parts that were summed before."""
-    return {k: F.sum(f"{prefix}_{k}") for k in PARTS}
+    return {k: _summed(k, f"{prefix}_{k}") for k in PARTS}
 
 
 def parts_total(parts: Mapping[str, Column]) -> Column:
     """The double that summed parts stand for; null without a value."""
-    low = F.lit(0.0)
+    low = F.coalesce(parts["sr"], F.lit(0.0))
     for k in range(LIMBS, 0, -1):
         low = F.coalesce(parts[f"s{k}"], F.lit(0)).cast("double") * F.lit(2.0 ** (-LIMB_BITS * k)) + low
     total = F.coalesce(parts["sx"], F.lit(0.0)) + (F.coalesce(parts["s0"], F.lit(0)).cast("double") + low)
@@ -123,12 +131,12 @@ def parts_avg(parts: Mapping[str, Column]) -> Column:
 
 def exact_total(c: ColumnOrName) -> Column:
     """Sum (aggregate) that does not depend on the order of rows; null without a value."""
-    return parts_total({k: F.sum(v) for k, v in double_parts(c).items()})
+    return parts_total({k: _summed(k, v) for k, v in double_parts(c).items()})
 
 
 def exact_avg(c: ColumnOrName) -> Column:
     """Average (aggregate) of full doubles that does not depend on the order of rows."""
-    return parts_avg({k: F.sum(v) for k, v in double_parts(c).items()})
+    return parts_avg({k: _summed(k, v) for k, v in double_parts(c).items()})
 
 
 def percentile_of(position: ColumnOrName, total: ColumnOrName) -> Column:

@@ -43,13 +43,15 @@ LAST_LOAD = date(2002, 1, 1)
 
 def total_sql(x: str) -> str:
     """The exact total of ``functions.scoring`` in DuckDB: whole-number parts summed, put together once."""
-    cuts, rest = [], f"(CASE WHEN NOT abs({x}) >= 4611686018427387904.0 THEN {x} END)"
-    for _ in range(4):
-        cuts.append(f"coalesce(CAST(SUM(CAST(trunc({rest}) AS BIGINT)) AS BIGINT), 0)::DOUBLE")
-        rest = f"(({rest} - trunc({rest})) * 67108864.0::DOUBLE)"
-    low = "0.0::DOUBLE"
-    for k in (3, 2, 1):
-        low = f"({cuts[k]} * power(2.0::DOUBLE, {-26 * k}) + {low})"
+    part = f"(CASE WHEN NOT abs({x}) >= 4611686018427387904.0 THEN {x} END)"
+    # what is left behind a place is the value less its whole multiples of that place, which is exact
+    def behind(k: int) -> str:
+        return f"({part} * power(2.0::DOUBLE, {20 * k}) - trunc({part} * power(2.0::DOUBLE, {20 * k})))"
+    cuts = [f"coalesce(SUM(CAST(trunc({part}) AS BIGINT)), 0)::DOUBLE"]
+    cuts += [f"coalesce(SUM(CAST(trunc({behind(k)} * 1048576.0::DOUBLE) AS BIGINT)), 0)::DOUBLE" for k in range(4)]
+    low = f"coalesce(SUM({behind(4)} * power(2.0::DOUBLE, -80)), 0.0::DOUBLE)"
+    for k in (4, 3, 2, 1):
+        low = f"({cuts[k]} * power(2.0::DOUBLE, {-20 * k}) + {low})"
     huge = f"coalesce(SUM(CASE WHEN abs({x}) >= 4611686018427387904.0 THEN {x} END), 0.0::DOUBLE)"
     return f"({huge} + ({cuts[0]} + {low}))"
 
@@ -324,6 +326,23 @@ def dirty_feeds(raw: DataFrame, clean: DataFrame) -> tuple[DataFrame, DataFrame]
     return raw, clean
 
 
+#: Fixed values of the analog: which raw records get a field too many, and which a quote that is never closed
+EXTRA_FIELD, OPEN_QUOTE = "0.04", "0.06"
+
+
+def write_broken_feed(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The raw feed as plain lines without quoting, some of which no parser can cut into its columns."""
+    raw = raw_feed(spark, sf_dir)
+    broken = (raw.withColumn("information", F.when(F.col("ease_of_use") == EXTRA_FIELD, F.concat("information", F.lit(",x")))
+                             .otherwise(F.col("information")))
+              .withColumn("indication", F.when(F.col("satisfaction") == OPEN_QUOTE, F.concat(F.lit('"'), "indication"))
+                          .otherwise(F.col("indication"))))
+    # a line is one value of a writer that has another separator and quote, under the feed's own header
+    line = F.concat_ws(",", *(F.coalesce(c, F.lit("")) for c in broken.columns)).alias(",".join(broken.columns))
+    (broken.select(line).write.options(header="true", sep="\u0001", quote="\u0002", ignoreLeadingWhiteSpace="false",
+                                       ignoreTrailingWhiteSpace="false").csv(path))
+
+
 def write_feed_csvs(spark: SparkSession, sf_dir: str, root: str,
                     raw_name: str = "Drug.csv", clean_name: str = "Drug_clean.csv",
                     dirty: bool = False) -> None:

@@ -26,7 +26,7 @@ from ..functions.scoring import (PARTS, REFERENCE_PRICE_TIER_TOP, REFERENCE_PRIC
                                  REFERENCE_SCORE_WEIGHTS, add_parts, double_parts, guarded_ratio,
                                  parts_avg, summed_parts, tier, weighted_score)
 from ..functions.timestamps import ts_lit
-from ..operators.rank import dense_ranks, top_n, with_percentiles
+from ..operators.rank import dense_ranks, global_position, top_n, with_percentiles
 from ..session import materialize
 
 STAR_COLUMNS = [
@@ -135,8 +135,11 @@ def base_of_fact(fact: DataFrame, items: DataFrame, groups: DataFrame) -> DataFr
             return F.when(filled, parts[k] * F.col("unpriced"))
         return F.coalesce(parts[k], F.lit(0)) * F.col("unpriced")
 
-    price = {f"p_{k}": (F.when(F.col(f"p_{k}").isNull() & more(k).isNull(), None)
-                        .otherwise(F.coalesce(F.col(f"p_{k}"), F.lit(0)) + F.coalesce(more(k), F.lit(0))))
+    def typed(k: str, c: Column) -> Column:
+        return c.cast("decimal(38,0)") if k == "s0" else c
+
+    price = {f"p_{k}": typed(k, F.when(F.col(f"p_{k}").isNull() & more(k).isNull(), None)
+                             .otherwise(F.coalesce(F.col(f"p_{k}"), F.lit(0)) + F.coalesce(more(k), F.lit(0))))
              for k in PARTS}
     own_price = F.when(filled, F.col("item_price"))
     price |= {"p_min": F.least("p_min", own_price), "p_max": F.greatest("p_max", own_price),
@@ -281,16 +284,22 @@ def marts_of_base(b: DataFrame, spec: MartSpec = MartSpec(), partitions: int | N
 
 # --- read queries on the marts (the user SQL of the original) ---------------------
 
-def best_in_group(ranking_mart: DataFrame, n: int = 5,
-                  groups: Sequence[str] | None = None) -> DataFrame:
-    """Items with ``overall_rank <= n`` (a filter on the stored rank, pushed to the scan)."""
+def best_in_group(ranking_mart: DataFrame, n: int = 5, groups: Sequence[str] | None = None,
+                  position: str | None = None) -> DataFrame:
+    """Items with ``overall_rank <= n`` (a filter on the stored rank, pushed to the scan).
+
+    Ordered by group and rank; with ``position`` a column of that name holds the place in
+    this order (``rank.global_position``: any number of ties, none of them on the driver).
+    """
     df = ranking_mart
     if groups is not None:
         df = df.filter(F.col("condition_name").isin(list(groups)))
-    return (df.filter(F.col("overall_rank") <= n)
-            .select("condition_name", "drug_name", "overall_score", "overall_rank",
-                    "total_reviews", "average_price")
-            .orderBy("condition_name", "overall_rank", "drug_name", "drug_type", "drug_form"))
+    order = ["condition_name", "overall_rank", "drug_name", "drug_type", "drug_form"]
+    kept = ["condition_name", "drug_name", "overall_score", "overall_rank", "total_reviews", "average_price"]
+    df = df.filter(F.col("overall_rank") <= n)
+    if position:
+        return global_position(df, order, position, total=None).select(position, *kept)
+    return df.select(*kept, "drug_type", "drug_form").orderBy(*order).select(*kept)
 
 
 def best_value_in_tier(value_mart: DataFrame, n: int = 10,
@@ -306,10 +315,10 @@ def best_value_in_tier(value_mart: DataFrame, n: int = 10,
                     "avg_effectiveness", "value_score"))
 
 
-def group_leaderboard(summary_mart: DataFrame) -> DataFrame:
-    """Groups by total reviews, most reviewed first."""
-    return (summary_mart
-            .select("condition_name", "total_drugs_available", "rx_drugs_count",
-                    "otc_drugs_count", "best_drug_by_effectiveness", "avg_price",
-                    "total_patient_reviews")
-            .orderBy(F.col("total_patient_reviews").desc_nulls_last(), "condition_name"))
+def group_leaderboard(summary_mart: DataFrame, position: str | None = None) -> DataFrame:
+    """Groups by total reviews, most reviewed first; with ``position`` also numbered so."""
+    order = [F.col("total_patient_reviews").desc_nulls_last(), F.col("condition_name")]
+    board = summary_mart.select("condition_name", "total_drugs_available", "rx_drugs_count",
+                                "otc_drugs_count", "best_drug_by_effectiveness", "avg_price",
+                                "total_patient_reviews")
+    return global_position(board, order, position, total=None) if position else board.orderBy(*order)

@@ -115,7 +115,29 @@ def append_audit(spark: SparkSession, name: str, rows: list[AuditRow]) -> int:
     return append_table(audit_frame(spark, rows), name, contract("metadata_tracking"))
 
 
-def latest_runs(audit: DataFrame) -> DataFrame:
-    """Audit rows newest first (run monitoring)."""
-    return audit.orderBy(F.col("load_timestamp").desc_nulls_last(), F.col("layer"),
-                         F.col("table_name"))
+def append_audit_once(spark: SparkSession, name: str, rows: list[AuditRow]) -> int:
+    """Append the audit rows that the log does not hold yet: a rerun of one run adds nothing."""
+    if not rows:
+        return 0
+    new = audit_frame(spark, rows).distinct()
+    if exists(spark, name):
+        times = sorted({r.load_timestamp.replace(tzinfo=None) for r in rows})
+        same = spark.table(name).filter(F.col("load_timestamp").isin(times))
+        cond = None
+        for c in new.columns:
+            t = new[c].eqNullSafe(same[c])
+            cond = t if cond is None else cond & t
+        new = new.join(same, cond, "left_anti")
+    kept = new.collect()                     # a few rows, given by the caller
+    if not kept:
+        return 0
+    return append_table(spark.createDataFrame(kept, contract("metadata_tracking")), name, contract("metadata_tracking"))
+
+
+def latest_runs(audit: DataFrame, position: str | None = None) -> DataFrame:
+    """Audit rows newest first (run monitoring); with ``position`` also numbered so."""
+    order = [F.col("load_timestamp").desc_nulls_last(), F.col("layer"), F.col("table_name"), F.col("status")]
+    if position:
+        from ..operators.rank import global_position
+        return global_position(audit, order, position, total=None)
+    return audit.orderBy(*order)

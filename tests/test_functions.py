@@ -103,6 +103,7 @@ def test_averages_lose_no_digit(spark):
         "third": [1 / 3] * 7, "cancel": [1e15 + 0.5, -1e15, 0.25], "small": [1.2345678901234567e-5] * 3,
         "nan": [1.0, float("nan")], "inf": [float("inf"), 2.0], "both": [float("inf"), float("-inf")],
         "null": [None, None], "some": [None, 2.5], "huge": [1e300, 1.0],
+        "tiny": [1e-25, 3e-25], "wide": [4e18] * 3, "far": [1e-30, 1e17, 0.5], "deep": [5e-324, 0.0],
     }
     rows = [(g, x) for g, xs in groups.items() for x in xs]
     seen = []
@@ -116,7 +117,7 @@ def test_averages_lose_no_digit(spark):
     assert all(repr(s) == repr({k: s[k] for k in s}) and {k: repr(v) for k, v in s.items()} ==
                {k: repr(v) for k, v in seen[0].items()} for s in seen)
     got = seen[0]
-    for g in ("digits", "mixed", "third", "cancel", "small", "some"):
+    for g in ("digits", "mixed", "third", "cancel", "small", "some", "tiny", "wide", "far"):
         xs = [Fraction(x) for x in groups[g] if x is not None]
         assert abs(Fraction(got[g]) - sum(xs) / len(xs)) <= 4 * Fraction(math.ulp(got[g])), g
     assert math.isnan(got["nan"]) and math.isinf(got["inf"]) and math.isnan(got["both"])

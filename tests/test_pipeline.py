@@ -3,6 +3,8 @@
 import os
 from datetime import date, datetime
 
+import pytest
+
 from strata.config import PipelineConfig, default_config_dict
 from strata.plans import pipeline
 
@@ -49,7 +51,7 @@ def test_two_runs(spark, scratch):
     rank = spark.table(cfg.table("gold", "drug_effectiveness_ranking")).collect()
     assert {r["drug_name"] for r in rank} == {"aspirin", "cream1"}
     audit = spark.table(cfg.table("landing", "metadata_tracking")).collect()
-    assert len(audit) == 2 * 11 and all(r["status"] in ("success", "warning") for r in audit)
+    assert len(audit) == 2 * 12 and all(r["status"] in ("success", "warning") for r in audit)
 
 
 def test_bucketed_star_join_needs_no_fact_shuffle(spark, scratch):
@@ -91,3 +93,63 @@ def test_pipeline_drops_its_stages(spark, scratch):
     after = {t.name for t in spark.catalog.listTables(db)}
     assert after <= before
     assert spark.table(cfg.table("gold", "drug_effectiveness_ranking")).count() > 0
+
+
+def test_a_stopped_run_goes_on_after_the_last_finished_stage(spark, scratch, monkeypatch):
+    vol = f"{scratch}/volume"
+    cfg = PipelineConfig.from_dict(default_config_dict(vol), prefix="t_resume_")
+    _write(f"{vol}/Drug.csv", RAW)
+    _write(f"{vol}/Drug_clean.csv", CLEAN_1)
+    args = (spark, cfg, datetime(2024, 1, 1), date(2024, 1, 1))
+    ran = []
+    for layer in ("bronze", "silver", "gold"):
+        own = getattr(pipeline, f"run_{layer}")
+        monkeypatch.setattr(pipeline, f"run_{layer}", lambda *a, own=own, layer=layer: (ran.append(layer), own(*a))[1])
+
+    def stop(layer):
+        if layer == "gold":
+            raise RuntimeError("stopped")
+    for _ in range(2):                              # the same failure twice is one audit row
+        with pytest.raises(RuntimeError):
+            pipeline.run_pipeline(*args, location_root=f"{scratch}/wh", before=stop)
+    assert ran == ["bronze", "silver"]
+    result = pipeline.run_pipeline(*args, location_root=f"{scratch}/wh")
+    assert ran == ["bronze", "silver", "gold"] and result["bronze"]["drug_reviews_raw"] == 3
+    assert pipeline.run_pipeline(*args, location_root=f"{scratch}/wh") == result and len(ran) == 3
+    audit = spark.table(cfg.table("landing", "metadata_tracking")).collect()
+    assert sorted(r["status"] for r in audit if r["layer"] == "gold") == ["failed"] + ["success"] * 3
+    assert len(audit) == 13
+    pipeline.run_pipeline(*args, location_root=f"{scratch}/wh", resume=False)
+    assert spark.table(cfg.table("landing", "metadata_tracking")).filter("status <> 'failed' AND layer = 'bronze'").count() == 2
+    _write(f"{vol}/Drug_clean.csv", CLEAN_2)        # other files are another input
+    pipeline.run_pipeline(*args, location_root=f"{scratch}/wh")
+    assert ran[-3:] == ["bronze", "silver", "gold"]
+
+
+def test_records_that_cannot_be_read_are_kept_apart_and_counted(spark, scratch):
+    vol = f"{scratch}/volume"
+    d = default_config_dict(vol)
+    d["pipeline"]["multi_line"] = {"raw_reviews": False}
+    cfg = PipelineConfig.from_dict(d, prefix="t_unreadable_")
+    _write(f"{vol}/Drug.csv", RAW + "Gout,\"open,x,RX,1,1,1,1,info\nGout,b,x,RX\nGout,c,x,RX,1,1,1,1,info,more\nGout,d,x,RX,1,1,1,1,i\n")
+    _write(f"{vol}/Drug_clean.csv", CLEAN_1)
+    pipeline.ensure_databases(spark, cfg, f"{scratch}/wh")
+    n = pipeline.run_bronze(spark, cfg, datetime(2024, 1, 1))
+    assert n == {"drug_reviews_raw": 4, "drug_reviews_clean": 2}
+    bad = spark.table(f"{cfg.database('bronze')}.drug_reviews_raw_unreadable").collect()
+    assert sorted(r["record"] for r in bad) == ['Gout,"open,x,RX,1,1,1,1,info', "Gout,b,x,RX", "Gout,c,x,RX,1,1,1,1,info,more"]
+    assert all(r["source_file"].endswith("Drug.csv/part.csv") for r in bad)
+    row = spark.table(cfg.table("landing", "metadata_tracking")).filter("table_name = 'drug_reviews_raw_unreadable'").first()
+    assert (row["record_count"], row["status"]) == (3, "warning")
+    # with the quarantine off they are loaded as far as they go, and still kept and counted
+    d["pipeline"]["enable_quarantine"] = False
+    loose = PipelineConfig.from_dict(d, prefix="t_unreadable_")
+    assert pipeline.run_bronze(spark, loose, datetime(2024, 1, 2))["drug_reviews_raw"] == 7
+
+
+def test_the_unreadable_column_alone_can_be_asked_for(spark, scratch):
+    from strata.sources import csv
+    _write(f"{scratch}/feed", "a,b\n1,2\n1\n")
+    df = csv.read_text_csv(spark, f"{scratch}/feed", unreadable_col="bad")
+    assert [r.bad for r in df.select("bad").filter("bad IS NOT NULL").collect()] == ["1"]
+    assert df.count() == 2
