@@ -477,7 +477,8 @@ def align(docs: DataFrame, a: str | None = None, b: str | None = None) -> Alignm
     most = counts.groupBy("b").agg(F.max("links").alias("most"))
     pairs = counts.join(most, "b").select("pair", F.expr(f"pair div {B_IDS}").alias("a"), "b", "documents", "links",
                                           (F.col("links") == F.col("most")).alias("is_best"))
-    scored = postings.join(pairs.select("pair", "links", "is_best"), "pair")
+    # the counts grow with the corpus: they are never broadcast, and the plan is the same at every size
+    scored = postings.join(pairs.select("pair", "links", "is_best").hint("merge"), "pair")
     heads = index.filter("pair IS NULL").drop("pair", "plane", "span", "docs")
     both = (heads.unionByName(scored, allowMissingColumns=True).repartition("chunk")
             .sortWithinPartitions("chunk", F.col("pair").isNotNull()))
