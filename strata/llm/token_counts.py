@@ -39,6 +39,7 @@ import os
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,7 +50,9 @@ from strata.llm.tables import stage
 LIMIT = 2048
 VOCABULARY = "word_bpe_49k.json"
 #: bytes of a text whose words are counted at once, and words whose counts a task remembers
-PART_BYTES, WORDS = 1 << 20, 1 << 17
+PART_BYTES, WORDS = 1 << 20, 1 << 19
+#: words encoded in one line, by their bytes
+LINE_BYTES = 1 << 15
 #: longer words are not remembered
 WORD_BYTES = 64
 
@@ -125,6 +128,8 @@ class Tokenizer:
             own.no_truncation()
             own.no_padding()
             self.counts = lambda texts: [len(e.ids) for e in own.encode_batch(texts, add_special_tokens=False)]
+            # where in the text each token begins
+            self.begins = lambda text: np.array(own.encode(text, add_special_tokens=False).offsets, np.int64).reshape(-1, 2)[:, 0]
         else:
             import sentencepiece
             own = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -152,9 +157,25 @@ class WordCounter:
     """Counts of texts by their words; remembers short ones for the length of a task."""
 
     def __init__(self, path: str):
-        self.counts = Tokenizer.of(path).counts
+        self.begins = Tokenizer.of(path).begins
         self.known: dict[bytes, int] = {}
 
+    def of_words(self, words: list[bytes]) -> list[int]:
+        """Counts of words, encoded many in a line: a token belongs to the word it begins in."""
+        out: list[int] = []
+        lo = 0
+        while lo < len(words):
+            hi, size = lo, 0
+            while hi < len(words) and (hi == lo or size < LINE_BYTES):
+                size += len(words[hi])
+                hi += 1
+            texts = [w.decode("utf-8", "replace") for w in words[lo:hi]]
+            starts = np.cumsum([0] + [len(t) + 1 for t in texts])
+            begins = self.begins(" ".join(texts))
+            out += np.bincount(np.searchsorted(starts, begins, "right") - 1, minlength=len(texts)).tolist()
+            lo = hi
+        return out
+
     def __call__(self, text: bytes) -> int:
         total = 0
         for part in _parts(text):
@@ -164,10 +185,8 @@ class WordCounter:
                 self.known.clear()
                 new = list(words)
             once = {}
-            for lo in range(0, len(new), 4096):
-                some = new[lo:lo + 4096]
-                for w, n in zip(some, self.counts([w.decode("utf-8", "replace") for w in some])):
-                    (self.known if len(w) <= WORD_BYTES and len(self.known) < WORDS else once)[w] = n
+            for w, n in zip(new, self.of_words(new)):
+                (self.known if len(w) <= WORD_BYTES and len(self.known) < WORDS else once)[w] = n
             total += sum((self.known[w] if w in self.known else once[w]) * n for w, n in words.items())
         return total
 
