@@ -12,19 +12,18 @@ and chance matches inside other words make lengths jitter by as much as a toxic
 word saves; as codes, words either match or do not, and stems match under any
 ending.
 
-Dictionaries. Both hold the most frequent words of ordinary text. The toxic one
-goes on with the code strings that lean to toxic text: codes found in clearly more
-toxic than ordinary documents (a log-likelihood ratio of ``LEAN`` or more, at least
-four times the share), joined where they are neighbours in a word. The ordinary
-one goes on with as many bytes of noise, so that both index the shared part alike
-and ordinary windows come out equal.
+Dictionaries. That of ordinary text holds its ``BASE`` most frequent words. That of
+toxic text begins with the same words, so that what all texts share costs the same under
+either, and goes on with all code strings that lean to toxic text: codes found in
+clearly more toxic than ordinary documents (a log-likelihood ratio of ``LEAN`` or more, at
+least four times the share), joined where they are neighbours in a word.
 
 Learning takes a bounded sample of the labelled rows, the ``SAMPLE`` with the
 smallest hash. Two thirds of it make the dictionaries, one third the calibration
 (isotonic, over documents the dictionaries have not seen).
 
 Scale. Scoring is one pass over the texts without a shuffle; the dictionaries are
-bounded (``BASE`` and ``TOXIC`` bytes) and go out with the task.
+bounded by the sample and go out with the task.
 
 Defined cases: a null or wordless text has the distance 0, and the score of that;
 labels that are null or contradict each other are not learned from; if a label is
@@ -50,7 +49,8 @@ SAMPLE = 6000
 WINDOW = 16
 STEMS = (4, 5, 7)
 WIDTH = 4 * (len(STEMS) + 1)
-BASE, TOXIC = 20_000, 16_384
+#: words of the shared base, and how clearly a code must lean to toxic text
+BASE = 1250
 LEAN = 20.0
 LEVEL = 6
 
@@ -123,10 +123,14 @@ def _log_likelihood(k, n, p):
             n - k > 0, (n - k) * np.log(np.maximum(1 - p, 1e-300)), 0)
 
 
-def _dictionaries(ordinary: list[np.ndarray], toxic: list[np.ndarray]) -> tuple[bytes, bytes]:
-    n0, n1 = len(ordinary), len(toxic)
-    code, b = _counts(ordinary)
-    mark, a = _counts(toxic)
+def _leaning(own: list[np.ndarray], other: list[np.ndarray]) -> Counter:
+    """Code strings that lean to ``own``: codes found in clearly more of its documents (a log-likelihood ratio of
+    LEAN or more, at least four times the share), joined where they are neighbours in a word, with their number."""
+    n1, n0 = len(own), len(other)
+    mark, a = _counts(own)
+    code, b = _counts(other)
+    if not len(mark) or not len(code):
+        return Counter()
     at = np.minimum(np.searchsorted(code, mark), len(code) - 1)
     b = np.where(code[at] == mark, b[at], 0)
     both = (a + b) / (n0 + n1)
@@ -134,19 +138,27 @@ def _dictionaries(ordinary: list[np.ndarray], toxic: list[np.ndarray]) -> tuple[
                  - _log_likelihood(a, n1, both) - _log_likelihood(b, n0, both))
     lean = mark[(a >= 3) & (a / n1 > 4 * (b + 0.5) / n0) & (ratio >= LEAN)]
     strings: Counter = Counter()
-    for codes in toxic:
+    for codes in own:
         hit = np.isin(codes, lean)
         for i in np.flatnonzero(hit.any(1)):
             k = np.flatnonzero(hit[i])
             strings[codes[i, k[0]:k[-1] + 1].tobytes()] += 1
+    return strings
+
+
+def _dictionaries(ordinary: list[np.ndarray], toxic: list[np.ndarray]) -> tuple[bytes, bytes]:
+    """Of ordinary text its most frequent words; of toxic text these and all strings that lean to it.
+
+    The most frequent stand last, where offsets are cheapest.
+    """
     common: Counter = Counter()
     for codes in ordinary:
         common.update(map(bytes, np.ascontiguousarray(codes).view(f"V{WIDTH}").reshape(-1).tolist()))
-    # what is most frequent stands last: nearest offsets are cheapest
-    base = b"".join(s for s, n in sorted(_most(common, BASE // WIDTH), key=lambda x: (x[1], x[0])))
-    own = b"".join(s for s, n in sorted(strings.items(), key=lambda x: (x[1], x[0])))[-TOXIC:]
-    noise = np.random.default_rng(6).integers(0, 256, len(own), dtype=np.uint8).tobytes()
-    return base + noise, base + own
+
+    def laid(strings) -> bytes:
+        return b"".join(s for s, n in sorted(strings, key=lambda x: (x[1], x[0])))
+    base = laid(_most(common, BASE))
+    return base, base + laid(_leaning(toxic, ordinary).items())
 
 
 def _most(counts: Counter, n: int) -> list:

@@ -53,3 +53,25 @@ def test_one_label_or_none(spark, docs_of):
     ones = tx.learn(docs, spark.createDataFrame([(1, 1, 1)], LABELS), F.lit(True))
     assert [r.score for r in tx.score(docs, ones).collect()] == [1.0, 1.0]
     assert tx.score(docs_of([]), none).count() == 0
+
+
+def test_distances_are_those_of_plain_compression():
+    """Window lengths under either dictionary, compressed one by one with a fresh compressor."""
+    import zstandard
+    rng = np.random.default_rng(5)
+    words = rng.integers(0, 1 << 32, (400, len(tx.STEMS) + 1), dtype=np.uint32)
+    ordinary = words[:200].tobytes()
+    toxic = ordinary + words[200:260].tobytes()
+    text = words[rng.integers(0, 400, 150)]
+    step = tx.WINDOW
+    want = []
+    for lo in range(0, len(text), step):
+        size = []
+        for content in (ordinary, toxic):
+            p = zstandard.ZstdCompressionParameters.from_level(tx.LEVEL, min_match=4, write_content_size=False,
+                                                               write_checksum=False, write_dict_id=False)
+            d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            size.append(len(zstandard.ZstdCompressor(dict_data=d, compression_params=p).compress(text[lo:lo + step].tobytes())))
+        want.append(size[0] - size[1])
+    got = tx.Compressors(ordinary, toxic).distances(text)
+    assert len(got) == len(want) and all(abs(a - b) <= 2 for a, b in zip(got, want)) and max(got) > 16
