@@ -19,7 +19,8 @@ percent of words inside repeated 3-word windows.
 Scale. One pass over the texts makes a row of figures for each document. Quartiles
 come from counts by bin of 1/``BINS`` (a grouped count that combines before its
 shuffle), so no group is gathered anywhere and the result does not depend on
-partitioning. Bands are joined back on their group.
+partitioning. Bands are joined back on their group, broadcast if they are at most
+``FEW_BANDS`` (as many as there are languages, scripts and octaves of length).
 
 Defined cases: null and empty texts have no words and fail the base rules; words
 of any length are tokenised whole; a null language is
@@ -51,6 +52,8 @@ BINS = 256
 #: groups whose documents share a band, finest first, and how many a group needs
 LEVELS = (("lang", "script", "octave", "every"), ("lang", "script"), ("script",), ("every",))
 GROUP = 100
+#: bands up to which they are broadcast (a few hundred bytes each); more are joined by Spark's own choice
+FEW_BANDS = 10_000
 #: least half-width of a band, by measure
 FLOORS = {"chars_per_piece": 0.25, "chars_per_bpe": 0.25, "fallback": 0.02, "entropy": 0.4}
 
@@ -259,7 +262,9 @@ def judge(docs: DataFrame, vocabularies: str = VOCABULARIES, min_words: int = MI
                      .withColumn("every", F.lit("every"))
                      .withColumn("octave", F.floor(F.log2(F.greatest(F.col("n_words"), F.lit(1)))).cast("int")),
                      "fertility")
-    joined = measured.join(bands(measured, reach), list(LEVELS[0]), "left")
+    band = stage(bands(measured, reach), "bands")
+    # one language may hold a third of all rows: a short list of bands meets them where they are, without a shuffle
+    joined = measured.join(F.broadcast(band) if band.count() <= FEW_BANDS else band, list(LEVELS[0]), "left")
     outside = F.array_compact(F.array(*(
         F.when((v < F.col("band")[m]["low"]) | (v > F.col("band")[m]["high"]), F.lit(m))
         for m, v in _values().items())))
