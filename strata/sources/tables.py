@@ -1,15 +1,20 @@
-"""Table sinks: staged full replace, append, and the audit log.
+"""Table sinks: full replace by a moved pointer, append, and the audit log.
 
-``replace_table`` never overwrites the table it may be reading from: it writes
-``<t>__stage``, then renames live -> ``<t>__old`` and stage -> live, then drops
-the old one. The two renames are not atomic together, so every call first
-recovers an interrupted swap (live missing and ``__old`` present -> rename
-back; a leftover ``__stage`` is dropped). The row count comes from an
+``replace_table`` writes a new version of the table into a folder of its own and then moves
+the catalog's pointer there, one change of the table's location. Readers see the old version or the
+new one, never none: a query that has begun on the old version finishes on its files, which stay for ``keep_hours``.
+Nothing is renamed, so a plan may read the table it replaces, and a write that
+dies leaves the table as it was (its folder goes with the old versions).
+
+Only where the new version has another layout (columns, buckets, partitions), or the table is
+a managed one of an earlier release, the table is created anew: a drop and a rename, between which it is missing.
+``recover`` finishes what such a swap left behind. The row count comes from an
 ``Observation`` collected during the write, not from a second scan.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from dataclasses import dataclass
 from datetime import datetime
@@ -43,16 +48,45 @@ def recover(spark: SparkSession, name: str) -> str | None:
     return done
 
 
+def _layout(spark: SparkSession, name: str) -> dict:
+    """What two versions must share for the pointer to move: columns, buckets, partitions; and the kind of table."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    told = {r["col_name"]: r["data_type"] for r in rows}
+    return {"columns": [(f.name, f.dataType.simpleString()) for f in spark.table(name).schema.fields],
+            "partitions": "# Partition Information" in told, "external": told.get("Type") == "EXTERNAL",
+            **{k: told.get(k) for k in ("Provider", "Num Buckets", "Bucket Columns", "Sort Columns")}}
+
+
+def _versions(spark: SparkSession, name: str) -> str:
+    """The folder of a table's versions, beside the database's other tables."""
+    db, _, table = name.rpartition(".")
+    place = spark.catalog.getDatabase(db or spark.catalog.currentDatabase()).locationUri
+    return f"{place}/{table}__versions"
+
+
+def _drop_old_versions(spark: SparkSession, name: str, place: str, keep_hours: float) -> None:
+    """Delete versions, other than the current one, that no query can still be reading."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    folder = path(place)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    current = path(told["Location"]).getName()
+    limit = (time.time() - keep_hours * 3600) * 1000
+    for status in fs.listStatus(folder):
+        if status.getPath().getName() != current and status.getModificationTime() < limit:
+            fs.delete(status.getPath(), True)
+
+
 def replace_table(df: DataFrame, name: str, schema: StructType | None = None,
                   partition_by: list[str] | None = None,
                   bucket_by: tuple[int, list[str]] | None = None,
-                  observation: Observation | None = None) -> int:
+                  observation: Observation | None = None, keep_hours: float = 24) -> int:
     """Replace table ``name`` by ``df``; returns the number of rows written.
 
     ``schema`` (a contract) is checked before anything is written.
     ``bucket_by=(n, cols)`` writes ``n`` buckets hashed and sorted on ``cols``:
     two tables bucketed the same way on their join key are joined without
-    shuffling either side.
+    shuffling either side. ``keep_hours`` must be more than the longest query takes.
     """
     spark = df.sparkSession
     if schema is not None:
@@ -66,11 +100,20 @@ def replace_table(df: DataFrame, name: str, schema: StructType | None = None,
     if bucket_by:
         n, cols = bucket_by
         w = w.bucketBy(n, *cols).sortBy(*cols)
-    w.saveAsTable(name + STAGE)
+    place = _versions(spark, name)
+    version = f"{place}/{uuid.uuid4().hex}"
+    w.option("path", version).saveAsTable(name + STAGE)
     if exists(spark, name):
+        old, new = _layout(spark, name), _layout(spark, name + STAGE)
+        if old == new and not new["partitions"]:      # partitions have locations of their own
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
+            spark.sql(f"DROP TABLE {name}{STAGE}")    # the name only: its files are the table's now
+            _drop_old_versions(spark, name, place, keep_hours)
+            return int(obs.get["rows"])
         spark.sql(f"ALTER TABLE {name} RENAME TO {name}{OLD}")
     spark.sql(f"ALTER TABLE {name}{STAGE} RENAME TO {name}")
     spark.sql(f"DROP TABLE IF EXISTS {name}{OLD}")
+    _drop_old_versions(spark, name, place, keep_hours)
     return int(obs.get["rows"])
 
 

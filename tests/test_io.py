@@ -105,3 +105,55 @@ def test_config_validation_and_scd2_switch():
     bad["scd2"]["tracked_tables"].append("dim_conditions")
     with pytest.raises(ConfigError):
         PipelineConfig.from_dict(bad)
+
+
+def test_readers_never_miss_a_table_that_is_replaced(spark):
+    import threading
+    spark.sql("CREATE DATABASE IF NOT EXISTS t_swap")
+    name = "t_swap.read_while_replaced"
+    tables.replace_table(spark.range(100).withColumn("v", F.lit(0)), name)
+    seen, failed, done = set(), [], threading.Event()
+
+    def read():
+        while not done.is_set():
+            try:
+                r = spark.table(name).agg(F.count("*"), F.min("v"), F.max("v")).first()
+                assert r[0] == 100 and r[1] == r[2]           # one version, whole
+                seen.add(r[1])
+            except Exception as e:  # noqa: BLE001
+                failed.append(e)
+                return
+    reader = threading.Thread(target=read)
+    reader.start()
+    for v in range(1, 6):
+        tables.replace_table(spark.table(name).withColumn("v", F.lit(v)), name)
+    done.set()
+    reader.join()
+    assert not failed and len(seen) > 1 and spark.table(name).first()["v"] == 5
+
+
+def test_old_versions_go_by_age_and_other_layouts_are_created_anew(spark):
+    import os
+    spark.sql("CREATE DATABASE IF NOT EXISTS t_swap")
+    name = "t_swap.versions"
+    place = tables._versions(spark, name).removeprefix("file:")
+    for n in (1, 2, 3):
+        tables.replace_table(spark.range(n), name)
+    assert len(os.listdir(place)) == 3
+    tables.replace_table(spark.range(4), name, keep_hours=0)
+    assert len(os.listdir(place)) == 1 and spark.table(name).count() == 4
+    tables.replace_table(spark.range(5).withColumn("x", F.lit("a")), name)
+    assert spark.table(name).columns == ["id", "x"] and spark.table(name).count() == 5
+    tables.replace_table(spark.range(6).withColumn("x", F.lit("a")), name, bucket_by=(2, ["id"]))
+    tables.replace_table(spark.range(7).withColumn("x", F.lit("a")), name, bucket_by=(2, ["id"]))
+    assert spark.table(name).count() == 7 and tables._layout(spark, name)["Num Buckets"] == "2"
+
+
+def test_a_write_that_dies_leaves_the_table(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS t_swap")
+    name = "t_swap.dies"
+    tables.replace_table(spark.range(3), name)
+    with pytest.raises(Exception):
+        tables.replace_table(spark.range(3).withColumn("id", F.raise_error(F.lit("lost")).cast("long")), name)
+    assert spark.table(name).count() == 3
+    assert tables.replace_table(spark.range(2), name) == 2 and spark.table(name).count() == 2
