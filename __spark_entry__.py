@@ -999,6 +999,36 @@ def q_average_extremes(spark: SparkSession, d: str) -> DataFrame:
         F.round(exact_avg(big) / 1e13, 4).alias("mixed"), F.round(exact_avg(x * 1e200) / 1e200, 4).alias("huge"))
 
 
+def q_rule_table(spark: SparkSession, d: str) -> DataFrame:
+    """Every part with the category of its name, by rules that are rows of a table."""
+    from strata.operators.rule_table import categorise_by_table, rules_frame
+    parts = analogs.table(spark, d, "part").select("p_partkey", "p_name")
+    return categorise_by_table(parts, "p_name", rules_frame(spark, analogs.NAME_RULES))
+
+
+def q_stream_checked(spark: SparkSession, d: str) -> DataFrame:
+    """The raw feed with faults, taken in by the stream with checks: valid and quarantined rows by rule, and what the audit says."""
+    from datetime import datetime
+
+    from pyspark.sql import functions as F
+
+    from strata.session import scratch_path
+    from strata.sources.contracts import contract
+    from strata.streaming import checked
+    root = scratch_path(spark, "checked")
+    analogs.write_feed_csvs(spark, d, f"{root}/volume", dirty=True)
+    rules = {"item_present": F.col("drug").isNotNull(), "score_is_number": F.col("effective") != "NaN"}
+    audit = checked.ingest_checked(spark, f"{root}/volume/Drug.csv", contract("drug_reviews_raw"), rules, f"{root}/target",
+                                   f"{root}/quarantine", f"{root}/audit", datetime.fromisoformat(analogs.FEED_RUN_TS),
+                                   f"{root}/checkpoint", max_files_per_batch=2)
+    by_rule = (spark.read.parquet(f"{root}/quarantine").groupBy(F.array_join("failed_rules", ",").alias("part"))
+               .agg(F.count("*").alias("n")))
+    told = audit.agg(*(F.sum(c).alias(c) for c in ("rows", "valid_rows", "quarantined_rows")),
+                     *(F.sum(F.col("failures")[r]).alias(r) for r in rules))
+    valid = spark.read.parquet(f"{root}/target").agg(F.lit("valid").alias("part"), F.count("*").alias("n"))
+    return by_rule.unionByName(valid).unionByName(told.unpivot([], told.columns, "part", "n"))
+
+
 def _time_sqls() -> dict[str, str]:
     h = _scd2_history_sql()
     fields = ["condition", "drug", "indication", "type", "reviews", "effective", "ease_of_use", "satisfaction", "information"]
@@ -1035,6 +1065,14 @@ FROM lineitem l ASOF LEFT JOIN h2 v ON l.l_partkey = v.item_key AND l.l_shipdate
         "version_lookup": f"""{h}
 SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY effective_date DESC) AS INTEGER) AS version_number, COUNT(*) OVER () AS version_count
 FROM h2 WHERE item_key = 1""",
+        "rule_table": f"SELECT p_partkey, p_name, {_rules_case('p_name', analogs.NAME_RULES)} AS category FROM part",
+        "stream_checked": f"""
+WITH f AS (SELECT ease_of_use = '0.03' AS a, ease_of_use = '0.07' AS b FROM ({analogs.RAW_FEED_SQL}))
+SELECT * FROM (SELECT CASE WHEN a THEN 'item_present' WHEN b THEN 'score_is_number' ELSE 'valid' END AS part, COUNT(*) AS n
+  FROM f GROUP BY 1)
+UNION ALL SELECT 'rows', COUNT(*) FROM f UNION ALL SELECT 'valid_rows', COUNT(*) FILTER (WHERE NOT a AND NOT b) FROM f
+UNION ALL SELECT 'quarantined_rows', COUNT(*) FILTER (WHERE a OR b) FROM f
+UNION ALL SELECT 'item_present', COUNT(*) FILTER (WHERE a) FROM f UNION ALL SELECT 'score_is_number', COUNT(*) FILTER (WHERE b) FROM f""",
         "average_extremes": f"""
 SELECT l_suppkey, {avg(f'{x} * 1e-25::DOUBLE', '* 1e25::DOUBLE')} AS tiny, {avg(f'{x} * 1e13::DOUBLE', '/ 1e13::DOUBLE')} AS wide,
   {avg(f'CASE WHEN l_linenumber = 1 THEN {x} * 1e13::DOUBLE ELSE {x} * 1e-13::DOUBLE END', '/ 1e13::DOUBLE')} AS mixed,
@@ -1093,6 +1131,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dim_unmatched_feeds": q_dim_unmatched_feeds,
         "resumed_run": q_resumed_run,
         "average_extremes": q_average_extremes,
+        "rule_table": q_rule_table,
+        "stream_checked": q_stream_checked,
         **({**llm.QUERIES, "pipeline": corpus_pipeline.run} if llm else {}),
     }
 

@@ -70,3 +70,67 @@ def test_reordered_header_is_refused(spark, scratch):
         f.write("Reviews,Condition,Price\n7 R,gout,2.0\n")
     with pytest.raises(StreamingQueryException):
         ingest_new_files(spark, land, schema, f"{scratch}/out", datetime(2024, 1, 1), checkpoint=f"{scratch}/ck")
+
+
+# --- ingest with checks ----------------------------------------------------------------------
+
+def _checked(spark, scratch, **options):
+    from datetime import datetime
+
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import StructType
+
+    from strata.streaming import checked
+    schema = StructType.fromDDL("a STRING, n INT, ingestion_timestamp TIMESTAMP_NTZ, source_file STRING, record_id STRING")
+    rules = {"has_a": F.col("a").isNotNull(), "positive": F.col("n") > 0}
+    places = [f"{scratch}/{x}" for x in ("target", "quarantine", "audit")]
+    return checked.ingest_checked(spark, f"{scratch}/feed", schema, rules, *places, datetime(2024, 1, 1), f"{scratch}/checkpoint", **options)
+
+
+def _tables(spark, scratch):
+    return [sorted(map(repr, spark.read.parquet(f"{scratch}/{x}").select(*cols).collect())) for x, cols in (
+        ("target", ["batch", "a", "n"]), ("quarantine", ["batch", "a", "n", "failed_rules"]),
+        ("audit", ["batch", "rows", "valid_rows", "quarantined_rows", "failures"]))]
+
+
+def _feed(scratch, name, text):
+    import os
+    os.makedirs(f"{scratch}/feed", exist_ok=True)
+    with open(f"{scratch}/feed/{name}.csv", "w") as f:
+        f.write("a,n\n" + text)
+
+
+def test_a_batch_run_again_leaves_the_same_tables(spark, scratch, monkeypatch):
+    import pytest
+
+    from strata.streaming import checked
+    _feed(scratch, "one", "x,1\n,2\ny,-1\nz,q\n")
+    _checked(spark, scratch)
+    first = _tables(spark, scratch)
+    assert [len(t) for t in first] == [1, 3, 1] and "quarantined_rows=3" in first[2][0]
+    _feed(scratch, "two", "v,5\n,\n")
+    put, calls = checked._put, []
+
+    def dies(df, folder, batch):
+        calls.append(folder)
+        if len(calls) == 2:                   # the valid rows are written, the others not
+            raise RuntimeError("lost")
+        put(df, folder, batch)
+    monkeypatch.setattr(checked, "_put", dies)
+    with pytest.raises(Exception, match="lost"):
+        _checked(spark, scratch)
+    monkeypatch.setattr(checked, "_put", put)
+    audit = _checked(spark, scratch)
+    assert sorted((r.batch, r["rows"], r.valid_rows, r.failures["has_a"]) for r in audit.collect()) == [(0, 4, 1, 1), (1, 2, 1, 1)]
+    done = _tables(spark, scratch)
+    assert [len(t) for t in done] == [2, 4, 2]
+    # nothing new: nothing changes
+    _checked(spark, scratch)
+    assert _tables(spark, scratch) == done
+
+
+def test_many_batches(spark, scratch):
+    for k in range(3):
+        _feed(scratch, f"f{k}", f"a{k},{k}\n")
+    audit = _checked(spark, scratch, max_files_per_batch=1)
+    assert audit.count() == 3 and spark.read.parquet(f"{scratch}/target").count() == 2
