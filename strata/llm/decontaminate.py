@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import textblocks as tb
-from strata.llm.tables import row_key
+from strata.llm.tables import fresh_names, row_key
 
 WINDOW = 10
 LEAD = 3
