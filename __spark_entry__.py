@@ -674,8 +674,13 @@ def q_fact_two_feeds(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_silver_ranking_mart(spark: SparkSession, d: str) -> DataFrame:
-    """Gold ranking over the silver star: the fact aggregated by its keys, then the dimensions."""
-    raw_c, clean_c = _silver_inputs(spark, d)
+    """Gold ranking over the silver star: the fact aggregated by its keys, then the dimensions.
+
+    Each cleansed feed is written once, as the pipeline does; dimensions and fact read that."""
+    from strata.session import materialize
+    raw_c, clean_c = (materialize(cleanse(with_lineage(feed(spark, d), analogs.FEED_RUN_TS, source_file=name)), name)
+                      for cleanse, feed, name in ((star.cleanse_raw, analogs.raw_feed, "raw_feed"),
+                                                  (star.cleanse_clean, analogs.clean_feed, "clean_feed")))
     items = star.item_dimension(raw_c, clean_c)
     groups = star.group_dimension(raw_c, clean_c, analogs.FEED_RUN_TS, rules=analogs.NAME_RULES)
     r = marts.ranking(marts.base_of_fact(star.fact(raw_c, clean_c), items, groups), from_base=True)

@@ -120,8 +120,25 @@ def base_of_fact(fact: DataFrame, items: DataFrame, groups: DataFrame) -> DataFr
     meets the dimensions. Facts without a price count with the item's average:
     as many times its parts, which are whole numbers, as there are such facts.
     """
-    own = (fact.groupBy("drug_key", "condition_key")
-           .agg(*_sums(F.col("price")), F.count(F.when(F.col("price").isNull(), 1)).alias("unpriced")))
+    return base_of_partials(fact_partials(fact), items, groups)
+
+
+def fact_partials(fact: DataFrame) -> DataFrame:
+    """The fact aggregated by its two keys: parts that add up across any cut of its rows."""
+    return (fact.groupBy("drug_key", "condition_key")
+            .agg(*_sums(F.col("price")), F.count(F.when(F.col("price").isNull(), 1)).alias("unpriced")))
+
+
+def merged_partials(partials: DataFrame) -> DataFrame:
+    """Partials of several cuts of a fact as those of the whole."""
+    sums = [c for c in partials.columns if c not in ("drug_key", "condition_key", "p_min", "p_max", "e_max")]
+    return partials.groupBy("drug_key", "condition_key").agg(
+        *(F.sum(c).cast(partials.schema[c].dataType).alias(c) for c in sums),
+        F.min("p_min").alias("p_min"), F.max("p_max").alias("p_max"), F.max("e_max").alias("e_max"))
+
+
+def base_of_partials(own: DataFrame, items: DataFrame, groups: DataFrame) -> DataFrame:
+    """The marts' pre-aggregate from ``fact_partials`` and the dimensions."""
     f, d, g = own.alias("f"), items.alias("d"), groups.alias("g")
     joined = (f.join(d, F.col("f.drug_key") == F.col("d.drug_key"))
               .join(g, F.col("f.condition_key") == F.col("g.condition_key"))
