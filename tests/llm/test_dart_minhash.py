@@ -168,3 +168,50 @@ def test_filters_of_the_exact_join_leave_no_pair_out(spark, docs_of, threshold):
     label = texts.select("node", texts.node.alias("label"))
     pairs = {(r.a, r.b) for r in dm._close_pairs(texts, label, 5, threshold, False).collect()}
     assert want <= pairs and len(want) > 0
+
+
+def _peak(work):
+    """MB that ``work`` holds at most at a time, beyond what was there."""
+    import tracemalloc
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_does_not_follow_the_number_of_short_rows():
+    import numpy as np
+    import pyarrow as pa
+
+    from strata.llm import dart_minhash as dm
+    from strata.llm import textblocks as tb
+    texts = pa.array([" ".join(f"w{(i * 7 + k) % 5000}" for k in range(12)) for i in range(8192)])
+    block = next(tb.blocks(texts))
+    row, name, _ = dm.shingles(block)
+    weight = np.ones(len(row))
+    found = []
+    assert _peak(lambda: found.append(dm.signatures(row, name, weight, block.n))) < 300
+    for i in (0, 1023, 1024, 5000, 8191):                  # whatever rows throw beside it
+        own = row == i
+        assert np.array_equal(found[0][i], dm.signatures(row[own] - i, name[own], weight[own], 1)[0])
+
+
+def test_memory_of_pairs_of_long_texts():
+    import pyarrow as pa
+    import zstandard
+
+    from strata.llm import dart_minhash as dm
+    long = [zstandard.compress(" ".join(f"w{i}x{k}" for k in range(8000)).encode()) for i in range(8)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(96)), pa.array([long[i % 8] for i in range(96)]), pa.array([long[i % 7] for i in range(96)])],
+                                       ["p", "za", "zb"])
+    sizes = []
+
+    def work():
+        for lo, (a, b) in dm._pairs_of_texts(batch):
+            sizes.append(len(a))
+            dm.similarities(a, b, 5, False)
+    assert _peak(work) < 250 and sum(sizes) == 96 and max(sizes) < 40
+    got = [r for part in dm._checked(5, 0.8, False)(iter([batch])) for r in part.column("p").to_pylist()]
+    assert got == [i for i in range(96) if i % 8 == i % 7]

@@ -85,3 +85,32 @@ def test_pipeline_against_its_stages_by_hand(spark):
     mix = stages.mixing_stage(spark, clean, SF).agg(F.sum(F.col("n_tokens") * F.col("copies"))).first()[0]
     total = sum(len((t or "").split()) for t, _ in (left[d] for d in (1, 4, 5, 7)))
     assert 0 < mix <= total // 2
+
+
+#: names that operators and stages use inside, and those they used to
+INTERNAL = ["row_key", "known_lang", "rest", "every", "n", "rid", "doc", "node", "label", "z", "spans", "band", "octave", "class_key",
+            "_rid", "__row_key", "__lang", "__left", "__all", "__key", "__n", "content", "chunk", "pair", "key", "left"]
+
+
+def test_stages_with_internal_names_as_columns_and_text_ids(spark):
+    base = [" ".join(hashlib.md5(f"{i}.{k}".encode()).hexdigest()[:6] for k in range(80)) for i in range(4)]
+    rows = [(f"id{i}", t, "en", "src0", len(t or ""), *(f"{c}{i}" for c in INTERNAL))
+            for i, t in enumerate([base[0], base[0], base[1], base[2] + " " + base[1], None, ""])]
+    kinds = "doc_id string, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in INTERNAL)
+    docs = spark.createDataFrame(rows, kinds)
+    for name, apply in corpus_pipeline.STAGES[:-1]:
+        if name == "suffix_dedup":            # goes by the order of whole-number ids
+            own = docs.withColumn("doc_id", docs.doc_id.substr(3, 9).cast("long"))
+        else:
+            own = docs
+        out = apply(spark, own, SF)
+        assert out.columns == docs.columns, name
+        for r in out.collect():
+            i = int(str(r["doc_id"]).removeprefix("id"))
+            assert [r[c] for c in INTERNAL] == [f"{c}{i}" for c in INTERNAL], name
+
+
+def test_stages_on_an_empty_table(spark):
+    docs = table(spark, SF, "documents").limit(0)
+    for _, apply in corpus_pipeline.STAGES:
+        assert apply(spark, docs, SF).count() == 0
