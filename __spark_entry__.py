@@ -807,7 +807,12 @@ def q_dirty_feed_audit(spark: SparkSession, d: str) -> DataFrame:
                  F.max(F.dayofmonth("first_seen_date"))).alias("notes"))
              .select(F.lit("silver").alias("layer"), F.lit("groups").alias("table_name"), F.lit(2).alias("day"),
                      "record_count", F.lit("rows").alias("status"), "notes"))
-    return audit.unionByName(kept).unionByName(first)
+    # labels of raw rows, some of which hold a line break
+    labels = (spark.table(cfg.table("silver", "fact_drug_performance")).filter("data_source = 'raw'")
+              .groupBy(F.concat(F.lit("label "), "drug_type").alias("table_name")).agg(F.count("*").alias("record_count"))
+              .select(F.lit("silver").alias("layer"), "table_name", F.lit(2).alias("day"), "record_count",
+                      F.lit("rows").alias("status"), F.lit("").alias("notes")))
+    return audit.unionByName(kept).unionByName(first).unionByName(labels)
 
 
 def _dirty_feed_sql() -> str:
@@ -848,7 +853,8 @@ SELECT 'silver', 'fact', 2, (SELECT COUNT(*) FROM raw) + (SELECT COUNT(*) FROM c
 UNION ALL
 SELECT 'silver', 'groups', 2, COUNT(DISTINCT g), 'rows', 'first seen on day 1 to 1' FROM (
   SELECT {_initcap('condition')} AS g FROM raw WHERE condition IS NOT NULL
-  UNION ALL SELECT {_initcap('condition')} FROM clean WHERE condition IS NOT NULL)"""
+  UNION ALL SELECT {_initcap('condition')} FROM clean WHERE condition IS NOT NULL)
+UNION ALL SELECT 'silver', concat('label ', {_label('type')}), 2, COUNT(*), 'rows', '' FROM ({analogs.RAW_FEED_SQL}) GROUP BY 2"""
 
 
 def q_bronze_incremental(spark: SparkSession, d: str) -> DataFrame:
@@ -1004,6 +1010,21 @@ def q_average_extremes(spark: SparkSession, d: str) -> DataFrame:
         F.round(exact_avg(big) / 1e13, 4).alias("mixed"), F.round(exact_avg(x * 1e200) / 1e200, 4).alias("huge"))
 
 
+def q_marts_by_difference(spark: SparkSession, d: str) -> DataFrame:
+    """The ranking mart after two loads, the second of which computes only the groups it touches."""
+    from strata.plans import mart_state
+    from strata.session import materialize, scratch_path
+    raw_c, clean_c = _silver_inputs(spark, d)
+    items = materialize(star.item_dimension(raw_c, clean_c), "items")
+    groups = materialize(star.group_dimension(raw_c, clean_c, analogs.FEED_RUN_TS, rules=analogs.NAME_RULES), "groups")
+    facts = star.fact(raw_c, clean_c)
+    root = scratch_path(spark, "mart-state")
+    for load in ("raw", "clean"):
+        touched = mart_state.put_load(facts.filter(facts.data_source == load), f"{root}/state", load)
+        mart = mart_state.refresh(spark, f"{root}/state", f"{root}/ranking", items, groups, touched, marts.ranking)
+    return mart.drop("effectiveness_rank", "satisfaction_rank")
+
+
 def q_rule_table(spark: SparkSession, d: str) -> DataFrame:
     """Every part with the category of its name, by rules that are rows of a table."""
     from strata.operators.rule_table import categorise_by_table, rules_frame
@@ -1070,6 +1091,7 @@ FROM lineitem l ASOF LEFT JOIN h2 v ON l.l_partkey = v.item_key AND l.l_shipdate
         "version_lookup": f"""{h}
 SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY effective_date DESC) AS INTEGER) AS version_number, COUNT(*) OVER () AS version_count
 FROM h2 WHERE item_key = 1""",
+        "marts_by_difference": _silver_ranking_sql(f"WITH {_silver_ctes()}"),
         "rule_table": f"SELECT p_partkey, p_name, {_rules_case('p_name', analogs.NAME_RULES)} AS category FROM part",
         "stream_checked": f"""
 WITH f AS (SELECT ease_of_use = '0.03' AS a, ease_of_use = '0.07' AS b FROM ({analogs.RAW_FEED_SQL}))
@@ -1137,6 +1159,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "resumed_run": q_resumed_run,
         "average_extremes": q_average_extremes,
         "rule_table": q_rule_table,
+        "marts_by_difference": q_marts_by_difference,
         "stream_checked": q_stream_checked,
         **({**llm.QUERIES, "pipeline": corpus_pipeline.run} if llm else {}),
     }
