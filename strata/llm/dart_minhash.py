@@ -32,7 +32,8 @@ ordered by how many do, those of one node alone come before all. Two sets at the
 threshold share a shingle near the front of both (prefix filter: a longer front for
 the greater set than for the smaller), at places that leave room for the common
 part (positional filter), and their sizes are close (length filter). Members of a
-shingle's largest class are only paired with those of other classes.
+shingle's largest class are only paired with those of other classes. Of these pairs
+only those go on to the exact check whose fronts share enough shingles.
 
 Scale. One pass of Python over the texts; rows that shuffle are band keys (16
 bytes), and texts only of nodes that have a candidate. Grouped minima combine
@@ -327,13 +328,31 @@ def _close_pairs(texts: DataFrame, label: DataFrame, words: int, threshold: floa
     sides = F.when(F.col("most"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))
     large = placed.select("token", F.explode(sides).alias("side"), "node", "size", "pos", "label")
     room = F.least(F.col("size_s") - F.col("pos_s"), F.col("size") - F.col("pos"))
-    return (small.join(large, ["token", "side"])
+    pairs = (small.join(large, ["token", "side"])
             .filter((F.col("label_s") != F.col("label"))
                     & (F.struct("size_s", "node_s") < F.struct(F.col("size").alias("size_s"), F.col("node").alias("node_s")))
                     & (F.col("size_s") >= threshold * F.col("size") - 1e-6)
                     & (room >= part * (F.col("size_s") + F.col("size")) - 1e-6))
             .groupBy(F.least("node", "node_s").alias("a"), F.greatest("node", "node_s").alias("b"))
             .agg(F.min(F.least("label", "label_s")).alias("p"), F.max(F.greatest("label", "label_s")).alias("q")))
+    return _sharing_enough(pairs, entries, threshold)
+
+
+def _sharing_enough(pairs: DataFrame, entries: DataFrame, threshold: float) -> DataFrame:
+    """The pairs whose fronts share enough shingles for the threshold.
+
+    Of the two fronts take the one that ends first in the order. What two sets share up to its end lies in both fronts;
+    behind it the set has ``ceil(threshold * size) - 1`` shingles. So what the fronts share and the greater of these
+    two rests must reach the common part that the threshold asks for.
+    """
+    fronts = stage(entries.groupBy("node", "size").agg(F.collect_list("token").alias("front")), "front-tokens")
+    both = pairs
+    for side in ("a", "b"):
+        both = both.join(fronts.select(F.col("node").alias(side), F.col("size").alias(f"size_{side}"), F.col("front").alias(f"front_{side}")), side)
+    rest = F.greatest(*(F.ceil(threshold * F.col(f"size_{s}") - 1e-6) for s in ("a", "b"))) - 1
+    wanted = threshold / (1 + threshold) * (F.col("size_a") + F.col("size_b"))
+    return (both.filter(F.size(F.array_intersect("front_a", "front_b")) + rest >= wanted - 1e-6)
+            .select("a", "b", "p", "q"))
 
 
 def near_duplicate_classes(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD,

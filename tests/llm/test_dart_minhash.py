@@ -215,3 +215,34 @@ def test_memory_of_pairs_of_long_texts():
     assert _peak(work) < 250 and sum(sizes) == 96 and max(sizes) < 40
     got = [r for part in dm._checked(5, 0.8, False)(iter([batch])) for r in part.column("p").to_pylist()]
     assert got == [i for i in range(96) if i % 8 == i % 7]
+
+
+def test_few_pairs_of_a_template_family_reach_the_texts(spark, docs_of, monkeypatch):
+    """14 slots of 50 values between fixed words, similarity near 0.7: hardly a pair is compared on its texts."""
+    import random
+
+    from strata.llm import dart_minhash as dm
+    rnd = random.Random(8)
+    rows = []
+    for i in range(300):
+        parts = []
+        for s in range(14):
+            parts += [f"slot{s}v{rnd.randint(0, 49)}"] + [f"t{s}w{k}" for k in range(27)]
+        rows.append((i, " ".join(parts)))
+    seen = []
+    own = dm._sharing_enough
+
+    def counted(pairs, entries, threshold):
+        out = own(pairs, entries, threshold)
+        seen.append((pairs.count(), out.count()))
+        return out
+    monkeypatch.setattr(dm, "_sharing_enough", counted)
+    got = {r.doc_id: r.class_id for r in dm.near_duplicate_classes(docs_of(rows)).collect()}
+    sets = [frozenset(zip(*(t.split()[j:] for j in range(5)))) for _, t in rows]
+    near = [(i, j) for i in range(300) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    want = list(range(300))
+    for _ in range(300):
+        for i, j in near:
+            want[i] = want[j] = min(want[i], want[j])
+    assert [got[i] for i in range(300)] == want
+    assert seen and seen[0][1] <= max(300, len(near) * 4)
