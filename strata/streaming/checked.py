@@ -31,12 +31,23 @@ def _put(df: DataFrame, folder: str, batch: int) -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(folder))
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """The batch dealt over all cores: a file that may hold line breaks is parsed by one task, and a batch holds few files.
+
+    Rows go by their place in the batch, not in turn (``repartition(n)``, which sorts every row first so that a
+    task run again deals alike) and not by content (copies would meet in one task).
+    """
+    place = "__place"
+    return (df.withColumn(place, F.monotonically_increasing_id())
+            .repartition(df.sparkSession.sparkContext.defaultParallelism, place).drop(place))
+
+
 def write_batch(df: DataFrame, batch: int, rules: Mapping[str, Column], target: str, quarantine: str, audit: str,
                 run_ts: datetime) -> None:
     """One batch into the three tables; doing it again changes nothing."""
     if BATCH in df.columns:
         raise ValueError(f"the feed has a column {BATCH!r}")
-    flagged = quality.flag(df, rules).persist()       # read and judged once; a lost part is read again from its file
+    flagged = quality.flag(_spread(df), rules).persist()       # read and judged once; a lost part is read again from its file
     try:
         _put(flagged.filter(F.size(quality.FAILED) == 0).drop(quality.FAILED), target, batch)
         _put(flagged.filter(F.size(quality.FAILED) > 0), quarantine, batch)

@@ -134,3 +134,16 @@ def test_many_batches(spark, scratch):
         _feed(scratch, f"f{k}", f"a{k},{k}\n")
     audit = _checked(spark, scratch, max_files_per_batch=1)
     assert audit.count() == 3 and spark.read.parquet(f"{scratch}/target").count() == 2
+
+
+def test_a_batch_of_one_file_is_dealt_over_all_cores(spark, scratch):
+    from strata.streaming import checked
+    _feed(scratch, "one", "same,1\n" * 400 + ",2\n" * 100)
+    one = spark.read.csv(f"{scratch}/feed", header=True, schema="a string, n int")
+    assert one.rdd.getNumPartitions() == 1
+    parts = checked._spread(one).rdd.glom().map(len).collect()
+    assert sum(parts) == 500 and len(parts) == spark.sparkContext.defaultParallelism and min(parts) > 100    # copies too
+    audit = _checked(spark, scratch)
+    row = audit.first()
+    assert (row["rows"], row.valid_rows, row.failures["has_a"]) == (500, 400, 100)
+    assert len(spark.read.parquet(f"{scratch}/target").inputFiles()) == len(parts)
