@@ -122,3 +122,18 @@ def test_averages_lose_no_digit(spark):
         assert abs(Fraction(got[g]) - sum(xs) / len(xs)) <= 4 * Fraction(math.ulp(got[g])), g
     assert math.isnan(got["nan"]) and math.isinf(got["inf"]) and math.isnan(got["both"])
     assert got["null"] is None and got["huge"] == 5e299
+
+
+def test_names_where_needs_no_lambda(spark):
+    from strata.functions.cleanse import names_where
+    from strata.operators import quality
+    from strata.sources.contracts import conform
+    from pyspark.sql.types import StructType
+    df = spark.createDataFrame([(1, "x"), (None, "y"), (3, None)], "a int, b string")
+    got = df.select(names_where({"big": F.col("a") > 2, "no_b": F.col("b").isNull()}).alias("n"), names_where({}).alias("none"))
+    assert [(r.n, r.none) for r in got.collect()] == [([], []), ([], []), (["big", "no_b"], [])]   # null is not TRUE
+    assert got.schema["n"].dataType.simpleString() == "array<string>"
+    typed = conform(df, StructType.fromDDL("a string, b double"), errors_col="e")[0]
+    assert sorted((r.a or "", r.e) for r in typed.collect()) == [("", ["b"]), ("1", ["b"]), ("3", [])]
+    for plan in (typed, quality.flag(df, {"r": F.col("a") > 1})):
+        assert "lambda" not in plan._jdf.queryExecution().executedPlan().toString()
