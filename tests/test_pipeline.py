@@ -153,3 +153,34 @@ def test_the_unreadable_column_alone_can_be_asked_for(spark, scratch):
     df = csv.read_text_csv(spark, f"{scratch}/feed", unreadable_col="bad")
     assert [r.bad for r in df.select("bad").filter("bad IS NOT NULL").collect()] == ["1"]
     assert df.count() == 2
+
+
+@pytest.mark.parametrize("quarantine", [True, False])
+def test_each_feed_is_cleansed_and_judged_in_one_write(spark, scratch, monkeypatch, quarantine):
+    from strata.operators import quality
+    from strata.sources import tables
+    vol = f"{scratch}/volume"
+    d = default_config_dict(vol)
+    d["pipeline"]["enable_quarantine"] = quarantine
+    cfg = PipelineConfig.from_dict(d, prefix=f"t_once_{quarantine}_".lower())
+    _write(f"{vol}/Drug.csv", RAW)
+    _write(f"{vol}/Drug_clean.csv", CLEAN_1)
+    put, read = tables.replace_table, {}
+
+    def seen(df, name, *a, **kw):
+        read[name.rsplit(".", 1)[1]] = " ".join(df.inputFiles())
+        return put(df, name, *a, **kw)
+    monkeypatch.setattr(tables, "replace_table", seen)
+    monkeypatch.setattr(quality, "counts", lambda *a: pytest.fail("a pass of its own over the feed"))
+    pipeline.run_pipeline(spark, cfg, datetime(2024, 1, 1), date(2024, 1, 1), location_root=f"{scratch}/wh")
+    audit = {r["table_name"]: r for r in spark.table(cfg.table("landing", "metadata_tracking")).collect()}
+    if not quarantine:
+        rows = spark.table(cfg.table("landing", "metadata_tracking")).filter("layer = 'silver' AND table_name = 'drug_reviews_raw'").collect()
+        assert [(r.record_count, r.status, r.notes) for r in rows] == [(3, "warning", "rows failing rules, kept: {'failed_group_present': 1}")]
+        return
+    assert "raw_cleansed" in read["drug_reviews_raw_quarantine"] and "bronze" not in read["drug_reviews_raw_quarantine"]
+    assert audit["drug_reviews_raw_quarantine"]["notes"] == (
+        "rows failing rules: {'rows': 3, 'failed_item_present': 0, 'failed_group_present': 1, 'quarantined_rows': 1, 'valid_rows': 2}")
+    bad = spark.table(f"{cfg.database('silver')}.drug_reviews_raw_quarantine")
+    assert [r.drug_clean for r in bad.collect()] == ["nameless"] and bad.columns[-1] == "failed_rules"
+    assert spark.table(cfg.table("silver", "fact_drug_performance")).count() == 4
