@@ -22,8 +22,10 @@ paired with one centre, never with all others: the node that meets most rows of
 other classes over all its buckets (of a text and its many copies, the text; of a
 large class and a few strangers, a stranger). Pairs are checked exactly on their
 texts, and links join classes. A centre has then met its bucket and leaves it; only
-buckets whose other nodes are of several classes stay in, until a round links
-nothing more. At similarity 0.8 two documents share none of 32 bands of 4 with
+buckets whose other nodes are of several classes stay in. Rounds end when one links
+nothing more, or leaves more than ``ROUND_LEAVES`` of the classes open: their number
+grows at most with the logarithm of the classes, whatever the buckets hold, and each
+reads an entry of an open bucket a fixed number of times. At similarity 0.8 two documents share none of 32 bands of 4 with
 probability 5e-8.
 
 The rest. All nodes still in a bucket then go through an exact join of sets that
@@ -67,6 +69,9 @@ THRESHOLD = 0.8
 COORDINATES = 128
 BANDS = 32
 
+#: rounds of centres go on while one leaves at most this share of the classes in open buckets
+ROUND_LEAVES = 0.75
+
 #: rows that throw darts at a time, and pairs and bytes of text that are compared at a time
 DART_ROWS = 1024
 PAIRS, PAIR_BYTES = 256, 2 << 20
@@ -355,6 +360,21 @@ def _sharing_enough(pairs: DataFrame, entries: DataFrame, threshold: float) -> D
             .select("a", "b", "p", "q"))
 
 
+def _with_centres(open_: DataFrame) -> DataFrame:
+    """Entries (key, node, label) of buckets of several classes with their bucket's centre: c and c_label.
+
+    A node's weight: the rows of other classes it meets, over all its buckets.
+    """
+    own = open_.groupBy("key", "label").agg(F.count("*").alias("m"))
+    whole = own.groupBy("key").agg(F.sum("m").alias("n"))
+    meets = (open_.join(own, ["key", "label"]).join(whole, "key")
+             .groupBy("node").agg(F.sum(F.col("n") - F.col("m")).alias("weight")))
+    weighed = open_.join(meets, "node")
+    centre = weighed.groupBy("key").agg(F.max(F.struct("weight", "node", "label")).alias("c"))
+    return (open_.join(centre, "key")
+            .select("key", "node", "label", F.col("c.node").alias("c"), F.col("c.label").alias("c_label")))
+
+
 def near_duplicate_classes(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD,
                            k: int = COORDINATES, bands: int = BANDS, weighting: str = "set") -> DataFrame:
     """One row per document row: rid, doc_id, class_id (smallest id of its class) and class_key.
@@ -371,7 +391,8 @@ def near_duplicate_classes(docs: DataFrame, words: int = WORDS, threshold: float
     entries = signed.select("node", F.explode("bands").alias("key"))
     shared = (entries.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most"))
               .filter("least <> most").select("key"))
-    members = stage(entries.join(shared, "key").distinct(), "members")
+    members = stage(entries.join(shared, "key").select("key", "node", F.col("node").alias("label")).distinct(), "members")
+    label = members.select("node", "label").distinct()
     # the text of one row of each node that has a candidate
     chosen = (signed.select("node", "rid").join(members.select("node").distinct(), "node")
               .groupBy("node").agg(F.min("rid").alias("rid")))
@@ -388,35 +409,32 @@ def near_duplicate_classes(docs: DataFrame, words: int = WORDS, threshold: float
         return stage(label.join(roots.select(F.col("node").alias("label"), F.col("label").alias("root")), "label", "left")
                      .select("node", F.coalesce("root", "label").alias("label")), "labels")
 
-    label = members.select("node", F.col("node").alias("label")).distinct()
-    while True:
-        placed = members.join(label, "node")
-        own = placed.groupBy("key", "label").agg(F.count("*").alias("m"))
-        live = own.groupBy("key").agg(F.sum("m").alias("n"), F.count("*").alias("classes")).filter("classes > 1")
-        # a node's weight: the rows of other classes it meets, over all its buckets
-        open_ = (placed.join(own, ["key", "label"]).join(live.select("key", "n"), "key")
-                 .select("key", "node", "label", (F.col("n") - F.col("m")).alias("others")))
-        weight = open_.groupBy("node").agg(F.sum("others").alias("weight"))
-        open_ = stage(open_.join(weight, "node").select("key", "node", "label", "weight"), "open")
-        centre = stage(open_.groupBy("key").agg(F.max(F.struct("weight", "node", "label")).alias("c"))
-                       .select("key", F.col("c.node").alias("c"), F.col("c.label").alias("c_label")), "centres")
-        pairs = (open_.join(centre, "key").filter("label <> c_label")
+    def classes(open_: DataFrame) -> int:
+        return open_.agg(F.count_distinct("label")).first()[0]
+
+    open_, n_open = members, classes(members)
+    while n_open:
+        met = stage(_with_centres(open_), "met")
+        pairs = (met.filter("label <> c_label")
                  .groupBy(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b"))
                  .agg(F.min(F.least("label", "c_label")).alias("p"), F.max(F.greatest("label", "c_label")).alias("q")))
         more = stage(check(pairs, "p", "q"), "links")
+        linked = not more.isEmpty()
+        if linked:
+            label = joined(label, more)
         # a centre has met its bucket
-        members = (open_.join(centre.select("key", F.col("c").alias("node")), ["key", "node"], "left_anti")
-                   .select("key", "node"))
-        if more.isEmpty():
+        placed = met.filter("node <> c").select("key", "node").join(label, "node")
+        live = placed.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l <> h")
+        open_ = stage(placed.join(live.select("key"), "key").select("key", "node", "label"), "open")
+        before, n_open = n_open, classes(open_)
+        if not linked or n_open > ROUND_LEAVES * before:
             break
-        label = joined(label, more)
-    placed = members.join(label, "node")
-    live = placed.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l <> h")
-    rest = stage(placed.join(live.select("key"), "key").select("node", "label").distinct(), "rest")
-    if not rest.isEmpty():
+    if n_open:
+        rest = stage(open_.select("node", "label").distinct(), "rest")
         more = stage(check(_close_pairs(texts.join(rest.select("node"), "node"), rest, words, threshold, counted),
                            "p", "q"), "links")
-        label = joined(label, more)
+        if not more.isEmpty():
+            label = joined(label, more)
     placed = (signed.select("rid", "doc", "node").join(label, "node", "left")
               .select("rid", "doc", F.coalesce("label", "node").alias("class_key")))
     least = placed.filter("class_key IS NOT NULL").groupBy("class_key").agg(F.min("doc").alias("class_id"))

@@ -246,3 +246,20 @@ def test_few_pairs_of_a_template_family_reach_the_texts(spark, docs_of, monkeypa
             want[i] = want[j] = min(want[i], want[j])
     assert [got[i] for i in range(300)] == want
     assert seen and seen[0][1] <= max(300, len(near) * 4)
+
+
+def test_rounds_that_settle_little_give_way_to_the_exact_join(spark, docs_of, monkeypatch):
+    """Documents of one template, most in one pair: each centre finds its own partner, and the buckets stay as they are."""
+    template = [f"t{i}" for i in range(300)]
+    rows = [(i, " ".join(template + [f"p{i // 2}x{k}" for k in range(20 if i < 160 else 0)]
+                         + [f"d{i}x{k}" for k in range(20 if i < 160 else 40)])) for i in range(200)]
+    want = brute(rows, 0.8)
+    assert sum(d != c for d, c in want.items()) == 80
+    checks, plans, own, written = [], [], dm._checked, dm.stage
+    monkeypatch.setattr(dm, "_checked", lambda *a: checks.append(a) or own(*a))
+    monkeypatch.setattr(dm, "stage", lambda df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or written(df, name))
+    got = {r.doc_id: r.class_id for r in dm.near_duplicate_classes(docs_of(rows)).collect()}
+    assert got == want
+    assert len(checks) <= 3  # at most two rounds and the exact join
+    # what is left of the buckets is written once a round, not joined anew by all that read it
+    assert not [p for p in plans if "LeftAnti" in p] and max(p.count("Join ") for p in plans) <= 7
